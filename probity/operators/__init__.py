@@ -1,6 +1,6 @@
 """Operators on DataFrames: measuring, membership, remediation, profile, corruption."""
 
-from probity.operators.measure import issues, key_counts, key_presence, measure, orphan_keys
+from probity.operators.measure import issues, key_counts, key_presence, measure
 from probity.operators.membership import duplicate_rows, orphan_rows, rows_with_keys
 from probity.operators.profile import missing_before_after, null_counts, quick_stats, sample_rows
 from probity.operators.remedy import cleaning_summary, keep_first, remediate
@@ -15,7 +15,6 @@ __all__ = [
     "measure",
     "missing_before_after",
     "null_counts",
-    "orphan_keys",
     "orphan_rows",
     "quick_stats",
     "remediate",

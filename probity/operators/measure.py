@@ -99,20 +99,14 @@ def key_presence(child: DataFrame, parent: DataFrame, key: str, parent_key: str)
     )
 
 
-def _is_orphan() -> Column:
-    return F.col("key").isNotNull() & ~F.col("known")
-
-
-def orphan_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
-    """Child keys the parent lacks, with the number of child rows ``n``."""
-    present = key_presence(child, parent, key, parent_key)
-    return present.filter(_is_orphan()).select(F.col("key").alias(key), "n")
+def is_orphan(key: Column) -> Column:
+    return key.isNotNull() & ~F.col("known")
 
 
 def _foreign_key(child: DataFrame, parent: DataFrame, seq: int, check: Check) -> DataFrame:
     present = key_presence(child, parent, check.rule.key, check.rule.parent_key)
     n = F.col("n")
-    counted = present.agg(_sum(F.when(_is_orphan(), n)).alias(AFFECTED), _sum(n).alias(TOTAL))
+    counted = present.agg(_sum(F.when(is_orphan(F.col("key")), n)).alias(AFFECTED), _sum(n).alias(TOTAL))
     return _one_metric(counted, seq, check)
 
 

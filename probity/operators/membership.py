@@ -1,71 +1,131 @@
 """Rows whose key belongs to a counted set of keys, safe against hot keys.
 
-A semi join sends all rows of one key to one task. Here a key holding more than
-1 / SLICES of the table is cut into slices of about that size first. At most
-SLICES keys can be that large, whatever the table, so the list of hot keys is
-safe to broadcast. Keys below the line are joined as they are.
+The key set is worked out first, in one narrow aggregate, and written to the
+shared scratch folder together with its measured size. What follows depends on
+that size:
+
+* a small set is broadcast, and the rows are filtered where they are read;
+* otherwise rows and keys are joined by a shuffle. A key holding more than
+  1 / SLICES of the table would overload one task, so it is cut into slices of
+  about that size. At most SLICES keys can be that large, whatever the table,
+  which bounds the list of hot keys each row is looked up in.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from probity.operators.measure import key_columns, key_counts, orphan_keys
+from probity.operators.measure import is_orphan, key_columns, key_counts, key_presence
+from probity.session import scratch_dir
 
 SLICES = 2000
-MIN_HOT_ROWS = 100_000  # below this a key is never worth slicing
 
 
-def _all_equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+@dataclass(frozen=True)
+class Limits:
+    """Sizes up to which a key set is broadcast, and from which a key is hot."""
+
+    broadcast_keys: int = 100_000
+    broadcast_bytes: int = 16 << 20
+    min_hot_rows: int = 100_000
+
+
+DEFAULT_LIMITS = Limits()
+
+
+@dataclass(frozen=True)
+class KeySet:
+    """A written set of keys with ``n`` rows each, and what was measured on the way."""
+
+    frame: DataFrame
+    keys: tuple[str, ...]
+    table_rows: int
+    size: int
+    key_bytes: int
+    largest: int
+
+    def fits_broadcast(self, limits: Limits) -> bool:
+        return self.size <= limits.broadcast_keys and self.key_bytes <= limits.broadcast_bytes
+
+    def hot_above(self, limits: Limits) -> int:
+        """A key with more rows than this is hot."""
+        return max(self.table_rows // SLICES, limits.min_hot_rows)
+
+
+def settle(counted: DataFrame, keys: Sequence[str], wanted: Column) -> KeySet:
+    """Write the keys meeting ``wanted``. ``counted`` has every key of the table and ``n``.
+
+    The writing job itself takes the measurements. It runs when this is called.
+    """
+    spark = counted.sparkSession
+    path = f"{scratch_dir(spark)}/keys"
+    texts = [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys]
+    width = reduce(lambda a, b: a + b, texts)
+    seen = Observation()
+    measured = counted.observe(
+        seen,
+        F.coalesce(F.sum("n"), F.lit(0)).alias("table_rows"),
+        F.count_if(wanted).alias("size"),
+        F.coalesce(F.sum(F.when(wanted, width)), F.lit(0)).alias("key_bytes"),
+        F.coalesce(F.max(F.when(wanted, F.col("n"))), F.lit(0)).alias("largest"),
+    )
+    measured.filter(wanted).select(*keys, "n").write.parquet(path)
+    return KeySet(spark.read.parquet(path), tuple(keys), **seen.get)
+
+
+def _equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(and_, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
 def rows_with_keys(
     df: DataFrame,
-    keys: Sequence[str],
-    counted: DataFrame,
+    key_set: KeySet,
     spread_by: Sequence[str],
     digest: bool = False,
-    min_hot_rows: int = MIN_HOT_ROWS,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """The rows of ``df`` whose ``keys`` are in ``counted`` (key columns and ``n``).
+    """The rows of ``df`` whose key is in the set.
 
     ``spread_by`` names columns that tell the rows of one key apart.
     """
-    names = [f"__k{i}" for i in range(len(keys))]
-    rows = df.withColumns(
-        {name: column for name, column in zip(names, key_columns(df, keys, digest), strict=True)}
-    )
-    wanted = counted.select(*[F.col(k).alias(f"w{name}") for k, name in zip(keys, names)], "n")
-    pairs = [(name, f"w{name}") for name in names]
-
-    size = df.agg(F.count(F.lit(1))).scalar()
-    slices = F.ceil(F.col("n") * SLICES / size)
-    is_hot = (F.col("n") * SLICES > size) & (F.col("n") > min_hot_rows)
-    wanted = wanted.withColumn("slices", F.when(is_hot, slices).otherwise(1))
-
-    hot = wanted.filter(F.col("slices") > 1).select(
-        *[F.col(w).alias(f"h{w}") for _, w in pairs], F.col("slices").alias("hot_slices")
-    )
-    sliced = rows.join(
-        F.broadcast(hot), _all_equal(rows, hot, [(a, f"h{w}") for a, w in pairs]), "left"
-    ).withColumn(
-        "__slice",
-        F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("hot_slices")), F.lit(0)).cast("long"),
+    keys = key_set.keys
+    own = [f"__own{i}" for i in range(len(keys))]
+    want = [f"__want{i}" for i in range(len(keys))]
+    columns = key_columns(df, keys, digest)
+    rows = df.withColumns(dict(zip(own, columns, strict=True)))
+    wanted = key_set.frame.withColumnsRenamed(dict(zip(keys, want, strict=True)))
+    pairs = list(zip(own, want, strict=True))
+
+    if key_set.fits_broadcast(limits):
+        small = F.broadcast(wanted.select(*want))
+        return rows.join(small, _equal(rows, small, pairs), "left_semi").select(*df.columns)
+
+    hot_above = key_set.hot_above(limits)
+    if key_set.largest <= hot_above:
+        return rows.join(wanted, _equal(rows, wanted, pairs), "left_semi").select(*df.columns)
+
+    slices = F.ceil(F.col("n") / F.lit(hot_above))
+    hot_keys = [f"__hot{i}" for i in range(len(keys))]
+    hot = (
+        key_set.frame.filter(F.col("n") > hot_above)
+        .withColumnsRenamed(dict(zip(keys, hot_keys, strict=True)))
+        .select(*hot_keys, slices.alias("__slices"))
     )
-    wanted = wanted.select(
-        *[w for _, w in pairs],
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices").cast("long") - 1)).alias(
-            "wanted_slice"
-        ),
+    looked_up = rows.join(
+        F.broadcast(hot), _equal(rows, hot, list(zip(own, hot_keys, strict=True))), "left"
     )
-    condition = _all_equal(sliced, wanted, pairs) & (sliced["__slice"] == wanted["wanted_slice"])
-    return sliced.join(wanted, condition, "left_semi").select(*df.columns)
+    slice_of_row = F.pmod(F.xxhash64(*spread_by), F.coalesce("__slices", F.lit(1).cast("long")))
+    sliced = looked_up.withColumn("__slice", slice_of_row)
+    every_slice = F.sequence(F.lit(0).cast("long"), slices - 1)
+    by_slice = wanted.select(*want, F.explode(every_slice).alias("__want_slice"))
+    same = _equal(sliced, by_slice, pairs) & (sliced["__slice"] == by_slice["__want_slice"])
+    return sliced.join(by_slice, same, "left_semi").select(*df.columns)
 
 
 def duplicate_rows(
@@ -73,11 +133,11 @@ def duplicate_rows(
     keys: Sequence[str],
     spread_by: Sequence[str],
     digest: bool = False,
-    min_hot_rows: int = MIN_HOT_ROWS,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Every row that shares its key with another one; NULL keys equal each other."""
-    repeated = key_counts(df, keys, digest).filter(F.col("n") > 1)
-    return rows_with_keys(df, keys, repeated, spread_by, digest, min_hot_rows)
+    repeated = settle(key_counts(df, keys, digest), keys, F.col("n") > 1)
+    return rows_with_keys(df, repeated, spread_by, digest, limits)
 
 
 def orphan_rows(
@@ -86,8 +146,9 @@ def orphan_rows(
     key: str,
     parent_key: str,
     spread_by: Sequence[str],
-    min_hot_rows: int = MIN_HOT_ROWS,
+    limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Rows of ``child`` with a key the parent lacks; a NULL key is no orphan."""
-    lost = orphan_keys(child, parent, key, parent_key)
-    return rows_with_keys(child, [key], lost, spread_by, min_hot_rows=min_hot_rows)
+    present = key_presence(child, parent, key, parent_key).withColumnRenamed("key", key)
+    lost = settle(present, [key], is_orphan(F.col(key)))
+    return rows_with_keys(child, lost, spread_by, limits=limits)
