@@ -1,4 +1,9 @@
-"""Column functions: exact rounding, bands, text and ids."""
+"""Expressions as SQL text.
+
+The library writes its expressions as text and hands them to ``selectExpr``,
+``filter`` and ``expr``. Spark parses a text in one step, while every operation
+on a Column object is a call of its own between Python and the JVM.
+"""
 
 from probity.functions.arithmetic import (
     basis_points,
@@ -9,24 +14,37 @@ from probity.functions.arithmetic import (
     retention_pct,
 )
 from probity.functions.bands import SEVERITIES, score_band, severity_rank, verdict
-from probity.functions.missing import fold_nan, is_missing, is_present
-from probity.functions.text import surrogate_id, surrogate_id_column, thousands
+from probity.functions.missing import fold_nan, present
+from probity.functions.text import (
+    date_literal,
+    listed,
+    moment_literal,
+    quoted,
+    surrogate_id,
+    surrogate_id_sql,
+    thousands,
+    ticked,
+)
 
 __all__ = [
     "SEVERITIES",
     "basis_points",
+    "date_literal",
     "fold_nan",
     "half_even_div",
-    "is_missing",
-    "is_present",
+    "listed",
     "mean_basis_points",
+    "moment_literal",
     "pass_rate",
     "percent",
+    "present",
+    "quoted",
     "retention_pct",
     "score_band",
     "severity_rank",
     "surrogate_id",
-    "surrogate_id_column",
+    "surrogate_id_sql",
     "thousands",
+    "ticked",
     "verdict",
 ]

@@ -7,44 +7,42 @@ integers and turned into a double only once, at the end.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 FULL = 10_000  # 100.00 % in basis points
 
 
-def half_even_div(num: Column, den: Column) -> Column:
+def half_even_div(num: str, den: str) -> str:
     """``num / den`` rounded to a whole number, ties to even; NULL if ``den`` is 0.
 
     Both operands must be non-negative whole numbers.
     """
-    den = F.nullif(den, F.lit(0))
-    quotient = F.call_function("div", num, den)
-    twice_rest = (num % den) * 2
-    round_up = (twice_rest > den) | ((twice_rest == den) & (quotient % 2 == 1))
-    return quotient + F.when(round_up, 1).otherwise(0)
+    den = f"nullif({den}, 0)"
+    quotient = f"(({num}) div {den})"
+    twice_rest = f"(({num}) % {den} * 2)"
+    return (
+        f"({quotient} + CASE WHEN {twice_rest} > {den} "
+        f"OR ({twice_rest} = {den} AND {quotient} % 2 = 1) THEN 1 ELSE 0 END)"
+    )
 
 
-def basis_points(affected: Column, total: Column) -> Column:
+def basis_points(affected: str, total: str) -> str:
     """Share of rows that pass, in basis points; an empty table passes in full."""
-    return F.coalesce(half_even_div((total - affected) * FULL, total), F.lit(FULL).cast("long"))
+    return f"coalesce({half_even_div(f'({total} - {affected}) * {FULL}', total)}, {FULL}L)"
 
 
-def mean_basis_points(total: Column, count: Column) -> Column:
+def mean_basis_points(total: str, count: str) -> str:
     """Mean of ``count`` basis-point values adding up to ``total``; 100 % if none."""
-    return F.coalesce(half_even_div(total, count), F.lit(FULL).cast("long"))
+    return f"coalesce({half_even_div(total, count)}, {FULL}L)"
 
 
-def percent(points: Column) -> Column:
-    return points / F.lit(100.0)
+def percent(points: str) -> str:
+    return f"({points} / 100.0D)"
 
 
-def pass_rate(affected: Column, total: Column) -> Column:
+def pass_rate(affected: str, total: str) -> str:
     """Pass rate in percent with two decimals."""
     return percent(basis_points(affected, total))
 
 
-def retention_pct(after: Column, before: Column) -> Column:
+def retention_pct(after: str, before: str) -> str:
     """Rows kept in percent with one decimal; 100.0 when there was nothing to keep."""
-    tenths = F.coalesce(half_even_div(after * 1000, before), F.lit(1000).cast("long"))
-    return tenths / F.lit(10.0)
+    return f"(coalesce({half_even_div(f'{after} * 1000', before)}, 1000L) / 10.0D)"

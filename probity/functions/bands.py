@@ -2,27 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Fixed values.
 SEVERITIES = ("HIGH", "MEDIUM", "LOW")
 ACCEPTABLE = 95
 MONITORED = 80
 
 
-def severity_rank(severity: Column) -> Column:
+def severity_rank(severity: str) -> str:
     """HIGH 0, MEDIUM 1, LOW 2."""
-    return F.when(severity == "HIGH", 0).when(severity == "MEDIUM", 1).when(severity == "LOW", 2)
+    cases = " ".join(f"WHEN '{level}' THEN {rank}" for rank, level in enumerate(SEVERITIES))
+    return f"CASE {severity} {cases} END"
 
 
-def _three_way(score: Column, high: str, middle: str, low: str) -> Column:
-    return F.when(score >= ACCEPTABLE, high).when(score >= MONITORED, middle).otherwise(low)
+def _three_way(score: str, high: str, middle: str, low: str) -> str:
+    return (
+        f"CASE WHEN {score} >= {ACCEPTABLE} THEN '{high}' "
+        f"WHEN {score} >= {MONITORED} THEN '{middle}' ELSE '{low}' END"
+    )
 
 
-def score_band(score: Column) -> Column:
+def score_band(score: str) -> str:
     return _three_way(score, "PASS", "MONITOR", "FAIL")
 
 
-def verdict(score: Column) -> Column:
+def verdict(score: str) -> str:
     return _three_way(score, "GOOD", "MODERATE", "POOR")

@@ -6,26 +6,32 @@ and as non-negative. Only float and double columns can hold one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from probity.functions.text import ticked
 
-def _is_float(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+FLOATS = (T.DoubleType, T.FloatType)
 
 
-def fold_nan(df: DataFrame) -> DataFrame:
-    """Turn NaN into NULL in every float or double column."""
-    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+def folded(df: DataFrame, name: str) -> str:
+    """The column with NaN turned into NULL."""
+    column = ticked(name)
+    if isinstance(df.schema[name].dataType, FLOATS):
+        return f"CASE WHEN NOT isnan({column}) THEN {column} END"
+    return column
 
 
-def is_missing(df: DataFrame, name: str) -> Column:
-    column = F.col(name)
-    return column.isNull() | F.isnan(column) if _is_float(df, name) else column.isNull()
+def present(df: DataFrame, name: str) -> str:
+    """True where the column has a value."""
+    column = ticked(name)
+    if isinstance(df.schema[name].dataType, FLOATS):
+        return f"({column} IS NOT NULL AND NOT isnan({column}))"
+    return f"({column} IS NOT NULL)"
 
 
-def is_present(df: DataFrame, name: str) -> Column:
-    column = F.col(name)
-    return column.isNotNull() & ~F.isnan(column) if _is_float(df, name) else column.isNotNull()
+def fold_nan(df: DataFrame) -> DataFrame:
+    """Turn NaN into NULL in every float or double column."""
+    if not any(isinstance(f.dataType, FLOATS) for f in df.schema.fields):
+        return df
+    return df.selectExpr(*[f"{folded(df, c)} AS {ticked(c)}" for c in df.columns])

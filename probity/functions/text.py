@@ -1,26 +1,47 @@
-"""Surrogate ids and number formatting."""
+"""Literals and names in SQL text, surrogate ids, number formatting."""
 
 from __future__ import annotations
 
 import hashlib
-from datetime import datetime
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Iterable
+from datetime import date, datetime
 
 ID_LENGTH = 16
 
 
+def quoted(text: str) -> str:
+    """A string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def listed(texts: Iterable[str]) -> str:
+    return ", ".join(quoted(t) for t in texts)
+
+
+def ticked(name: str) -> str:
+    """A column name."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def date_literal(day: date) -> str:
+    return f"DATE '{day:%Y-%m-%d}'"
+
+
+def moment_literal(moment: datetime) -> str:
+    return f"TIMESTAMP_NTZ '{moment.isoformat(sep=' ')}'"
+
+
 def surrogate_id(name: str, run_ts: datetime) -> str:
     """Id of one catalogue row, for a caller that needs it before the row is written."""
     return hashlib.md5(f"{name}{run_ts.isoformat()}".encode()).hexdigest()[:ID_LENGTH]
 
 
-def surrogate_id_column(name: Column, run_ts: datetime) -> Column:
-    """The same id as a column."""
-    return F.substring(F.md5(F.concat(name, F.lit(run_ts.isoformat()))), 1, ID_LENGTH)
+def surrogate_id_sql(name: str, run_ts: datetime) -> str:
+    """The same id as an expression over a name expression."""
+    return f"substr(md5(concat({name}, {quoted(run_ts.isoformat())})), 1, {ID_LENGTH})"
 
 
-def thousands(number: Column) -> Column:
+def thousands(number: str) -> str:
     """2000 as ``2,000``."""
-    return F.format_number(number, 0)
+    return f"format_number({number}, 0)"

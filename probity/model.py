@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed values.
@@ -172,21 +171,18 @@ class Severity:
     above_pct: int | None = None
     otherwise: str | None = None
 
-    def grade(self, affected: Column, total: Column) -> Column:
-        if self.above_pct is None:
-            return F.lit(self.level)
-        over = affected * 100 > total * self.above_pct
-        return F.when(over, self.level).otherwise(self.otherwise)
-
 
 @dataclass(frozen=True, eq=False)
 class RowRule:
-    """A rule one row can break on its own. ``violated`` is NULL or false for a good row."""
+    """A rule one row can break on its own.
+
+    ``violated`` is SQL text or a Column, and NULL or false for a good row.
+    """
 
     dimension: str
     field: str
     description: str
-    violated: Column
+    violated: str | Column
     needs: tuple[str, ...]
     severity: Severity
 

@@ -2,7 +2,7 @@
 
 Rows are chosen by an expression over their key, so the same rows are hit
 whatever the partitioning. Defects are applied in order; a later one
-overwrites an earlier one on the same column.
+overwrites an earlier one on the same column. All expressions are SQL text.
 """
 
 from __future__ import annotations
@@ -11,65 +11,70 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from probity.functions import date_literal, listed, quoted, ticked
 
-def every(key: Column, modulus: int, rest: int) -> Column:
+
+def every(key: str, modulus: int, rest: int) -> str:
     """Choose the rows with ``key mod modulus = rest``."""
-    return F.pmod(key, F.lit(modulus)) == rest
+    return f"pmod({key}, {modulus}) = {rest}"
 
 
-def share(key: Column, percent: float, seed: int) -> Column:
+def share(key: str, percent: float, seed: int) -> str:
     """Choose about ``percent`` % of the rows by a seeded hash of their key."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(10_000)) < int(percent * 100)
+    return f"pmod(xxhash64({key}, {seed}), 10000) < {int(percent * 100)}"
 
 
-@dataclass(frozen=True, eq=False)
+@dataclass(frozen=True)
 class Defect:
+    """``value`` replaces the column where ``where`` is true."""
+
     column: str
-    where: Column
-    value: Column
+    where: str
+    value: str
 
 
-def null_out(column: str, where: Column) -> Defect:
-    return Defect(column, where, F.lit(None))
+def null_out(column: str, where: str) -> Defect:
+    return Defect(column, where, "NULL")
 
 
-def orphan(column: str, where: Column, suffix: str = "X") -> Defect:
+def orphan(column: str, where: str, suffix: str = "X") -> Defect:
     """A key the parent table cannot have: the old one and a letter."""
-    return Defect(column, where, F.concat(F.col(column), F.lit(suffix)))
+    return Defect(column, where, f"concat({ticked(column)}, {quoted(suffix)})")
 
 
-def negate(column: str, where: Column) -> Defect:
-    return Defect(column, where, -F.col(column))
+def negate(column: str, where: str) -> Defect:
+    return Defect(column, where, f"-{ticked(column)}")
 
 
-def pick(column: str, where: Column, values: Sequence[str], index: Column) -> Defect:
+def pick(column: str, where: str, values: Sequence[str], index: str) -> Defect:
     """One of ``values``, chosen by a whole number."""
-    options = F.array(*[F.lit(v) for v in values])
-    return Defect(column, where, F.get(options, F.pmod(index, F.lit(len(values))).cast("int")))
+    value = f"get(array({listed(values)}), CAST(pmod({index}, {len(values)}) AS INT))"
+    return Defect(column, where, value)
 
 
-def fixed(column: str, where: Column, value: str | date) -> Defect:
-    return Defect(column, where, F.lit(value))
+def fixed(column: str, where: str, value: str | date) -> Defect:
+    literal = date_literal(value) if isinstance(value, date) else quoted(value)
+    return Defect(column, where, literal)
 
 
-def copied_key(column: str, where: Column, other: Column) -> Defect:
+def copied_key(column: str, where: str, other: str) -> Defect:
     """The key of another row in place of the own one."""
     return Defect(column, where, other)
 
 
 def inject(df: DataFrame, defects: Sequence[Defect]) -> DataFrame:
     for defect in defects:
-        hit = F.when(defect.where, defect.value).otherwise(F.col(defect.column))
-        df = df.withColumn(defect.column, hit)
+        hit = f"CASE WHEN {defect.where} THEN {defect.value} ELSE {ticked(defect.column)} END"
+        df = df.withColumn(defect.column, F.expr(hit))
     return df
 
 
 def sample_at_most(df: DataFrame, key: str, n: int) -> DataFrame:
     """Exactly ``n`` rows, or all if there are fewer, in the order of a hash of the key."""
-    return df.orderBy(F.md5(F.col(key).cast("string")), F.col(key)).limit(n)
+    return df.orderBy(F.expr(f"md5(CAST({ticked(key)} AS STRING))"), ticked(key)).limit(n)
 
 
 # Fixed values.
@@ -79,26 +84,27 @@ AUDIT_YEAR_START = date(2024, 1, 1)
 AUDIT_YEAR_DAYS = 366
 
 
-def hash_number(text: Column, start: int = 1) -> Column:
+def hash_number(text: str, start: int = 1) -> str:
     """A number below 65536 out of four digits of the MD5 of a text."""
-    return F.conv(F.substring(F.md5(text), start, 4), 16, 10).cast("long")
+    return f"CAST(conv(substr(md5({text}), {start}, 4), 16, 10) AS BIGINT)"
 
 
 def audit_events(df: DataFrame, key: str) -> DataFrame:
     """One to three audit events per row, all their values derived from its key."""
-    text = F.col(key).cast("string")
-    copies = F.pmod(hash_number(text), F.lit(3)) + 1
-    numbered = df.select(
-        F.col(key), F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("copy")
+    text = f"CAST({ticked(key)} AS STRING)"
+    numbered = df.selectExpr(
+        ticked(key), f"explode(sequence(1L, 1L + {hash_number(text)} % 3)) AS copy"
+    )
+    seeded = numbered.selectExpr(
+        ticked(key), f"concat({text}, '#', CAST(copy AS STRING)) AS seed"
     )
-    seed = F.concat(F.col(key).cast("string"), F.lit("#"), F.col("copy").cast("string"))
-    event = F.pmod(hash_number(seed, 1), F.lit(len(AUDIT_EVENTS)))
-    user = F.pmod(hash_number(seed, 5), F.lit(len(AUDIT_USERS))) + AUDIT_USERS.start
-    day = F.pmod(hash_number(seed, 9), F.lit(AUDIT_YEAR_DAYS)).cast("int")
-    return numbered.select(
-        F.substring(F.md5(seed), 1, 12).alias("event_id"),
-        F.col(key),
-        F.get(F.array(*[F.lit(e) for e in AUDIT_EVENTS]), event.cast("int")).alias("event_type"),
-        F.concat(F.lit("USR-"), F.lpad(user.cast("string"), 3, "0")).alias("user_id"),
-        F.date_add(F.lit(AUDIT_YEAR_START), day).cast("timestamp_ntz").alias("timestamp"),
+    event = f"CAST({hash_number('seed', 1)} % {len(AUDIT_EVENTS)} AS INT)"
+    user = f"{AUDIT_USERS.start} + {hash_number('seed', 5)} % {len(AUDIT_USERS)}"
+    day = f"CAST({hash_number('seed', 9)} % {AUDIT_YEAR_DAYS} AS INT)"
+    return seeded.selectExpr(
+        "substr(md5(seed), 1, 12) AS event_id",
+        ticked(key),
+        f"get(array({listed(AUDIT_EVENTS)}), {event}) AS event_type",
+        f"concat('USR-', lpad(CAST({user} AS STRING), 3, '0')) AS user_id",
+        f"CAST(date_add({date_literal(AUDIT_YEAR_START)}, {day}) AS TIMESTAMP_NTZ) AS timestamp",
     )

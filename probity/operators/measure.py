@@ -14,65 +14,66 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from probity.functions import fold_nan, is_present, pass_rate
+from probity.functions import fold_nan, pass_rate, quoted, ticked
+from probity.functions.missing import folded
 from probity.model import Check, ForeignKey, RowRule, UniqueKey
 
-AFFECTED = "affected_rows"
-TOTAL = "total_rows"
-
-
-def metric_row(seq: int, check: Check, affected: Column, total: Column) -> Column:
-    """One metric as a struct: the issue columns plus position and dataset."""
-    rule = check.rule
-    return F.struct(
-        F.lit(seq).cast("long").alias("check_seq"),
-        F.lit(check.dataset).alias("dataset"),
-        F.lit(rule.dimension).alias("dimension"),
-        F.lit(rule.field).alias("field"),
-        F.lit(rule.description).alias("description"),
-        affected.alias(AFFECTED),
-        total.alias(TOTAL),
-        pass_rate(affected, total).alias("pass_rate"),
-        F.when(affected > 0, rule.severity.grade(affected, total)).alias("severity"),
-    )
+LEVEL = """CASE WHEN affected_rows > 0 THEN
+  CASE WHEN above_pct IS NULL OR affected_rows * 100 > total_rows * above_pct
+  THEN level ELSE otherwise END END AS severity"""
 
 
-def _row_rules(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
-    counts = [F.count_if(check.rule.violated).alias(f"c{seq}") for seq, check in checks]
-    counted = fold_nan(df).agg(F.count(F.lit(1)).alias(TOTAL), *counts)
-    rows = [metric_row(seq, check, F.col(f"c{seq}"), F.col(TOTAL)) for seq, check in checks]
-    return counted.select(F.inline(F.array(*rows)))
+def _bound(seq: int, check: Check, affected: str) -> str:
+    """A check as a struct of its fixed texts and its two counts."""
+    rule, severity = check.rule, check.rule.severity
+    above = "NULL" if severity.above_pct is None else severity.above_pct
+    otherwise = "NULL" if severity.otherwise is None else quoted(severity.otherwise)
+    return f"""named_struct(
+      'check_seq', {seq}L, 'dataset', {quoted(check.dataset)},
+      'dimension', {quoted(rule.dimension)}, 'field', {quoted(rule.field)},
+      'description', {quoted(rule.description)},
+      'affected_rows', {affected}, 'total_rows', total_rows,
+      'above_pct', CAST({above} AS INT), 'level', {quoted(severity.level)},
+      'otherwise', CAST({otherwise} AS STRING))"""
 
 
-def _one_metric(counted: DataFrame, seq: int, check: Check) -> DataFrame:
-    row = metric_row(seq, check, F.col(AFFECTED), F.col(TOTAL))
-    return counted.select(F.inline(F.array(row)))
+def _count_if(name: str, violated: str | Column) -> Column:
+    if isinstance(violated, Column):
+        return F.count_if(violated).alias(name)
+    return F.expr(f"count_if({violated}) AS {name}")
 
 
-def _sum(value: Column) -> Column:
-    return F.coalesce(F.sum(value), F.lit(0).cast("long"))
+def _row_rules(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    counts = [_count_if(f"c{seq}", check.rule.violated) for seq, check in checks]
+    counted = fold_nan(df).agg(F.expr("count(1) AS total_rows"), *counts)
+    rows = ", ".join(_bound(seq, check, f"c{seq}") for seq, check in checks)
+    return counted.selectExpr(f"inline(array({rows}))")
 
 
-def key_columns(df: DataFrame, keys: Sequence[str], digest: bool = False) -> list[Column]:
+def _one_metric(per_key: DataFrame, failing: str, seq: int, check: Check) -> DataFrame:
+    counted = per_key.selectExpr(
+        f"coalesce(sum(CASE WHEN {failing} THEN n END), 0L) AS affected",
+        "coalesce(sum(n), 0L) AS total_rows",
+    )
+    return counted.selectExpr(f"inline(array({_bound(seq, check, 'affected')}))")
+
+
+def key_columns(df: DataFrame, keys: Sequence[str], digest: bool = False) -> list[str]:
     """The key columns as they are grouped: NaN folded, long texts digested."""
-    folded = [F.when(is_present(df, k), F.col(k)) for k in keys]
-    if digest:
-        folded = [F.unhex(F.sha2(c.cast("string"), 256)) for c in folded]
-    return [c.alias(k) for c, k in zip(folded, keys, strict=True)]
+    columns = [folded(df, k) for k in keys]
+    return [f"unhex(sha2(CAST({c} AS STRING), 256))" for c in columns] if digest else columns
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], digest: bool = False) -> DataFrame:
     """Rows per key, as the key columns and ``n``."""
-    return (
-        df.select(*key_columns(df, keys, digest)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    )
+    named = zip(key_columns(df, keys, digest), keys, strict=True)
+    narrow = df.selectExpr(*[f"{column} AS {ticked(k)}" for column, k in named])
+    return narrow.groupBy(*[ticked(k) for k in keys]).agg(F.expr("count(1) AS n"))
 
 
 def _unique_key(df: DataFrame, seq: int, check: Check) -> DataFrame:
     per_key = key_counts(df, check.rule.keys, check.rule.digest)
-    n = F.col("n")
-    counted = per_key.agg(_sum(F.when(n > 1, n)).alias(AFFECTED), _sum(n).alias(TOTAL))
-    return _one_metric(counted, seq, check)
+    return _one_metric(per_key, "n > 1", seq, check)
 
 
 def key_presence(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
@@ -82,32 +83,26 @@ def key_presence(child: DataFrame, parent: DataFrame, key: str, parent_key: str)
     table or broadcast, and repeated keys on either side collapse before the
     shuffle. The NULL key is kept, so that ``n`` adds up to the whole child.
     """
-    children = child.select(
-        F.col(key).cast("string").alias("key"),
-        F.lit(1).cast("long").alias("n"),
-        F.lit(False).alias("known"),
+    children = child.selectExpr(
+        f"CAST({ticked(key)} AS STRING) AS key", "1L AS n", "false AS known"
     )
-    parents = parent.filter(F.col(parent_key).isNotNull()).select(
-        F.col(parent_key).cast("string").alias("key"),
-        F.lit(0).cast("long").alias("n"),
-        F.lit(True).alias("known"),
+    parents = parent.filter(f"{ticked(parent_key)} IS NOT NULL").selectExpr(
+        f"CAST({ticked(parent_key)} AS STRING) AS key", "0L AS n", "true AS known"
     )
     return (
-        children.unionByName(parents)
+        children.union(parents)
         .groupBy("key")
-        .agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+        .agg(F.expr("sum(n) AS n"), F.expr("max(known) AS known"))
     )
 
 
-def is_orphan(key: Column) -> Column:
-    return key.isNotNull() & ~F.col("known")
+def is_orphan(key: str) -> str:
+    return f"{ticked(key)} IS NOT NULL AND NOT known"
 
 
 def _foreign_key(child: DataFrame, parent: DataFrame, seq: int, check: Check) -> DataFrame:
     present = key_presence(child, parent, check.rule.key, check.rule.parent_key)
-    n = F.col("n")
-    counted = present.agg(_sum(F.when(is_orphan(F.col("key")), n)).alias(AFFECTED), _sum(n).alias(TOTAL))
-    return _one_metric(counted, seq, check)
+    return _one_metric(present, is_orphan("key"), seq, check)
 
 
 def measure(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -132,9 +127,24 @@ def measure(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFra
     fused = [_row_rules(tables[name], bound) for name, bound in row_rules.items()]
     if not fused and not parts:
         raise ValueError("no check applies to the given tables")
-    return reduce(DataFrame.unionByName, fused + parts)
+    return graded(reduce(DataFrame.union, fused + parts))
+
+
+def graded(counted: DataFrame) -> DataFrame:
+    """Metrics out of counted checks: pass rate, and severity where rows fail."""
+    return counted.selectExpr(
+        "check_seq",
+        "dataset",
+        "dimension",
+        "field",
+        "description",
+        "affected_rows",
+        "total_rows",
+        f"{pass_rate('affected_rows', 'total_rows')} AS pass_rate",
+        LEVEL,
+    )
 
 
 def issues(metrics: DataFrame) -> DataFrame:
     """The metrics with at least one failing row."""
-    return metrics.filter(F.col(AFFECTED) > 0)
+    return metrics.filter("affected_rows > 0")

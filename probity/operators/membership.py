@@ -15,12 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from probity.functions import ticked
 from probity.operators.measure import is_orphan, key_columns, key_counts, key_presence
 from probity.session import scratch_dir
 
@@ -58,29 +57,30 @@ class KeySet:
         return max(self.table_rows // SLICES, limits.min_hot_rows)
 
 
-def settle(counted: DataFrame, keys: Sequence[str], wanted: Column) -> KeySet:
+def settle(counted: DataFrame, keys: Sequence[str], wanted: str) -> KeySet:
     """Write the keys meeting ``wanted``. ``counted`` has every key of the table and ``n``.
 
     The writing job itself takes the measurements. It runs when this is called.
     """
     spark = counted.sparkSession
     path = f"{scratch_dir(spark)}/keys"
-    texts = [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys]
-    width = reduce(lambda a, b: a + b, texts)
+    width = " + ".join(
+        f"coalesce(octet_length(CAST({ticked(k)} AS STRING)), 0L)" for k in keys
+    )
     seen = Observation()
     measured = counted.observe(
         seen,
-        F.coalesce(F.sum("n"), F.lit(0)).alias("table_rows"),
-        F.count_if(wanted).alias("size"),
-        F.coalesce(F.sum(F.when(wanted, width)), F.lit(0)).alias("key_bytes"),
-        F.coalesce(F.max(F.when(wanted, F.col("n"))), F.lit(0)).alias("largest"),
+        F.expr("coalesce(sum(n), 0L) AS table_rows"),
+        F.expr(f"count_if({wanted}) AS size"),
+        F.expr(f"coalesce(sum(CASE WHEN {wanted} THEN {width} END), 0L) AS key_bytes"),
+        F.expr(f"coalesce(max(CASE WHEN {wanted} THEN n END), 0L) AS largest"),
     )
-    measured.filter(wanted).select(*keys, "n").write.parquet(path)
+    measured.filter(wanted).select(*[ticked(k) for k in keys], "n").write.parquet(path)
     return KeySet(spark.read.parquet(path), tuple(keys), **seen.get)
 
 
-def _equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    return reduce(and_, [left[a].eqNullSafe(right[b]) for a, b in pairs])
+def _same(pairs: Sequence[tuple[str, str]]) -> str:
+    return " AND ".join(f"{a} <=> {b}" for a, b in pairs)
 
 
 def rows_with_keys(
@@ -95,37 +95,43 @@ def rows_with_keys(
     ``spread_by`` names columns that tell the rows of one key apart.
     """
     keys = key_set.keys
-    own = [f"__own{i}" for i in range(len(keys))]
-    want = [f"__want{i}" for i in range(len(keys))]
+    own, want, hot = (
+        [f"__{kind}{i}" for i in range(len(keys))] for kind in ("own", "want", "hot")
+    )
+
+    def renamed(names: Sequence[str]) -> list[str]:
+        return [f"{ticked(k)} AS {name}" for k, name in zip(keys, names, strict=True)]
+
     columns = key_columns(df, keys, digest)
-    rows = df.withColumns(dict(zip(own, columns, strict=True)))
-    wanted = key_set.frame.withColumnsRenamed(dict(zip(keys, want, strict=True)))
-    pairs = list(zip(own, want, strict=True))
+    rows = df.selectExpr("*", *[f"{c} AS {name}" for c, name in zip(columns, own, strict=True)])
+    output = [ticked(c) for c in df.columns]
+    same_key = _same(list(zip(own, want, strict=True)))
 
     if key_set.fits_broadcast(limits):
-        small = F.broadcast(wanted.select(*want))
-        return rows.join(small, _equal(rows, small, pairs), "left_semi").select(*df.columns)
+        small = F.broadcast(key_set.frame.selectExpr(*renamed(want)))
+        return rows.join(small, F.expr(same_key), "left_semi").select(*output)
 
     hot_above = key_set.hot_above(limits)
     if key_set.largest <= hot_above:
-        return rows.join(wanted, _equal(rows, wanted, pairs), "left_semi").select(*df.columns)
-
-    slices = F.ceil(F.col("n") / F.lit(hot_above))
-    hot_keys = [f"__hot{i}" for i in range(len(keys))]
-    hot = (
-        key_set.frame.filter(F.col("n") > hot_above)
-        .withColumnsRenamed(dict(zip(keys, hot_keys, strict=True)))
-        .select(*hot_keys, slices.alias("__slices"))
+        wanted = key_set.frame.selectExpr(*renamed(want))
+        return rows.join(wanted, F.expr(same_key), "left_semi").select(*output)
+
+    slices = f"ceil(n / {hot_above})"
+    hot_keys = key_set.frame.filter(f"n > {hot_above}").selectExpr(
+        *renamed(hot), f"{slices} AS __slices"
     )
     looked_up = rows.join(
-        F.broadcast(hot), _equal(rows, hot, list(zip(own, hot_keys, strict=True))), "left"
+        F.broadcast(hot_keys), F.expr(_same(list(zip(own, hot, strict=True)))), "left"
+    )
+    spread = ", ".join(ticked(c) for c in spread_by)
+    sliced = looked_up.selectExpr(
+        "*", f"pmod(xxhash64({spread}), coalesce(__slices, 1L)) AS __slice"
+    )
+    by_slice = key_set.frame.selectExpr(
+        *renamed(want), f"explode(sequence(0L, {slices} - 1L)) AS __want_slice"
     )
-    slice_of_row = F.pmod(F.xxhash64(*spread_by), F.coalesce("__slices", F.lit(1).cast("long")))
-    sliced = looked_up.withColumn("__slice", slice_of_row)
-    every_slice = F.sequence(F.lit(0).cast("long"), slices - 1)
-    by_slice = wanted.select(*want, F.explode(every_slice).alias("__want_slice"))
-    same = _equal(sliced, by_slice, pairs) & (sliced["__slice"] == by_slice["__want_slice"])
-    return sliced.join(by_slice, same, "left_semi").select(*df.columns)
+    same_slice = F.expr(f"{same_key} AND __slice = __want_slice")
+    return sliced.join(by_slice, same_slice, "left_semi").select(*output)
 
 
 def duplicate_rows(
@@ -136,7 +142,7 @@ def duplicate_rows(
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Every row that shares its key with another one; NULL keys equal each other."""
-    repeated = settle(key_counts(df, keys, digest), keys, F.col("n") > 1)
+    repeated = settle(key_counts(df, keys, digest), keys, "n > 1")
     return rows_with_keys(df, repeated, spread_by, digest, limits)
 
 
@@ -150,5 +156,5 @@ def orphan_rows(
 ) -> DataFrame:
     """Rows of ``child`` with a key the parent lacks; a NULL key is no orphan."""
     present = key_presence(child, parent, key, parent_key).withColumnRenamed("key", key)
-    lost = settle(present, [key], is_orphan(F.col(key)))
+    lost = settle(present, [key], is_orphan(key))
     return rows_with_keys(child, lost, spread_by, limits=limits)

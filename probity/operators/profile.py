@@ -5,19 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from probity.functions import fold_nan
+from probity.functions import fold_nan, quoted, ticked
 
 
-def null_counts(df: DataFrame, name: str = "nulls") -> DataFrame:
+def null_counts(df: DataFrame) -> DataFrame:
     """One row per column with its number of NULLs, from one aggregate."""
-    counts = [F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
-    pairs = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias(name)) for c in df.columns
-    ]
-    return fold_nan(df).agg(*counts).select(F.inline(F.array(*pairs)))
+    numbered = list(enumerate(df.columns))
+    counted = fold_nan(df).selectExpr(
+        *[f"count_if({ticked(c)} IS NULL) AS c{i}" for i, c in numbered]
+    )
+    pairs = ", ".join(
+        f"named_struct('column_name', {quoted(c)}, 'nulls', c{i})" for i, c in numbered
+    )
+    return counted.selectExpr(f"inline(array({pairs}))")
 
 
 def missing_before_after(raw: DataFrame, clean: DataFrame) -> DataFrame:
@@ -25,17 +28,17 @@ def missing_before_after(raw: DataFrame, clean: DataFrame) -> DataFrame:
 
     A column only one side has keeps NULL for the other side.
     """
-    columns = ["column_name", "raw_nulls", "clean_nulls"]
-    nothing = F.lit(None).cast("long")
-    before = null_counts(raw, "raw_nulls").withColumn("clean_nulls", nothing)
-    after = null_counts(clean, "clean_nulls").withColumn("raw_nulls", nothing)
-    return (
-        before.select(columns)
-        .unionByName(after.select(columns))
-        .groupBy("column_name")
-        .agg(F.max("raw_nulls").alias("raw_nulls"), F.max("clean_nulls").alias("clean_nulls"))
-        .withColumn("resolved", F.col("raw_nulls") - F.col("clean_nulls"))
+    nothing = "CAST(NULL AS BIGINT)"
+    before = null_counts(raw).selectExpr(
+        "column_name", "nulls AS raw_nulls", f"{nothing} AS clean_nulls"
+    )
+    after = null_counts(clean).selectExpr(
+        "column_name", f"{nothing} AS raw_nulls", "nulls AS clean_nulls"
     )
+    aligned = before.union(after).groupBy("column_name")
+    return aligned.agg(
+        F.expr("max(raw_nulls) AS raw_nulls"), F.expr("max(clean_nulls) AS clean_nulls")
+    ).selectExpr("*", "raw_nulls - clean_nulls AS resolved")
 
 
 def quick_stats(
@@ -47,20 +50,16 @@ def quick_stats(
     """
 
     def stats(label: str, df: DataFrame) -> DataFrame:
-        other: Column = ~F.col(currency).eqNullSafe(home)
-        return (
-            fold_nan(df.select(key, amount, currency))
-            .agg(
-                F.count_if(F.col(key).isNull()).alias("null_keys"),
-                F.count_if(F.col(amount) < 0).alias("negative_amounts"),
-                F.count_if(other).alias("other_currency"),
-            )
-            .select(F.lit(label).alias("dataset"), "*")
+        counted = fold_nan(df.select(ticked(key), ticked(amount), ticked(currency))).selectExpr(
+            f"count_if({ticked(key)} IS NULL) AS null_keys",
+            f"count_if({ticked(amount)} < 0) AS negative_amounts",
+            f"count_if(NOT ({ticked(currency)} <=> {quoted(home)})) AS other_currency",
         )
+        return counted.selectExpr(f"{quoted(label)} AS dataset", "*")
 
-    return reduce(DataFrame.unionByName, [stats(label, df) for label, df in tables.items()])
+    return reduce(DataFrame.union, [stats(label, df) for label, df in tables.items()])
 
 
-def sample_rows(df: DataFrame, order_by: str | Column, n: int = 100) -> DataFrame:
+def sample_rows(df: DataFrame, order_by: str, n: int = 100) -> DataFrame:
     """The first ``n`` rows in the given order."""
     return df.orderBy(order_by).limit(n)

@@ -4,65 +4,57 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from probity.functions import retention_pct
+from probity.functions import retention_pct, ticked
 
 
-def keep_first(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]
-) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The first row of each key in the given order; NULL keys form one group.
 
     ``order_by`` should leave no ties between rows that differ. Catalyst cuts
-    each map task down to one row per key before the shuffle.
+    each map task down to one row per key before the shuffle, so a key that
+    holds a third of the rows arrives as one row per map task.
     """
-    window = Window.partitionBy(*keys).orderBy(*order_by)
-    return (
-        df.withColumn("__position", F.row_number().over(window))
-        .filter(F.col("__position") == 1)
-        .drop("__position")
-    )
+    key, order = (", ".join(ticked(c) for c in names) for names in (keys, order_by))
+    place = f"row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS __place"
+    return df.selectExpr("*", place).filter("__place = 1").drop("__place")
 
 
 def remediate(
-    df: DataFrame,
-    conditions: Sequence[Column],
-    keys: Sequence[str],
-    order_by: Sequence[str | Column],
+    df: DataFrame, conditions: Sequence[str], keys: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:
     """Rows meeting every condition, deduplicated afterwards.
 
     The order matters: a clean copy survives a dirty one that comes before it.
     """
-    kept = reduce(DataFrame.filter, conditions, df)
-    return keep_first(kept, keys, order_by)
+    return keep_first(reduce(DataFrame.filter, conditions, df), keys, order_by)
 
 
 def cleaning_summary(
-    df: DataFrame, conditions: Sequence[Column], keys: Sequence[str]
+    df: DataFrame, conditions: Sequence[str], keys: Sequence[str]
 ) -> DataFrame:
     """Row counts before and after ``remediate`` without carrying it out.
 
     One row per key survives if any of its rows meets the conditions, so a
     count per key is enough; no row has to be sorted or shuffled whole.
     """
-    passing = F.count_if(reduce(and_, conditions))
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), passing.alias("good"))
-    counted = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("rows_before"),
-        F.count_if(F.col("good") > 0).alias("rows_after"),
+    passing = " AND ".join(f"({c})" for c in conditions)
+    per_key = df.groupBy(*[ticked(k) for k in keys]).agg(
+        F.expr("count(1) AS n"), F.expr(f"count_if({passing}) AS good")
+    )
+    counted = per_key.selectExpr(
+        "coalesce(sum(n), 0L) AS rows_before", "count_if(good > 0) AS rows_after"
     )
-    return counted.select(*cleaning_columns(F.col("rows_before"), F.col("rows_after")))
+    return counted.selectExpr(*cleaning_columns("rows_before", "rows_after"))
 
 
-def cleaning_columns(before: Column, after: Column) -> list[Column]:
+def cleaning_columns(before: str, after: str) -> list[str]:
     return [
-        before.alias("rows_before"),
-        after.alias("rows_after"),
-        (before - after).alias("rows_removed"),
-        retention_pct(after, before).alias("retention_pct"),
+        f"{before} AS rows_before",
+        f"{after} AS rows_after",
+        f"{before} - {after} AS rows_removed",
+        f"{retention_pct(after, before)} AS retention_pct",
     ]

@@ -6,11 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from probity.functions import fold_nan, is_present
+from probity.functions import date_literal, fold_nan, moment_literal, present, quoted, ticked
 from probity.model import Check, ForeignKey, RowRule, UniqueKey
 from probity.operators import rules
 from probity.operators.measure import issues, measure
@@ -159,12 +158,10 @@ def run_all_checks(
 
 
 def _issues_of(df: DataFrame, dataset: str, found: Sequence[RowRule | UniqueKey]) -> DataFrame:
-    bound = [Check(dataset, r) for r in found if not isinstance(r, RowRule) or set(r.needs) <= set(df.columns)]
-    if bound:
-        return issues(measure(bound, {dataset: df}))
-    # No rule applies to a dataset of this name or shape: no issues.
-    always = RowRule("Completeness", "", "", F.lit(False), (), rules.LOW)
-    return issues(measure([Check(dataset, always)], {dataset: df}))
+    # A rule no row can break keeps the result a table where no other rule applies.
+    nothing = RowRule("Completeness", "", "", "false", (), rules.LOW)
+    bound = [Check(dataset, rule) for rule in [*found, nothing]]
+    return issues(measure(bound, {dataset: df}))
 
 
 def check_completeness(df: DataFrame, required_fields: Sequence[str]) -> DataFrame:
@@ -196,24 +193,24 @@ def check_referential_integrity(
     return issues(measure(bound, {RETURNS: returns, REGISTER: register}))
 
 
-def _filed_by(df: DataFrame, name: str, as_of: date | datetime) -> Column:
-    column = F.col(name)
+def _filed_by(df: DataFrame, name: str, as_of: date | datetime) -> str:
     if not isinstance(as_of, datetime):
-        return column.cast("date") <= F.lit(as_of)
+        return f"CAST({ticked(name)} AS DATE) <= {date_literal(as_of)}"
     if isinstance(df.schema[name].dataType, T.DateType):
-        return column <= F.lit(as_of.date())
-    return column.cast("timestamp_ntz") <= F.lit(as_of).cast("timestamp_ntz")
+        return f"{ticked(name)} <= {date_literal(as_of)}"
+    return f"CAST({ticked(name)} AS TIMESTAMP_NTZ) <= {moment_literal(as_of)}"
 
 
 def cleaning_conditions(
     df: DataFrame, as_of: date | datetime, c: Columns = DEFAULT
-) -> list[Column]:
+) -> list[str]:
     """What a return must meet to be kept, before duplicates are dropped."""
     return [
-        F.col(c.tin).isNotNull() & is_present(df, c.amount_due),
-        F.col(c.tin).cast("string").rlike(rules.TEN_DIGITS),
-        F.col(c.amount_due) >= 0,
-        F.col(c.currency) == HOME_CURRENCY,
+        f"{ticked(c.tin)} IS NOT NULL",
+        present(df, c.amount_due),
+        rules.matches_pattern(c.tin),
+        f"{ticked(c.amount_due)} >= 0",
+        f"{ticked(c.currency)} = {quoted(HOME_CURRENCY)}",
         _filed_by(df, c.filing_date, as_of),
     ]
 
@@ -221,7 +218,7 @@ def cleaning_conditions(
 def clean_returns(
     df: DataFrame,
     as_of: date | datetime | None = None,
-    order_by: Sequence[str | Column] = ("src_seq",),
+    order_by: Sequence[str] = ("src_seq",),
     c: Columns = DEFAULT,
 ) -> DataFrame:
     """Returns fit for use: good key, amount, currency and date, first row per id.

@@ -3,16 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def nodes(datasets: DataFrame) -> DataFrame:
-    return datasets.select(
-        F.col("dataset_id").alias("id"),
-        F.col("name").alias("label"),
-        F.col("source_type").alias("type"),
-        F.col("row_count").alias("rows"),
+    return datasets.selectExpr(
+        "dataset_id AS id", "name AS label", "source_type AS type", "row_count AS rows"
     )
 
 
@@ -21,13 +17,13 @@ def edges(transformations: DataFrame) -> DataFrame:
 
     The inputs may be an array or the JSON text of one.
     """
-    inputs = F.col("input_datasets")
-    if isinstance(transformations.schema["input_datasets"].dataType, T.StringType):
-        inputs = F.from_json(inputs, T.ArrayType(T.StringType()))
-    return transformations.select(
-        F.explode(inputs).alias("from"),
-        F.col("output_dataset").alias("to"),
-        F.col("step_name").alias("label"),
+    inputs = "input_datasets"
+    if isinstance(transformations.schema[inputs].dataType, T.StringType):
+        inputs = "from_json(input_datasets, 'array<string>')"
+    return transformations.selectExpr(
+        f"explode({inputs}) AS `from`",
+        "output_dataset AS `to`",
+        "step_name AS label",
         "operation",
         "status",
     )
@@ -35,7 +31,12 @@ def edges(transformations: DataFrame) -> DataFrame:
 
 def inputs_as_json(transformations: DataFrame) -> DataFrame:
     """The transformations with their inputs as JSON text, for exchange."""
-    return transformations.withColumn("input_datasets", F.to_json("input_datasets"))
+    return transformations.selectExpr(
+        *[
+            "to_json(input_datasets) AS input_datasets" if c == "input_datasets" else c
+            for c in transformations.columns
+        ]
+    )
 
 
 def flow(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -43,22 +44,18 @@ def flow(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     An end that was never registered keeps its id as name and NULL rows.
     """
-    source = nodes.select(
-        F.col("id").alias("from"), F.col("label").alias("s_label"), F.col("rows").alias("source_rows")
-    )
-    target = nodes.select(
-        F.col("id").alias("to"), F.col("label").alias("t_label"), F.col("rows").alias("target_rows")
-    )
+    source = nodes.selectExpr("id AS `from`", "label AS source_label", "rows AS source_rows")
+    target = nodes.selectExpr("id AS `to`", "label AS target_label", "rows AS target_rows")
     return (
         edges.join(source, "from", "left")
         .join(target, "to", "left")
-        .select(
-            F.coalesce("s_label", "from").alias("source_name"),
+        .selectExpr(
+            "coalesce(source_label, `from`) AS source_name",
             "source_rows",
             "label",
             "operation",
             "status",
-            F.coalesce("t_label", "to").alias("target_name"),
+            "coalesce(target_label, `to`) AS target_name",
             "target_rows",
         )
     )
@@ -73,10 +70,9 @@ def graph_document(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     Both come from the catalogue, which holds one row per dataset and step.
     """
-    both = nodes.select(F.struct("*").alias("node"), F.lit(None).alias("edge")).unionByName(
-        edges.select(F.lit(None).alias("node"), F.struct("*").alias("edge"))
+    both = nodes.selectExpr("struct(*) AS node", "NULL AS edge").union(
+        edges.selectExpr("NULL AS node", "struct(*) AS edge")
     )
-    return both.agg(
-        F.sort_array(F.collect_list("node")).alias("nodes"),
-        F.sort_array(F.collect_list("edge")).alias("edges"),
+    return both.selectExpr(
+        "sort_array(collect_list(node)) AS nodes", "sort_array(collect_list(edge)) AS edges"
     )

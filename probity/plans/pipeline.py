@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from probity.model import RESULT_SCHEMA, SUMMARY_SCHEMA
+from probity.functions import quoted
+from probity.model import RESULT_SCHEMA
 from probity.operators.remedy import cleaning_columns
 from probity.plans.filings import (
     DEFAULT,
@@ -63,19 +63,18 @@ def _summary(
     result: DataFrame, graph: DataFrame, before: int, after: int, run_ts: datetime
 ) -> DataFrame:
     """The summary document. The two one-row parts are stacked and folded."""
-    counts = cleaning_columns(F.lit(before).cast("long"), F.lit(after).cast("long"))
-    results = result.select(F.struct("*").alias("dq_results"), F.lit(None).alias("lineage"))
-    lineage = graph.select(F.lit(None).alias("dq_results"), F.struct("*").alias("lineage"))
-    folded = results.unionByName(lineage).agg(
-        F.first("dq_results", ignorenulls=True).alias("dq_results"),
-        F.first("lineage", ignorenulls=True).alias("lineage"),
+    counts = ", ".join(cleaning_columns(f"{before}L", f"{after}L"))
+    results = result.selectExpr("struct(*) AS dq_results", "NULL AS lineage")
+    lineage = graph.selectExpr("NULL AS dq_results", "struct(*) AS lineage")
+    folded = results.union(lineage).selectExpr(
+        "any_value(dq_results, true) AS dq_results", "any_value(lineage, true) AS lineage"
     )
-    return folded.select(
-        F.lit(run_ts.isoformat(timespec="seconds")).alias("pipeline_run"),
+    return folded.selectExpr(
+        f"{quoted(run_ts.isoformat(timespec='seconds'))} AS pipeline_run",
         "dq_results",
-        F.struct(*counts).alias("cleaning_summary"),
+        f"struct({counts}) AS cleaning_summary",
         "lineage",
-    ).select(*[F.col(f.name).cast(f.dataType) for f in SUMMARY_SCHEMA.fields])
+    )
 
 
 def run_pipeline(
@@ -86,7 +85,7 @@ def run_pipeline(
     catalogue: Catalogue,
     as_of: date | datetime,
     audit_log: DataFrame | None = None,
-    order_by: Sequence[str | Column] = (),
+    order_by: Sequence[str] = (),
     columns: Columns = DEFAULT,
     run_ts: datetime | None = None,
     fmt: str = "parquet",

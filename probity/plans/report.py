@@ -5,11 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from probity.functions import SEVERITIES, score_band, severity_rank, thousands, verdict
-from probity.model import DIMENSIONS, ISSUE_COLUMNS
+from pyspark.sql import DataFrame
+
+from probity.functions import (
+    SEVERITIES,
+    date_literal,
+    listed,
+    quoted,
+    score_band,
+    severity_rank,
+    thousands,
+    verdict,
+)
+from probity.model import DIMENSIONS
 from probity.plans.scoring import dimension_scores, issue_rows, overall
 
 # Fixed values.
@@ -30,33 +38,28 @@ def kpi_row(result: DataFrame, cleaning: DataFrame) -> DataFrame:
 
     The two one-row inputs are stacked and folded together.
     """
-    scored = overall(result).withColumn("retention_pct", F.lit(None).cast("double"))
+    scored = overall(result).selectExpr("*", "CAST(NULL AS DOUBLE) AS retention_pct")
     names = scored.columns
-    kept = cleaning.select(
-        *[F.lit(None).cast(scored.schema[c].dataType).alias(c) for c in names[:-1]],
-        "retention_pct",
-    )
-    return scored.unionByName(kept).agg(*[F.max(c).alias(c) for c in names])
+    kept = cleaning.selectExpr(*[f"NULL AS {c}" for c in names[:-1]], "retention_pct")
+    return scored.union(kept).selectExpr(*[f"max({c}) AS {c}" for c in names])
 
 
 def dimension_bands(result: DataFrame) -> DataFrame:
     """Dimension, score and PASS / MONITOR / FAIL."""
-    return dimension_scores(result).withColumn("status", score_band(F.col("score")))
+    return dimension_scores(result).selectExpr("*", f"{score_band('score')} AS status")
 
 
 def overall_verdict(result: DataFrame) -> DataFrame:
-    return result.select(
-        "overall_dq_score", verdict(F.col("overall_dq_score")).alias("verdict")
-    )
+    return result.selectExpr("overall_dq_score", f"{verdict('overall_dq_score')} AS verdict")
 
 
 def severity_summary(result: DataFrame) -> DataFrame:
     """Three rows: severity and its number of issues."""
-    rows = [
-        F.struct(F.lit(s).alias("severity"), F.element_at("severity_summary", s).alias("issues"))
+    rows = ", ".join(
+        f"named_struct('severity', {quoted(s)}, 'issues', severity_summary[{quoted(s)}])"
         for s in SEVERITIES
-    ]
-    return result.select(F.inline(F.array(*rows)))
+    )
+    return result.selectExpr(f"inline(array({rows}))")
 
 
 def issue_log(result: DataFrame) -> DataFrame:
@@ -64,38 +67,43 @@ def issue_log(result: DataFrame) -> DataFrame:
 
     The array is sorted inside its row, so no shuffle or window is needed.
     """
-    ranked = F.transform(
-        "issues",
-        lambda issue, pos: F.struct(
-            severity_rank(issue["severity"]).alias("rank"), pos.alias("pos"), issue.alias("issue")
-        ),
-    )
+    entry = f"named_struct('rank', {severity_rank('i.severity')}, 'pos', p, 'issue', i)"
+    ranked = f"sort_array(transform(issues, (i, p) -> {entry}))"
     return (
-        result.select(F.posexplode(F.sort_array(ranked)).alias("number", "entry"))
-        .select((F.col("number") + 1).cast("long").alias("issue_no"), "entry.issue.*")
-        .withColumn("affected_text", thousands(F.col("affected_rows")))
-        .withColumn("pass_text", F.concat(F.col("pass_rate").cast("string"), F.lit("%")))
+        result.selectExpr(f"posexplode({ranked}) AS (pos, entry)")
+        .selectExpr("CAST(pos + 1 AS BIGINT) AS issue_no", "entry.issue.*")
+        .selectExpr(
+            "*",
+            f"{thousands('affected_rows')} AS affected_text",
+            "concat(CAST(pass_rate AS STRING), '%') AS pass_text",
+        )
     )
 
 
+def _chosen(dimensions: Sequence[str], severities: Sequence[str], prefix: str = "") -> str:
+    """True for an issue of the chosen dimensions and severities; empty choices fit none."""
+    tests = [
+        f"{prefix}{name} IN ({listed(values)})" if values else "false"
+        for name, values in (("dimension", dimensions), ("severity", severities))
+    ]
+    return " AND ".join(tests)
+
+
 def issue_explorer(
     result: DataFrame,
     dimensions: Sequence[str] = DIMENSIONS,
     severities: Sequence[str] = SEVERITIES,
 ) -> DataFrame:
     """Issues of the chosen dimensions and severities, with "k of n" on each row."""
-
-    def chosen(issue: Column) -> Column:
-        return issue["dimension"].isin(list(dimensions)) & issue["severity"].isin(list(severities))
-
+    chosen = f"filter(issues, i -> {_chosen(dimensions, severities, 'i.')})"
     return (
-        result.withColumn("chosen", F.filter("issues", chosen))
-        .select(
-            F.size("chosen").cast("long").alias("shown"),
-            F.size("issues").cast("long").alias("of_total"),
-            F.explode("chosen").alias("issue"),
+        result.selectExpr("issues", f"{chosen} AS chosen")
+        .selectExpr(
+            "CAST(size(chosen) AS BIGINT) AS shown",
+            "CAST(size(issues) AS BIGINT) AS of_total",
+            "explode(chosen) AS issue",
         )
-        .select("shown", "of_total", *[f"issue.{c}" for c in ISSUE_COLUMNS])
+        .selectExpr("shown", "of_total", "issue.*")
     )
 
 
@@ -105,73 +113,67 @@ def explorer_count(
     severities: Sequence[str] = SEVERITIES,
 ) -> DataFrame:
     """"k of n" as one row, there even if no issue is shown."""
-    chosen = F.col("dimension").isin(list(dimensions)) & F.col("severity").isin(list(severities))
-    return issue_rows(result).agg(
-        F.count_if(chosen).alias("shown"), F.count(F.lit(1)).alias("of_total")
+    chosen = f"filter(issues, i -> {_chosen(dimensions, severities, 'i.')})"
+    return result.selectExpr(
+        f"CAST(size({chosen}) AS BIGINT) AS shown", "CAST(size(issues) AS BIGINT) AS of_total"
     )
 
 
 def explorer_dimensions(result: DataFrame) -> DataFrame:
-    """The dimensions that have an issue."""
-    return issue_rows(result).select("dimension").distinct()
+    """The dimensions that have an issue, in the order of their first one."""
+    return result.selectExpr(
+        "explode(array_distinct(transform(issues, i -> i.dimension))) AS dimension"
+    )
 
 
 def dimension_detail(result: DataFrame) -> DataFrame:
     """Each dimension with its text, score and issues; one row without issue if none."""
-    rows = [
-        F.struct(
-            F.lit(d).alias("dimension"),
-            F.lit(DIMENSION_TEXTS[d]).alias("description"),
-            F.element_at("dimension_scores", d).alias("score"),
-            F.filter("issues", lambda issue, d=d: issue["dimension"] == d).alias("found"),
-        )
+    rows = ", ".join(
+        f"named_struct('dimension', {quoted(d)}, 'description', {quoted(DIMENSION_TEXTS[d])}, "
+        f"'score', dimension_scores[{quoted(d)}], "
+        f"'found', filter(issues, i -> i.dimension = {quoted(d)}))"
         for d in DIMENSIONS
-    ]
+    )
     return (
-        result.select(F.inline(F.array(*rows)))
-        .select("dimension", "description", "score", F.explode_outer("found").alias("issue"))
-        .select(
+        result.selectExpr(f"inline(array({rows}))")
+        .selectExpr("dimension", "description", "score", "explode_outer(found) AS issue")
+        .selectExpr(
             "dimension",
             "description",
             "score",
-            score_band(F.col("score")).alias("status"),
-            F.col("issue.field").alias("field"),
-            F.col("issue.description").alias("issue"),
-            F.col("issue.affected_rows").alias("affected_rows"),
+            f"{score_band('score')} AS status",
+            "issue.field AS field",
+            "issue.description AS issue",
+            "issue.affected_rows AS affected_rows",
         )
     )
 
 
 def report_metadata(result: DataFrame, pipeline_run: str, report_date: date) -> DataFrame:
-    return result.select(
-        F.date_format(F.lit(report_date), "MMMM dd, yyyy").alias("report_date"),
-        F.lit(pipeline_run).alias("pipeline_run"),
-        F.lit(DATASETS_ASSESSED).alias("datasets_assessed"),
+    """``pipeline_run`` is an expression for the time of the run."""
+    return result.selectExpr(
+        f"date_format({date_literal(report_date)}, 'MMMM dd, yyyy') AS report_date",
+        f"{pipeline_run} AS pipeline_run",
+        f"{quoted(DATASETS_ASSESSED)} AS datasets_assessed",
         "total_issues",
-        F.lit(CLASSIFICATION).alias("classification"),
+        f"{quoted(CLASSIFICATION)} AS classification",
     )
 
 
 def report_tables(summary: DataFrame, report_date: date) -> dict[str, DataFrame]:
     """All tables of the report from a saved run summary."""
-    result = summary.select("dq_results.*")
+    result = summary.select("pipeline_run", "dq_results.*")
     cleaning = summary.select("cleaning_summary.*")
-    metadata = summary.select("pipeline_run", "dq_results.*")
     return {
-        "metadata": metadata.select(
-            F.date_format(F.lit(report_date), "MMMM dd, yyyy").alias("report_date"),
-            "pipeline_run",
-            F.lit(DATASETS_ASSESSED).alias("datasets_assessed"),
-            "total_issues",
-            F.lit(CLASSIFICATION).alias("classification"),
-        ),
+        "metadata": report_metadata(result, "pipeline_run", report_date),
         "verdict": overall_verdict(result),
         "kpi": kpi_row(result, cleaning),
         "dimensions": dimension_bands(result),
         "dimension_detail": dimension_detail(result),
         "severities": severity_summary(result),
         "issue_log": issue_log(result),
+        "issues": issue_rows(result),
         "cleaning": cleaning,
-        "nodes": summary.select(F.inline("lineage.nodes")),
-        "edges": summary.select(F.inline("lineage.edges")),
+        "nodes": summary.selectExpr("inline(lineage.nodes)"),
+        "edges": summary.selectExpr("inline(lineage.edges)"),
     }

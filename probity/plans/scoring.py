@@ -7,15 +7,12 @@ derived from it, whether it was just computed or read back from a file.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from probity.functions import SEVERITIES, basis_points, mean_basis_points, percent
-from probity.model import DIMENSIONS, ISSUE_COLUMNS, RESULT_SCHEMA
+from probity.functions import SEVERITIES, basis_points, listed, mean_basis_points, percent, quoted
+from probity.model import DIMENSIONS, ISSUE_COLUMNS
 
-
-def _score_name(dimension: str) -> str:
-    return "score_" + dimension.lower().replace(" ", "_")
+POINTS = basis_points("affected_rows", "total_rows")
 
 
 def result_document(metrics: DataFrame) -> DataFrame:
@@ -24,63 +21,61 @@ def result_document(metrics: DataFrame) -> DataFrame:
     A dimension's score is the mean rate of its failing checks, 100 if none
     fails; the overall score is the plain mean of the rounded dimension scores.
     """
-    failed = F.col("affected_rows") > 0
-    points = basis_points(F.col("affected_rows"), F.col("total_rows"))
-
-    def dimension_points(dimension: str) -> Column:
-        counts = failed & (F.col("dimension") == dimension)
-        total = F.sum(F.when(counts, points))
-        return mean_basis_points(total, F.count_if(counts)).alias(_score_name(dimension))
-
-    issue = F.struct("check_seq", *ISSUE_COLUMNS)
-    collected = metrics.agg(
-        *[dimension_points(d) for d in DIMENSIONS],
-        *[F.count_if(failed & (F.col("severity") == s)).alias(s) for s in SEVERITIES],
-        F.count_if(failed).alias("total_issues"),
-        F.sort_array(F.collect_list(F.when(failed, issue))).alias("found"),
+    numbered = list(enumerate(DIMENSIONS))
+    sums = [
+        f"{kind}(CASE WHEN dimension = {quoted(d)} THEN points END) AS {kind}{i}"
+        for i, d in numbered
+        for kind in ("sum", "count")
+    ]
+    by_severity = [f"count_if(severity = {quoted(s)}) AS {s}" for s in SEVERITIES]
+    issue = f"struct(check_seq, {', '.join(ISSUE_COLUMNS)})"
+    found = metrics.filter("affected_rows > 0").selectExpr("*", f"{POINTS} AS points")
+    collected = found.selectExpr(
+        *sums,
+        *by_severity,
+        "count(1) AS total_issues",
+        f"sort_array(collect_list({issue})) AS found",
     )
-    scores = [F.col(_score_name(d)) for d in DIMENSIONS]
-    overall = mean_basis_points(sum(scores[1:], scores[0]), F.lit(len(DIMENSIONS)).cast("long"))
-
-    def map_of(names: tuple[str, ...], values: list[Column]) -> Column:
-        return F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*values))
-
-    document = collected.select(
-        percent(overall).alias("overall_dq_score"),
-        map_of(DIMENSIONS, [percent(s) for s in scores]).alias("dimension_scores"),
-        map_of(SEVERITIES, [F.col(s) for s in SEVERITIES]).alias("severity_summary"),
+    scored = collected.selectExpr(
+        *[f"{mean_basis_points(f'sum{i}', f'count{i}')} AS score{i}" for i, _ in numbered],
+        *SEVERITIES,
+        "total_issues",
+        "found",
+    )
+    total = " + ".join(f"score{i}" for i, _ in numbered)
+    scores = ", ".join(percent(f"score{i}") for i, _ in numbered)
+    fields = ", ".join(f"{quoted(c)}, i.{c}" for c in ISSUE_COLUMNS)
+    return scored.selectExpr(
+        f"{percent(mean_basis_points(total, f'{len(DIMENSIONS)}L'))} AS overall_dq_score",
+        f"map_from_arrays(array({listed(DIMENSIONS)}), array({scores})) AS dimension_scores",
+        f"map_from_arrays(array({listed(SEVERITIES)}), array({', '.join(SEVERITIES)}))"
+        " AS severity_summary",
         "total_issues",
-        F.transform(
-            "found", lambda i: F.struct(*[i[c].alias(c) for c in ISSUE_COLUMNS])
-        ).alias("issues"),
+        f"transform(found, i -> named_struct({fields})) AS issues",
     )
-    return document.select(*[F.col(f.name).cast(f.dataType) for f in RESULT_SCHEMA.fields])
 
 
 def issue_rows(result: DataFrame) -> DataFrame:
     """The issues of a result document as rows, with their position ``check_seq``."""
-    return result.select(F.posexplode("issues").alias("pos", "issue")).select(
-        (F.col("pos") + 1).cast("long").alias("check_seq"), "issue.*"
+    return result.selectExpr("posexplode(issues) AS (pos, issue)").selectExpr(
+        "CAST(pos + 1 AS BIGINT) AS check_seq", "issue.*"
     )
 
 
 def dimension_scores(result: DataFrame) -> DataFrame:
     """Six rows: dimension and score."""
-    rows = [
-        F.struct(
-            F.lit(i).cast("long").alias("dimension_seq"),
-            F.lit(d).alias("dimension"),
-            F.element_at("dimension_scores", d).alias("score"),
-        )
+    rows = ", ".join(
+        f"named_struct('dimension_seq', {i}L, 'dimension', {quoted(d)}, "
+        f"'score', dimension_scores[{quoted(d)}])"
         for i, d in enumerate(DIMENSIONS, 1)
-    ]
-    return result.select(F.inline(F.array(*rows)))
+    )
+    return result.selectExpr(f"inline(array({rows}))")
 
 
 def overall(result: DataFrame) -> DataFrame:
     """One row: overall score, number of issues, and issues by severity."""
-    return result.select(
+    return result.selectExpr(
         "overall_dq_score",
         "total_issues",
-        *[F.element_at("severity_summary", s).alias(f"{s.lower()}_issues") for s in SEVERITIES],
+        *[f"severity_summary[{quoted(s)}] AS {s.lower()}_issues" for s in SEVERITIES],
     )

@@ -5,13 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
-from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.functions import desc
 
-from probity.functions import surrogate_id, surrogate_id_column
+from probity.functions import SEVERITIES, moment_literal, quoted, surrogate_id, surrogate_id_sql
 from probity.model import DATASETS_SCHEMA, DQ_RUNS_SCHEMA, TRANSFORMATIONS_SCHEMA
 
 TABLES = {
@@ -33,19 +31,21 @@ def dataset_rows(
     Each entry is name → (frame, source type, path, description).
     """
 
+    created = moment_literal(_seconds(run_ts))
+
     def row(name: str, df: DataFrame, source_type: str, path: str, text: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            surrogate_id_column(F.lit(name), run_ts).alias("dataset_id"),
-            F.lit(name).alias("name"),
-            F.lit(source_type).alias("source_type"),
-            F.lit(path).alias("file_path"),
+        return df.selectExpr("count(1) AS row_count").selectExpr(
+            f"{surrogate_id_sql(quoted(name), run_ts)} AS dataset_id",
+            f"{quoted(name)} AS name",
+            f"{quoted(source_type)} AS source_type",
+            f"{quoted(path)} AS file_path",
             "row_count",
-            F.lit(len(df.columns)).cast("long").alias("col_count"),
-            F.lit(_seconds(run_ts)).cast("timestamp_ntz").alias("created_at"),
-            F.lit(text).alias("description"),
+            f"{len(df.columns)}L AS col_count",
+            f"{created} AS created_at",
+            f"{quoted(text)} AS description",
         )
 
-    return reduce(DataFrame.unionByName, [row(name, *entry) for name, entry in tables.items()])
+    return reduce(DataFrame.union, [row(name, *entry) for name, entry in tables.items()])
 
 
 def transformation_row(
@@ -75,19 +75,13 @@ def transformation_row(
 
 def dq_run_row(result: DataFrame, dataset_id: str, run_ts: datetime) -> DataFrame:
     """The run log row of a result document."""
-
-    def by_severity(level: str) -> Any:
-        return F.element_at("severity_summary", level).alias(f"{level.lower()}_issues")
-
-    return result.select(
-        F.lit(surrogate_id(dataset_id, run_ts)).alias("run_id"),
-        F.lit(dataset_id).alias("dataset_id"),
-        F.col("overall_dq_score").alias("overall_score"),
+    return result.selectExpr(
+        f"{quoted(surrogate_id(dataset_id, run_ts))} AS run_id",
+        f"{quoted(dataset_id)} AS dataset_id",
+        "overall_dq_score AS overall_score",
         "total_issues",
-        by_severity("HIGH"),
-        by_severity("MEDIUM"),
-        by_severity("LOW"),
-        F.lit(_seconds(run_ts)).cast("timestamp_ntz").alias("run_at"),
+        *[f"severity_summary[{quoted(s)}] AS {s.lower()}_issues" for s in SEVERITIES],
+        f"{moment_literal(_seconds(run_ts))} AS run_at",
     )
 
 
@@ -107,8 +101,9 @@ class Catalogue:
 
     def append(self, name: str, rows: DataFrame) -> None:
         """Append rows to a table as one file per call, in the table's types."""
-        schema: T.StructType = TABLES[name]
-        typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        typed = rows.selectExpr(
+            *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in TABLES[name]]
+        )
         typed.coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
 
     def _scan(self, name: str) -> DataFrame:
@@ -188,4 +183,4 @@ class Catalogue:
 
     def listing(self) -> DataFrame:
         """All datasets, newest first."""
-        return self.datasets().orderBy(F.desc("created_at"), "dataset_id")
+        return self.datasets().orderBy(desc("created_at"), "dataset_id")

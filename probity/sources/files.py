@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from probity.functions import fold_nan
+from probity.functions import fold_nan, listed, ticked
 from probity.model import SUMMARY_SCHEMA
 
 # Texts read as missing, the default list of the pandas CSV reader.
@@ -44,14 +44,16 @@ def conform(df: DataFrame, schema: T.StructType, lenient: bool = False) -> DataF
     missing. Text that cannot be cast fails the job, or gives NULL if lenient.
     """
 
-    def typed(field: T.StructField) -> Column:
-        want = {f.name: f.dataType for f in schema.fields}.get(field.name, field.dataType)
-        column = F.col(f"`{field.name}`")
-        if want == field.dataType:
-            return column
-        return (column.try_cast(want) if lenient else column.cast(want)).alias(field.name)
+    wanted = {f.name: f.dataType for f in schema.fields}
+    cast = "TRY_CAST" if lenient else "CAST"
 
-    return fold_nan(df.select(*[typed(f) for f in df.schema.fields]))
+    def typed(field: T.StructField) -> str:
+        name, target = ticked(field.name), wanted.get(field.name, field.dataType)
+        if target == field.dataType:
+            return name
+        return f"{cast}({name} AS {target.simpleString()}) AS {name}"
+
+    return fold_nan(df.selectExpr(*[typed(f) for f in df.schema.fields]))
 
 
 def with_input_position(df: DataFrame, fmt: str) -> DataFrame:
@@ -60,15 +62,12 @@ def with_input_position(df: DataFrame, fmt: str) -> DataFrame:
     ``df`` must be a plain file scan. Row order inside a split is fixed, so file,
     split and running number order the rows as the files do.
     """
+    parts = ["_metadata.file_path"]
     if fmt == "parquet":
-        place = F.struct("_metadata.file_path", "_metadata.row_index")
+        parts.append("_metadata.row_index")
     else:
-        place = F.struct(
-            "_metadata.file_path",
-            "_metadata.file_block_start",
-            F.monotonically_increasing_id().alias("number"),
-        )
-    return df.select("*", place.alias(INPUT_POSITION))
+        parts += ["_metadata.file_block_start", "monotonically_increasing_id() AS number"]
+    return df.selectExpr("*", f"struct({', '.join(parts)}) AS {INPUT_POSITION}")
 
 
 def read_csv(
@@ -94,9 +93,10 @@ def read_csv(
     names = text.columns
     if position:
         text = with_input_position(text, "csv")
-    known = list(na_values)
-    folded = text.withColumns({c: F.when(~F.col(f"`{c}`").isin(known), F.col(f"`{c}`")) for c in names})
-    return conform(folded, schema, lenient)
+    missing = listed(na_values)
+    folded = [f"CASE WHEN {ticked(c)} NOT IN ({missing}) THEN {ticked(c)} END AS {ticked(c)}" for c in names]
+    others = [c for c in text.columns if c not in names]
+    return conform(text.selectExpr(*folded, *others), schema, lenient)
 
 
 def read_parquet(

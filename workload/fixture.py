@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probity.operators import corrupt
@@ -20,43 +20,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tin(key: Column) -> Column:
-    return F.lpad(key.cast("string"), 10, "0")
+def tin(key: str) -> str:
+    return f"lpad(CAST({key} AS STRING), 10, '0')"
 
 
 def sound_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One filing per order, before any defect."""
-    key = F.col("o_orderkey")
-    start = F.col("o_orderdate").cast("date")
-    status = F.col("o_orderstatus")
-    return table(spark, sf_dir, "orders").select(
-        key.alias("src_seq"),
-        key.alias("return_id"),
-        tin(F.col("o_custkey")).alias("tin"),
-        F.col("o_orderpriority").alias("tax_type"),
-        start.alias("period_start"),
-        F.date_add(start, 30).alias("period_end"),
-        F.date_add(start, F.pmod(key, F.lit(56)).cast("int") - 5).alias("filing_date"),
-        F.when(status == "P", "Pending")
-        .when(status == "F", "Filed")
-        .when(status == "O", "Overdue")
-        .alias("filing_status"),
-        F.col("o_totalprice").alias("amount_due"),
-        (F.col("o_totalprice") * F.pmod(key, F.lit(13)) / 10).alias("amount_paid"),
-        F.lit("UGX").alias("currency"),
+    start = "CAST(o_orderdate AS DATE)"
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS src_seq",
+        "o_orderkey AS return_id",
+        f"{tin('o_custkey')} AS tin",
+        "o_orderpriority AS tax_type",
+        f"{start} AS period_start",
+        f"date_add({start}, 30) AS period_end",
+        f"date_add({start}, CAST(pmod(o_orderkey, 56) AS INT) - 5) AS filing_date",
+        "CASE o_orderstatus WHEN 'P' THEN 'Pending' WHEN 'F' THEN 'Filed' "
+        "WHEN 'O' THEN 'Overdue' END AS filing_status",
+        "o_totalprice AS amount_due",
+        "o_totalprice * pmod(o_orderkey, 13) / 10 AS amount_paid",
+        "'UGX' AS currency",
     )
 
 
 def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The filings with their defects; where two meet, the last in the list wins."""
-    key = F.col("src_seq")
+    key = "src_seq"
     return corrupt.inject(
         sound_filings(spark, sf_dir),
         [
-            corrupt.copied_key("return_id", corrupt.every(key, 33, 5), key - 1),
+            corrupt.copied_key("return_id", corrupt.every(key, 33, 5), f"{key} - 1"),
             corrupt.orphan("tin", corrupt.every(key, 25, 3)),
             corrupt.null_out("tin", corrupt.every(key, 20, 7)),
-            corrupt.Defect("period_end", corrupt.every(key, 50, 21), F.col("period_start")),
+            corrupt.Defect("period_end", corrupt.every(key, 50, 21), "period_start"),
             corrupt.fixed("filing_date", corrupt.every(key, 33, 8), FUTURE),
             corrupt.negate("amount_due", corrupt.every(key, 33, 14)),
             corrupt.null_out("amount_due", corrupt.every(key, 25, 11)),
@@ -65,19 +61,18 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-
 def register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customers without every fortieth, whose filings become orphans."""
-    customer = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 40 != 9)
+    customer = table(spark, sf_dir, "customer").filter("c_custkey % 40 <> 9")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     return (
-        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            tin(F.col("c_custkey")).alias("tin"),
-            F.col("c_name").alias("taxpayer_name"),
-            F.col("c_mktsegment").alias("sector"),
-            F.col("r_name").alias("region"),
+        customer.join(nation, F.expr("c_nationkey = n_nationkey"))
+        .join(region, F.expr("n_regionkey = r_regionkey"))
+        .selectExpr(
+            f"{tin('c_custkey')} AS tin",
+            "c_name AS taxpayer_name",
+            "c_mktsegment AS sector",
+            "r_name AS region",
         )
     )

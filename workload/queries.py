@@ -7,8 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probity.functions import surrogate_id
-from probity.model import ISSUE_COLUMNS, Check, RowRule, UniqueKey
+from probity.functions import quoted, surrogate_id
+from probity.model import ISSUE_COLUMNS, Check, UniqueKey
 from probity.operators import corrupt, rules
 from probity.operators.measure import issues, measure
 from probity.operators.membership import duplicate_rows, orphan_rows
@@ -42,6 +42,7 @@ from workload.fixture import (
     register,
     sound_filings,
     table,
+    tin,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,7 +210,7 @@ def kpi_row(spark: SparkSession, d: str) -> DataFrame:
 
 
 def report_metadata(spark: SparkSession, d: str) -> DataFrame:
-    return report.report_metadata(_result(spark, d), RUN_TS.isoformat(), AS_OF)
+    return report.report_metadata(_result(spark, d), quoted(RUN_TS.isoformat()), AS_OF)
 
 
 # Lineage
@@ -272,13 +273,11 @@ def lineage_graph(spark: SparkSession, d: str) -> DataFrame:
     document = lineage.graph_document(
         lineage.nodes(catalogue.datasets()), lineage.edges(catalogue.transformations())
     )
-    return document.select(
-        F.size("nodes").cast("long").alias("node_count"),
-        F.aggregate("nodes", F.lit(0).cast("long"), lambda n, node: n + node["rows"]).alias(
-            "node_rows"
-        ),
-        F.explode("edges").alias("edge"),
-    ).select("node_count", "node_rows", "edge.*")
+    return document.selectExpr(
+        "CAST(size(nodes) AS BIGINT) AS node_count",
+        "aggregate(nodes, 0L, (n, node) -> n + node.rows) AS node_rows",
+        "explode(edges) AS edge",
+    ).selectExpr("node_count", "node_rows", "edge.*")
 
 
 def dq_run_log(spark: SparkSession, d: str) -> DataFrame:
@@ -290,21 +289,17 @@ def dq_run_log(spark: SparkSession, d: str) -> DataFrame:
 
 def inject_defects(spark: SparkSession, d: str) -> DataFrame:
     """Every kind of defect in the usual order: a later one overwrites an earlier one."""
-    key = F.col("src_seq")
+    key = "src_seq"
     return corrupt.inject(
         sound_filings(spark, d),
         [
             corrupt.null_out("tin", corrupt.every(key, 20, 7)),
-            corrupt.Defect(
-                "tin",
-                corrupt.every(key, 25, 3),
-                F.concat(F.lpad(key.cast("string"), 10, "0"), F.lit("X")),
-            ),
+            corrupt.Defect("tin", corrupt.every(key, 25, 3), f"concat({tin(key)}, 'X')"),
             corrupt.negate("amount_due", corrupt.every(key, 33, 14)),
             corrupt.pick("currency", corrupt.every(key, 25, 17), ["USD", "EUR"], key),
             corrupt.fixed("filing_date", corrupt.every(key, 33, 8), FUTURE),
             corrupt.null_out("amount_due", corrupt.every(key, 25, 11)),
-            corrupt.copied_key("return_id", corrupt.every(key, 33, 5), key - 1),
+            corrupt.copied_key("return_id", corrupt.every(key, 33, 5), f"{key} - 1"),
         ],
     )
 
@@ -314,7 +309,7 @@ def audit_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def audit_expand(spark: SparkSession, d: str) -> DataFrame:
-    keys = table(spark, d, "orders").select(F.col("o_orderkey").alias("return_id"))
+    keys = table(spark, d, "orders").selectExpr("o_orderkey AS return_id")
     return corrupt.audit_events(keys, "return_id")
 
 
@@ -344,10 +339,11 @@ def summary_roundtrip(spark: SparkSession, d: str) -> DataFrame:
         run_ts=RUN_TS,
     )
     summary = read_summary(spark, run.summary)
-    found = summary.select("cleaning_summary.rows_after", "dq_results.issues").select(
-        "rows_after", F.posexplode("issues").alias("pos", "issue")
+    found = summary.selectExpr(
+        "cleaning_summary.rows_after AS rows_after",
+        "posexplode(dq_results.issues) AS (pos, issue)",
     )
-    return found.select((F.col("pos") + 1).cast("long").alias("issue_no"), "rows_after", "issue.*")
+    return found.selectExpr("CAST(pos + 1 AS BIGINT) AS issue_no", "rows_after", "issue.*")
 
 
 # Defects the test tables have of their own
@@ -364,19 +360,12 @@ def nat_ship_before_order(spark: SparkSession, d: str) -> DataFrame:
     The lines of one order collapse to its ship dates and the orders to one row
     per key before they meet, so no key reaches the join with many rows.
     """
-    lines = (
-        table(spark, d, "lineitem")
-        .groupBy("l_orderkey", "l_shipdate")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ordered = (
-        table(spark, d, "orders").groupBy("o_orderkey").agg(F.max("o_orderdate").alias("ordered"))
-    )
-    early = F.col("l_shipdate") < F.col("ordered")
-    joined = lines.join(ordered, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    return joined.agg(
-        F.coalesce(F.sum(F.when(early, F.col("n"))), F.lit(0).cast("long")).alias("affected_rows"),
-        F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total_rows"),
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey", "l_shipdate").agg(F.expr("count(1) AS n"))
+    ordered = table(spark, d, "orders").groupBy("o_orderkey").agg(F.expr("max(o_orderdate) AS ordered"))
+    joined = lines.join(ordered, F.expr("l_orderkey = o_orderkey"), "left")
+    return joined.selectExpr(
+        "coalesce(sum(CASE WHEN l_shipdate < ordered THEN n END), 0L) AS affected_rows",
+        "coalesce(sum(n), 0L) AS total_rows",
     )
 
 
