@@ -15,7 +15,7 @@ def half_even_div(num: str, den: str) -> str:
 
     Both operands must be non-negative whole numbers.
     """
-    den = f"nullif({den}, 0)"
+    den = f"nullif({den}, 0L)"
     quotient = f"(({num}) div {den})"
     twice_rest = f"(({num}) % {den} * 2)"
     return (
@@ -26,7 +26,7 @@ def half_even_div(num: str, den: str) -> str:
 
 def basis_points(affected: str, total: str) -> str:
     """Share of rows that pass, in basis points; an empty table passes in full."""
-    return f"coalesce({half_even_div(f'({total} - {affected}) * {FULL}', total)}, {FULL}L)"
+    return f"coalesce({half_even_div(f'(({total}) - ({affected})) * {FULL}', total)}, {FULL}L)"
 
 
 def mean_basis_points(total: str, count: str) -> str:
@@ -45,4 +45,4 @@ def pass_rate(affected: str, total: str) -> str:
 
 def retention_pct(after: str, before: str) -> str:
     """Rows kept in percent with one decimal; 100.0 when there was nothing to keep."""
-    return f"(coalesce({half_even_div(f'{after} * 1000', before)}, 1000L) / 10.0D)"
+    return f"(coalesce({half_even_div(f'({after}) * 1000', before)}, 1000L) / 10.0D)"

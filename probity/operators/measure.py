@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from probity.functions import fold_nan, pass_rate, quoted, ticked
 from probity.functions.missing import folded
@@ -23,7 +24,7 @@ LEVEL = """CASE WHEN affected_rows > 0 THEN
   THEN level ELSE otherwise END END AS severity"""
 
 
-def _bound(seq: int, check: Check, affected: str) -> str:
+def _bound(seq: int, check: Check, affected: str, total: str) -> str:
     """A check as a struct of its fixed texts and its two counts."""
     rule, severity = check.rule, check.rule.severity
     above = "NULL" if severity.above_pct is None else severity.above_pct
@@ -32,7 +33,7 @@ def _bound(seq: int, check: Check, affected: str) -> str:
       'check_seq', {seq}L, 'dataset', {quoted(check.dataset)},
       'dimension', {quoted(rule.dimension)}, 'field', {quoted(rule.field)},
       'description', {quoted(rule.description)},
-      'affected_rows', {affected}, 'total_rows', total_rows,
+      'affected_rows', {affected}, 'total_rows', {total},
       'above_pct', CAST({above} AS INT), 'level', {quoted(severity.level)},
       'otherwise', CAST({otherwise} AS STRING))"""
 
@@ -46,16 +47,20 @@ def _count_if(name: str, violated: str | Column) -> Column:
 def _row_rules(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
     counts = [_count_if(f"c{seq}", check.rule.violated) for seq, check in checks]
     counted = fold_nan(df).agg(F.expr("count(1) AS total_rows"), *counts)
-    rows = ", ".join(_bound(seq, check, f"c{seq}") for seq, check in checks)
+    rows = ", ".join(_bound(seq, check, f"c{seq}", "total_rows") for seq, check in checks)
     return counted.selectExpr(f"inline(array({rows}))")
 
 
-def _one_metric(per_key: DataFrame, failing: str, seq: int, check: Check) -> DataFrame:
-    counted = per_key.selectExpr(
-        f"coalesce(sum(CASE WHEN {failing} THEN n END), 0L) AS affected",
-        "coalesce(sum(n), 0L) AS total_rows",
-    )
-    return counted.selectExpr(f"inline(array({_bound(seq, check, 'affected')}))")
+def _from_keys(per_key: DataFrame, found: Sequence[tuple[int, Check, str, str]]) -> DataFrame:
+    """Metrics out of rows per key: (position, check, failing keys, column of row counts)."""
+    sums = []
+    for seq, _, failing, rows in found:
+        sums += [
+            f"coalesce(sum(CASE WHEN {failing} THEN {rows} END), 0L) AS c{seq}",
+            f"coalesce(sum({rows}), 0L) AS t{seq}",
+        ]
+    metrics = ", ".join(_bound(seq, check, f"c{seq}", f"t{seq}") for seq, check, _, _ in found)
+    return per_key.selectExpr(*sums).selectExpr(f"inline(array({metrics}))")
 
 
 def key_columns(df: DataFrame, keys: Sequence[str], digest: bool = False) -> list[str]:
@@ -73,36 +78,47 @@ def key_counts(df: DataFrame, keys: Sequence[str], digest: bool = False) -> Data
 
 def _unique_key(df: DataFrame, seq: int, check: Check) -> DataFrame:
     per_key = key_counts(df, check.rule.keys, check.rule.digest)
-    return _one_metric(per_key, "n > 1", seq, check)
+    return _from_keys(per_key, [(seq, check, "n > 1", "n")])
 
 
 def key_presence(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
-    """Per key: ``n`` child rows, and whether the parent has the key.
+    """Per key: ``n`` child rows and ``m`` parent rows.
 
     Child and parent are stacked and grouped once. No side is built into a hash
     table or broadcast, and repeated keys on either side collapse before the
-    shuffle. The NULL key is kept, so that ``n`` adds up to the whole child.
+    shuffle. The NULL key is kept, so that the counts add up to the whole tables.
     """
-    children = child.selectExpr(
-        f"CAST({ticked(key)} AS STRING) AS key", "1L AS n", "false AS known"
-    )
-    parents = parent.filter(f"{ticked(parent_key)} IS NOT NULL").selectExpr(
-        f"CAST({ticked(parent_key)} AS STRING) AS key", "0L AS n", "true AS known"
+    children = child.selectExpr(f"CAST({ticked(key)} AS STRING) AS key", "1L AS n", "0L AS m")
+    parents = parent.selectExpr(
+        f"CAST({ticked(parent_key)} AS STRING) AS key", "0L AS n", "1L AS m"
     )
     return (
-        children.union(parents)
-        .groupBy("key")
-        .agg(F.expr("sum(n) AS n"), F.expr("max(known) AS known"))
+        children.union(parents).groupBy("key").agg(F.expr("sum(n) AS n"), F.expr("sum(m) AS m"))
     )
 
 
 def is_orphan(key: str) -> str:
-    return f"{ticked(key)} IS NOT NULL AND NOT known"
+    return f"{ticked(key)} IS NOT NULL AND m = 0"
+
 
+def _foreign_key(
+    tables: Mapping[str, DataFrame], seq: int, check: Check, unique: tuple[int, Check] | None
+) -> DataFrame:
+    """A foreign key, and with it the unique key it points to if that is checked too."""
+    rule = check.rule
+    child, parent = tables[check.dataset], tables[rule.parent]
+    found = [(seq, check, is_orphan("key"), "n")]
+    if unique:
+        found.append((*unique, "m > 1", "m"))
+    return _from_keys(key_presence(child, parent, rule.key, rule.parent_key), found)
 
-def _foreign_key(child: DataFrame, parent: DataFrame, seq: int, check: Check) -> DataFrame:
-    present = key_presence(child, parent, check.rule.key, check.rule.parent_key)
-    return _one_metric(present, is_orphan("key"), seq, check)
+
+def _is_target(tables: Mapping[str, DataFrame], foreign: ForeignKey, check: Check) -> bool:
+    """Whether a unique key is what the foreign key points to, and equal as text if equal."""
+    if check.dataset != foreign.parent or check.rule.keys != (foreign.parent_key,):
+        return False
+    key_type = tables[foreign.parent].schema[foreign.parent_key].dataType
+    return isinstance(key_type, (T.StringType, T.IntegralType))
 
 
 def measure(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -112,19 +128,25 @@ def measure(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFra
     not all there is left out; a missing key column raises.
     """
     row_rules: dict[str, list[tuple[int, Check]]] = {}
-    parts: list[DataFrame] = []
+    unique_keys: list[tuple[int, Check]] = []
+    foreign_keys: list[tuple[int, Check]] = []
     for seq, check in enumerate(checks, 1):
-        rule, df = check.rule, tables[check.dataset]
-        if isinstance(rule, RowRule):
-            if set(rule.needs) <= set(df.columns):
-                row_rules.setdefault(check.dataset, []).append((seq, check))
-        elif isinstance(rule, UniqueKey):
-            parts.append(_unique_key(df, seq, check))
+        rule = check.rule
+        if isinstance(rule, UniqueKey):
+            unique_keys.append((seq, check))
         elif isinstance(rule, ForeignKey):
-            parts.append(_foreign_key(df, tables[rule.parent], seq, check))
-        else:
-            raise TypeError(f"not a rule: {rule!r}")
+            foreign_keys.append((seq, check))
+        elif set(rule.needs) <= set(tables[check.dataset].columns):
+            row_rules.setdefault(check.dataset, []).append((seq, check))
+
     fused = [_row_rules(tables[name], bound) for name, bound in row_rules.items()]
+    parts = []
+    for seq, check in foreign_keys:
+        target = next((u for u in unique_keys if _is_target(tables, check.rule, u[1])), None)
+        if target:
+            unique_keys.remove(target)
+        parts.append(_foreign_key(tables, seq, check, target))
+    parts += [_unique_key(tables[check.dataset], seq, check) for seq, check in unique_keys]
     if not fused and not parts:
         raise ValueError("no check applies to the given tables")
     return graded(reduce(DataFrame.union, fused + parts))

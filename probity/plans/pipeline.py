@@ -26,6 +26,7 @@ from probity.plans.scoring import result_document
 from probity.sources import (
     INPUT_POSITION,
     Catalogue,
+    Dataset,
     read_csv,
     read_document,
     read_parquet,
@@ -36,6 +37,8 @@ from probity.sources import (
 
 CLEAN = f"{RETURNS}_clean"
 AUDIT_LOG = "audit_log"
+# Fixed value. Cleaning does not enforce status, consistency, staleness or foreign keys.
+CLEAN_TEXT = "Cleaned tax returns — passed all quality checks"
 R = TypeVar("R")
 
 
@@ -112,16 +115,18 @@ def run_pipeline(
         read = read_csv if fmt == "csv" else read_parquet
         return read(spark, paths[name], raw[name].schema, position=position)
 
+    # The descriptions.
     texts = {
         REGISTER: "Master register of all registered taxpayers",
-        RETURNS: "Tax return filings as received",
-    }
-    ids = {
-        name: catalogue.register_dataset(
-            name, raw[name], "raw_file", paths[name], text, rows[name], run_ts
-        )
-        for name, text in texts.items()
+        RETURNS: "Tax return filings with injected quality issues",
     }
+    ids = catalogue.register_datasets(
+        [
+            Dataset(name, raw[name], "raw_file", paths[name], text, rows[name])
+            for name, text in texts.items()
+        ],
+        run_ts,
+    )
 
     result_path = f"{out}/dq_results"
     metrics = database_metrics(saved(RETURNS), saved(REGISTER), as_of, columns)
@@ -137,13 +142,7 @@ def run_pipeline(
     clean_path = f"{out}/processed/{CLEAN}"
     rows[CLEAN], durations["clean"] = timed(lambda: write_table(clean, clean_path, fmt))
     ids[CLEAN] = catalogue.register_dataset(
-        CLEAN,
-        clean,
-        "transformed",
-        clean_path,
-        "Cleaned tax returns: keys, amounts, currency, dates and ids are good",
-        rows[CLEAN],
-        run_ts,
+        CLEAN, clean, "transformed", clean_path, CLEAN_TEXT, rows[CLEAN], run_ts
     )
     catalogue.register_transformation(
         "DQ Remediation",

@@ -1,6 +1,6 @@
 """File sources and sinks, and the catalogue tables."""
 
-from probity.sources.catalogue import Catalogue
+from probity.sources.catalogue import Catalogue, Dataset
 from probity.sources.files import (
     INPUT_POSITION,
     conform,
@@ -15,6 +15,7 @@ from probity.sources.files import (
 
 __all__ = [
     "Catalogue",
+    "Dataset",
     "INPUT_POSITION",
     "conform",
     "read_csv",

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.functions import desc
 
-from probity.functions import SEVERITIES, moment_literal, quoted, surrogate_id, surrogate_id_sql
+from probity.functions import (
+    SEVERITIES,
+    listed,
+    moment_literal,
+    quoted,
+    surrogate_id,
+    surrogate_id_sql,
+)
 from probity.model import DATASETS_SCHEMA, DQ_RUNS_SCHEMA, TRANSFORMATIONS_SCHEMA
 
 TABLES = {
@@ -23,29 +31,39 @@ def _seconds(moment: datetime) -> datetime:
     return moment.replace(microsecond=0)
 
 
-def dataset_rows(
-    tables: Mapping[str, tuple[DataFrame, str, str, str]], run_ts: datetime
-) -> DataFrame:
-    """Catalogue rows for many datasets at once, counted in one job.
+@dataclass(frozen=True, eq=False)
+class Dataset:
+    """What the catalogue records of a table; rows are counted if not given."""
+
+    name: str
+    df: DataFrame
+    source_type: str
+    file_path: str
+    description: str = ""
+    row_count: int | None = None
 
-    Each entry is name → (frame, source type, path, description).
-    """
 
+def dataset_rows(entries: Sequence[Dataset], run_ts: datetime) -> DataFrame:
+    """Catalogue rows for datasets, counted by one job."""
     created = moment_literal(_seconds(run_ts))
 
-    def row(name: str, df: DataFrame, source_type: str, path: str, text: str) -> DataFrame:
-        return df.selectExpr("count(1) AS row_count").selectExpr(
-            f"{surrogate_id_sql(quoted(name), run_ts)} AS dataset_id",
-            f"{quoted(name)} AS name",
-            f"{quoted(source_type)} AS source_type",
-            f"{quoted(path)} AS file_path",
+    def row(entry: Dataset) -> DataFrame:
+        if entry.row_count is None:
+            counted = entry.df.selectExpr("count(1) AS row_count")
+        else:
+            counted = entry.df.sparkSession.range(1).selectExpr(f"{entry.row_count}L AS row_count")
+        return counted.selectExpr(
+            f"{surrogate_id_sql(quoted(entry.name), run_ts)} AS dataset_id",
+            f"{quoted(entry.name)} AS name",
+            f"{quoted(entry.source_type)} AS source_type",
+            f"{quoted(entry.file_path)} AS file_path",
             "row_count",
-            f"{len(df.columns)}L AS col_count",
+            f"{len(entry.df.columns)}L AS col_count",
             f"{created} AS created_at",
-            f"{quoted(text)} AS description",
+            f"{quoted(entry.description)} AS description",
         )
 
-    return reduce(DataFrame.union, [row(name, *entry) for name, entry in tables.items()])
+    return reduce(DataFrame.union, [row(entry) for entry in entries])
 
 
 def transformation_row(
@@ -59,18 +77,17 @@ def transformation_row(
     duration_ms: int = 0,
     status: str = "success",
 ) -> DataFrame:
-    row = (
-        surrogate_id(step_name, run_ts),
-        step_name,
-        list(input_ids),
-        output_id,
-        operation,
-        description,
-        _seconds(run_ts),
-        duration_ms,
-        status,
+    return spark.range(1).selectExpr(
+        f"{quoted(surrogate_id(step_name, run_ts))} AS transform_id",
+        f"{quoted(step_name)} AS step_name",
+        f"CAST(array({listed(input_ids)}) AS ARRAY<STRING>) AS input_datasets",
+        f"{quoted(output_id)} AS output_dataset",
+        f"{quoted(operation)} AS operation",
+        f"{quoted(description)} AS description",
+        f"{moment_literal(_seconds(run_ts))} AS executed_at",
+        f"{duration_ms}L AS duration_ms",
+        f"{quoted(status)} AS status",
     )
-    return spark.createDataFrame([row], TRANSFORMATIONS_SCHEMA)
 
 
 def dq_run_row(result: DataFrame, dataset_id: str, run_ts: datetime) -> DataFrame:
@@ -130,21 +147,16 @@ class Catalogue:
     ) -> str:
         """Add a dataset and return its id. ``row_count`` saves counting a table
         whose rows were already counted while it was written."""
+        entry = Dataset(name, df, source_type, file_path, description, row_count)
+        return self.register_datasets([entry], run_ts)[name]
+
+    def register_datasets(
+        self, entries: Sequence[Dataset], run_ts: datetime | None = None
+    ) -> dict[str, str]:
+        """Add datasets in one append; those without a row count are counted in one job."""
         run_ts = run_ts or datetime.now()
-        rows = df.count() if row_count is None else row_count
-        dataset_id = surrogate_id(name, run_ts)
-        row = (
-            dataset_id,
-            name,
-            source_type,
-            file_path,
-            rows,
-            len(df.columns),
-            _seconds(run_ts),
-            description,
-        )
-        self.append("datasets", self.spark.createDataFrame([row], DATASETS_SCHEMA))
-        return dataset_id
+        self.append("datasets", dataset_rows(entries, run_ts))
+        return {entry.name: surrogate_id(entry.name, run_ts) for entry in entries}
 
     def register_transformation(
         self,

@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+
+import pytest
+
+from probity.model import AUDIT_SCHEMA, REGISTER_SCHEMA
+from probity.plans.filings import check_completeness, clean_returns
+from probity.session import scratch_dir
+from probity.sources import (
+    INPUT_POSITION,
+    conform,
+    read_csv,
+    read_parquet,
+    with_input_position,
+    write_table,
+)
+
+REGISTER_CSV = """tin,taxpayer_name,sector,region,registration_date,is_active
+0123456789,Company_6789,Trade, Northern,2001-02-03,True
+,"Smith, ""Sons"" & Co",NA,Central,2010-12-31,False
+1234567890,n/a,None,"",NULL,nan
+"""
+
+
+@pytest.fixture
+def register_csv(tmp_path):
+    path = tmp_path / "register.csv"
+    path.write_text(REGISTER_CSV)
+    return str(path)
+
+
+def test_csv_types_and_missing_values(spark, register_csv):
+    df = read_csv(spark, register_csv, REGISTER_SCHEMA)
+    assert df.schema == REGISTER_SCHEMA
+    assert [tuple(r) for r in df.collect()] == [
+        ("0123456789", "Company_6789", "Trade", " Northern", date(2001, 2, 3), True),
+        (None, 'Smith, "Sons" & Co', None, "Central", date(2010, 12, 31), False),
+        ("1234567890", None, None, None, None, None),
+    ]
+    assert check_completeness(df, ["tin"]).first().affected_rows == 1
+
+
+def test_csv_with_own_missing_values(spark, register_csv):
+    df = read_csv(spark, register_csv, REGISTER_SCHEMA, na_values=["", "NULL", "nan"])
+    assert df.collect()[2].taxpayer_name == "n/a"
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("sector,extra,tin\nTrade,7,0001\n")
+    df = read_csv(spark, str(tmp_path / "t.csv"), REGISTER_SCHEMA)
+    assert (df.columns, tuple(df.first())) == (["sector", "extra", "tin"], ("Trade", "7", "0001"))
+
+
+def test_bad_text_fails_or_is_null(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("tin,registration_date\n1,soon\n")
+    path = str(tmp_path / "t.csv")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_csv(spark, path, REGISTER_SCHEMA).collect()
+    assert read_csv(spark, path, REGISTER_SCHEMA, lenient=True).first().registration_date is None
+
+
+def test_csv_round_trip(spark, rows):
+    schema = "a STRING, b DOUBLE, c DATE, d TIMESTAMP_NTZ, e BOOLEAN"
+    data = [
+        ('q "x", y', 0.1 + 0.2, date(2024, 2, 29), datetime(2024, 1, 1, 2, 3, 4), True),
+        (None, None, None, None, None),
+        ("back\\slash", -1e300, date(1970, 1, 1), datetime(1999, 12, 31), False),
+    ]
+    df = rows(schema, data)
+    path = f"{scratch_dir(spark)}/t"
+    assert write_table(df, path, "csv") == 3
+    back = read_csv(spark, path, df.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_audit_log_schema(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("event_id,return_id,event_type,user_id,timestamp\nab,RET-1,FLAGGED,USR-010,2024-03-05\n")
+    df = read_csv(spark, str(tmp_path / "a.csv"), AUDIT_SCHEMA)
+    assert df.first().timestamp == datetime(2024, 3, 5)
+
+
+def test_nan_and_numeric_keys_are_conformed(rows, spark):
+    df = rows("tin BIGINT, amount DOUBLE", [(1234567890, float("nan")), (None, 1.0)])
+    path = f"{scratch_dir(spark)}/t"
+    assert write_table(df, path) == 2
+    got = read_parquet(spark, path, REGISTER_SCHEMA).orderBy("tin").collect()
+    assert [tuple(r) for r in got] == [(None, 1.0), ("1234567890", None)]
+    assert conform(df, REGISTER_SCHEMA).schema["tin"].dataType.simpleString() == "string"
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_input_position_orders_rows_as_the_files_do(spark, fmt, monkeypatch):
+    df = spark.range(5000).coalesce(1).selectExpr("id % 10 AS return_id", "id AS n")
+    path = f"{scratch_dir(spark)}/t"
+    write_table(df, path, fmt)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        plain = spark.read.parquet(path) if fmt == "parquet" else spark.read.option("header", True).csv(path)
+        assert plain.rdd.getNumPartitions() > 1 or fmt == "parquet"
+        placed = with_input_position(plain, fmt).orderBy(INPUT_POSITION)
+        assert [int(r.n) for r in placed.collect()] == list(range(5000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_cleaning_by_input_position(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(
+        "return_id,tin,amount_due_ugx,currency,filing_date\n"
+        "a,1234567890,1,USD,2024-01-01\n"
+        "a,1234567890,2,UGX,2024-01-01\n"
+        "a,1234567890,3,UGX,2024-01-01\n"
+    )
+    from probity.model import RETURNS_SCHEMA
+
+    raw = read_csv(spark, str(tmp_path / "t.csv"), RETURNS_SCHEMA, position=True)
+    assert [r.amount_due_ugx for r in clean_returns(raw, date(2024, 6, 1), [INPUT_POSITION]).collect()] == [2.0]
+
+
+def test_scratch_folder_is_the_one_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    path = scratch_dir(spark)
+    assert path.startswith(named.rstrip("/") if named else "/")
+    assert path != scratch_dir(spark)

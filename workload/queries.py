@@ -31,7 +31,7 @@ from probity.plans.filings import (
 from probity.plans.pipeline import run_pipeline
 from probity.plans.scoring import dimension_scores, issue_rows, overall, result_document
 from probity.session import scratch_dir
-from probity.sources import Catalogue, read_csv, read_summary, write_table
+from probity.sources import Catalogue, Dataset, read_csv, read_summary, write_table
 from probity.sources.catalogue import dataset_rows, dq_run_row, transformation_row
 from workload.fixture import (
     AS_OF,
@@ -218,13 +218,15 @@ def report_metadata(spark: SparkSession, d: str) -> DataFrame:
 
 def _registered(spark: SparkSession, d: str) -> DataFrame:
     return dataset_rows(
-        {
-            "orders": (table(spark, d, "orders"), "raw_file", "orders.parquet", "Orders"),
-            "customer": (table(spark, d, "customer"), "raw_file", "customer.parquet", "Customers"),
-            RETURNS: (filings(spark, d), "derived", "filings", "Filings with defects"),
-            REGISTER: (register(spark, d), "derived", "register", "Register of taxpayers"),
-            f"{RETURNS}_clean": (_clean(spark, d), "transformed", "clean", "Clean filings"),
-        },
+        [
+            Dataset("orders", table(spark, d, "orders"), "raw_file", "orders.parquet", "Orders"),
+            Dataset(
+                "customer", table(spark, d, "customer"), "raw_file", "customer.parquet", "Customers"
+            ),
+            Dataset(RETURNS, filings(spark, d), "derived", "filings", "Filings with defects"),
+            Dataset(REGISTER, register(spark, d), "derived", "register", "Register of taxpayers"),
+            Dataset(f"{RETURNS}_clean", _clean(spark, d), "transformed", "clean", "Clean filings"),
+        ],
         RUN_TS,
     )
 
@@ -247,7 +249,7 @@ def _transformations(spark: SparkSession) -> DataFrame:
 
 
 def _catalogue(spark: SparkSession, d: str) -> Catalogue:
-    catalogue = Catalogue(spark, f"{scratch_dir(spark)}/catalogue").init()
+    catalogue = Catalogue(spark, f"{scratch_dir(spark)}/catalogue")
     catalogue.append("datasets", _registered(spark, d))
     catalogue.append("transformations", _transformations(spark))
     return catalogue
