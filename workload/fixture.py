@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from probity.operators import corrupt
 from probity.plans.filings import Columns
@@ -16,8 +17,15 @@ FUTURE = date(2027, 1, 1)
 COLUMNS = Columns(amount_due="amount_due", amount_paid="amount_paid")
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. Its schema is read from the files once and then given."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def tin(key: str) -> str:
