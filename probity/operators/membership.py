@@ -1,14 +1,14 @@
-"""Rows whose key belongs to a counted set of keys, safe against hot keys.
+"""Rows whose key belongs to a set of keys, safe when one key has a third of the rows.
 
-The key set is worked out first, in one narrow aggregate, and written to the
-shared scratch folder together with its measured size. What follows depends on
-that size:
+The set is worked out first, in one narrow aggregate, and written to the shared
+scratch folder together with its measured size. What follows depends on that
+size:
 
 * a small set is broadcast, and the rows are filtered where they are read;
 * otherwise rows and keys are joined by a shuffle. A key holding more than
-  1 / SLICES of the table would overload one task, so it is cut into slices of
-  about that size. At most SLICES keys can be that large, whatever the table,
-  which bounds the list of hot keys each row is looked up in.
+  1 / SLICES of the table would overload one task, so its rows are cut into
+  slices of about that size. At most SLICES keys can be that large, whatever
+  the table, which bounds the list of hot keys that is broadcast to find them.
 """
 
 from __future__ import annotations
@@ -79,71 +79,65 @@ def settle(counted: DataFrame, keys: Sequence[str], wanted: str) -> KeySet:
     return KeySet(spark.read.parquet(path), tuple(keys), **seen.get)
 
 
-def _same(pairs: Sequence[tuple[str, str]]) -> str:
-    return " AND ".join(f"{a} <=> {b}" for a, b in pairs)
+def _same(left: Sequence[str], right: Sequence[str]) -> str:
+    return " AND ".join(f"{a} <=> {b}" for a, b in zip(left, right, strict=True))
 
 
-def rows_with_keys(
-    df: DataFrame,
-    key_set: KeySet,
-    spread_by: Sequence[str],
-    digest: bool = False,
-    limits: Limits = DEFAULT_LIMITS,
+def _semi_join(
+    rows: DataFrame, own: Sequence[str], key_set: KeySet, limits: Limits
 ) -> DataFrame:
-    """The rows of ``df`` whose key is in the set.
+    """The rows whose ``own`` columns are a key of the set, joined as its size allows.
 
-    ``spread_by`` names columns that tell the rows of one key apart.
+    A row's slice is the number of the task that reads it, so a task that runs
+    again after a loss gives its rows the same slices.
     """
-    keys = key_set.keys
-    own, want, hot = (
-        [f"__{kind}{i}" for i in range(len(keys))] for kind in ("own", "want", "hot")
-    )
-
-    def renamed(names: Sequence[str]) -> list[str]:
-        return [f"{ticked(k)} AS {name}" for k, name in zip(keys, names, strict=True)]
 
-    columns = key_columns(df, keys, digest)
-    rows = df.selectExpr("*", *[f"{c} AS {name}" for c, name in zip(columns, own, strict=True)])
-    output = [ticked(c) for c in df.columns]
-    same_key = _same(list(zip(own, want, strict=True)))
+    def keys_as(names: Sequence[str]) -> list[str]:
+        return [f"{ticked(k)} AS {name}" for k, name in zip(key_set.keys, names, strict=True)]
 
+    want = [f"__want{i}" for i in range(len(own))]
+    wanted = key_set.frame.selectExpr(*keys_as(want), "n")
     if key_set.fits_broadcast(limits):
-        small = F.broadcast(key_set.frame.selectExpr(*renamed(want)))
-        return rows.join(small, F.expr(same_key), "left_semi").select(*output)
+        return rows.join(F.broadcast(wanted.select(*want)), F.expr(_same(own, want)), "left_semi")
 
     hot_above = key_set.hot_above(limits)
     if key_set.largest <= hot_above:
-        wanted = key_set.frame.selectExpr(*renamed(want))
-        return rows.join(wanted, F.expr(same_key), "left_semi").select(*output)
+        return rows.join(wanted, F.expr(_same(own, want)), "left_semi")
 
     slices = f"ceil(n / {hot_above})"
+    hot = [f"__hot{i}" for i in range(len(own))]
     hot_keys = key_set.frame.filter(f"n > {hot_above}").selectExpr(
-        *renamed(hot), f"{slices} AS __slices"
+        *keys_as(hot), f"{slices} AS __slices"
     )
-    looked_up = rows.join(
-        F.broadcast(hot_keys), F.expr(_same(list(zip(own, hot, strict=True)))), "left"
+    sliced = rows.join(F.broadcast(hot_keys), F.expr(_same(own, hot)), "left").selectExpr(
+        "*", "pmod(CAST(spark_partition_id() AS BIGINT), coalesce(__slices, 1L)) AS __slice"
     )
-    spread = ", ".join(ticked(c) for c in spread_by)
-    sliced = looked_up.selectExpr(
-        "*", f"pmod(xxhash64({spread}), coalesce(__slices, 1L)) AS __slice"
+    by_slice = wanted.selectExpr(
+        *want, f"explode(sequence(0L, {slices} - 1L)) AS __want_slice"
     )
-    by_slice = key_set.frame.selectExpr(
-        *renamed(want), f"explode(sequence(0L, {slices} - 1L)) AS __want_slice"
-    )
-    same_slice = F.expr(f"{same_key} AND __slice = __want_slice")
-    return sliced.join(by_slice, same_slice, "left_semi").select(*output)
+    same = f"{_same(own, want)} AND __slice = __want_slice"
+    return sliced.join(by_slice, F.expr(same), "left_semi")
+
+
+def rows_with_keys(
+    df: DataFrame, key_set: KeySet, digest: bool = False, limits: Limits = DEFAULT_LIMITS
+) -> DataFrame:
+    """The rows of ``df`` whose key is in the set."""
+    own = [f"__own{i}" for i in range(len(key_set.keys))]
+    columns = key_columns(df, key_set.keys, digest)
+    rows = df.selectExpr("*", *[f"{c} AS {name}" for c, name in zip(columns, own, strict=True)])
+    return _semi_join(rows, own, key_set, limits).select(*[ticked(c) for c in df.columns])
 
 
 def duplicate_rows(
     df: DataFrame,
     keys: Sequence[str],
-    spread_by: Sequence[str],
     digest: bool = False,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Every row that shares its key with another one; NULL keys equal each other."""
     repeated = settle(key_counts(df, keys, digest), keys, "n > 1")
-    return rows_with_keys(df, repeated, spread_by, digest, limits)
+    return rows_with_keys(df, repeated, digest, limits)
 
 
 def orphan_rows(
@@ -151,10 +145,9 @@ def orphan_rows(
     parent: DataFrame,
     key: str,
     parent_key: str,
-    spread_by: Sequence[str],
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Rows of ``child`` with a key the parent lacks; a NULL key is no orphan."""
     present = key_presence(child, parent, key, parent_key).withColumnRenamed("key", key)
     lost = settle(present, [key], is_orphan(key))
-    return rows_with_keys(child, lost, spread_by, limits=limits)
+    return rows_with_keys(child, lost, limits=limits)

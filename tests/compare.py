@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from datetime import date, datetime
 from pathlib import Path
 from typing import Any
 
@@ -25,13 +24,10 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def plain(value: Any) -> Any:
-    if isinstance(value, float):
-        return "NaN" if math.isnan(value) else value
-    if isinstance(value, datetime):
-        return value.isoformat()
-    if isinstance(value, date):
-        return value.isoformat()
-    return value
+    """The value with its type, so that 1 and 1.0 or a date and a timestamp differ."""
+    if isinstance(value, float) and math.isnan(value):
+        return ("float", "NaN")
+    return (type(value).__name__, value)
 
 
 def bag(rows: list[tuple], columns: list[str]) -> Counter:

@@ -30,7 +30,7 @@ def test_duplicate_rows(rows, limits):
     data = skewed()
     seen = Counter(k for _, k, _ in data)
     want = sorted(i for i, k, _ in data if seen[k] > 1)
-    got = duplicate_rows(rows("i INT, k STRING, v DOUBLE", data), ["k"], ["i"], limits=limits)
+    got = duplicate_rows(rows("i INT, k STRING, v DOUBLE", data), ["k"], limits=limits)
     assert got.columns == ["i", "k", "v"]
     assert sorted(r.i for r in got.collect()) == want
 
@@ -41,7 +41,7 @@ def test_duplicate_rows_on_two_keys_by_digest(rows, limits):
     seen = Counter((k, None if v != v else v) if v is not None else (k, None) for _, k, v in data)
     want = sorted(i for i, k, v in data if seen[(k, None if v is None or v != v else v)] > 1)
     df = rows("i INT, k STRING, v DOUBLE", data)
-    got = duplicate_rows(df, ["k", "v"], ["i"], digest=True, limits=limits)
+    got = duplicate_rows(df, ["k", "v"], digest=True, limits=limits)
     assert sorted(r.i for r in got.collect()) == want
 
 
@@ -52,7 +52,7 @@ def test_orphan_rows(rows, limits):
     known = {k for (k,) in parents}
     want = sorted(i for i, k, _ in data if k is not None and k not in known)
     child, parent = rows("i INT, k STRING, v DOUBLE", data), rows("p STRING", parents)
-    got = orphan_rows(child, parent, "k", "p", ["i"], limits)
+    got = orphan_rows(child, parent, "k", "p", limits)
     assert sorted(r.i for r in got.collect()) == want
 
 
@@ -67,8 +67,8 @@ def test_measurements(rows):
 
 def test_nothing_to_find(rows):
     df = rows("i INT, k STRING", [(1, "a"), (2, "b")])
-    assert duplicate_rows(df, ["k"], ["i"]).count() == 0
-    assert duplicate_rows(df.limit(0), ["k"], ["i"]).count() == 0
+    assert duplicate_rows(df, ["k"]).count() == 0
+    assert duplicate_rows(df.limit(0), ["k"]).count() == 0
     present = key_presence(df, df, "k", "k")
     assert settle(present.withColumnRenamed("key", "k"), ["k"], is_orphan("k")).size == 0
 
@@ -76,8 +76,8 @@ def test_nothing_to_find(rows):
 def test_a_hot_key_is_spread_over_slices(rows, monkeypatch):
     monkeypatch.setattr(membership, "SLICES", 100)
     df = rows("i INT, k STRING, v DOUBLE", skewed())
-    got = duplicate_rows(df, ["k"], ["i"], limits=Limits(0, 0, 10))
+    got = duplicate_rows(df, ["k"], limits=Limits(0, 0, 10))
     text = got._jdf.queryExecution().toString()
     assert "__want_slice" in text and "LeftSemi" in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert got.count() == duplicate_rows(df, ["k"], ["i"]).count()
+    assert got.count() == duplicate_rows(df, ["k"]).count()

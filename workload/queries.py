@@ -108,11 +108,11 @@ def dq_referential(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dq_orphan_rows(spark: SparkSession, d: str) -> DataFrame:
-    return orphan_rows(filings(spark, d), register(spark, d), "tin", "tin", SRC_SEQ)
+    return orphan_rows(filings(spark, d), register(spark, d), "tin", "tin")
 
 
 def dq_duplicate_rows(spark: SparkSession, d: str) -> DataFrame:
-    return duplicate_rows(filings(spark, d), ["return_id"], SRC_SEQ)
+    return duplicate_rows(filings(spark, d), ["return_id"])
 
 
 def dq_metrics_all(spark: SparkSession, d: str) -> DataFrame:
@@ -362,9 +362,11 @@ def nat_ship_before_order(spark: SparkSession, d: str) -> DataFrame:
     The lines of one order collapse to its ship dates and the orders to one row
     per key before they meet, so no key reaches the join with many rows.
     """
-    lines = table(spark, d, "lineitem").groupBy("l_orderkey", "l_shipdate").agg(F.expr("count(1) AS n"))
-    ordered = table(spark, d, "orders").groupBy("o_orderkey").agg(F.expr("max(o_orderdate) AS ordered"))
-    joined = lines.join(ordered, F.expr("l_orderkey = o_orderkey"), "left")
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey", "l_shipdate")
+    orders = table(spark, d, "orders").groupBy("o_orderkey")
+    shipped = lines.agg(F.expr("count(1) AS n"))
+    ordered = orders.agg(F.expr("max(o_orderdate) AS ordered"))
+    joined = shipped.join(ordered, F.expr("l_orderkey = o_orderkey"), "left")
     return joined.selectExpr(
         "coalesce(sum(CASE WHEN l_shipdate < ordered THEN n END), 0L) AS affected_rows",
         "coalesce(sum(n), 0L) AS total_rows",
