@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from typing import TypeVar
@@ -88,6 +88,7 @@ def run_pipeline(
     catalogue: Catalogue,
     as_of: date | datetime,
     audit_log: DataFrame | None = None,
+    raw_paths: Mapping[str, str] | None = None,
     order_by: Sequence[str] = (),
     columns: Columns = DEFAULT,
     run_ts: datetime | None = None,
@@ -95,9 +96,11 @@ def run_pipeline(
 ) -> Run:
     """Run every step and return where its outputs are.
 
-    The raw tables are saved first; check and clean both read the saved copy
-    with one schema. Without ``order_by`` the first row of a key is the first
-    in the saved files. The audit log is saved but not registered.
+    Check and clean both read the saved raw tables, with the types the given
+    frames have. Tables named in ``raw_paths`` are already saved there as
+    ``fmt`` and are not written again. Without ``order_by`` the first row of a
+    key is the first in the saved files. The audit log is saved but not
+    registered.
     """
     run_ts = run_ts or datetime.now()
     out = out_dir.rstrip("/")
@@ -106,10 +109,15 @@ def run_pipeline(
     raw = {REGISTER: register, RETURNS: returns}
     if audit_log is not None:
         raw[AUDIT_LOG] = audit_log
-    paths = {name: f"{out}/raw/{name}" for name in raw}
+    given = raw_paths or {}
+    paths = {name: given.get(name, f"{out}/raw/{name}") for name in raw}
+
+    def save(name: str) -> int:
+        return raw[name].count() if name in given else write_table(raw[name], paths[name], fmt)
+
     rows, durations = {}, {}
-    for name, df in raw.items():
-        rows[name], durations[name] = timed(lambda df=df, name=name: write_table(df, paths[name], fmt))
+    for name in raw:
+        rows[name], durations[name] = timed(lambda name=name: save(name))
 
     def saved(name: str, position: bool = False) -> DataFrame:
         read = read_csv if fmt == "csv" else read_parquet

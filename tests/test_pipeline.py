@@ -117,3 +117,24 @@ def test_whole_run(spark, sf_dir, fmt):
         assert catalogue.dq_runs().count() == 2
         # The graph holds every run ever recorded.
         assert len(read_summary(spark, second.summary).first().lineage.edges) == 2
+
+
+def test_saved_inputs_are_not_written_again(spark, sf_dir):
+    out = scratch_dir(spark)
+    paths = {"tax_returns": f"{out}/in/returns", "taxpayer_register": f"{out}/in/register"}
+    filings(spark, sf_dir).write.parquet(paths["tax_returns"])
+    register(spark, sf_dir).write.parquet(paths["taxpayer_register"])
+    done = run_pipeline(
+        spark,
+        spark.read.parquet(paths["tax_returns"]),
+        spark.read.parquet(paths["taxpayer_register"]),
+        f"{out}/out",
+        Catalogue(spark, f"{out}/catalogue"),
+        AS_OF,
+        raw_paths=paths,
+        columns=COLUMNS,
+        run_ts=RUN_TS,
+    )
+    assert done.raw == paths
+    assert done.rows == {"taxpayer_register": 146, "tax_returns": 1500, "tax_returns_clean": 1131}
+    assert spark.read.parquet(done.clean).columns == filings(spark, sf_dir).columns

@@ -351,6 +351,24 @@ def _digits(text: str, start: int) -> str:
 
 SEED = "CAST(return_id AS VARCHAR) || '#' || CAST(copy AS VARCHAR)"
 
+
+
+def _foreign(child: str, key: str, parent: str, parent_key: str, text: str) -> tuple[str, ...]:
+    lost = f"NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{parent_key} = f.{key})"
+    bad = f"{key} IS NOT NULL AND {lost}"
+    return (child, "Referential Integrity", key, text, bad, f"{child} f", HIGH)
+
+
+FOREIGN = [
+    _foreign("orders", "o_custkey", "customer", "c_custkey", "order of no customer"),
+    _foreign("lineitem", "l_orderkey", "orders", "o_orderkey", "line of no order"),
+    _foreign("events", "user_id", "customer", "c_custkey", "event of no customer"),
+    _foreign("labels", "doc_id", "documents", "doc_id", "label of no document"),
+    _unique("orders", "orders", ["o_orderkey"]),
+    _unique("customer", "customer", ["c_custkey"]),
+    _unique("documents", "documents", ["doc_id"]),
+]
+
 ORACLE: dict[str, str] = {
     "dq_completeness": _metrics(NULLS, FILINGS),
     "dq_validity": _metrics(VALIDITY, FILINGS),
@@ -490,5 +508,7 @@ SELECT row_number() OVER (ORDER BY check_seq) AS issue_no,
   CAST(sum(CASE WHEN l_shipdate < o_orderdate THEN 1 ELSE 0 END) AS BIGINT) AS affected_rows,
   count(*) AS total_rows
 FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
+    "nat_foreign_keys": f"""{_with_metrics(FOREIGN)}
+SELECT check_seq, dataset, {ISSUE} FROM metrics""",
     "nat_duplicate_text": _metrics([_unique("documents", "documents", ["text"])]),
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probity.functions import quoted, surrogate_id
-from probity.model import ISSUE_COLUMNS, Check, UniqueKey
+from probity.model import ISSUE_COLUMNS, Check, ForeignKey, UniqueKey
 from probity.operators import corrupt, rules
 from probity.operators.measure import issues, measure
 from probity.operators.membership import duplicate_rows, orphan_rows
@@ -377,6 +377,21 @@ def nat_duplicate_text(spark: SparkSession, d: str) -> DataFrame:
     return _metrics(table(spark, d, "documents"), [UniqueKey(("text",), digest=True)], "documents")
 
 
+def nat_foreign_keys(spark: SparkSession, d: str) -> DataFrame:
+    """The foreign keys of the test tables, and the unique keys they point to."""
+    names = ["orders", "customer", "lineitem", "events", "labels", "documents"]
+    checks = [
+        Check("orders", ForeignKey("o_custkey", "customer", "c_custkey", "order of no customer")),
+        Check("lineitem", ForeignKey("l_orderkey", "orders", "o_orderkey", "line of no order")),
+        Check("events", ForeignKey("user_id", "customer", "c_custkey", "event of no customer")),
+        Check("labels", ForeignKey("doc_id", "documents", "doc_id", "label of no document")),
+        Check("orders", UniqueKey(("o_orderkey",))),
+        Check("customer", UniqueKey(("c_custkey",))),
+        Check("documents", UniqueKey(("doc_id",))),
+    ]
+    return measure(checks, {name: table(spark, d, name) for name in names})
+
+
 QUERIES: dict[str, Query] = {
     "dq_completeness": dq_completeness,
     "dq_validity": dq_validity,
@@ -421,4 +436,5 @@ QUERIES: dict[str, Query] = {
     "nat_negative_balance": nat_negative_balance,
     "nat_ship_before_order": nat_ship_before_order,
     "nat_duplicate_text": nat_duplicate_text,
+    "nat_foreign_keys": nat_foreign_keys,
 }
