@@ -81,6 +81,14 @@ def _unique_key(df: DataFrame, seq: int, check: Check) -> DataFrame:
     return _from_keys(per_key, [(seq, check, "n > 1", "n")])
 
 
+def _comparable(df: DataFrame, name: str, other: DataFrame, other_name: str) -> str:
+    """The key as it is compared with the other side's: whole numbers as such, else as text."""
+    types = (df.schema[name].dataType, other.schema[other_name].dataType)
+    if all(isinstance(t, T.IntegralType) for t in types):
+        return f"CAST({ticked(name)} AS BIGINT)"
+    return f"CAST({folded(df, name)} AS STRING)"
+
+
 def key_presence(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
     """Per key: ``n`` child rows and ``m`` parent rows.
 
@@ -88,10 +96,10 @@ def key_presence(child: DataFrame, parent: DataFrame, key: str, parent_key: str)
     table or broadcast, and repeated keys on either side collapse before the
     shuffle. The NULL key is kept, so that the counts add up to the whole tables.
     """
-    children = child.selectExpr(f"CAST({ticked(key)} AS STRING) AS key", "1L AS n", "0L AS m")
-    parents = parent.selectExpr(
-        f"CAST({ticked(parent_key)} AS STRING) AS key", "0L AS n", "1L AS m"
-    )
+    child_key = _comparable(child, key, parent, parent_key)
+    parent_key = _comparable(parent, parent_key, child, key)
+    children = child.selectExpr(f"{child_key} AS key", "1L AS n", "0L AS m")
+    parents = parent.selectExpr(f"{parent_key} AS key", "0L AS n", "1L AS m")
     return (
         children.union(parents).groupBy("key").agg(F.expr("sum(n) AS n"), F.expr("sum(m) AS m"))
     )
@@ -114,7 +122,7 @@ def _foreign_key(
 
 
 def _is_target(tables: Mapping[str, DataFrame], foreign: ForeignKey, check: Check) -> bool:
-    """Whether a unique key is what the foreign key points to, and equal as text if equal."""
+    """Whether a unique key is what the foreign key points to, and grouping it as text is exact."""
     if check.dataset != foreign.parent or check.rule.keys != (foreign.parent_key,):
         return False
     key_type = tables[foreign.parent].schema[foreign.parent_key].dataType

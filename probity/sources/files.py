@@ -94,7 +94,10 @@ def read_csv(
     if position:
         text = with_input_position(text, "csv")
     missing = listed(na_values)
-    folded = [f"CASE WHEN {ticked(c)} NOT IN ({missing}) THEN {ticked(c)} END AS {ticked(c)}" for c in names]
+    folded = [
+        f"CASE WHEN {ticked(c)} NOT IN ({missing}) THEN {ticked(c)} END AS {ticked(c)}"
+        for c in names
+    ]
     others = [c for c in text.columns if c not in names]
     return conform(text.selectExpr(*folded, *others), schema, lenient)
 

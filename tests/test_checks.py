@@ -170,6 +170,11 @@ def test_keys_of_different_types_compare_as_text(rows):
     assert found(check_referential_integrity(child, rows("tin BIGINT", [(1,)])))["tin"][0] == 1
 
 
+def test_whole_numbers_of_different_width(rows):
+    child, parent = rows("tin INT", [(1,), (2,), (None,)]), rows("tin BIGINT", [(1,), (2**40,)])
+    assert found(check_referential_integrity(child, parent))["tin"][:2] == (1, 3)
+
+
 def test_empty_tables(rows):
     child, parent = rows("tin STRING", []), rows("tin STRING", [])
     bound = [
