@@ -84,25 +84,28 @@ AUDIT_YEAR_START = date(2024, 1, 1)
 AUDIT_YEAR_DAYS = 366
 
 
-def hash_number(text: str, start: int = 1) -> str:
-    """A number below 65536 out of four digits of the MD5 of a text."""
-    return f"CAST(conv(substr(md5({text}), {start}, 4), 16, 10) AS BIGINT)"
+def hex_number(digest: str, start: int = 1) -> str:
+    """A number below 65536 out of four digits of a hexadecimal digest."""
+    return f"CAST(conv(substr({digest}, {start}, 4), 16, 10) AS BIGINT)"
 
 
 def audit_events(df: DataFrame, key: str) -> DataFrame:
-    """One to three audit events per row, all their values derived from its key."""
+    """One to three audit events per row, all their values derived from its key.
+
+    The key should be unique: rows with the same key give the same events.
+    """
     text = f"CAST({ticked(key)} AS STRING)"
     numbered = df.selectExpr(
-        ticked(key), f"explode(sequence(1L, 1L + {hash_number(text)} % 3)) AS copy"
+        ticked(key), f"explode(sequence(1L, 1L + {hex_number(f'md5({text})')} % 3)) AS copy"
     )
     seeded = numbered.selectExpr(
-        ticked(key), f"concat({text}, '#', CAST(copy AS STRING)) AS seed"
+        ticked(key), f"md5(concat({text}, '#', CAST(copy AS STRING))) AS digest"
     )
-    event = f"CAST({hash_number('seed', 1)} % {len(AUDIT_EVENTS)} AS INT)"
-    user = f"{AUDIT_USERS.start} + {hash_number('seed', 5)} % {len(AUDIT_USERS)}"
-    day = f"CAST({hash_number('seed', 9)} % {AUDIT_YEAR_DAYS} AS INT)"
+    event = f"CAST({hex_number('digest', 1)} % {len(AUDIT_EVENTS)} AS INT)"
+    user = f"{AUDIT_USERS.start} + {hex_number('digest', 5)} % {len(AUDIT_USERS)}"
+    day = f"CAST({hex_number('digest', 9)} % {AUDIT_YEAR_DAYS} AS INT)"
     return seeded.selectExpr(
-        "substr(md5(seed), 1, 12) AS event_id",
+        "substr(digest, 1, 12) AS event_id",
         ticked(key),
         f"get(array({listed(AUDIT_EVENTS)}), {event}) AS event_type",
         f"concat('USR-', lpad(CAST({user} AS STRING), 3, '0')) AS user_id",

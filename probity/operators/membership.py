@@ -75,8 +75,9 @@ def settle(counted: DataFrame, keys: Sequence[str], wanted: str) -> KeySet:
         F.expr(f"coalesce(sum(CASE WHEN {wanted} THEN {width} END), 0L) AS key_bytes"),
         F.expr(f"coalesce(max(CASE WHEN {wanted} THEN n END), 0L) AS largest"),
     )
-    measured.filter(wanted).select(*[ticked(k) for k in keys], "n").write.parquet(path)
-    return KeySet(spark.read.parquet(path), tuple(keys), **seen.get)
+    chosen = measured.filter(wanted).select(*[ticked(k) for k in keys], "n")
+    chosen.write.parquet(path)
+    return KeySet(spark.read.schema(chosen.schema).parquet(path), tuple(keys), **seen.get)
 
 
 def _same(left: Sequence[str], right: Sequence[str]) -> str:
