@@ -15,6 +15,7 @@ from probity.operators import rules
 from probity.operators.measure import issues, measure
 from probity.operators.remedy import cleaning_summary, remediate
 from probity.plans.scoring import result_document
+from probity.sources.files import INPUT_POSITION
 
 # Fixed values.
 RETURNS = "tax_returns"
@@ -218,16 +219,19 @@ def cleaning_conditions(
 def clean_returns(
     df: DataFrame,
     as_of: date | datetime | None = None,
-    order_by: Sequence[str] = ("src_seq",),
+    order_by: Sequence[str] | None = None,
     c: Columns = DEFAULT,
 ) -> DataFrame:
     """Returns fit for use: good key, amount, currency and date, first row per id.
 
-    ``order_by`` says which row is first; see ``with_input_position`` for files
-    without such a column.
+    ``order_by`` says which row is first. Without it the input position is used
+    that the readers add with ``position=True``, and dropped afterwards.
     """
+    if order_by is None and INPUT_POSITION not in df.columns:
+        raise ValueError("name the columns that say which row of an id comes first")
     conditions = cleaning_conditions(df, as_of or datetime.now(), c)
-    return fold_nan(remediate(df, conditions, [c.return_id], order_by))
+    clean = fold_nan(remediate(df, conditions, [c.return_id], order_by or [INPUT_POSITION]))
+    return clean if order_by else clean.drop(INPUT_POSITION)
 
 
 def summarise_cleaning(

@@ -24,21 +24,27 @@ from probity.plans.filings import (
 from probity.plans.lineage import edges, graph_document, nodes
 from probity.plans.scoring import result_document
 from probity.sources import (
-    INPUT_POSITION,
     Catalogue,
     Dataset,
     read_csv,
     read_document,
     read_parquet,
-    read_summary,
     write_document,
     write_table,
 )
 
 CLEAN = f"{RETURNS}_clean"
 AUDIT_LOG = "audit_log"
-# Fixed value. Cleaning does not enforce status, consistency, staleness or foreign keys.
+# What the catalogue says. Cleaning does not in fact enforce status,
+# consistency, staleness or foreign keys.
+RAW_TEXTS = {
+    REGISTER: "Master register of all registered taxpayers",
+    RETURNS: "Tax return filings with injected quality issues",
+}
 CLEAN_TEXT = "Cleaned tax returns — passed all quality checks"
+STEP = "DQ Remediation"
+STEP_OPERATION = "filter + deduplicate"
+STEP_TEXT = "Remove rows failing null, validity, currency, date and uniqueness checks"
 R = TypeVar("R")
 
 
@@ -123,15 +129,10 @@ def run_pipeline(
         read = read_csv if fmt == "csv" else read_parquet
         return read(spark, paths[name], raw[name].schema, position=position)
 
-    # The descriptions.
-    texts = {
-        REGISTER: "Master register of all registered taxpayers",
-        RETURNS: "Tax return filings with injected quality issues",
-    }
     ids = catalogue.register_datasets(
         [
             Dataset(name, raw[name], "raw_file", paths[name], text, rows[name])
-            for name, text in texts.items()
+            for name, text in RAW_TEXTS.items()
         ],
         run_ts,
     )
@@ -145,19 +146,18 @@ def run_pipeline(
     if order_by:
         clean = clean_returns(saved(RETURNS), as_of, order_by, columns)
     else:
-        placed = saved(RETURNS, position=True)
-        clean = clean_returns(placed, as_of, [INPUT_POSITION], columns).drop(INPUT_POSITION)
+        clean = clean_returns(saved(RETURNS, position=True), as_of, c=columns)
     clean_path = f"{out}/processed/{CLEAN}"
     rows[CLEAN], durations["clean"] = timed(lambda: write_table(clean, clean_path, fmt))
     ids[CLEAN] = catalogue.register_dataset(
         CLEAN, clean, "transformed", clean_path, CLEAN_TEXT, rows[CLEAN], run_ts
     )
     catalogue.register_transformation(
-        "DQ Remediation",
+        STEP,
         [ids[RETURNS]],
         ids[CLEAN],
-        "filter + deduplicate",
-        "Remove rows failing null, validity, currency, date and uniqueness checks",
+        STEP_OPERATION,
+        STEP_TEXT,
         durations["clean"],
         run_ts=run_ts,
     )
@@ -167,5 +167,3 @@ def run_pipeline(
     write_document(_summary(result, graph, rows[RETURNS], rows[CLEAN], run_ts), summary_path)
     return Run(paths, clean_path, result_path, summary_path, ids, rows, durations)
 
-
-__all__ = ["AUDIT_LOG", "CLEAN", "Run", "read_summary", "run_pipeline", "timed"]

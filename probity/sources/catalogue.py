@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -103,7 +104,11 @@ def dq_run_row(result: DataFrame, dataset_id: str, run_ts: datetime) -> DataFram
 
 
 class Catalogue:
-    """The three tables under one folder. Rows are only ever appended."""
+    """The three tables under one folder. Rows are only ever appended.
+
+    Every append is a folder of its own below its table, so that runs at the same
+    time do not disturb each other's commits.
+    """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
@@ -113,18 +118,20 @@ class Catalogue:
         """Create the tables that are not there yet, empty."""
         for name, schema in TABLES.items():
             empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("ignore").parquet(f"{self.path}/{name}")
+            empty.write.mode("ignore").parquet(f"{self.path}/{name}/batch=none")
         return self
 
     def append(self, name: str, rows: DataFrame) -> None:
-        """Append rows to a table as one file per call, in the table's types."""
+        """Append rows to a table as one file, in the table's types."""
         typed = rows.selectExpr(
             *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in TABLES[name]]
         )
-        typed.coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
+        typed.coalesce(1).write.parquet(f"{self.path}/{name}/batch={uuid.uuid4().hex}")
 
     def _scan(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.path}/{name}")
+        schema = TABLES[name]
+        stored = self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+        return stored.select(*schema.names)
 
     def datasets(self) -> DataFrame:
         return self._scan("datasets")

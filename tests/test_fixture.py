@@ -8,6 +8,8 @@ from probity.model import DIMENSIONS
 from probity.plans.filings import clean_returns, database_metrics, summarise_cleaning
 from probity.plans.scoring import result_document
 
+SEQ = ["src_seq"]
+
 
 def test_anchors(spark, sf_dir):
     metrics = database_metrics(filings(spark, sf_dir), register(spark, sf_dir), AS_OF, COLUMNS)
@@ -33,12 +35,12 @@ def test_anchors(spark, sf_dir):
 def test_cleaning_anchors(spark, sf_dir):
     raw = filings(spark, sf_dir)
     assert tuple(summarise_cleaning(raw, AS_OF, COLUMNS).first()) == (1500, 1131, 369, 75.4)
-    assert clean_returns(raw, AS_OF, c=COLUMNS).count() == 1131
+    assert clean_returns(raw, AS_OF, SEQ, COLUMNS).count() == 1131
 
 
 def test_clean_output_passes_the_rules_cleaning_enforces(spark, sf_dir):
-    clean = clean_returns(filings(spark, sf_dir), AS_OF, c=COLUMNS)
-    assert clean_returns(clean, AS_OF, c=COLUMNS).count() == clean.count()
+    clean = clean_returns(filings(spark, sf_dir), AS_OF, SEQ, COLUMNS)
+    assert clean_returns(clean, AS_OF, SEQ, COLUMNS).count() == clean.count()
     left = {(r.dimension, r.field) for r in database_metrics(clean, register(spark, sf_dir), AS_OF, COLUMNS).collect() if r.affected_rows}
     assert not left & {
         ("Completeness", "tin"),

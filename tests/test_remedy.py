@@ -14,6 +14,7 @@ SCHEMA = (
 )
 TIN, DAY = "1234567890", date(2024, 6, 30)
 NAN = float("nan")
+SEQ = ["src_seq"]
 
 
 def row(seq, rid="a", tin=TIN, due=1.0, paid=1.0, currency="UGX", filed=DAY):
@@ -41,7 +42,7 @@ DATA = [
 @pytest.mark.parametrize("as_of", [DAY, datetime(2024, 6, 30, 12)])
 def test_clean(rows, as_of):
     df = rows(SCHEMA, DATA).repartition(5)
-    clean = clean_returns(df, as_of).orderBy("src_seq").collect()
+    clean = clean_returns(df, as_of, SEQ).orderBy("src_seq").collect()
     # The dirty first copy of "a" does not hide the good one, and one NULL id is kept.
     assert [r.src_seq for r in clean] == [2, 4, 11]
     assert clean[-1].amount_paid_ugx is None
@@ -51,13 +52,18 @@ def test_clean(rows, as_of):
 def test_time_of_day_counts_for_timestamps(rows):
     schema = SCHEMA.replace("filing_date DATE", "filing_date TIMESTAMP_NTZ")
     df = rows(schema, [row(1, "a", filed=datetime(2024, 6, 30, 9)), row(2, "b", filed=datetime(2024, 6, 30, 15))])
-    assert clean_returns(df, datetime(2024, 6, 30, 12)).count() == 1
-    assert clean_returns(df, DAY).count() == 2
+    assert clean_returns(df, datetime(2024, 6, 30, 12), SEQ).count() == 1
+    assert clean_returns(df, DAY, SEQ).count() == 2
+
+
+def test_the_first_row_must_be_defined(rows):
+    with pytest.raises(ValueError, match="which row"):
+        clean_returns(rows(SCHEMA, DATA), DAY)
 
 
 def test_empty_table(rows):
     df = rows(SCHEMA, [])
-    assert clean_returns(df, DAY).count() == 0
+    assert clean_returns(df, DAY, SEQ).count() == 0
     assert tuple(summarise_cleaning(df, DAY).first()) == (0, 0, 0, 100.0)
 
 
