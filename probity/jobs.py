@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +13,9 @@ from probity.model import AUDIT_SCHEMA, REGISTER_SCHEMA, RETURNS_SCHEMA
 from probity.plans.filings import REGISTER, RETURNS, run_all_checks
 from probity.plans.pipeline import AUDIT_LOG, run_pipeline
 from probity.plans.report import report_tables
-from probity.session import builder
+from probity.session import builder, scratch_dir
 from probity.sources import (
+    INPUT_POSITION,
     Catalogue,
     read_csv,
     read_parquet,
@@ -24,38 +25,54 @@ from probity.sources import (
 )
 
 
-def _reader(spark: SparkSession, fmt: str) -> Callable[[str, T.StructType], DataFrame]:
-    read = read_csv if fmt == "csv" else read_parquet
-    return lambda path, schema: read(spark, path, schema)
+def _returns(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.format == "csv":
+        return read_csv(spark, args.returns, RETURNS_SCHEMA, position=True)
+    return read_parquet(spark, args.returns, RETURNS_SCHEMA)
+
+
+def _other(
+    spark: SparkSession, args: argparse.Namespace, path: str, schema: T.StructType
+) -> DataFrame:
+    return (read_csv if args.format == "csv" else read_parquet)(spark, path, schema)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Check, clean, record lineage and save the summary of tables that are on disk."""
-    read = _reader(spark, args.format)
+    """Check, clean, record lineage and save the summary.
+
+    Parquet input is used where it is. CSV input is parsed once and saved as
+    parquet below the output folder, each row with its position in the files.
+    """
     paths = {REGISTER: args.register, RETURNS: args.returns}
     audit_log = None
     if args.audit_log:
         paths[AUDIT_LOG] = args.audit_log
-        audit_log = read(args.audit_log, AUDIT_SCHEMA)
+        audit_log = _other(spark, args, args.audit_log, AUDIT_SCHEMA)
     run_pipeline(
         spark,
-        read(args.returns, RETURNS_SCHEMA),
-        read(args.register, REGISTER_SCHEMA),
+        _returns(spark, args),
+        _other(spark, args, args.register, REGISTER_SCHEMA),
         args.out,
         Catalogue(spark, args.catalogue or f"{args.out}/catalogue"),
         args.as_of,
         audit_log,
-        raw_paths=paths,
-        fmt=args.format,
+        raw_paths=paths if args.format == "parquet" else None,
+        clean_fmt=args.format,
     )
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Save the result document of the checks alone."""
-    read = _reader(spark, args.format)
-    result = run_all_checks(
-        read(args.returns, RETURNS_SCHEMA), read(args.register, REGISTER_SCHEMA), args.as_of
-    )
+    """Save the result document of the checks alone. CSV input is parsed once."""
+    tables = {
+        "returns": _returns(spark, args).drop(INPUT_POSITION),
+        "register": _other(spark, args, args.register, REGISTER_SCHEMA),
+    }
+    if args.format == "csv":
+        staged = scratch_dir(spark)
+        for name, df in tables.items():
+            write_table(df, f"{staged}/{name}")
+            tables[name] = spark.read.schema(df.schema).parquet(f"{staged}/{name}")
+    result = run_all_checks(tables["returns"], tables["register"], args.as_of)
     write_document(result, args.out)
 
 

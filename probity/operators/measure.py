@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from probity.functions import fold_nan, pass_rate, quoted, ticked
 from probity.functions.missing import folded
-from probity.model import Check, ForeignKey, RowRule, UniqueKey
+from probity.model import Check, ForeignKey, UniqueKey
 
 LEVEL = """CASE WHEN affected_rows > 0 THEN
   CASE WHEN above_pct IS NULL OR affected_rows * 100 > total_rows * above_pct

@@ -24,6 +24,7 @@ from probity.plans.filings import (
 from probity.plans.lineage import edges, graph_document, nodes
 from probity.plans.scoring import result_document
 from probity.sources import (
+    INPUT_POSITION,
     Catalogue,
     Dataset,
     read_csv,
@@ -99,14 +100,19 @@ def run_pipeline(
     columns: Columns = DEFAULT,
     run_ts: datetime | None = None,
     fmt: str = "parquet",
+    clean_fmt: str | None = None,
 ) -> Run:
     """Run every step and return where its outputs are.
 
     Check and clean both read the saved raw tables, with the types the given
     frames have. Tables named in ``raw_paths`` are already saved there as
-    ``fmt`` and are not written again. Without ``order_by`` the first row of a
-    key is the first in the saved files. The audit log is saved but not
-    registered.
+    ``fmt`` and are not written again. Prefer parquet for ``fmt``: the raw tables
+    are read once per grouping, and only parquet reads a few columns cheaply.
+    The clean table is saved as ``clean_fmt`` if that should differ.
+
+    Without ``order_by`` the first row of a key is the first by input position,
+    that of the given frame if it has one, else that in the saved files. The
+    audit log is saved but not registered.
     """
     run_ts = run_ts or datetime.now()
     out = out_dir.rstrip("/")
@@ -131,7 +137,9 @@ def run_pipeline(
 
     ids = catalogue.register_datasets(
         [
-            Dataset(name, raw[name], "raw_file", paths[name], text, rows[name])
+            Dataset(
+                name, raw[name].drop(INPUT_POSITION), "raw_file", paths[name], text, rows[name]
+            )
             for name, text in RAW_TEXTS.items()
         ],
         run_ts,
@@ -143,12 +151,12 @@ def run_pipeline(
     result = read_document(spark, result_path, RESULT_SCHEMA)
     catalogue.log_dq_run(ids[RETURNS], result, run_ts)
 
-    if order_by:
-        clean = clean_returns(saved(RETURNS), as_of, order_by, columns)
-    else:
-        clean = clean_returns(saved(RETURNS, position=True), as_of, c=columns)
+    placed = bool(order_by) or INPUT_POSITION in returns.columns
+    clean = clean_returns(
+        saved(RETURNS, position=not placed), as_of, list(order_by) or None, columns
+    )
     clean_path = f"{out}/processed/{CLEAN}"
-    rows[CLEAN], durations["clean"] = timed(lambda: write_table(clean, clean_path, fmt))
+    rows[CLEAN], durations["clean"] = timed(lambda: write_table(clean, clean_path, clean_fmt or fmt))
     ids[CLEAN] = catalogue.register_dataset(
         CLEAN, clean, "transformed", clean_path, CLEAN_TEXT, rows[CLEAN], run_ts
     )

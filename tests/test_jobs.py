@@ -144,10 +144,20 @@ def test_run_check_and_report(spark, tmp_path, seed):
     assert summary["cleaning_summary"]["rows_after"] == len(good)
     clean = spark.read.option("header", True).csv(f"{out}/run/processed/tax_returns_clean")
     assert clean.columns == COLUMNS
+    datasets = spark.read.parquet(f"{out}/run/catalogue/datasets").filter("name = 'tax_returns'")
+    assert (datasets.first().row_count, datasets.first().col_count) == (len(returns), len(COLUMNS))
     assert Counter((r.return_id, r.tin, float(r.amount_due_ugx)) for r in clean.collect()) == Counter(
         (r["return_id"], r["tin"], r["amount_due_ugx"]) for r in good
     )
 
+    # The same from parquet, read where it is.
+    raw = f"{out}/run/raw"
+    parquet = ["--returns", f"{raw}/tax_returns", "--register", f"{raw}/taxpayer_register"]
+    main(["run", *parquet, "--as-of", str(AS_OF), "--out", f"{out}/again"], spark)
+    again = json.loads(spark.read.text(f"{out}/again/pipeline_summary").first()[0])
+    assert again["dq_results"] == alone
+    assert again["cleaning_summary"] == summary["cleaning_summary"]
+
     main(["report", "--summary", f"{out}/run/pipeline_summary", "--out", f"{out}/report"], spark)
     log = spark.read.parquet(f"{out}/report/issue_log").orderBy("issue_no").collect()
     rank = {"HIGH": 0, "MEDIUM": 1, "LOW": 2}

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tempfile
 from datetime import date, datetime
 
 import pytest
@@ -122,3 +123,22 @@ def test_scratch_folder_is_the_one_the_session_names(spark):
     path = scratch_dir(spark)
     assert path.startswith(named.rstrip("/") if named else "/")
     assert path != scratch_dir(spark)
+
+
+class Elsewhere:
+    """Just enough of a session on a cluster that names no shared folder."""
+
+    class conf:  # noqa: N801
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+    class sparkContext:  # noqa: N801
+        master = "yarn"
+
+
+def test_without_a_named_folder_only_a_local_session_has_one(spark, monkeypatch):
+    monkeypatch.setattr("probity.session.CHECKPOINT_DIR", "spark.probity.not.set")
+    assert scratch_dir(spark).startswith(tempfile.gettempdir())
+    with pytest.raises(RuntimeError, match="shared by the cluster"):
+        scratch_dir(Elsewhere)

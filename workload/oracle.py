@@ -510,5 +510,8 @@ SELECT row_number() OVER (ORDER BY check_seq) AS issue_no,
 FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
     "nat_foreign_keys": f"""{_with_metrics(FOREIGN)}
 SELECT check_seq, dataset, {ISSUE} FROM metrics""",
+    "nat_duplicate_text_rows": """SELECT doc_id, lang FROM (
+  SELECT doc_id, lang, count(*) OVER (PARTITION BY text) AS copies FROM documents)
+WHERE copies > 1""",
     "nat_duplicate_text": _metrics([_unique("documents", "documents", ["text"])]),
 }

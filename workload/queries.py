@@ -29,7 +29,7 @@ from probity.plans.filings import (
     validity_rules,
 )
 from probity.plans.pipeline import run_pipeline
-from probity.plans.scoring import dimension_scores, issue_rows, overall, result_document
+from probity.plans.scoring import dimension_scores, overall, result_document
 from probity.session import scratch_dir
 from probity.sources import Catalogue, Dataset, read_csv, read_summary, write_table
 from probity.sources.catalogue import dataset_rows, dq_run_row, transformation_row
@@ -377,6 +377,12 @@ def nat_duplicate_text(spark: SparkSession, d: str) -> DataFrame:
     return _metrics(table(spark, d, "documents"), [UniqueKey(("text",), digest=True)], "documents")
 
 
+def nat_duplicate_text_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The documents whose text another document has too, found by digest."""
+    documents = table(spark, d, "documents").select("doc_id", "lang", "text")
+    return duplicate_rows(documents, ["text"], digest=True).select("doc_id", "lang")
+
+
 def nat_foreign_keys(spark: SparkSession, d: str) -> DataFrame:
     """The foreign keys of the test tables, and the unique keys they point to."""
     names = ["orders", "customer", "lineitem", "events", "labels", "documents"]
@@ -436,5 +442,6 @@ QUERIES: dict[str, Query] = {
     "nat_negative_balance": nat_negative_balance,
     "nat_ship_before_order": nat_ship_before_order,
     "nat_duplicate_text": nat_duplicate_text,
+    "nat_duplicate_text_rows": nat_duplicate_text_rows,
     "nat_foreign_keys": nat_foreign_keys,
 }
