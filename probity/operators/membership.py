@@ -136,7 +136,10 @@ def duplicate_rows(
     digest: bool = False,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """Every row that shares its key with another one; NULL keys equal each other."""
+    """Every row that shares its key with another one; NULL keys equal each other.
+
+    Use ``digest`` for keys of long text, so that key sets stay narrow.
+    """
     repeated = settle(key_counts(df, keys, digest), keys, "n > 1")
     return rows_with_keys(df, repeated, digest, limits)
 

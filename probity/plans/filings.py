@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -195,11 +195,16 @@ def check_referential_integrity(
 
 
 def _filed_by(df: DataFrame, name: str, as_of: date | datetime) -> str:
-    if not isinstance(as_of, datetime):
-        return f"CAST({ticked(name)} AS DATE) <= {date_literal(as_of)}"
-    if isinstance(df.schema[name].dataType, T.DateType):
-        return f"{ticked(name)} <= {date_literal(as_of)}"
-    return f"CAST({ticked(name)} AS TIMESTAMP_NTZ) <= {moment_literal(as_of)}"
+    """Dated no later than ``as_of``, in a form the scan can use where the type allows."""
+    column, kind = ticked(name), df.schema[name].dataType
+    if isinstance(kind, T.DateType):
+        return f"{column} <= {date_literal(rules.as_day(as_of))}"
+    if isinstance(as_of, datetime):
+        return f"CAST({column} AS TIMESTAMP_NTZ) <= {moment_literal(as_of)}"
+    if isinstance(kind, T.TimestampNTZType):
+        midnight = datetime.combine(as_of + timedelta(days=1), time())
+        return f"{column} < {moment_literal(midnight)}"
+    return f"CAST({column} AS DATE) <= {date_literal(as_of)}"
 
 
 def cleaning_conditions(

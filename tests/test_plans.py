@@ -73,3 +73,13 @@ def test_samples_are_taken_without_a_full_sort(spark, sf_dir):
 def test_long_texts_are_shuffled_as_digests(spark, sf_dir):
     text = plan(QUERIES["nat_duplicate_text"](spark, sf_dir))
     assert text.index("Exchange hashpartitioning") < text.index("sha2")
+
+
+def test_a_day_limit_on_timestamps_reaches_the_scan(spark):
+    path = f"{scratch_dir(spark)}/returns"
+    typed = spark.createDataFrame([], RETURNS_SCHEMA).selectExpr(
+        "* EXCEPT (filing_date)", "CAST(filing_date AS TIMESTAMP_NTZ) AS filing_date"
+    )
+    typed.write.parquet(path)
+    text = plan(clean_returns(spark.read.parquet(path), date(2024, 1, 1), ["assessor_id"]))
+    assert "LessThan(filing_date,2024-01-02T00:00" in text
