@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from probity.functions import ticked
 
-def nodes(datasets: DataFrame) -> DataFrame:
+
+NODE = ["id", "label", "type", "rows"]
+EDGE = ["from", "to", "label", "operation", "status"]
+
+
+def nodes(datasets: DataFrame, *also: str) -> DataFrame:
+    """One node per dataset, with the columns ``also`` names."""
     return datasets.selectExpr(
-        "dataset_id AS id", "name AS label", "source_type AS type", "row_count AS rows"
+        "dataset_id AS id", "name AS label", "source_type AS type", "row_count AS rows", *also
     )
 
 
-def edges(transformations: DataFrame) -> DataFrame:
-    """One edge per input of a transformation.
+def edges(transformations: DataFrame, *also: str) -> DataFrame:
+    """One edge per input of a transformation, with the columns ``also`` names.
 
     The inputs may be an array or the JSON text of one.
     """
@@ -26,6 +33,7 @@ def edges(transformations: DataFrame) -> DataFrame:
         "step_name AS label",
         "operation",
         "status",
+        *also,
     )
 
 
@@ -65,14 +73,23 @@ def dataset_listing(nodes: DataFrame) -> DataFrame:
     return nodes.select("label", "rows", "type", "id")
 
 
-def graph_document(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Nodes and edges as one row of two arrays.
+def graph_document(datasets: DataFrame, transformations: DataFrame) -> DataFrame:
+    """Nodes and edges as one row of two arrays, the oldest first.
 
     Both come from the catalogue, which holds one row per dataset and step.
     """
-    both = nodes.selectExpr("struct(*) AS node", "NULL AS edge").union(
-        edges.selectExpr("NULL AS node", "struct(*) AS edge")
+
+    def entry(columns: list[str], at: str) -> str:
+        fields = ", ".join(ticked(c) for c in columns)
+        return f"struct({at} AS at, struct({fields}) AS entry)"
+
+    def in_order(name: str) -> str:
+        return f"transform(sort_array(collect_list({name})), e -> e.entry) AS {name}s"
+
+    all_nodes = nodes(datasets, "created_at").selectExpr(
+        f"{entry(NODE, 'created_at')} AS node", "NULL AS edge"
     )
-    return both.selectExpr(
-        "sort_array(collect_list(node)) AS nodes", "sort_array(collect_list(edge)) AS edges"
+    all_edges = edges(transformations, "executed_at").selectExpr(
+        "NULL AS node", f"{entry(EDGE, 'executed_at')} AS edge"
     )
+    return all_nodes.union(all_edges).selectExpr(in_order("node"), in_order("edge"))

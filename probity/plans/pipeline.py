@@ -21,7 +21,7 @@ from probity.plans.filings import (
     clean_returns,
     database_metrics,
 )
-from probity.plans.lineage import edges, graph_document, nodes
+from probity.plans.lineage import graph_document
 from probity.plans.scoring import result_document
 from probity.sources import (
     INPUT_POSITION,
@@ -170,7 +170,7 @@ def run_pipeline(
         run_ts=run_ts,
     )
 
-    graph = graph_document(nodes(catalogue.datasets()), edges(catalogue.transformations()))
+    graph = graph_document(catalogue.datasets(), catalogue.transformations())
     summary_path = f"{out}/pipeline_summary"
     write_document(_summary(result, graph, rows[RETURNS], rows[CLEAN], run_ts), summary_path)
     return Run(paths, clean_path, result_path, summary_path, ids, rows, durations)

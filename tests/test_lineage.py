@@ -61,8 +61,11 @@ def test_graph_and_flow(catalogue, rows):
         ("raw", 2, "Fix", "filter", "success", "clean", 1),
         ("gone", None, "Fix", "filter", "success", "clean", 1),
     }
-    doc = lineage.graph_document(nodes, edges).first()
-    assert (len(doc.nodes), len(doc.edges)) == (2, 2)
+    late = catalogue.register_dataset("late", df, "raw_file", "l", run_ts=T2)
+    doc = lineage.graph_document(catalogue.datasets(), catalogue.transformations()).first()
+    assert [n.asDict() for n in doc.nodes][-1] == {"id": late, "label": "late", "type": "raw_file", "rows": 2}
+    assert [list(e.asDict()) for e in doc.edges] == [["from", "to", "label", "operation", "status"]] * 2
+    assert len(doc.nodes) == 3
 
 
 def test_run_log(catalogue, rows):

@@ -272,9 +272,7 @@ def lineage_flow(spark: SparkSession, d: str) -> DataFrame:
 def lineage_graph(spark: SparkSession, d: str) -> DataFrame:
     """The stored graph document opened again: its edges, with the rows of the output."""
     catalogue = _catalogue(spark, d)
-    document = lineage.graph_document(
-        lineage.nodes(catalogue.datasets()), lineage.edges(catalogue.transformations())
-    )
+    document = lineage.graph_document(catalogue.datasets(), catalogue.transformations())
     return document.selectExpr(
         "CAST(size(nodes) AS BIGINT) AS node_count",
         "aggregate(nodes, 0L, (n, node) -> n + node.rows) AS node_rows",
