@@ -17,11 +17,11 @@ from probity.functions.bands import SEVERITIES, score_band, severity_rank, verdi
 from probity.functions.missing import fold_nan, present
 from probity.functions.text import (
     date_literal,
+    last_chars,
     listed,
     moment_literal,
     quoted,
     surrogate_id,
-    surrogate_id_sql,
     thousands,
     ticked,
 )
@@ -32,6 +32,7 @@ __all__ = [
     "date_literal",
     "fold_nan",
     "half_even_div",
+    "last_chars",
     "listed",
     "mean_basis_points",
     "moment_literal",
@@ -43,7 +44,6 @@ __all__ = [
     "score_band",
     "severity_rank",
     "surrogate_id",
-    "surrogate_id_sql",
     "thousands",
     "ticked",
     "verdict",

@@ -10,9 +10,14 @@ ID_LENGTH = 16
 
 
 def quoted(text: str) -> str:
-    """A string literal."""
-    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
+    """A string literal, the same under any setting of the parser.
+
+    What settings give a meaning (backslashes, quotes, and ``${...}``, which is
+    substituted) is written by its bytes.
+    """
+    if any(c in text for c in "\\'$"):
+        return f"CAST(X'{text.encode().hex()}' AS STRING)"
+    return f"'{text}'"
 
 
 def listed(texts: Iterable[str]) -> str:
@@ -32,14 +37,17 @@ def moment_literal(moment: datetime) -> str:
     return f"TIMESTAMP_NTZ '{moment.isoformat(sep=' ')}'"
 
 
-def surrogate_id(name: str, run_ts: datetime) -> str:
-    """Id of one catalogue row, for a caller that needs it before the row is written."""
-    return hashlib.md5(f"{name}{run_ts.isoformat()}".encode()).hexdigest()[:ID_LENGTH]
+def surrogate_id(name: str, run_ts: datetime, place: str = "", length: int = ID_LENGTH) -> str:
+    """Id of one catalogue row, for a caller that needs it before the row is written.
+
+    ``place`` tells rows of one name and time apart.
+    """
+    return hashlib.md5(f"{name}{run_ts.isoformat()}{place}".encode()).hexdigest()[:length]
 
 
-def surrogate_id_sql(name: str, run_ts: datetime) -> str:
-    """The same id as an expression over a name expression."""
-    return f"substr(md5(concat({name}, {quoted(run_ts.isoformat())})), 1, {ID_LENGTH})"
+def last_chars(text: str, n: int) -> str:
+    """The last ``n`` characters of a text expression."""
+    return f"right({text}, {n})"
 
 
 def thousands(number: str) -> str:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_own: list[str] = []
 
 
 def builder(app_name: str = "probity") -> SparkSession.Builder:
@@ -23,13 +23,30 @@ def builder(app_name: str = "probity") -> SparkSession.Builder:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder all executors can reach, under the folder the cluster names.
-
-    Only a local session may fall back to a temporary folder of this machine.
-    """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
-    if base:
-        return f"{base.rstrip('/')}/probity-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    """A new folder all executors can reach, under the folder the session names."""
+    base = spark.conf.get(CHECKPOINT_DIR, None) or (_own[-1] if _own else None)
+    if not base:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="probity-")
+    return f"{base.rstrip('/')}/probity-{uuid.uuid4().hex}"
+
+
+def use_scratch(base: str) -> None:
+    """Where ``scratch_dir`` is to be if a session names no folder: for tests on one machine."""
+    _own.append(base)
+
+
+def _file_system(spark: SparkSession, path: str):  # noqa: ANN202
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of this path, in whatever file system it is."""
+    files, folder = _file_system(spark, path)
+    return files.exists(folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there, in whatever file system it is."""
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from probity.functions import fold_nan, listed, ticked
 from probity.model import SUMMARY_SCHEMA
+from probity.session import exists
 
 # Texts read as missing, the default list of the pandas CSV reader.
 NA_VALUES = (
@@ -35,6 +36,8 @@ NA_VALUES = (
 )
 
 INPUT_POSITION = "input_position"
+#: Note below a CSV folder whose values have line breaks; readers of the folder pass it over.
+LINE_BREAKS = "_line_breaks"
 
 
 def conform(df: DataFrame, schema: T.StructType, lenient: bool = False) -> DataFrame:
@@ -76,21 +79,29 @@ def read_csv(
     schema: T.StructType,
     na_values: Sequence[str] = NA_VALUES,
     lenient: bool = False,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     position: bool = False,
 ) -> DataFrame:
     """CSV with a header row. Every column is read as text, ``na_values`` become
     NULL, and only then are the types of ``schema`` applied, by column name.
 
-    ``multi_line`` is for line breaks inside quotes; such files cannot be split.
+    A row with more or fewer fields than the header, or a file with another
+    header, fails every read, also one of a few columns or none; if lenient, rows
+    are filled up or cut. ``multi_line`` is for line breaks inside quotes; such
+    files cannot be split. If not given it is what ``write_table`` noted.
     """
-    text = (
+    if multi_line is None:
+        multi_line = exists(spark, f"{path.rstrip('/')}/{LINE_BREAKS}")
+    reader = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .csv(path)
+        .option("enforceSchema", lenient)
+        .option("mode", "PERMISSIVE" if lenient else "FAILFAST")
+        .option("columnPruning", False)
     )
-    names = text.columns
+    names = reader.csv(path).columns
+    text = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(path)
     if position:
         text = with_input_position(text, "csv")
     missing = listed(na_values)
@@ -114,13 +125,30 @@ def read_parquet(
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Overwrite a table and return its row count, taken while writing."""
+    """Overwrite a table and return its row count, taken while writing.
+
+    CSV keeps every value as it is, blanks around it included, but cannot tell
+    the empty text from NULL. If a value has a line break, the folder gets a note
+    that ``read_csv`` looks for.
+    """
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    texts = [ticked(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    broken = " OR ".join(f"{c} RLIKE '[\r\n]'" for c in texts) if fmt == "csv" and texts else "false"
+    counted = df.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.expr(f"count_if({broken}) AS broken")
+    )
     writer = counted.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = (
+            writer.option("header", True)
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+        )
     writer.format(fmt).save(path)
+    if seen.get["broken"]:
+        note = df.sparkSession.range(1).selectExpr("'values have line breaks' AS value")
+        note.coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}/{LINE_BREAKS}")
     return seen.get["rows"]
 
 

@@ -1,13 +1,14 @@
 from __future__ import annotations
 
-import tempfile
 from datetime import date, datetime
 
 import pytest
 
-from probity.model import AUDIT_SCHEMA, REGISTER_SCHEMA
+from probity.functions import quoted
+from probity.model import AUDIT_SCHEMA, REGISTER_SCHEMA, Check, RowRule, Severity
+from probity.operators import measure
 from probity.plans.filings import check_completeness, clean_returns
-from probity.session import scratch_dir
+from probity.session import exists, scratch_dir
 from probity.sources import (
     INPUT_POSITION,
     conform,
@@ -16,6 +17,7 @@ from probity.sources import (
     with_input_position,
     write_table,
 )
+from probity.sources.files import LINE_BREAKS
 
 REGISTER_CSV = """tin,taxpayer_name,sector,region,registration_date,is_active
 0123456789,Company_6789,Trade, Northern,2001-02-03,True
@@ -119,26 +121,64 @@ def test_cleaning_by_input_position(spark, tmp_path):
 
 
 def test_scratch_folder_is_the_one_the_session_names(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
     path = scratch_dir(spark)
-    assert path.startswith(named.rstrip("/") if named else "/")
+    assert path.startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
     assert path != scratch_dir(spark)
 
 
-class Elsewhere:
-    """Just enough of a session on a cluster that names no shared folder."""
-
-    class conf:  # noqa: N801
-        @staticmethod
-        def get(key, default=None):
-            return default
-
-    class sparkContext:  # noqa: N801
-        master = "yarn"
-
-
-def test_without_a_named_folder_only_a_local_session_has_one(spark, monkeypatch):
+def test_without_a_named_folder_there_is_none(spark, monkeypatch):
     monkeypatch.setattr("probity.session.CHECKPOINT_DIR", "spark.probity.not.set")
-    assert scratch_dir(spark).startswith(tempfile.gettempdir())
+    monkeypatch.setattr("probity.session._own", [])
     with pytest.raises(RuntimeError, match="shared by the cluster"):
-        scratch_dir(Elsewhere)
+        scratch_dir(spark)
+    monkeypatch.setattr("probity.session._own", ["/shared"])
+    assert scratch_dir(spark).startswith("/shared/")
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["id,name\n1,a\n2,b,EXTRA\n", "id,name\n1\n", "id,name\n1,a\n|name,id\na,1\n", "id,name\n|id\n1\n"],
+    ids=["surplus", "short", "other order", "other header"],
+)
+def test_malformed_csv_fails_every_read(spark, tmp_path, text):
+    for k, part in enumerate(text.split("|")):
+        (tmp_path / f"{k}.csv").write_text(part)
+    schema = "id LONG, name STRING"
+    df = read_csv(spark, str(tmp_path), spark.createDataFrame([], schema).schema)
+    for read in (df.count, df.collect, df.select("id").collect, df.filter("name = 'zz'").collect):
+        with pytest.raises(Exception, match="MALFORMED|CSV|FAILED_READ"):
+            read()
+
+
+def test_lenient_csv_fills_up_and_cuts(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id,name\n1,a,EXTRA\n2\n")
+    schema = spark.createDataFrame([], "id LONG, name STRING").schema
+    got = read_csv(spark, str(tmp_path), schema, lenient=True).collect()
+    assert sorted(map(tuple, got)) == [(1, "a"), (2, None)]
+
+
+def test_csv_keeps_blanks_and_line_breaks(spark, rows):
+    data = [(1, " a "), (2, "b\nc"), (3, 'd "e"\r\nf'), (4, "\tg"), (5, "h\r")]
+    df = rows("i INT, t STRING", data)
+    path = f"{scratch_dir(spark)}/t"
+    write_table(df, path, "csv")
+    assert sorted(map(tuple, read_csv(spark, path, df.schema).collect())) == data
+    write_table(df.filter("i = 1"), path, "csv")
+    assert not exists(spark, f"{path}/{LINE_BREAKS}")
+    assert read_csv(spark, path, df.schema).first().t == " a "
+
+
+@pytest.mark.parametrize("setting", ["true", "false"])
+@pytest.mark.parametrize("text", ["home ${env:HOME}", "it's", "back\\slash \\n", 'say "x"', "$1", "two\nlines"])
+def test_literals_do_not_depend_on_the_session(spark, rows, tmp_path, text, setting):
+    rule = RowRule("Validity", "t", text, f"t = {quoted(text)}", ("t",), Severity("HIGH"))
+    spark.conf.set("spark.sql.parser.escapedStringLiterals", setting)
+    try:
+        df = rows("t STRING", [(text,), ("other",)])
+        got = measure([Check(text, rule)], {text: df}).first()
+        assert (got.dataset, got.description, got.affected_rows) == (text, text, 1)
+        (tmp_path / "t.csv").write_text("tin,sector\n1,$x\n")
+        read = read_csv(spark, str(tmp_path / "t.csv"), REGISTER_SCHEMA, na_values=["", "$x", text])
+        assert tuple(read.first()) == ("1", None)
+    finally:
+        spark.conf.unset("spark.sql.parser.escapedStringLiterals")
