@@ -64,9 +64,12 @@ def _from_keys(per_key: DataFrame, found: Sequence[tuple[int, Check, str, str]])
 
 
 def key_columns(df: DataFrame, keys: Sequence[str], digest: bool = False) -> list[str]:
-    """The key columns as they are grouped: NaN folded, long texts digested."""
-    columns = [folded(df, k) for k in keys]
-    return [f"unhex(sha2(CAST({c} AS STRING), 256))" for c in columns] if digest else columns
+    """The key columns as they are grouped: NaN folded, text and bytes digested if asked."""
+    long = [digest and isinstance(df.schema[k].dataType, (T.StringType, T.BinaryType)) for k in keys]
+    return [
+        f"unhex(sha2(CAST({folded(df, k)} AS BINARY), 256))" if is_long else folded(df, k)
+        for k, is_long in zip(keys, long, strict=True)
+    ]
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], digest: bool = False) -> DataFrame:
@@ -81,12 +84,34 @@ def _unique_key(df: DataFrame, seq: int, check: Check) -> DataFrame:
     return _from_keys(per_key, [(seq, check, "n > 1", "n")])
 
 
-def _comparable(df: DataFrame, name: str, other: DataFrame, other_name: str) -> str:
-    """The key as it is compared with the other side's: whole numbers as such, else as text."""
-    types = (df.schema[name].dataType, other.schema[other_name].dataType)
-    if all(isinstance(t, T.IntegralType) for t in types):
-        return f"CAST({ticked(name)} AS BIGINT)"
-    return f"CAST({folded(df, name)} AS STRING)"
+_MOMENTS = (T.DateType, T.TimestampNTZType, T.TimestampType)
+_TRIMMED = "CASE WHEN instr({0}, '.') > 0 THEN rtrim('.', rtrim('0', {0})) ELSE {0} END"
+
+
+def comparable(df: DataFrame, name: str, other: T.DataType) -> str:
+    """The column as it is compared with a key of type ``other``, the same on both sides.
+
+    Numbers meet as whole numbers, decimals wide enough for both (as text, if there
+    is none) or doubles; dates and times as the one that has more; and whatever
+    meets a text as text.
+    """
+    own, column = df.schema[name].dataType, folded(df, name)
+    kinds = (own, other)
+    if all(isinstance(t, T.NumericType) for t in kinds):
+        if all(isinstance(t, T.IntegralType) for t in kinds):
+            return f"CAST({column} AS BIGINT)"
+        if any(isinstance(t, (T.FloatType, T.DoubleType)) for t in kinds):
+            return f"(CAST({column} AS DOUBLE) + 0D)"  # -0 is 0
+        exact = [t if isinstance(t, T.DecimalType) else T.DecimalType(20, 0) for t in kinds]
+        scale = max(t.scale for t in exact)
+        whole = max(t.precision - t.scale for t in exact)
+        if whole + scale <= 38:
+            return f"CAST({column} AS DECIMAL({whole + scale}, {scale}))"
+        return _TRIMMED.format(f"CAST({column} AS STRING)")
+    if own != other and all(isinstance(t, _MOMENTS) for t in kinds):
+        zoned = any(isinstance(t, T.TimestampType) for t in kinds)
+        return f"CAST({column} AS {'TIMESTAMP' if zoned else 'TIMESTAMP_NTZ'})"
+    return column if own == other else f"CAST({column} AS STRING)"
 
 
 def key_presence(child: DataFrame, parent: DataFrame, key: str, parent_key: str) -> DataFrame:
@@ -96,8 +121,9 @@ def key_presence(child: DataFrame, parent: DataFrame, key: str, parent_key: str)
     table or broadcast, and repeated keys on either side collapse before the
     shuffle. The NULL key is kept, so that the counts add up to the whole tables.
     """
-    child_key = _comparable(child, key, parent, parent_key)
-    parent_key = _comparable(parent, parent_key, child, key)
+    child_type, parent_type = child.schema[key].dataType, parent.schema[parent_key].dataType
+    child_key = comparable(child, key, parent_type)
+    parent_key = comparable(parent, parent_key, child_type)
     children = child.selectExpr(f"{child_key} AS key", "1L AS n", "0L AS m")
     parents = parent.selectExpr(f"{parent_key} AS key", "0L AS n", "1L AS m")
     return (
