@@ -132,6 +132,7 @@ DATASETS_SCHEMA = T.StructType(
         T.StructField("col_count", T.LongType()),
         T.StructField("created_at", T.TimestampNTZType()),
         T.StructField("description", T.StringType()),
+        T.StructField("seq", T.LongType()),
     ]
 )
 
@@ -146,6 +147,7 @@ TRANSFORMATIONS_SCHEMA = T.StructType(
         T.StructField("executed_at", T.TimestampNTZType()),
         T.StructField("duration_ms", T.LongType()),
         T.StructField("status", T.StringType()),
+        T.StructField("seq", T.LongType()),
     ]
 )
 

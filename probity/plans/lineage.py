@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from probity.functions import ticked
+from probity.functions import listed, ticked
 
 
 NODE = ["id", "label", "type", "rows"]
@@ -73,23 +75,29 @@ def dataset_listing(nodes: DataFrame) -> DataFrame:
     return nodes.select("label", "rows", "type", "id")
 
 
+def of_ids(table: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """The rows of a catalogue table that have one of these ids."""
+    return table.filter(f"{ticked(table.columns[0])} IN ({listed(ids)})")
+
+
 def graph_document(datasets: DataFrame, transformations: DataFrame) -> DataFrame:
-    """Nodes and edges as one row of two arrays, the oldest first.
+    """Nodes and edges as one row of two arrays, in the order of registration.
 
-    Both come from the catalogue, which holds one row per dataset and step.
+    One row holds them all, so this is for what one run or one flow is made of:
+    see ``of_ids``. The whole catalogue is two tables, ``nodes`` and ``edges``.
     """
 
     def entry(columns: list[str], at: str) -> str:
         fields = ", ".join(ticked(c) for c in columns)
-        return f"struct({at} AS at, struct({fields}) AS entry)"
+        return f"struct({at} AS at, seq, struct({fields}) AS entry)"
 
     def in_order(name: str) -> str:
         return f"transform(sort_array(collect_list({name})), e -> e.entry) AS {name}s"
 
-    all_nodes = nodes(datasets, "created_at").selectExpr(
+    all_nodes = nodes(datasets, "created_at", "seq").selectExpr(
         f"{entry(NODE, 'created_at')} AS node", "NULL AS edge"
     )
-    all_edges = edges(transformations, "executed_at").selectExpr(
+    all_edges = edges(transformations, "executed_at", "seq").selectExpr(
         "NULL AS node", f"{entry(EDGE, 'executed_at')} AS edge"
     )
     return all_nodes.union(all_edges).selectExpr(in_order("node"), in_order("edge"))

@@ -17,15 +17,17 @@ from probity.functions import (
     moment_literal,
     quoted,
     surrogate_id,
-    surrogate_id_sql,
 )
 from probity.model import DATASETS_SCHEMA, DQ_RUNS_SCHEMA, TRANSFORMATIONS_SCHEMA
+from probity.session import remove_folder
 
 TABLES = {
     "datasets": DATASETS_SCHEMA,
     "transformations": TRANSFORMATIONS_SCHEMA,
     "dq_runs": DQ_RUNS_SCHEMA,
 }
+#: Rows written per file when a table is compacted.
+COMPACT_ROWS = 1_000_000
 
 
 def _seconds(moment: datetime) -> datetime:
@@ -34,7 +36,11 @@ def _seconds(moment: datetime) -> datetime:
 
 @dataclass(frozen=True, eq=False)
 class Dataset:
-    """What the catalogue records of a table; rows are counted if not given."""
+    """What the catalogue records of a table.
+
+    Its rows are counted if neither ``row_count`` nor ``counted`` is given, a frame
+    of one row and the column row_count that is known without reading the table.
+    """
 
     name: str
     df: DataFrame
@@ -42,19 +48,28 @@ class Dataset:
     file_path: str
     description: str = ""
     row_count: int | None = None
+    counted: DataFrame | None = None
+
+    def id_at(self, run_ts: datetime) -> str:
+        """The id it is registered with: two of one name differ by their paths."""
+        return surrogate_id(self.name, run_ts, self.file_path)
 
 
 def dataset_rows(entries: Sequence[Dataset], run_ts: datetime) -> DataFrame:
-    """Catalogue rows for datasets, counted by one job."""
+    """Catalogue rows for datasets, counted by one job, numbered in the given order."""
     created = moment_literal(_seconds(run_ts))
+    if len({(e.name, e.file_path) for e in entries}) < len(entries):
+        raise ValueError("two datasets have the same name and path")
 
-    def row(entry: Dataset) -> DataFrame:
-        if entry.row_count is None:
+    def row(seq: int, entry: Dataset) -> DataFrame:
+        if entry.counted is not None:
+            counted = entry.counted
+        elif entry.row_count is None:
             counted = entry.df.selectExpr("count(1) AS row_count")
         else:
             counted = entry.df.sparkSession.range(1).selectExpr(f"{entry.row_count}L AS row_count")
         return counted.selectExpr(
-            f"{surrogate_id_sql(quoted(entry.name), run_ts)} AS dataset_id",
+            f"{quoted(entry.id_at(run_ts))} AS dataset_id",
             f"{quoted(entry.name)} AS name",
             f"{quoted(entry.source_type)} AS source_type",
             f"{quoted(entry.file_path)} AS file_path",
@@ -62,9 +77,10 @@ def dataset_rows(entries: Sequence[Dataset], run_ts: datetime) -> DataFrame:
             f"{len(entry.df.columns)}L AS col_count",
             f"{created} AS created_at",
             f"{quoted(entry.description)} AS description",
+            f"{seq}L AS seq",
         )
 
-    return reduce(DataFrame.union, [row(entry) for entry in entries])
+    return reduce(DataFrame.union, [row(k, entry) for k, entry in enumerate(entries)])
 
 
 def transformation_row(
@@ -77,9 +93,11 @@ def transformation_row(
     run_ts: datetime,
     duration_ms: int = 0,
     status: str = "success",
+    seq: int = 0,
 ) -> DataFrame:
+    """The catalogue row of a step; ``seq`` is its place among the steps of a run."""
     return spark.range(1).selectExpr(
-        f"{quoted(surrogate_id(step_name, run_ts))} AS transform_id",
+        f"{quoted(surrogate_id(step_name, run_ts, output_id))} AS transform_id",
         f"{quoted(step_name)} AS step_name",
         f"CAST(array({listed(input_ids)}) AS ARRAY<STRING>) AS input_datasets",
         f"{quoted(output_id)} AS output_dataset",
@@ -88,6 +106,7 @@ def transformation_row(
         f"{moment_literal(_seconds(run_ts))} AS executed_at",
         f"{duration_ms}L AS duration_ms",
         f"{quoted(status)} AS status",
+        f"{seq}L AS seq",
     )
 
 
@@ -128,6 +147,25 @@ class Catalogue:
         )
         typed.coalesce(1).write.parquet(f"{self.path}/{name}/batch={uuid.uuid4().hex}")
 
+    def compact(self, name: str) -> None:
+        """Rewrite a table's many small files as few, one writer at a time.
+
+        The new files are there before the old ones go. Were it broken off in
+        between, rows would be there twice; readers take each id once.
+        """
+        batches = self._batches(name)
+        rows = self._scan(name).dropDuplicates([TABLES[name].names[0]])
+        writer = rows.coalesce(1).write.option("maxRecordsPerFile", COMPACT_ROWS)
+        writer.parquet(f"{self.path}/{name}/batch={uuid.uuid4().hex}")
+        for batch in batches:
+            remove_folder(self.spark, batch)
+
+    def _batches(self, name: str) -> list[str]:
+        """The folders of a table's appends."""
+        files = self.spark.read.format("binaryFile").load(f"{self.path}/{name}")
+        folders = files.selectExpr("substring_index(path, '/', -2) AS tail").distinct().collect()
+        return sorted(f"{self.path}/{name}/{r['tail'].split('/')[0]}" for r in folders)
+
     def _scan(self, name: str) -> DataFrame:
         schema = TABLES[name]
         stored = self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
@@ -148,22 +186,22 @@ class Catalogue:
         df: DataFrame,
         source_type: str,
         file_path: str,
+        run_ts: datetime,
         description: str = "",
         row_count: int | None = None,
-        run_ts: datetime | None = None,
     ) -> str:
         """Add a dataset and return its id. ``row_count`` saves counting a table
         whose rows were already counted while it was written."""
         entry = Dataset(name, df, source_type, file_path, description, row_count)
-        return self.register_datasets([entry], run_ts)[name]
+        return self.register_datasets([entry], run_ts)[0]
+
+    def register_datasets(self, entries: Sequence[Dataset], run_ts: datetime) -> list[str]:
+        """Add datasets in one append and return their ids in the given order.
 
-    def register_datasets(
-        self, entries: Sequence[Dataset], run_ts: datetime | None = None
-    ) -> dict[str, str]:
-        """Add datasets in one append; those without a row count are counted in one job."""
-        run_ts = run_ts or datetime.now()
+        Those without a row count are counted in one job.
+        """
         self.append("datasets", dataset_rows(entries, run_ts))
-        return {entry.name: surrogate_id(entry.name, run_ts) for entry in entries}
+        return [entry.id_at(run_ts) for entry in entries]
 
     def register_transformation(
         self,
@@ -172,11 +210,11 @@ class Catalogue:
         output_id: str,
         operation: str,
         description: str,
+        run_ts: datetime,
         duration_ms: int = 0,
         status: str = "success",
-        run_ts: datetime | None = None,
+        seq: int = 0,
     ) -> str:
-        run_ts = run_ts or datetime.now()
         self.append(
             "transformations",
             transformation_row(
@@ -189,17 +227,15 @@ class Catalogue:
                 run_ts,
                 duration_ms,
                 status,
+                seq,
             ),
         )
-        return surrogate_id(step_name, run_ts)
+        return surrogate_id(step_name, run_ts, output_id)
 
-    def log_dq_run(
-        self, dataset_id: str, result: DataFrame, run_ts: datetime | None = None
-    ) -> str:
-        run_ts = run_ts or datetime.now()
+    def log_dq_run(self, dataset_id: str, result: DataFrame, run_ts: datetime) -> str:
         self.append("dq_runs", dq_run_row(result, dataset_id, run_ts))
         return surrogate_id(dataset_id, run_ts)
 
     def listing(self) -> DataFrame:
-        """All datasets, newest first."""
-        return self.datasets().orderBy(desc("created_at"), "dataset_id")
+        """All datasets, newest first, those of one time in the order of registration."""
+        return self.datasets().orderBy(desc("created_at"), "seq", "dataset_id")

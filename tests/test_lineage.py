@@ -5,7 +5,7 @@ from datetime import datetime
 
 import pytest
 
-from probity.functions import surrogate_id, surrogate_id_sql
+from probity.functions import surrogate_id
 from probity.plans import lineage
 from probity.plans.scoring import result_document
 from probity.session import scratch_dir
@@ -25,28 +25,69 @@ def test_new_tables_are_empty(catalogue):
     assert catalogue.dq_runs().count() == 0
 
 
-def test_ids(spark):
-    want = hashlib.md5(b"tax_returns2026-03-10T16:28:47.123456").hexdigest()[:16]
-    assert surrogate_id("tax_returns", T1) == want
-    assert spark.range(1).selectExpr(surrogate_id_sql("'tax_returns'", T1)).first()[0] == want
+def test_ids(catalogue, rows):
+    want = hashlib.md5(b"tax_returns2026-03-10T16:28:47.123456").hexdigest()
+    assert surrogate_id("tax_returns", T1) == want[:16]
+    assert surrogate_id("tax_returns", T1, length=20) == want[:20]
+    df = rows("a INT", [(1,)])
+    one, other = Dataset("t", df, "raw_file", "x"), Dataset("t", df, "raw_file", "y")
+    ids = catalogue.register_datasets([one, other], T1)
+    assert len(set(ids)) == 2
+    assert {r.dataset_id: r.file_path for r in catalogue.datasets().collect()} == dict(zip(ids, "xy", strict=True))
+    with pytest.raises(ValueError, match="same name and path"):
+        catalogue.register_datasets([one, one], T2)
+
+
+def test_flow_between_two_datasets_of_one_name(catalogue, rows):
+    df = rows("a INT", [(1,)])
+    ids = catalogue.register_datasets([Dataset("t", df, "raw_file", p) for p in "xy"], T1)
+    catalogue.register_transformation("Copy", [ids[0]], ids[1], "copy", "", T1)
+    flow = lineage.flow(lineage.nodes(catalogue.datasets()), lineage.edges(catalogue.transformations()))
+    assert [tuple(r) for r in flow.collect()] == [("t", 1, "Copy", "copy", "success", "t", 1)]
+
+
+def test_compaction_keeps_every_row_once(catalogue, rows, spark):
+    df = rows("a INT", [(1,)])
+    for k in range(5):
+        catalogue.register_dataset(f"d{k}", df, "raw_file", "p", T1)
+    before = sorted(map(tuple, catalogue.datasets().collect()))
+    assert len(catalogue._batches("datasets")) == 6  # one of init
+    catalogue.compact("datasets")
+    assert len(catalogue._batches("datasets")) == 1
+    assert sorted(map(tuple, catalogue.datasets().collect())) == before
+    catalogue.register_dataset("more", df, "raw_file", "p", T2)
+    assert catalogue.datasets().count() == 6
+
+
+def test_texts_are_kept_as_they_are(catalogue, rows, spark):
+    odd = "home ${env:HOME} it's \\n \"x\""
+    for setting in ("true", "false"):
+        spark.conf.set("spark.sql.parser.escapedStringLiterals", setting)
+        try:
+            moment = T1 if setting == "true" else T2
+            catalogue.register_dataset(odd, rows("a INT", []), odd, odd, moment, odd)
+        finally:
+            spark.conf.unset("spark.sql.parser.escapedStringLiterals")
+    stored = catalogue.datasets().select("name", "source_type", "file_path", "description").collect()
+    assert [tuple(r) for r in stored] == [(odd,) * 4] * 2
 
 
 def test_listing_is_newest_first(catalogue, rows):
     df = rows("a INT, b INT", [(1, 2), (3, 4), (5, 6)])
-    old = catalogue.register_dataset("old", df, "raw_file", "x.csv", "it's old", run_ts=T1)
+    old = catalogue.register_dataset("old", df, "raw_file", "x.csv", T1, "it's old")
     new = catalogue.register_datasets([Dataset("n1", df, "raw_file", "y"), Dataset("n2", df, "raw_file", "z", row_count=9)], T2)
     got = catalogue.listing().collect()
-    assert [r.dataset_id for r in got] == [*sorted(new.values()), old]
-    assert tuple(got[-1]) == (old, "old", "raw_file", "x.csv", 3, 2, datetime(2026, 3, 10, 16, 28, 47), "it's old")
+    assert [r.dataset_id for r in got] == [*new, old]
+    assert tuple(got[-1]) == (old, "old", "raw_file", "x.csv", 3, 2, datetime(2026, 3, 10, 16, 28, 47), "it's old", 0)
     assert {r.name: r.row_count for r in got} == {"old": 3, "n1": 3, "n2": 9}
 
 
 def test_graph_and_flow(catalogue, rows):
     df = rows("a INT", [(1,), (2,)])
-    raw = catalogue.register_dataset("raw", df, "raw_file", "r", run_ts=T1)
-    clean = catalogue.register_dataset("clean", df.limit(1), "transformed", "c", run_ts=T1)
-    step = catalogue.register_transformation("Fix", [raw, "gone"], clean, "filter", "", 12, run_ts=T1)
-    catalogue.register_transformation("Nothing in", [], clean, "make", "", run_ts=T2)
+    raw = catalogue.register_dataset("raw", df, "raw_file", "r", T1)
+    clean = catalogue.register_dataset("clean", df.limit(1), "transformed", "c", T1)
+    step = catalogue.register_transformation("Fix", [raw, "gone"], clean, "filter", "", T1, 12)
+    catalogue.register_transformation("Nothing in", [], clean, "make", "", T2)
     stored = catalogue.transformations().filter("step_name = 'Fix'").first()
     assert (stored.transform_id, stored.input_datasets, stored.duration_ms, stored.status) == (step, [raw, "gone"], 12, "success")
 
@@ -61,11 +102,15 @@ def test_graph_and_flow(catalogue, rows):
         ("raw", 2, "Fix", "filter", "success", "clean", 1),
         ("gone", None, "Fix", "filter", "success", "clean", 1),
     }
-    late = catalogue.register_dataset("late", df, "raw_file", "l", run_ts=T2)
+    late = catalogue.register_dataset("late", df, "raw_file", "l", T2)
     doc = lineage.graph_document(catalogue.datasets(), catalogue.transformations()).first()
     assert [n.asDict() for n in doc.nodes][-1] == {"id": late, "label": "late", "type": "raw_file", "rows": 2}
     assert [list(e.asDict()) for e in doc.edges] == [["from", "to", "label", "operation", "status"]] * 2
     assert len(doc.nodes) == 3
+    some = lineage.graph_document(
+        lineage.of_ids(catalogue.datasets(), [raw]), lineage.of_ids(catalogue.transformations(), [step])
+    ).first()
+    assert ([n.id for n in some.nodes], len(some.edges)) == ([raw], 2)
 
 
 def test_run_log(catalogue, rows):
