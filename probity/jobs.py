@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -13,7 +13,7 @@ from probity.model import AUDIT_SCHEMA, REGISTER_SCHEMA, RETURNS_SCHEMA
 from probity.plans.filings import REGISTER, RETURNS, run_all_checks
 from probity.plans.pipeline import AUDIT_LOG, run_pipeline
 from probity.plans.report import report_tables
-from probity.session import builder, scratch_dir
+from probity.session import builder, remove_folder
 from probity.sources import (
     INPUT_POSITION,
     Catalogue,
@@ -56,24 +56,30 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         Catalogue(spark, args.catalogue or f"{args.out}/catalogue"),
         args.as_of,
         audit_log,
+        run_ts=datetime.now(),
         raw_paths=paths if args.format == "parquet" else None,
         clean_fmt=args.format,
     )
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Save the result document of the checks alone. CSV input is parsed once."""
+    """Save the result document of the checks alone.
+
+    CSV input is parsed once, into a folder beside the output that goes at the end.
+    """
     tables = {
         "returns": _returns(spark, args).drop(INPUT_POSITION),
         "register": _other(spark, args, args.register, REGISTER_SCHEMA),
     }
     if args.format == "csv":
-        staged = scratch_dir(spark)
+        staged = f"{args.out}_staged"
         for name, df in tables.items():
             write_table(df, f"{staged}/{name}")
             tables[name] = spark.read.schema(df.schema).parquet(f"{staged}/{name}")
     result = run_all_checks(tables["returns"], tables["register"], args.as_of)
     write_document(result, args.out)
+    if args.format == "csv":
+        remove_folder(spark, staged)
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:

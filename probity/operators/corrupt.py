@@ -24,7 +24,7 @@ def every(key: str, modulus: int, rest: int) -> str:
 
 def share(key: str, percent: float, seed: int) -> str:
     """Choose about ``percent`` % of the rows by a seeded hash of their key."""
-    return f"pmod(xxhash64({key}, {seed}), 10000) < {int(percent * 100)}"
+    return f"pmod(xxhash64({key}, {seed}), 1000000) < {round(percent * 10_000)}"
 
 
 @dataclass(frozen=True)
@@ -82,6 +82,7 @@ AUDIT_EVENTS = ("CREATED", "UPDATED", "REVIEWED", "FLAGGED", "APPROVED")
 AUDIT_USERS = range(10, 25)
 AUDIT_YEAR_START = date(2024, 1, 1)
 AUDIT_YEAR_DAYS = 366
+EVENT_ID_LENGTH = 12
 
 
 def hex_number(digest: str, start: int = 1) -> str:
@@ -89,23 +90,29 @@ def hex_number(digest: str, start: int = 1) -> str:
     return f"CAST(conv(substr({digest}, {start}, 4), 16, 10) AS BIGINT)"
 
 
-def audit_events(df: DataFrame, key: str) -> DataFrame:
-    """One to three audit events per row, all their values derived from its key.
+def audit_events(
+    df: DataFrame, key: str, identity: str | None = None, id_length: int = EVENT_ID_LENGTH
+) -> DataFrame:
+    """One to three audit events per row, all their values derived from its identity.
 
-    The key should be unique: rows with the same key give the same events.
+    ``identity`` is a column that tells all rows apart, where ``key`` does not;
+    rows of the same identity would give the same events. The id's length in
+    hexadecimal digits bounds how many events can have ids of their own.
     """
-    text = f"CAST({ticked(key)} AS STRING)"
+    text = f"CAST({ticked(identity or key)} AS STRING)"
     numbered = df.selectExpr(
-        ticked(key), f"explode(sequence(1L, 1L + {hex_number(f'md5({text})')} % 3)) AS copy"
+        ticked(key),
+        f"{text} AS identity",
+        f"explode(sequence(1L, 1L + {hex_number(f'md5({text})')} % 3)) AS copy",
     )
     seeded = numbered.selectExpr(
-        ticked(key), f"md5(concat({text}, '#', CAST(copy AS STRING))) AS digest"
+        ticked(key), "md5(concat(identity, '#', CAST(copy AS STRING))) AS digest"
     )
     event = f"CAST({hex_number('digest', 1)} % {len(AUDIT_EVENTS)} AS INT)"
     user = f"{AUDIT_USERS.start} + {hex_number('digest', 5)} % {len(AUDIT_USERS)}"
     day = f"CAST({hex_number('digest', 9)} % {AUDIT_YEAR_DAYS} AS INT)"
     return seeded.selectExpr(
-        "substr(digest, 1, 12) AS event_id",
+        f"substr(digest, 1, {id_length}) AS event_id",
         ticked(key),
         f"get(array({listed(AUDIT_EVENTS)}), {event}) AS event_type",
         f"concat('USR-', lpad(CAST({user} AS STRING), 3, '0')) AS user_id",

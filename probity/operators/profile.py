@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -60,6 +60,11 @@ def quick_stats(
     return reduce(DataFrame.union, [stats(label, df) for label, df in tables.items()])
 
 
-def sample_rows(df: DataFrame, order_by: str, n: int = 100) -> DataFrame:
-    """The first ``n`` rows in the given order."""
-    return df.orderBy(order_by).limit(n)
+def sample_rows(df: DataFrame, order_by: str | Sequence[str], n: int = 100) -> DataFrame:
+    """The first ``n`` rows in the given order.
+
+    Each task keeps its first ``n`` and one task picks among those, so ``n`` is for
+    looking at rows, not for cutting tables.
+    """
+    columns = [order_by] if isinstance(order_by, str) else order_by
+    return df.orderBy(*[ticked(c) for c in columns]).limit(n)

@@ -151,11 +151,11 @@ def database_metrics(
 def run_all_checks(
     returns: DataFrame,
     register: DataFrame,
-    as_of: date | datetime | None = None,
+    as_of: date | datetime,
     c: Columns = DEFAULT,
 ) -> DataFrame:
     """The result document for both tables."""
-    return result_document(database_metrics(returns, register, as_of or date.today(), c))
+    return result_document(database_metrics(returns, register, as_of, c))
 
 
 def _issues_of(df: DataFrame, dataset: str, found: Sequence[RowRule | UniqueKey]) -> DataFrame:
@@ -182,9 +182,9 @@ def check_uniqueness(df: DataFrame, key_fields: Sequence[str], digest: bool = Fa
 
 
 def check_timeliness(
-    df: DataFrame, dataset: str, as_of: date | datetime | None = None, c: Columns = DEFAULT
+    df: DataFrame, dataset: str, as_of: date | datetime, c: Columns = DEFAULT
 ) -> DataFrame:
-    return _issues_of(df, dataset, timeliness_rules(dataset, as_of or date.today(), c))
+    return _issues_of(df, dataset, timeliness_rules(dataset, as_of, c))
 
 
 def check_referential_integrity(
@@ -223,7 +223,7 @@ def cleaning_conditions(
 
 def clean_returns(
     df: DataFrame,
-    as_of: date | datetime | None = None,
+    as_of: date | datetime,
     order_by: Sequence[str] | None = None,
     c: Columns = DEFAULT,
 ) -> DataFrame:
@@ -234,14 +234,14 @@ def clean_returns(
     """
     if order_by is None and INPUT_POSITION not in df.columns:
         raise ValueError("name the columns that say which row of an id comes first")
-    conditions = cleaning_conditions(df, as_of or datetime.now(), c)
+    conditions = cleaning_conditions(df, as_of, c)
     clean = fold_nan(remediate(df, conditions, [c.return_id], order_by or [INPUT_POSITION]))
     return clean if order_by else clean.drop(INPUT_POSITION)
 
 
 def summarise_cleaning(
-    df: DataFrame, as_of: date | datetime | None = None, c: Columns = DEFAULT
+    df: DataFrame, as_of: date | datetime, c: Columns = DEFAULT
 ) -> DataFrame:
     """Rows before, after and removed, and the share kept, without cleaning."""
-    conditions = cleaning_conditions(df, as_of or datetime.now(), c)
+    conditions = cleaning_conditions(df, as_of, c)
     return cleaning_summary(df, conditions, [c.return_id])

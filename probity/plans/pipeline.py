@@ -12,16 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from probity.functions import quoted
 from probity.model import RESULT_SCHEMA
+from probity.operators.profile import missing_before_after, quick_stats, sample_rows
 from probity.operators.remedy import cleaning_columns
 from probity.plans.filings import (
     DEFAULT,
+    HOME_CURRENCY,
     REGISTER,
     RETURNS,
     Columns,
     clean_returns,
     database_metrics,
 )
-from probity.plans.lineage import graph_document
+from probity.plans.lineage import graph_document, of_ids
 from probity.plans.scoring import result_document
 from probity.sources import (
     INPUT_POSITION,
@@ -57,6 +59,7 @@ class Run:
     clean: str
     result: str
     summary: str
+    profile: dict[str, str]
     dataset_ids: dict[str, str]
     rows: dict[str, int]
     duration_ms: dict[str, int]
@@ -98,7 +101,8 @@ def run_pipeline(
     raw_paths: Mapping[str, str] | None = None,
     order_by: Sequence[str] = (),
     columns: Columns = DEFAULT,
-    run_ts: datetime | None = None,
+    *,
+    run_ts: datetime,
     fmt: str = "parquet",
     clean_fmt: str | None = None,
 ) -> Run:
@@ -112,9 +116,9 @@ def run_pipeline(
 
     Without ``order_by`` the first row of a key is the first by input position,
     that of the given frame if it has one, else that in the saved files. The
-    audit log is saved but not registered.
+    audit log is saved but not registered. The profile is the missing values
+    before and after, quick counts, and the first rows of either table.
     """
-    run_ts = run_ts or datetime.now()
     out = out_dir.rstrip("/")
     catalogue.init()
 
@@ -135,15 +139,11 @@ def run_pipeline(
         read = read_csv if fmt == "csv" else read_parquet
         return read(spark, paths[name], raw[name].schema, position=position)
 
-    ids = catalogue.register_datasets(
-        [
-            Dataset(
-                name, raw[name].drop(INPUT_POSITION), "raw_file", paths[name], text, rows[name]
-            )
-            for name, text in RAW_TEXTS.items()
-        ],
-        run_ts,
-    )
+    entries = [
+        Dataset(name, raw[name].drop(INPUT_POSITION), "raw_file", paths[name], text, rows[name])
+        for name, text in RAW_TEXTS.items()
+    ]
+    ids = dict(zip(RAW_TEXTS, catalogue.register_datasets(entries, run_ts), strict=True))
 
     result_path = f"{out}/dq_results"
     metrics = database_metrics(saved(RETURNS), saved(REGISTER), as_of, columns)
@@ -158,20 +158,47 @@ def run_pipeline(
     clean_path = f"{out}/processed/{CLEAN}"
     rows[CLEAN], durations["clean"] = timed(lambda: write_table(clean, clean_path, clean_fmt or fmt))
     ids[CLEAN] = catalogue.register_dataset(
-        CLEAN, clean, "transformed", clean_path, CLEAN_TEXT, rows[CLEAN], run_ts
+        CLEAN, clean, "transformed", clean_path, run_ts, CLEAN_TEXT, rows[CLEAN]
     )
-    catalogue.register_transformation(
+    step = catalogue.register_transformation(
         STEP,
         [ids[RETURNS]],
         ids[CLEAN],
         STEP_OPERATION,
         STEP_TEXT,
+        run_ts,
         durations["clean"],
-        run_ts=run_ts,
     )
 
-    graph = graph_document(catalogue.datasets(), catalogue.transformations())
+    graph = graph_document(
+        of_ids(catalogue.datasets(), list(ids.values())),
+        of_ids(catalogue.transformations(), [step]),
+    )
     summary_path = f"{out}/pipeline_summary"
     write_document(_summary(result, graph, rows[RETURNS], rows[CLEAN], run_ts), summary_path)
-    return Run(paths, clean_path, result_path, summary_path, ids, rows, durations)
+
+    read = read_csv if (clean_fmt or fmt) == "csv" else read_parquet
+    profile = {
+        name: f"{out}/profile/{name}"
+        for name in ("missing_values", "quick_stats", "raw_sample", "clean_sample")
+    }
+    first = list(order_by) or ([INPUT_POSITION] if not placed else [columns.return_id])
+    before = saved(RETURNS, position=not placed)
+    after = read(spark, clean_path, clean.schema)
+    bare = before.drop(INPUT_POSITION)
+    tables = {
+        "missing_values": missing_before_after(bare, after),
+        "quick_stats": quick_stats(
+            {"raw": bare, "clean": after}, columns.tin, columns.amount_due, columns.currency, HOME_CURRENCY
+        ),
+        "raw_sample": sample_rows(before, first).drop(INPUT_POSITION),
+        "clean_sample": sample_rows(after, list(order_by) or [columns.return_id]),
+    }
+
+    def save_profile() -> None:
+        for name, table in tables.items():
+            write_table(table.coalesce(1), profile[name], clean_fmt or fmt)
+
+    _, durations["profile"] = timed(save_profile)
+    return Run(paths, clean_path, result_path, summary_path, profile, ids, rows, durations)
 

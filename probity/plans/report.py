@@ -18,6 +18,7 @@ from probity.functions import (
     verdict,
 )
 from probity.model import DIMENSIONS
+from probity.plans.lineage import flow
 from probity.plans.scoring import dimension_scores, issue_rows, overall
 
 # Fixed values.
@@ -164,6 +165,8 @@ def report_tables(summary: DataFrame, report_date: date) -> dict[str, DataFrame]
     """All tables of the report from a saved run summary."""
     result = summary.select("pipeline_run", "dq_results.*")
     cleaning = summary.select("cleaning_summary.*")
+    nodes = summary.selectExpr("inline(lineage.nodes)")
+    edges = summary.selectExpr("inline(lineage.edges)")
     return {
         "metadata": report_metadata(result, "pipeline_run", report_date),
         "verdict": overall_verdict(result),
@@ -173,7 +176,11 @@ def report_tables(summary: DataFrame, report_date: date) -> dict[str, DataFrame]
         "severities": severity_summary(result),
         "issue_log": issue_log(result),
         "issues": issue_rows(result),
+        "explorer": issue_explorer(result),
+        "explorer_count": explorer_count(result),
+        "explorer_dimensions": explorer_dimensions(result),
         "cleaning": cleaning,
-        "nodes": summary.selectExpr("inline(lineage.nodes)"),
-        "edges": summary.selectExpr("inline(lineage.edges)"),
+        "nodes": nodes,
+        "edges": edges,
+        "flow": flow(nodes, edges),
     }

@@ -85,3 +85,14 @@ def test_sample_and_events(spark):
         assert e.event_type in corrupt.AUDIT_EVENTS and e.user_id in {f"USR-{i:03d}" for i in range(10, 25)}
     assert set(per_return.values()) == {1, 2, 3} and len(per_return) == 1000
     assert len({e.event_id for e in events}) == len(events)
+
+    twice = df.union(df).selectExpr("return_id", "monotonically_increasing_id() AS line").collect()
+    lines = spark.createDataFrame(twice, "return_id STRING, line LONG")
+    events = corrupt.audit_events(lines, "return_id", identity="line", id_length=20).collect()
+    assert {len(e.event_id) for e in events} == {20}
+    assert len({e.event_id for e in events}) == len(events)
+    assert len({e.return_id for e in events}) == 1000
+
+
+def test_share_is_not_cut(spark):
+    assert corrupt.share("id", 0.29, 1).endswith("< 2900")

@@ -12,13 +12,11 @@ from datetime import date, timedelta
 import pytest
 
 from probity.jobs import main
-from probity.session import scratch_dir
+from probity.model import RETURNS_SCHEMA
+from probity.session import exists, scratch_dir
 
 AS_OF = date(2024, 6, 30)
-COLUMNS = [
-    "return_id", "tin", "tax_type", "period_start", "period_end", "filing_date",
-    "filing_status", "amount_due_ugx", "amount_paid_ugx", "currency", "assessor_id",
-]
+COLUMNS = RETURNS_SCHEMA.names
 
 
 def some(rng: random.Random, value, missing: float = 0.08):
@@ -163,3 +161,7 @@ def test_run_check_and_report(spark, tmp_path, seed):
     rank = {"HIGH": 0, "MEDIUM": 1, "LOW": 2}
     assert [(r.dimension, r.field) for r in log] == [w[:2] for w in sorted(want, key=lambda w: rank[w[-1]])]
     assert spark.read.parquet(f"{out}/report/dimensions").count() == 6
+    flow = spark.read.parquet(f"{out}/report/flow").first()
+    assert (flow.source_rows, flow.target_rows) == (len(returns), len(good))
+    assert spark.read.parquet(f"{out}/report/explorer").count() == len(want)
+    assert not exists(spark, f"{out}/check_staged")
