@@ -6,6 +6,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -42,6 +43,10 @@ HEADLINE = [
     "audit_expand",
     "nat_ship_before_order",
     "nat_duplicate_text",
+    "nat_duplicate_text_rows",
+    "nat_foreign_keys",
+    "csv_roundtrip",
+    "summary_roundtrip",
 ]
 
 
@@ -52,6 +57,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.driver.memory", "16g")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="probity-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

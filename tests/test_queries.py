@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import importlib
+import sys
+
 import pytest
 from compare import connect, oracle_bag, spark_bag
 
 import __spark_entry__ as entry_point
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 NEVER = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
 
 
@@ -18,6 +22,17 @@ def con(sf_dir):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql())
+
+
+def test_queries_are_there_without_the_llm_subpackage(monkeypatch):
+    monkeypatch.setitem(sys.modules, "probity.llm", None)
+    monkeypatch.delitem(sys.modules, "probity.llm.queries", raising=False)
+    alone = importlib.reload(entry_point)
+    assert set(alone.queries()) == set(QUERIES)
+    monkeypatch.undo()
+    importlib.reload(entry_point)
 
 
 def test_entry(spark, sf_dir):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,16 +11,26 @@ from pyspark.sql.types import StructType
 
 from probity.operators import corrupt
 from probity.plans.filings import Columns
+from probity.session import CHECKPOINT_DIR, scratch_dir, use_scratch
 
 AS_OF = date(2001, 8, 1)
 RUN_TS = datetime(2001, 8, 1, 2, 0, 0)
 FUTURE = date(2027, 1, 1)
 COLUMNS = Columns(amount_due="amount_due", amount_paid="amount_paid")
+# A ten-digit number above any customer's.
+NO_CUSTOMER = "concat('9', lpad(CAST(src_seq AS STRING), 9, '0'))"
 
 
 _schemas: dict[str, StructType] = {}
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new scratch folder; a local session that names none gets a temporary one."""
+    if not spark.conf.get(CHECKPOINT_DIR, None) and spark.sparkContext.master.startswith("local"):
+        use_scratch(tempfile.mkdtemp(prefix="probity-"))
+    return scratch_dir(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table. Its schema is read from the files once and then given."""
     path = f"{sf_dir}/{name}.parquet"
@@ -58,6 +69,7 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         sound_filings(spark, sf_dir),
         [
             corrupt.copied_key("return_id", corrupt.every(key, 33, 5), f"{key} - 1"),
+            corrupt.Defect("tin", corrupt.every(key, 40, 9), NO_CUSTOMER),
             corrupt.orphan("tin", corrupt.every(key, 25, 3)),
             corrupt.null_out("tin", corrupt.every(key, 20, 7)),
             corrupt.Defect("period_end", corrupt.every(key, 50, 21), "period_start"),
@@ -70,8 +82,8 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def register(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customers without every fortieth, whose filings become orphans."""
-    customer = table(spark, sf_dir, "customer").filter("c_custkey % 40 <> 9")
+    """All customers."""
+    customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     return (

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from probity.functions import surrogate_id
-from workload.fixture import RUN_TS
+RUN = "2001-08-01T02:00:00"
+STAMP = "TIMESTAMP '2001-08-01 02:00:00'"
 
 FILINGS = """
 filings AS (
   SELECT o_orderkey AS src_seq,
     CASE WHEN o_orderkey % 33 = 5 THEN o_orderkey - 1 ELSE o_orderkey END AS return_id,
     CASE WHEN o_orderkey % 20 = 7 THEN NULL
-         WHEN o_orderkey % 25 = 3 THEN lpad(CAST(o_custkey AS VARCHAR), 10, '0') || 'X'
+         WHEN o_orderkey % 25 = 3 THEN CASE WHEN o_orderkey % 40 = 9
+           THEN '9' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0')
+           ELSE lpad(CAST(o_custkey AS VARCHAR), 10, '0') END || 'X'
+         WHEN o_orderkey % 40 = 9 THEN '9' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0')
          ELSE lpad(CAST(o_custkey AS VARCHAR), 10, '0') END AS tin,
     o_orderpriority AS tax_type,
     CAST(o_orderdate AS DATE) AS period_start,
@@ -32,8 +35,7 @@ register AS (
   SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS tin, c_name AS taxpayer_name,
     c_mktsegment AS sector, r_name AS region
   FROM customer JOIN nation ON c_nationkey = n_nationkey
-    JOIN region ON n_regionkey = r_regionkey
-  WHERE c_custkey % 40 <> 9)"""
+    JOIN region ON n_regionkey = r_regionkey)"""
 
 CLEAN = """
 clean AS (
@@ -305,36 +307,43 @@ def _stats(table: str, label: str) -> str:
     )
 
 
-RUN = RUN_TS.isoformat()
-STAMP = f"TIMESTAMP '{RUN_TS:%Y-%m-%d %H:%M:%S}'"
-
-
-def _id(name: str) -> str:
-    return f"substr(md5('{name}' || '{RUN}'), 1, 16)"
+def _id(name: str, path: str) -> str:
+    return f"substr(md5('{name}' || '{RUN}' || '{path}'), 1, 16)"
 
 
 REGISTERED = [
     ("orders", "raw_file", "orders.parquet", "orders", 6, "Orders"),
+    ("orders", "derived", "orders_filed", "orders WHERE o_orderstatus = 'F'", 6, "Filed orders"),
     ("customer", "raw_file", "customer.parquet", "customer", 5, "Customers"),
     ("tax_returns", "derived", "filings", "filings", 11, "Filings with defects"),
     ("taxpayer_register", "derived", "register", "register", 4, "Register of taxpayers"),
     ("tax_returns_clean", "transformed", "clean", "clean", 11, "Clean filings"),
 ]
 DATASETS = "datasets AS (" + " UNION ALL ".join(
-    f"SELECT {_id(name)} AS dataset_id, '{name}' AS name, '{kind}' AS source_type, "
+    f"SELECT {_id(name, path)} AS dataset_id, '{name}' AS name, '{kind}' AS source_type, "
     f"'{path}' AS file_path, (SELECT count(*) FROM {table}) AS row_count, "
-    f"CAST({width} AS BIGINT) AS col_count, {STAMP} AS created_at, '{text}' AS description"
-    for name, kind, path, table, width, text in REGISTERED
+    f"CAST({width} AS BIGINT) AS col_count, {STAMP} AS created_at, '{text}' AS description, "
+    f"CAST({seq} AS BIGINT) AS seq"
+    for seq, (name, kind, path, table, width, text) in enumerate(REGISTERED)
 ) + ")"
+# Places in REGISTERED; None was never registered.
 EDGES = [
-    ("orders", "tax_returns", "Defect injection", "corrupt"),
-    ("customer", "taxpayer_register", "Register build", "join + filter"),
-    (None, "taxpayer_register", "Register build", "join + filter"),
-    ("tax_returns", "tax_returns_clean", "DQ Remediation", "filter + deduplicate"),
-    ("taxpayer_register", "tax_returns_clean", "DQ Remediation", "filter + deduplicate"),
+    (0, 1, "Selection", "filter"),
+    (0, 3, "Defect injection", "corrupt"),
+    (1, 3, "Defect injection", "corrupt"),
+    (2, 4, "Register build", "join"),
+    (None, 4, "Register build", "join"),
+    (3, 5, "DQ Remediation", "filter + deduplicate"),
+    (4, 5, "DQ Remediation", "filter + deduplicate"),
 ]
+
+
+def _end(place: int | None) -> str:
+    return repr("0" * 16) if place is None else _id(REGISTERED[place][0], REGISTERED[place][2])
+
+
 EDGE_ROWS = "edges AS (" + " UNION ALL ".join(
-    f"SELECT {_id(source) if source else repr('0' * 16)} AS source, {_id(target)} AS target, "
+    f"SELECT {_end(source)} AS source, {_end(target)} AS target, "
     f"'{label}' AS label, '{operation}' AS operation, 'success' AS status"
     for source, target, label, operation in EDGES
 ) + ")"
@@ -349,7 +358,7 @@ def _digits(text: str, start: int) -> str:
     )
 
 
-SEED = "CAST(return_id AS VARCHAR) || '#' || CAST(copy AS VARCHAR)"
+SEED = "CAST(src_seq AS VARCHAR) || '#' || CAST(copy AS VARCHAR)"
 
 
 
@@ -455,8 +464,8 @@ SELECT (SELECT count(*) FROM datasets) AS node_count,
   (SELECT CAST(sum(row_count) AS BIGINT) FROM datasets) AS node_rows, source AS "from",
   target AS "to", label, operation, status FROM edges""",
     "dq_run_log": f"""{SCORED}
-SELECT substr(md5('{surrogate_id("tax_returns", RUN_TS)}' || '{RUN}'), 1, 16) AS run_id,
-  {_id("tax_returns")} AS dataset_id, points / 100.0 AS overall_score, total_issues,
+SELECT substr(md5({_id("tax_returns", "filings")} || '{RUN}'), 1, 16) AS run_id,
+  {_id("tax_returns", "filings")} AS dataset_id, points / 100.0 AS overall_score, total_issues,
   high_issues, medium_issues, low_issues, {STAMP} AS run_at FROM total, sev""",
     "inject_defects": """SELECT o_orderkey AS src_seq,
   CASE WHEN o_orderkey % 33 = 5 THEN o_orderkey - 1 ELSE o_orderkey END AS return_id,
@@ -478,9 +487,9 @@ SELECT substr(md5('{surrogate_id("tax_returns", RUN_TS)}' || '{RUN}'), 1, 16) AS
 FROM orders""",
     "audit_sample": """SELECT o_orderkey FROM orders
 ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 500""",
-    "audit_expand": f"""WITH keys AS (
-  SELECT o_orderkey AS return_id,
-    unnest(range(1, 2 + ({_digits('CAST(o_orderkey AS VARCHAR)', 1)}) % 3)) AS copy FROM orders)
+    "audit_expand": f"""WITH {FILINGS}, keys AS (
+  SELECT return_id, src_seq,
+    unnest(range(1, 2 + ({_digits('CAST(src_seq AS VARCHAR)', 1)}) % 3)) AS copy FROM filings)
 SELECT substr(md5({SEED}), 1, 12) AS event_id, return_id,
   ['CREATED', 'UPDATED', 'REVIEWED', 'FLAGGED', 'APPROVED'][1 + ({_digits(SEED, 1)}) % 5]
     AS event_type,
@@ -504,14 +513,79 @@ SELECT row_number() OVER (ORDER BY check_seq) AS issue_no,
             )
         ]
     ),
-    "nat_ship_before_order": """SELECT
-  CAST(sum(CASE WHEN l_shipdate < o_orderdate THEN 1 ELSE 0 END) AS BIGINT) AS affected_rows,
-  count(*) AS total_rows
-FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""",
+    "nat_ship_before_order": _metrics(
+        [
+            (
+                "lineitem",
+                "Consistency",
+                "l_shipdate / o_orderdate",
+                "Line shipped before the date of its order",
+                "l_shipdate < o_orderdate",
+                "(SELECT * FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey)",
+                HIGH,
+            )
+        ]
+    ),
     "nat_foreign_keys": f"""{_with_metrics(FOREIGN)}
 SELECT check_seq, dataset, {ISSUE} FROM metrics""",
     "nat_duplicate_text_rows": """SELECT doc_id, lang FROM (
   SELECT doc_id, lang, count(*) OVER (PARTITION BY text) AS copies FROM documents)
 WHERE copies > 1""",
     "nat_duplicate_text": _metrics([_unique("documents", "documents", ["text"])]),
+    "nat_orphan_rows_typed": " UNION ALL ".join(
+        f"""SELECT o_orderkey, '{kind}' AS kind FROM (
+  SELECT o_orderkey, CAST(o_custkey AS {kind}) + CASE WHEN o_orderkey % 50 = 0 THEN 0.5 ELSE 0 END AS k
+  FROM orders) WHERE NOT EXISTS (SELECT 1 FROM customer WHERE CAST(c_custkey AS {kind}) = k)"""
+        for kind in ("DOUBLE", "DECIMAL(20,2)")
+    ),
+    "csv_roundtrip_text": "SELECT doc_id, ' ' || lang || ' ' AS lang, text FROM documents",
+    "sample_clean": f"WITH {FILINGS},{CLEAN} SELECT * FROM clean ORDER BY src_seq LIMIT 100",
+    "dq_status_hits": _metrics(
+        [
+            (
+                "orders",
+                "Validity",
+                "o_orderstatus",
+                "Order is still open",
+                "o_orderstatus NOT IN ('F', 'P')",
+                "orders",
+                MEDIUM,
+            )
+        ]
+    ),
+    "dq_completeness_high": _metrics(
+        [_null("orders", "(SELECT nullif(o_orderstatus, 'F') AS status FROM orders)", "status")]
+    ),
+    "dq_missing_column": _metrics([*VALIDITY[:2], TIMELINESS[0]], FILINGS),
+    "clean_summary_moment": f"""WITH {FILINGS}, moments AS (
+  SELECT * REPLACE (CAST(filing_date AS TIMESTAMP) + to_hours(CAST(src_seq % 24 AS INTEGER)) AS filing_date)
+  FROM filings), clean AS (
+  SELECT DISTINCT return_id FROM moments
+  WHERE tin IS NOT NULL AND amount_due IS NOT NULL AND regexp_full_match(tin, '[0-9]{{10}}')
+    AND amount_due >= 0 AND currency = 'UGX' AND filing_date <= TIMESTAMP '2001-08-01 12:00:00'
+), {KEPT}
+SELECT rows_before, rows_after, rows_before - rows_after AS rows_removed,
+  {TENTHS} / 10.0 AS retention_pct FROM kept""",
+    "missing_one_sided": f"""WITH {FILINGS},{CLEAN}
+SELECT 'currency' AS column_name, count(*) - count(currency) AS raw_nulls,
+  CAST(NULL AS BIGINT) AS clean_nulls, CAST(NULL AS BIGINT) AS resolved FROM filings
+UNION ALL SELECT 'tin', r.n, c.n, r.n - c.n FROM
+  (SELECT count(*) - count(tin) AS n FROM filings) r, (SELECT count(*) - count(tin) AS n FROM clean) c
+UNION ALL SELECT 'note', NULL, count(*), NULL FROM clean""",
+    "company_names": f"""WITH {REGISTER}
+SELECT tin, 'Company_' || right(tin, 4) AS taxpayer_name FROM register""",
+    "scores_without_issues": f"""WITH {DIMENSIONS}
+SELECT CAST(dimension_seq AS BIGINT) AS dimension_seq, dimension, CAST(100 AS DOUBLE) AS score, 'PASS' AS status
+FROM dimensions""",
+    "detail_without_issues": f"""WITH {DIMENSIONS}
+SELECT dimension, text AS description, CAST(100 AS DOUBLE) AS score, 'PASS' AS status,
+  CAST(NULL AS VARCHAR) AS field, CAST(NULL AS VARCHAR) AS issue,
+  CAST(NULL AS BIGINT) AS affected_rows FROM dimensions""",
+    "report_from_summary": f"""{SCORED},{CLEAN}
+SELECT 'flow' AS part, 'tax_returns' AS source_name, (SELECT count(*) FROM filings) AS source_rows,
+  'tax_returns_clean' AS target_name, (SELECT count(*) FROM clean) AS target_rows
+UNION ALL SELECT 'explorer', NULL, count(*), NULL, count(*) FROM issues""",
+    "run_steps": f"""WITH {FILINGS},{REGISTER},{CLEAN}
+SELECT * FROM (VALUES ('tax_returns', true), ('taxpayer_register', true), ('check', true),
+  ('clean', true), ('profile', true)) t(step, timed)""",
 }

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probity.functions import quoted, surrogate_id
+from probity.functions import last_chars, quoted, surrogate_id
 from probity.model import ISSUE_COLUMNS, Check, ForeignKey, UniqueKey
 from probity.operators import corrupt, rules
 from probity.operators.measure import issues, measure
@@ -28,9 +30,8 @@ from probity.plans.filings import (
     timeliness_rules,
     validity_rules,
 )
-from probity.plans.pipeline import run_pipeline
+from probity.plans.pipeline import Run, run_pipeline
 from probity.plans.scoring import dimension_scores, overall, result_document
-from probity.session import scratch_dir
 from probity.sources import Catalogue, Dataset, read_csv, read_summary, write_table
 from probity.sources.catalogue import dataset_rows, dq_run_row, transformation_row
 from workload.fixture import (
@@ -40,6 +41,7 @@ from workload.fixture import (
     RUN_TS,
     filings,
     register,
+    scratch,
     sound_filings,
     table,
     tin,
@@ -49,6 +51,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SRC_SEQ = ["src_seq"]
 UNREGISTERED = "0000000000000000"
+# What the datasets of the lineage queries are called and where they lie.
+ORDERS, FILED, CUSTOMER = ("orders", "orders.parquet"), ("orders", "orders_filed"), ("customer", "customer.parquet")
+FILINGS, REGISTERED, CLEAN = (RETURNS, "filings"), (REGISTER, "register"), (f"{RETURNS}_clean", "clean")
 
 
 def _metrics(df: DataFrame, found: Sequence, name: str = RETURNS, **others: DataFrame) -> DataFrame:
@@ -108,10 +113,12 @@ def dq_referential(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dq_orphan_rows(spark: SparkSession, d: str) -> DataFrame:
+    scratch(spark)
     return orphan_rows(filings(spark, d), register(spark, d), "tin", "tin")
 
 
 def dq_duplicate_rows(spark: SparkSession, d: str) -> DataFrame:
+    scratch(spark)
     return duplicate_rows(filings(spark, d), ["return_id"])
 
 
@@ -217,39 +224,53 @@ def report_metadata(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _registered(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders")
+    kept = summarise_cleaning(filings(spark, d), AS_OF, COLUMNS)
+
+    def entry(place: tuple[str, str], df: DataFrame, kind: str, text: str, **known) -> Dataset:
+        return Dataset(place[0], df, kind, place[1], text, **known)
+
     return dataset_rows(
         [
-            Dataset("orders", table(spark, d, "orders"), "raw_file", "orders.parquet", "Orders"),
-            Dataset(
-                "customer", table(spark, d, "customer"), "raw_file", "customer.parquet", "Customers"
+            entry(ORDERS, orders, "raw_file", "Orders"),
+            entry(FILED, orders.filter("o_orderstatus = 'F'"), "derived", "Filed orders"),
+            entry(CUSTOMER, table(spark, d, "customer"), "raw_file", "Customers"),
+            entry(FILINGS, filings(spark, d), "derived", "Filings with defects"),
+            entry(REGISTERED, register(spark, d), "derived", "Register of taxpayers"),
+            entry(
+                CLEAN,
+                _clean(spark, d),
+                "transformed",
+                "Clean filings",
+                counted=kept.selectExpr("rows_after AS row_count"),
             ),
-            Dataset(RETURNS, filings(spark, d), "derived", "filings", "Filings with defects"),
-            Dataset(REGISTER, register(spark, d), "derived", "register", "Register of taxpayers"),
-            Dataset(f"{RETURNS}_clean", _clean(spark, d), "transformed", "clean", "Clean filings"),
         ],
         RUN_TS,
     )
 
 
-def _transformations(spark: SparkSession) -> DataFrame:
-    def row(step: str, inputs: list[str], output: str, operation: str) -> DataFrame:
-        ids = [surrogate_id(name, RUN_TS) for name in inputs if name]
-        ids += [UNREGISTERED for name in inputs if not name]
-        return transformation_row(
-            spark, step, ids, surrogate_id(output, RUN_TS), operation, "", RUN_TS
-        )
+def _dataset_id(place: tuple[str, str] | None) -> str:
+    return surrogate_id(place[0], RUN_TS, place[1]) if place else UNREGISTERED
 
-    return (
-        row("Defect injection", ["orders"], RETURNS, "corrupt")
-        .unionByName(row("Register build", ["customer", ""], REGISTER, "join + filter"))
-        .unionByName(
-            row("DQ Remediation", [RETURNS, REGISTER], f"{RETURNS}_clean", "filter + deduplicate")
+
+def _transformations(spark: SparkSession) -> DataFrame:
+    steps = [
+        ("Selection", [ORDERS], FILED, "filter"),
+        ("Defect injection", [ORDERS, FILED], FILINGS, "corrupt"),
+        ("Register build", [CUSTOMER, None], REGISTERED, "join"),
+        ("DQ Remediation", [FILINGS, REGISTERED], CLEAN, "filter + deduplicate"),
+    ]
+    rows = [
+        transformation_row(
+            spark, step, [_dataset_id(p) for p in inputs], _dataset_id(output), operation, "", RUN_TS, seq=k
         )
-    )
+        for k, (step, inputs, output, operation) in enumerate(steps)
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def _catalogue(spark: SparkSession, d: str) -> Catalogue:
-    catalogue = Catalogue(spark, f"{scratch_dir(spark)}/catalogue")
+    catalogue = Catalogue(spark, f"{scratch(spark)}/catalogue")
     catalogue.append("datasets", _registered(spark, d))
     catalogue.append("transformations", _transformations(spark))
     return catalogue
@@ -281,7 +302,7 @@ def lineage_graph(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dq_run_log(spark: SparkSession, d: str) -> DataFrame:
-    return dq_run_row(_result(spark, d), surrogate_id(RETURNS, RUN_TS), RUN_TS)
+    return dq_run_row(_result(spark, d), _dataset_id(FILINGS), RUN_TS)
 
 
 # Corruption
@@ -309,8 +330,8 @@ def audit_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def audit_expand(spark: SparkSession, d: str) -> DataFrame:
-    keys = table(spark, d, "orders").selectExpr("o_orderkey AS return_id")
-    return corrupt.audit_events(keys, "return_id")
+    """Events of the filings, whose ids repeat; rows are told apart by their number."""
+    return corrupt.audit_events(filings(spark, d), "return_id", identity="src_seq")
 
 
 # Files and the whole job
@@ -319,15 +340,22 @@ def audit_expand(spark: SparkSession, d: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """The filings after a round through CSV, with the types given back."""
     source = filings(spark, d)
-    path = f"{scratch_dir(spark)}/filings"
+    path = f"{scratch(spark)}/filings"
     write_table(source, path, "csv")
     return read_csv(spark, path, source.schema)
 
 
-def summary_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """The issues read back from the summary a whole run has written."""
-    out = scratch_dir(spark)
-    run = run_pipeline(
+def csv_roundtrip_text(spark: SparkSession, d: str) -> DataFrame:
+    """Texts with line breaks and quotes, and codes with blanks around them, through CSV."""
+    texts = table(spark, d, "documents").selectExpr("doc_id", "concat(' ', lang, ' ') AS lang", "text")
+    path = f"{scratch(spark)}/documents"
+    write_table(texts, path, "csv")
+    return read_csv(spark, path, texts.schema)
+
+
+def _run(spark: SparkSession, d: str) -> Run:
+    out = scratch(spark)
+    return run_pipeline(
         spark,
         filings(spark, d),
         register(spark, d),
@@ -338,7 +366,11 @@ def summary_roundtrip(spark: SparkSession, d: str) -> DataFrame:
         columns=COLUMNS,
         run_ts=RUN_TS,
     )
-    summary = read_summary(spark, run.summary)
+
+
+def summary_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """The issues read back from the summary a whole run has written."""
+    summary = read_summary(spark, _run(spark, d).summary)
     found = summary.selectExpr(
         "cleaning_summary.rows_after AS rows_after",
         "posexplode(dq_results.issues) AS (pos, issue)",
@@ -346,6 +378,84 @@ def summary_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return found.selectExpr("CAST(pos + 1 AS BIGINT) AS issue_no", "rows_after", "issue.*")
 
 
+def report_from_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Flow and issue count of the report made from a saved summary."""
+    tables = report.report_tables(read_summary(spark, _run(spark, d).summary), AS_OF)
+    flow = tables["flow"].selectExpr(
+        "'flow' AS part", "source_name", "source_rows", "target_name", "target_rows"
+    )
+    return flow.union(
+        tables["explorer_count"].selectExpr("'explorer'", "NULL", "shown", "NULL", "of_total")
+    )
+
+
+def sample_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The clean sample that a whole run has written."""
+    return spark.read.parquet(_run(spark, d).profile["clean_sample"])
+
+
+def run_steps(spark: SparkSession, d: str) -> DataFrame:
+    """The steps of a whole run, and whether each was timed."""
+    taken = _run(spark, d).duration_ms
+    rows = [(step, ms >= 0) for step, ms in taken.items()]
+    return spark.createDataFrame(rows, "step STRING, timed BOOLEAN")
+
+
+# Branches that the fixture does not reach
+
+
+def dq_status_hits(spark: SparkSession, d: str) -> DataFrame:
+    rule = rules.allowed("o_orderstatus", ["F", "P"], "Order is still open", rules.MEDIUM)
+    return _metrics(table(spark, d, "orders"), [rule], "orders")
+
+
+def dq_completeness_high(spark: SparkSession, d: str) -> DataFrame:
+    statuses = table(spark, d, "orders").selectExpr("nullif(o_orderstatus, 'F') AS status")
+    return _metrics(statuses, [rules.not_null("status")], "orders")
+
+
+def dq_missing_column(spark: SparkSession, d: str) -> DataFrame:
+    """Rules on a column that isn't there are left out."""
+    found = [*validity_rules(RETURNS, COLUMNS), *timeliness_rules(RETURNS, AS_OF, COLUMNS)]
+    return _metrics(filings(spark, d).drop("filing_status"), found)
+
+
+def clean_summary_moment(spark: SparkSession, d: str) -> DataFrame:
+    """Filings with a time of day, cleaned as of a time of day."""
+    moment = "CAST(filing_date AS TIMESTAMP_NTZ) + make_dt_interval(0, CAST(src_seq % 24 AS INT))"
+    timed = filings(spark, d).withColumn("filing_date", F.expr(moment))
+    return summarise_cleaning(timed, datetime(2001, 8, 1, 12), COLUMNS)
+
+
+def missing_one_sided(spark: SparkSession, d: str) -> DataFrame:
+    """A column that only the raw or only the clean table has."""
+    clean = _clean(spark, d).selectExpr("tin", "CAST(NULL AS STRING) AS note")
+    return missing_before_after(filings(spark, d).select("tin", "currency"), clean)
+
+
+def company_names(spark: SparkSession, d: str) -> DataFrame:
+    """Names made of the last four digits of the key."""
+    return register(spark, d).selectExpr("tin", f"concat('Company_', {last_chars('tin', 4)}) AS taxpayer_name")
+
+
+def _sound_result(spark: SparkSession, d: str) -> DataFrame:
+    checks = [
+        Check("orders", ForeignKey("o_custkey", "customer", "c_custkey", "order of no customer")),
+        Check("lineitem", ForeignKey("l_orderkey", "orders", "o_orderkey", "line of no order")),
+        Check("customer", UniqueKey(("c_custkey",))),
+    ]
+    tables = {name: table(spark, d, name) for name in ("orders", "customer", "lineitem")}
+    return result_document(measure(checks, tables))
+
+
+def scores_without_issues(spark: SparkSession, d: str) -> DataFrame:
+    return report.dimension_bands(_sound_result(spark, d))
+
+
+def detail_without_issues(spark: SparkSession, d: str) -> DataFrame:
+    return report.dimension_detail(_sound_result(spark, d))
+
+
 # Defects the test tables have of their own
 
 
@@ -355,20 +465,26 @@ def nat_negative_balance(spark: SparkSession, d: str) -> DataFrame:
 
 
 def nat_ship_before_order(spark: SparkSession, d: str) -> DataFrame:
-    """Lines shipped before their order's date, counted per order and date first.
-
-    The lines of one order collapse to its ship dates and the orders to one row
-    per key before they meet, so no key reaches the join with many rows.
-    """
-    lines = table(spark, d, "lineitem").groupBy("l_orderkey", "l_shipdate")
-    orders = table(spark, d, "orders").groupBy("o_orderkey")
-    shipped = lines.agg(F.expr("count(1) AS n"))
-    ordered = orders.agg(F.expr("max(o_orderdate) AS ordered"))
-    joined = shipped.join(ordered, F.expr("l_orderkey = o_orderkey"), "left")
-    return joined.selectExpr(
-        "coalesce(sum(CASE WHEN l_shipdate < ordered THEN n END), 0L) AS affected_rows",
-        "coalesce(sum(n), 0L) AS total_rows",
-    )
+    """A rule over two tables: lines joined to their orders, by one exchange of each."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_shipdate")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    joined = lines.join(orders, F.expr("l_orderkey = o_orderkey"), "left")
+    rule = rules.not_before("l_shipdate", "o_orderdate", "Line shipped before the date of its order")
+    return _metrics(joined, [rule], "lineitem")
+
+
+def nat_orphan_rows_typed(spark: SparkSession, d: str) -> DataFrame:
+    """Orders of no customer, with keys of other number types than the customers have."""
+    scratch(spark)
+    customer = table(spark, d, "customer")
+
+    def orphans(kind: str) -> DataFrame:
+        key = f"CAST(o_custkey AS {kind}) + CASE WHEN o_orderkey % 50 = 0 THEN 0.5 ELSE 0 END"
+        typed = table(spark, d, "orders").selectExpr("o_orderkey", f"CAST({key} AS {kind}) AS k")
+        found = orphan_rows(typed, customer, "k", "c_custkey")
+        return found.selectExpr("o_orderkey", f"'{kind}' AS kind")
+
+    return orphans("DOUBLE").union(orphans("DECIMAL(20,2)"))
 
 
 def nat_duplicate_text(spark: SparkSession, d: str) -> DataFrame:
@@ -377,6 +493,7 @@ def nat_duplicate_text(spark: SparkSession, d: str) -> DataFrame:
 
 def nat_duplicate_text_rows(spark: SparkSession, d: str) -> DataFrame:
     """The documents whose text another document has too, found by digest."""
+    scratch(spark)
     documents = table(spark, d, "documents").select("doc_id", "lang", "text")
     return duplicate_rows(documents, ["text"], digest=True).select("doc_id", "lang")
 
@@ -442,4 +559,17 @@ QUERIES: dict[str, Query] = {
     "nat_duplicate_text": nat_duplicate_text,
     "nat_duplicate_text_rows": nat_duplicate_text_rows,
     "nat_foreign_keys": nat_foreign_keys,
+    "nat_orphan_rows_typed": nat_orphan_rows_typed,
+    "csv_roundtrip_text": csv_roundtrip_text,
+    "report_from_summary": report_from_summary,
+    "sample_clean": sample_clean,
+    "run_steps": run_steps,
+    "dq_status_hits": dq_status_hits,
+    "dq_completeness_high": dq_completeness_high,
+    "dq_missing_column": dq_missing_column,
+    "clean_summary_moment": clean_summary_moment,
+    "missing_one_sided": missing_one_sided,
+    "company_names": company_names,
+    "scores_without_issues": scores_without_issues,
+    "detail_without_issues": detail_without_issues,
 }
