@@ -60,9 +60,8 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, ids: bo
             for at in range(0, batch.num_rows, ROWS):
                 some = batch.slice(at, ROWS)
                 out: list[list] = [[] for _ in _PIECE]
-                found = encode(some.column(1).to_pylist())
-                for doc_id, own in zip(some.column(0).to_pylist(), found, strict=True):
-                    own += end
+                for doc_id, text in zip(*[c.to_pylist() for c in some.columns], strict=True):
+                    own = encode(text) + end
                     n = len(own) // 4
                     starts = [0, *range(n % capacity or capacity, n, capacity)]
                     for k, (a, b) in enumerate(zip(starts, [*starts[1:], n], strict=True)):

@@ -42,9 +42,7 @@ _BLOCK_ARROW = pa.schema(
         ("words", pa.binary()),
     ]
 )
-_IDS_ARROW = pa.schema(
-    [("doc_id", pa.int64()), ("file", pa.int32()), ("local", pa.int64()), ("ids", pa.binary())]
-)
+_IDS_ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())])
 
 
 def bits_for(vocabulary: int) -> int:
@@ -102,8 +100,8 @@ def _blocks(path: str, end_id: int):
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 some = batch.slice(at, ROWS)
-                found = encode(some.column(1).to_pylist())
-                for doc_id, ids in zip(some.column(0).to_pylist(), found, strict=True):
+                for doc_id, text in zip(*[c.to_pylist() for c in some.columns], strict=True):
+                    ids = encode(text)
                     doc_ids.append(doc_id)
                     counts.append(len(ids) // 4 + 1)
                     parts += [ids, end]
@@ -144,8 +142,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(row["doc_ids"], pa.int64()),
-                    pa.array([row["file"]] * len(starts), pa.int32()),
-                    pa.array(starts + row["first"], pa.int64()),
+                    pa.array(starts + row["at"], pa.int64()),
                     pa.array([ids[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]),
                 ],
                 schema=_IDS_ARROW,
@@ -156,21 +153,22 @@ def _stored(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(BLOCK_SCHEMA).parquet(folder)
 
 
-def _file_starts(spark: SparkSession, folder: str) -> DataFrame:
-    """Ids before each file: one row per file."""
+def _placed(spark: SparkSession, folder: str) -> DataFrame:
+    """The blocks with ``at``, the ids before them in all files.
+
+    What is broadcast has two numbers for each file, that is, for each task that wrote.
+    """
     files = _stored(spark, folder).groupBy("file").agg(F.sum("n_ids").alias("n_ids"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    return files.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
+    starts = files.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
+    blocks = _stored(spark, folder).join(F.broadcast(starts), "file")
+    return blocks.withColumn("at", F.col("base") + F.col("first"))
 
 
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (ids before it in all files), ids (unsigned 32 bit, least byte first)."""
-    docs = _stored(spark, folder).mapInArrow(
-        _read, "doc_id LONG, file INT, local LONG, ids BINARY"
-    )
-    return docs.join(_file_starts(spark, folder), "file").select(
-        "doc_id", (F.col("base") + F.col("local")).alias("start"), "ids"
-    )
+    blocks = _placed(spark, folder).select("at", "n_ids", "width", "doc_ids", "counts", "words")
+    return blocks.mapInArrow(_read, "doc_id LONG, start LONG, ids BINARY")
 
 
 def ids_between(spark: SparkSession, folder: str, start: int, stop: int) -> DataFrame:
@@ -189,9 +187,8 @@ def ids_between(spark: SparkSession, folder: str, start: int, stop: int) -> Data
                 )
 
     return (
-        _stored(spark, folder)
-        .join(_file_starts(spark, folder), "file")
-        .select((F.col("base") + F.col("first")).alias("at"), "n_ids", "width", "words")
+        _placed(spark, folder)
+        .select("at", "n_ids", "width", "words")
         .filter((F.col("at") < stop) & (F.col("at") + F.col("n_ids") > start))
         .mapInArrow(cut, "start LONG, ids BINARY")
     )

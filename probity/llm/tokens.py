@@ -21,8 +21,8 @@ _ODD = re.compile(
 )
 _RUNS = ("  ", " \n", "\n ", "\n\n")
 _FIRST = "\r"
-# A word of letters, with at most one mark behind it: two pieces at most.
-_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]?)")
+# A word of letters, maybe after a line break, and maybe one mark behind it: a piece each.
+_SIMPLE = re.compile("([\n\r]?)([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]?)")
 
 
 def _words(text: str) -> list[str] | None:
@@ -63,8 +63,8 @@ class Encoder:
             for second in range(0x80, 0xC0):
                 written = spell(bytes([first, second]).decode())[0][0]
                 latin[first], latin[second] = written
-        self._spelling = latin
-        self._marks = {m: self._plain(m) for m in ".,;:!?"} | {"": b""}
+        self._spelling, self._space = latin, latin[32]
+        self._marks = {m: self._plain(m) for m in ".,;:!?\n"} | {"": b"", _FIRST: b""}
         self._known: dict[str, bytes] = {}
         self._missed = 0
 
@@ -76,40 +76,40 @@ class Encoder:
         simple = _SIMPLE.fullmatch(word)
         if not simple:
             return self._plain(_whole(word))
-        spelled = " " + simple[1]
-        if spelled.isascii():
-            spelled = self._spelling[32] + simple[1]
-        else:
-            spelled = spelled.encode().decode("latin1").translate(self._spelling)
-        return array("I", [t.id for t in self._model.tokenize(spelled)]).tobytes() + self._marks[
-            simple[2]
-        ]
-
-    def _look_up(self, words: set[str]) -> dict[str, bytes]:
-        """A table that has all ``words``."""
+        begin, letters, end = simple.groups()
+        if not letters.isascii():
+            letters = letters.encode().decode("latin1").translate(self._spelling)
+        if not begin:
+            letters = self._space + letters
+        ids = array("I", [t.id for t in self._model.tokenize(letters)]).tobytes()
+        return self._marks[begin] + ids + self._marks[end] if begin or end else ids
+
+    def _new(self, words: Sequence[str]) -> dict[str, bytes]:
+        """The ids of words that aren't known, which are then known if there is room."""
         if self._missed > CACHED_WORDS:  # the texts have changed: learn their words
             self._known, self._missed = {}, 0
-        known, rest = self._known, {}
-        for w in words.difference(known):
-            if len(w) > LONGEST_CACHED:
-                rest[w] = self._encode(w)
-            elif len(known) < CACHED_WORDS:
-                known[w] = self._encode(w)
-            else:
-                rest[w] = self._encode(w)
-                self._missed += 1
-        return {w: rest[w] if w in rest else known[w] for w in words} if rest else known
-
-    def __call__(self, texts: Sequence[str | None]) -> list[bytes]:
-        """The ids of each text; NULL and the empty text have none."""
-        if not self._byte_level:
-            return [self._plain(t) if t else b"" for t in texts]
-        cut = [_words(t) if t else [] for t in texts]
-        table = self._look_up({w for words in cut if words for w in words})
-        return [
-            self._plain(text) if words is None else b"".join(map(table.__getitem__, words))
-            for text, words in zip(texts, cut, strict=True)
-        ]
+        known, found = self._known, {}
+        for w in words:
+            if w not in found:
+                found[w] = self._encode(w)
+                if len(known) >= CACHED_WORDS:
+                    self._missed += 1
+                elif len(w) <= LONGEST_CACHED:
+                    known[w] = found[w]
+        return found
+
+    def __call__(self, text: str | None) -> bytes:
+        """The ids of a text; NULL and the empty text have none."""
+        if not text:
+            return b""
+        words = _words(text) if self._byte_level else None
+        if words is None:
+            return self._plain(text)
+        ids = list(map(self._known.get, words))
+        if None in ids:
+            found = self._new([w for w, own in zip(words, ids, strict=True) if own is None])
+            ids = [found[w] if own is None else own for w, own in zip(words, ids, strict=True)]
+        return b"".join(ids)
 
 
 @lru_cache(maxsize=4)

@@ -1,0 +1,188 @@
+"""Token ids, their files and their packing, against the tokenizer itself."""
+
+from __future__ import annotations
+
+import itertools
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from texts import DOCS, ODD, odd_rows, with_clashes
+from tokenizers import Tokenizer
+
+from probity.llm import packing, token_files
+from probity.llm.queries import QUERIES, VOCABULARY
+from probity.llm.scratch import new_folder
+from probity.llm.tokens import encoder
+
+PATH = public_tokenizers.path(VOCABULARY)
+
+
+@pytest.fixture(scope="module")
+def plain():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def ids_of(raw: bytes) -> list[int]:
+    return np.frombuffer(raw, "<u4").tolist()
+
+
+def crc(ids) -> int:
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_odd_texts_have_the_ids_of_the_tokenizer(plain):
+    assert [ids_of(encoder(PATH)(t)) for t in ODD] == [plain(t) for t in ODD]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab'sZé.,!  \n\n\t 1×ſ½²한"), max_size=40))
+def test_any_text_has_the_ids_of_the_tokenizer(text):
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    want = tokenizer.encode(text, add_special_tokens=False).ids if text else []
+    assert ids_of(encoder(PATH)(text)) == want
+
+
+@pytest.mark.parametrize("width", [1, 7, 15, 16, 17, 32])
+def test_packed_ids_come_back_whole_and_in_part(width):
+    ids = np.random.default_rng(width).integers(0, 1 << width, 1000, np.uint64)
+    packed = token_files.pack(ids, width)
+    assert len(packed) == -(-1000 // 64) * width * 8
+    for start, count in [(0, 1000), (0, 1), (63, 2), (640, 64), (999, 1), (500, 0)]:
+        got = token_files.unpack(packed, width, start, count)
+        assert got.tolist() == ids[start : start + count].tolist()
+
+
+def test_files_hold_every_document_in_order(spark, sf_dir, plain):
+    texts = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
+    got = {r["doc_id"]: r for r in QUERIES["op4_token_files"](spark, sf_dir).collect()}
+    start = 0
+    for doc_id in sorted(texts):
+        ids = [*plain(texts[doc_id]), 0]
+        assert tuple(got[doc_id]) == (doc_id, start, len(ids), crc(ids))
+        start += len(ids)
+    assert len(got) == len(texts)
+
+
+def test_files_of_odd_rows_and_random_access(spark, plain):
+    docs = with_clashes(spark.createDataFrame(odd_rows(), DOCS).repartition(5))
+    folder = f"{new_folder(spark)}/ids"
+    token_files.write_ids(docs, PATH, folder, end_id=50_256)
+    rows = token_files.read_ids(spark, folder).orderBy("start").collect()
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1] or "")
+    want = [[*plain(t), 50_256] for _, t, *_ in sorted(odd_rows(), key=key)]
+    assert [ids_of(r["ids"]) for r in rows] == want
+    flat = list(itertools.chain(*want))
+    for start, stop in [(0, len(flat)), (70, 71), (len(flat) - 3, len(flat)), (5, 5)]:
+        parts = token_files.ids_between(spark, folder, start, stop).orderBy("start").collect()
+        assert list(itertools.chain(*[ids_of(p["ids"]) for p in parts])) == flat[start:stop]
+
+
+def test_no_documents_no_files(spark):
+    folder = f"{new_folder(spark)}/ids"
+    token_files.write_ids(spark.createDataFrame([], DOCS), PATH, folder, end_id=0)
+    assert token_files.read_ids(spark, folder).count() == 0
+
+
+def fewest(lengths: list[int], capacity: int) -> int:
+    """By trying everything."""
+
+    def place(rest: list[int], bins: tuple[int, ...], most: int) -> int:
+        if len(bins) >= most:
+            return most
+        if not rest:
+            return len(bins)
+        for k, fill in enumerate(bins):
+            if fill + rest[0] <= capacity and fill not in bins[:k]:
+                filled = tuple(sorted((*bins[:k], *bins[k + 1 :], fill + rest[0])))
+                most = min(most, place(rest[1:], filled, most))
+        return min(most, place(rest[1:], tuple(sorted((*bins, rest[0]))), most))
+
+    return place(sorted(lengths, reverse=True), (), len(lengths) + 1)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 12), min_size=1, max_size=9))
+def test_the_bound_holds_and_best_fit_fits(lengths):
+    counts = np.bincount(lengths, minlength=13)
+    bins, offsets = packing.best_fit(np.array(lengths), 12)
+    assert packing.lower_bound(counts, 12) <= fewest(lengths, 12) <= bins.max() + 1
+    for b in range(bins.max() + 1):
+        own = sorted((o, n) for o, n, k in zip(offsets, lengths, bins, strict=True) if k == b)
+        at = 0
+        for offset, length in own:
+            assert offset == at
+            at += length
+        assert at <= 12
+
+
+def test_the_bound_beats_the_sum_where_large_pieces_meet():
+    assert packing.lower_bound(np.bincount([7, 7, 7], minlength=11), 10) == 3
+    assert packing.lower_bound(np.bincount([4] * 5, minlength=11), 10) == 3
+
+
+def check_packing(packed, texts: list[tuple], plain, capacity: int) -> int:
+    """The pieces are the documents' ids; sequences are gapless. Returns how many there are."""
+    pieces: dict = {}
+    sequences: dict = {}
+    for r in packed:
+        pieces.setdefault(r["doc_id"], []).append(r)
+        sequences.setdefault(r["sequence_id"], []).append(r)
+    want: dict = {}
+    for doc_id, text in texts:
+        ids = [*plain(text), 2]
+        cuts = [0, *range(len(ids) % capacity or capacity, len(ids), capacity), len(ids)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            want.setdefault(doc_id, []).append((k, a, b - a, crc(ids[a:b])))
+    assert set(pieces) == set(want)
+    for doc_id, own in pieces.items():
+        got = sorted((r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in own)
+        assert got == sorted(want[doc_id])
+    for own in sequences.values():
+        at = 0
+        for r in sorted(own, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= capacity
+    return len(sequences)
+
+
+def test_query_packs_all_documents(spark, sf_dir, plain):
+    texts = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    packed = QUERIES["op2_packing"](spark, sf_dir).collect()
+    used = check_packing(packed, texts, plain, 1024)
+    counts = np.bincount([r["length"] for r in packed], minlength=1025)
+    assert used <= packing.lower_bound(counts, 1024) + 1
+
+
+def test_partitions_with_gaps_exchange_pieces(spark, plain):
+    texts = [(i, "the and of to in " * (i * 7 % 40 + 1)) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    apart = packing._packed(
+        packing.pieces(docs, PATH, 2, 256, ids=False).selectExpr("doc_id AS uid", "*"), 40, 0, 256
+    )
+    together = packing.pack(docs, PATH, 2, 256, partition_pieces=10).collect()
+    used = check_packing(together, texts, plain, 256)
+    counts = np.bincount([r["length"] for r in together], minlength=257)
+    assert packing.lower_bound(counts, 256) <= used < packing._bins(apart)
+
+
+def test_packing_of_odd_rows(spark, plain):
+    docs = with_clashes(spark.createDataFrame(odd_rows(), DOCS))
+    packed = packing.pack(docs, PATH, 2, 1024)
+    check_packing(packed.collect(), [r[:2] for r in odd_rows()], plain, 1024)
+    assert packing.pack(docs.limit(0), PATH, 2).count() == 0
+
+
+def test_sequences_hold_the_ids(spark, plain):
+    docs = spark.createDataFrame([(1, "one two three"), (2, None), (3, "four " * 30)], "doc_id LONG, text STRING")
+    packed = packing.pack(docs, PATH, 2, 16)
+    whole = packing.sequences(packed, docs, PATH, 2, 16).collect()
+    flat = sorted(itertools.chain(*[ids_of(r["ids"]) for r in whole]))
+    assert flat == sorted([*plain("one two three"), 2, 2, *plain("four " * 30), 2])
