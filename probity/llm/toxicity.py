@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples.
 
 Examples are a bounded, documented sample of the labelled documents. Texts are
-TF-IDF vectors over the terms that tell the two labels apart best, of length one.
+TF-IDF vectors, of length one, over the terms that speak most clearly for label 1.
 An inverted index holds, for each term, the examples' weights and the largest
 weight in each block of examples; blocks are read in order of the cosine that
 they allow at most, until no block left can hold a nearer example, so the
@@ -25,14 +25,16 @@ from pyspark.sql import functions as F
 #: Labelled documents that examples are taken from at most.
 EXAMPLES = 8000
 #: Terms kept at most, and in how many examples one must be.
-TERMS, LEAST_EXAMPLES = 256, 5
-#: Chi-squared value from which a term tells the labels apart.
-TELLING = 20.0
-NEIGHBOURS = 25
+TERMS, LEAST_EXAMPLES = 1024, 5
+#: Chi-squared value from which a term speaks for label 1.
+TELLING = 35.0
+NEIGHBOURS = 10
+#: Letters of a word's beginning that are a term too, so that its forms meet.
+STEM = 5
 #: Examples per block of the index.
 BLOCK = 64
 #: Votes for the mean label that each vote begins with.
-PRIOR_VOTES = 0.5
+PRIOR_VOTES = 1.0
 #: Vectors whose votes a worker keeps.
 KEPT = 50_000
 
@@ -41,8 +43,11 @@ SCORE_TYPE = "struct<score: double, evidence: array<struct<doc_id: bigint, cosin
 
 
 def terms_of(text: str | None) -> list[str]:
-    """Words in lower case without the marks around them."""
-    return [w.strip(_EDGES) for w in text.lower().split()] if text else []
+    """Words in lower case without the marks around them, and the beginnings of longer words."""
+    if not text:
+        return []
+    words = [w.strip(_EDGES) for w in text.lower().split()]
+    return words + [w[:STEM] + "*" for w in words if len(w) > STEM]
 
 
 @dataclass
@@ -113,9 +118,9 @@ def isotonic(raw: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarra
         while len(pools) > 1 and pools[-2][1] >= pools[-1][1]:
             last, before = pools.pop(), pools[-1]
             total = before[2] + last[2]
+            before[0] = (before[0] * before[2] + last[0] * last[2]) / total
             before[1] = (before[1] * before[2] + last[1] * last[2]) / total
             before[2] = total
-            before[0] = last[0]
     # with half an example of each label, so that no rate is 0 or 1
     rates = [(m * w + 0.5 * labels.mean()) / (w + 0.5) for _, m, w in pools]
     return np.array([p[0] for p in pools]), np.maximum.accumulate(rates)
@@ -219,7 +224,8 @@ def _fitted(counted: DataFrame) -> Model:
     best = (
         seen.filter(f"df >= {LEAST_EXAMPLES} AND df < {total}")
         .withColumn("chi", chi)
-        .filter(f"chi >= {TELLING}")
+        .filter(F.col("chi") >= TELLING)
+        .filter(off > 0)
         .orderBy(F.desc("chi"), "term")
         .limit(TERMS)
         .collect()

@@ -1,0 +1,107 @@
+"""Nearest examples against all cosines, calibration, held-out quality."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+from texts import DOCS, odd_rows, with_clashes
+
+from probity.llm import toxicity
+from probity.llm.queries import QUERIES
+
+
+def test_index_finds_the_exact_neighbours():
+    rng = random.Random(5)
+    terms = [f"t{k}" for k in range(30)]
+    idf = {t: 1 + k / 10 for k, t in enumerate(terms)}
+    vectors = [
+        toxicity.vector({t: rng.randint(1, 5) for t in rng.sample(terms, rng.randint(0, 6))}, idf)
+        for _ in range(500)
+    ]
+    index = toxicity.Index(vectors, terms)
+    for but in (-1, 3, 77):
+        query = vectors[77] if but == 77 else vectors[rng.randrange(500)]
+        cosines = [
+            (round(sum(w * v.get(t, 0.0) for t, w in query.items()), 12), -e) for e, v in enumerate(vectors)
+        ]
+        want = sorted([c for c in cosines if c[0] > 0 and -c[1] != but], reverse=True)[:25]
+        got = index.nearest(query, 25, but)
+        assert np.allclose([c for _, c in got], [c for c, _ in want])
+        assert [e for e, _ in got] == [-e for _, e in want]
+    assert index.nearest({}, 25) == []
+
+
+def test_isotonic_rates_rise_and_keep_the_mean():
+    raw = np.array([0.1, 0.2, 0.2, 0.3, 0.4, 0.5, 0.9])
+    labels = np.array([0, 1, 0, 0, 1, 0, 1.0])
+    votes, rates = toxicity.isotonic(raw, labels)
+    assert (np.diff(votes) > 0).all()
+    assert (np.diff(rates) >= 0).all()
+    assert 0 < rates[0] < rates[-1] < 1
+
+
+def test_terms_of_a_text():
+    assert toxicity.terms_of('A "b," c-d\n(E)') == ["a", "b", "c-d", "e"]
+    assert toxicity.terms_of(None) == []
+
+
+def test_held_out_documents_are_told_apart(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    got = QUERIES["op6_toxicity"](spark, sf_dir).filter("held_out")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    rows = got.join(labels, "doc_id").collect()
+    one = [r["score"] for r in rows if r["toxic"]]
+    none = [r["score"] for r in rows if not r["toxic"]]
+    auc = np.mean([(a > b) + (a == b) / 2 for a in one for b in none])
+    caught = [r["toxic"] for r in rows if r["predicted"]]
+    assert auc > 0.95
+    assert np.mean(caught) > 0.85
+    assert sum(caught) >= 0.85 * len(one)
+    assert abs(np.mean([r["score"] - r["toxic"] for r in rows])) < 0.03
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_nothing_but_the_texts_and_the_learned_labels_counts(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    learn = F.col("doc_id") % 3 != 0
+    one = toxicity.fit(docs, labels, learn)
+    other = toxicity.fit(
+        docs.withColumn("lang", F.lit("x")),
+        labels.withColumn("toxic", F.when(learn, F.col("toxic")).otherwise(1 - F.col("toxic"))),
+        learn,
+    )
+    assert one.idf == other.idf
+    assert one.vectors == other.vectors
+    assert one.rate.tolist() == other.rate.tolist()
+
+
+def test_odd_rows_and_no_labels(spark):
+    docs = with_clashes(spark.createDataFrame(odd_rows(), DOCS))
+    labels = spark.createDataFrame(
+        [(4, 1, "t"), (4, 0, "t"), (5, None, "t"), (None, 1, "t"), (6, 0, "t"), (500, 1, "t")],
+        "doc_id LONG, toxic INT, text STRING",
+    )
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert model.ids == [4, 6]
+    scored = toxicity.score_documents(docs, model).collect()
+    assert len(scored) == len(odd_rows())
+    assert all(0 <= r["score"] <= 1 for r in scored)
+    none = toxicity.fit(docs, labels.limit(0), F.lit(True))
+    assert {r["score"] for r in toxicity.score_documents(docs, none).collect()} == {0.0}
+    assert toxicity.score_documents(docs.limit(0), model).count() == 0
+
+
+def test_evidence_names_the_examples(spark):
+    texts = [(i, f"{'scum' if i % 2 else 'kind'} word{i} and more") for i in range(40)]
+    docs = spark.createDataFrame([*texts, (99, "such scum!"), (98, "plain")], "doc_id LONG, text STRING")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id LONG, toxic INT")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert set(model.idf) == {"scum"}
+    got = {r["doc_id"]: r for r in toxicity.score_documents(docs, model).collect()}
+    assert got[99]["score"] > 0.9
+    assert all(e["toxic"] == 1 and math.isclose(e["cosine"], 1.0) for e in got[99]["evidence"])
+    assert got[98]["evidence"] == []
