@@ -100,13 +100,15 @@ WITH cut AS (
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM levels GROUP BY ALL),
 s1 AS ({_STRENGTH.format("suffixes")}), s2 AS ({_STRENGTH.format("domains")}),
 s3 AS ({_STRENGTH.format("levels")}),
-of_suffix AS (SELECT suffix, (bad + mean * strength) / (n + strength) AS rate FROM suffixes, s1),
-of_domain AS (
-  SELECT suffix, domain, (bad + rate * strength) / (n + strength) AS rate
-  FROM domains JOIN of_suffix USING (suffix), s2
+above AS (
+  SELECT d.suffix, d.domain, d.n, d.bad,
+    (s.bad - d.bad + mean * strength) / (s.n - d.n + strength) AS rate
+  FROM domains d JOIN suffixes s ON d.suffix = s.suffix, s1
+), by_domain AS (
+  SELECT h.host, h.n, h.bad, (a.bad - h.bad + rate * strength) / (a.n - h.n + strength) AS rate
+  FROM levels h JOIN above a ON h.suffix = a.suffix AND h.domain = a.domain, s2
 ), of_host AS (
-  SELECT host, n, strength, (bad + rate * strength) / (n + strength) AS rate
-  FROM levels JOIN of_domain USING (suffix, domain), s3
+  SELECT host, n, strength, (bad + rate * strength) / (n + strength) AS rate FROM by_domain, s3
 ), blocked AS (
   SELECT host FROM of_host WHERE rate - 1.645 * sqrt(rate * (1 - rate) / (n + strength + 1)) > 0.3
 ), ruled AS (

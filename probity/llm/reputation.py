@@ -109,32 +109,42 @@ def _strength(groups: DataFrame, prior: Prior) -> tuple[float, float]:
     return mean, min(max(strength, prior.weakest), prior.strongest)
 
 
-def _shrunk(mean: Column, strength: float) -> Column:
-    return (F.col("bad") + mean * strength) / (F.col("n") + strength)
+def _shrunk(bad: Column, n: Column, mean: Column, strength: float) -> Column:
+    return (bad + mean * strength) / (n + strength)
 
 
 def host_posteriors(hosts: DataFrame, prior: Prior = Prior()) -> DataFrame:
     """Per row of ``hosts`` (host, n, bad): also bad_rate and its bound ``lower``.
 
     ``n`` are a host's labelled pages, ``bad`` those that were bad; hosts with
-    none are judged by their domain, a domain with none by its suffix. Three
-    one-row aggregates are fetched, one for each level's prior.
+    none are judged by their domain, a domain with none by its suffix. What a level
+    takes from the one above is without its own pages, so that none counts twice.
+    Three one-row aggregates are fetched, one for each level's prior.
     """
     hosts = _levels(hosts)
     domains = _counts(hosts, "suffix", "domain")
     suffixes = _counts(hosts, "suffix")
-    mean, strength = _strength(suffixes, prior)
-    of_suffix = suffixes.select("suffix", _shrunk(F.lit(mean), strength).alias("suffix_rate"))
-    _, strength = _strength(domains, prior)
-    of_domain = domains.join(of_suffix, "suffix").select(
-        "suffix", "domain", _shrunk(F.col("suffix_rate"), strength).alias("domain_rate")
+    mean, of_mean = _strength(suffixes, prior)
+    _, of_suffix = _strength(domains, prior)
+    _, of_domain = _strength(hosts, prior)
+    s = suffixes.select("suffix", F.col("n").alias("suffix_n"), F.col("bad").alias("suffix_bad"))
+    above = domains.join(s, "suffix").select(
+        "suffix",
+        "domain",
+        F.col("n").alias("domain_n"),
+        F.col("bad").alias("domain_bad"),
+        _shrunk(
+            F.col("suffix_bad") - F.col("bad"), F.col("suffix_n") - F.col("n"), F.lit(mean), of_mean
+        ).alias("suffix_rate"),
     )
-    _, strength = _strength(hosts, prior)
-    rate = F.col("bad_rate")
-    deviation = F.sqrt(rate * (1 - rate) / (F.col("n") + strength + 1))
+    bad, n, rate = F.col("bad"), F.col("n"), F.col("bad_rate")
+    domain_rate = _shrunk(
+        F.col("domain_bad") - bad, F.col("domain_n") - n, F.col("suffix_rate"), of_suffix
+    )
+    deviation = F.sqrt(rate * (1 - rate) / (n + of_domain + 1))
     return (
-        hosts.join(of_domain, ["suffix", "domain"])
-        .withColumn("bad_rate", _shrunk(F.col("domain_rate"), strength))
+        hosts.join(above, ["suffix", "domain"])
+        .withColumn("bad_rate", _shrunk(bad, n, domain_rate, of_domain))
         .select("host", "n", "bad", "bad_rate", (rate - prior.z * deviation).alias("lower"))
     )
 
