@@ -19,8 +19,7 @@ MASK = "[SECRET]"
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.fit(docs, labels, F.lit(True))
-    kept = docs.withColumn("__score", toxicity.only_score(F.col("text"), model))
-    return kept.filter(F.col("__score") < TOXIC_FROM).drop("__score")
+    return docs.filter(toxicity.only_score(F.col("text"), model) < TOXIC_FROM)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

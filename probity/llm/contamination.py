@@ -162,6 +162,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     items = (
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
         .filter(F.length("text") >= SHORTEST)
+        .filter("item_id IS NOT NULL")
         .distinct()
     )
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
@@ -191,7 +192,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) ->
     """doc_id, item_id, distance, start, end: every item in every document, at its best place.
 
     ``benchmark`` has item_id and text; items shorter than SHORTEST, empty or NULL
-    are left out. Upper case and white space don't count; ``start`` and ``end``
+    are left out, as are those of a NULL item_id. Upper case and white space don't count; ``start`` and ``end``
     are places in the text without them. A NULL or empty text has no item; each
     row of a repeated document is searched; other columns are ignored; an empty
     table on either side gives no rows.

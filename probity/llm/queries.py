@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probity.llm import (
@@ -98,8 +98,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def held_out():
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+def held_out() -> Column:
+    """Rows whose labels are not learnt from; a row without an id is none of them."""
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    return F.coalesce(remainder == 2, F.lit(False))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +120,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.scan_versions(docs, f"{new_folder(spark)}/ledger", "doc_id")
 
-    def number(kind: str):
+    def number(kind: str) -> Column:
         own = F.filter("found", lambda s: s["kind"] == kind)
         return F.size(own).cast("long").alias(f"n_{kind}")
 

@@ -232,10 +232,10 @@ def new_shard(docs: DataFrame, segments: Sequence[Segment]) -> DataFrame:
         (old, [END if s.upto is None else s.upto for s in own[:-1]], [s.new for s in own])
         for old, own in table.items()
     ]
-    plan = docs.sparkSession.createDataFrame(rows, "old LONG, ends ARRAY<LONG>, news ARRAY<INT>")
-    passed = F.size(F.filter("ends", lambda end: end <= F.col("place")))
-    located = docs.join(F.broadcast(plan), "old").withColumn("shard", F.get("news", passed))
-    return located.drop("ends", "news")
+    plan = docs.sparkSession.createDataFrame(rows, "old LONG, __ends ARRAY<LONG>, __news ARRAY<INT>")
+    passed = F.size(F.filter("__ends", lambda end: end <= F.col("place")))
+    located = docs.join(F.broadcast(plan), "old").withColumn("shard", F.get("__news", passed))
+    return located.drop("__ends", "__news")
 
 
 def reshard(
