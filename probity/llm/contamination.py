@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Edits allowed per character of an item.
-RATE = 0.05
+RATE = 0.08
 #: Characters of an item at least; shorter ones are found in any text by chance.
 SHORTEST = 40
 #: Characters of benchmark items searched for at once; more are searched for in blocks.
