@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probity.llm import contamination, jaccard, packing, secrets, toxicity
-from probity.llm.scratch import new_folder, saved
+from probity.llm.scratch import importable, new_folder, saved
 
 #: Documents with at least this score are rejected.
 TOXIC_FROM = 0.3
@@ -17,16 +17,19 @@ MASK = "[SECRET]"
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.fit(docs, labels, F.lit(True))
     return docs.filter(toxicity.only_score(F.col("text"), model) < TOXIC_FROM)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     return jaccard.one_of_each(docs, jaccard.Likeness(words=5, num=80, den=100))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contamination.without_contamination(docs, benchmark)
 
@@ -36,6 +39,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     return packing.pack(docs, public_tokenizers.path(VOCABULARY), END_ID, CAPACITY)
 
 

@@ -157,7 +157,7 @@ def _weights(sets: DataFrame) -> np.ndarray:
     At most COUNTERS rows are fetched.
     """
     documents = max(1, sets.filter("counter IS NULL").count())
-    weights = np.full(COUNTERS, WEIGHT, np.int64)
+    weights = np.full(COUNTERS, WEIGHT, np.uint8)
     counted = sets.filter("counter IS NOT NULL").groupBy("counter").agg(F.sum("seen").alias("seen"))
     for row in counted.collect():
         weights[row["counter"]] = max(1, min(WEIGHT, int(np.log2(documents / row["seen"] + 1) * 2)))

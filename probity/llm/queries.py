@@ -19,7 +19,7 @@ from probity.llm import (
     toxicity,
 )
 from probity.llm.oracle import ORACLE
-from probity.llm.scratch import new_folder
+from probity.llm.scratch import importable, new_folder
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -36,6 +36,7 @@ TOXIC_FROM = 0.3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -252,7 +252,7 @@ def reshard(
     ``old`` gives the shard (of ``shards``) in which each row lies. Only shards
     that give or get rows are rewritten; rows of the others are returned from
     ``docs``. The columns old, place and shard are added; columns of these names
-    are replaced. Equal keys stay together. ``size`` is the bytes of the text plus
+    are replaced. Equal keys stay together, NULL ones too. ``size`` is the bytes of the text plus
     one if not given; a NULL text has none. An empty table gives no rows.
     """
     taken = [c for c in docs.columns if c not in ("old", "place", "shard")]

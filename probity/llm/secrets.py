@@ -213,7 +213,9 @@ def masked(
 ) -> DataFrame:
     """``docs`` with ``mask`` in place of every secret, and ``n_chars``, if there, counted anew.
 
-    Scans what the ledger in ``folder`` lacks. Rows without a finding stay as they are.
+    Scans what the ledger in ``folder`` lacks. Rows without a finding, such as those of
+    a NULL or empty text, stay as they are; each of several equal rows is masked; an
+    empty table stays empty.
     """
     ledger = Ledger(docs.sparkSession, folder)
     ledger.scan(docs, rules, key)
