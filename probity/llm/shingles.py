@@ -17,8 +17,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = 0xD1342543DE82EF95
 _LENGTH = U(0xA0761D6478BD642F)
-#: Bytes hashed at once at most, unless one text is longer.
-BATCH_BYTES = 4 << 20
+#: Bytes hashed at once at most, unless one text is longer; a worker needs about a hundred times that.
+BATCH_BYTES = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
