@@ -18,8 +18,9 @@ def components(links: DataFrame) -> DataFrame:
     split. Each round is written to the shared folder; the last changes nothing.
     """
     folder = new_folder(links.sparkSession)
+    rows = links.count()  # no round has more
     now = links.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").filter("a <> b").distinct()
-    now, before, number = saved(now, folder, "links0"), None, 0
+    now, before, number = saved(now, folder, "links0", rows), None, 0
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -33,7 +34,7 @@ def components(links: DataFrame) -> DataFrame:
             F.explode(F.array(F.col("a"), F.col("b"))).alias("a"), F.col("m").alias("b")
         )
         number += 1
-        now = saved(small.filter("a <> b").distinct(), folder, f"links{number}")
+        now = saved(small.filter("a <> b").distinct(), folder, f"links{number}", rows)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state == before:
             break

@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from probity.llm.components import components
-from probity.llm.scratch import new_folder, saved
-from probity.llm.shingles import U, batches, mixed, shingle_hashes
+from probity.llm.scratch import in_files, new_folder, saved
+from probity.llm.shingles import BATCH_BYTES, U, batches, mixed, shingle_hashes
 
 SKETCH_LONGS = 16
 SKETCH_BITS = SKETCH_LONGS * 64
@@ -150,17 +150,16 @@ def _read_sets(words: int):
     return read
 
 
-def _weights(sets: DataFrame) -> np.ndarray:
+def _weights(sets: DataFrame, documents: int) -> np.ndarray:
     """What a shingle tells, by its counter: less, the more documents have it.
 
     This only decides which pieces are left out; the result does not depend on it.
     At most COUNTERS rows are fetched.
     """
-    documents = max(1, sets.filter("counter IS NULL").count())
     weights = np.full(COUNTERS, WEIGHT, np.uint8)
     counted = sets.filter("counter IS NOT NULL").groupBy("counter").agg(F.sum("seen").alias("seen"))
     for row in counted.collect():
-        weights[row["counter"]] = max(1, min(WEIGHT, int(np.log2(documents / row["seen"] + 1) * 2)))
+        weights[row["counter"]] = max(1, min(WEIGHT, int(np.log2(max(documents, 1) / row["seen"] + 1) * 2)))
     return weights
 
 
@@ -218,17 +217,27 @@ def parity_sketches(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _read_keys(how: Likeness, weights: np.ndarray):
     def read(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()  # a class comes once from each task
         for batch in stream:
             for at in range(0, batch.num_rows, ROWS):
                 texts = _encoded(batch.slice(at, ROWS).column(0))
                 for a, b in batches(texts):
                     hashes, counts = shingle_sets(texts[a:b], how.words)
+                    classes = _classes(hashes, counts)
+                    new = np.zeros(len(counts), bool)
+                    for i, own in enumerate(classes.tolist()):
+                        if counts[i] and own not in done:
+                            done.add(own)
+                            new[i] = True
+                    if not new.any():
+                        continue
+                    hashes, classes, counts = hashes[np.repeat(new, counts)], classes[new], counts[new]
                     keys, held = piece_keys(hashes, counts, how, weights)
                     ends = pa.array(np.concatenate([[0], np.cumsum(held)]).astype(np.int32))
                     sketches = parity_sketches(hashes, counts)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(_classes(hashes, counts)),
+                            pa.array(classes),
                             pa.array(counts),
                             *[pa.array(np.ascontiguousarray(sketches[:, i])) for i in range(SKETCH_LONGS)],
                             pa.ListArray.from_arrays(ends, pa.array(keys)),
@@ -257,7 +266,7 @@ def _linked(how: Likeness):
         begin = 0
         while begin < len(one):
             end, size = begin, 0
-            while end < len(one) and (end == begin or size < 4 << 20):
+            while end < len(one) and (end == begin or size < BATCH_BYTES):
                 size += len(one[end]) + len(two[end])
                 end += 1
             a, na = shingle_sets(one[begin:end], how.words)
@@ -286,9 +295,10 @@ def jaccard_components(docs: DataFrame, how: Likeness = Likeness()) -> DataFrame
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
     )
     sets = saved(rows.mapInArrow(_read_sets(how.words), _SET_SCHEMA), folder, "sets")
-    read = _read_keys(how, _weights(sets))
-    keyed = saved(docs.select("text").mapInArrow(read, _KEYS_SCHEMA), folder, "keys")
     own = sets.filter("counter IS NULL").select("doc_id", "text_hash", "n", "class")
+    documents = own.count()
+    read = _read_keys(how, _weights(sets, documents))
+    keyed = saved(docs.select("text").mapInArrow(read, _KEYS_SCHEMA), folder, "keys")
     links = _links(docs, own, keyed, how, folder)
 
     classes = own.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
@@ -299,12 +309,13 @@ def jaccard_components(docs: DataFrame, how: Likeness = Likeness()) -> DataFrame
         ),
         folder,
         "classes",
+        documents,
     )
     of_group = named.groupBy("group").agg(F.min("least").alias("component"))
     of_class = named.join(of_group, "group").select("class", "component")
     linked = own.filter("n > 0").join(of_class, "class").select("doc_id", "text_hash", "n", "component")
     alone = own.filter("n = 0").select("doc_id", "text_hash", "n", F.col("doc_id").alias("component"))
-    return linked.union(alone)
+    return in_files(linked.union(alone), documents)
 
 
 def one_of_each(docs: DataFrame, how: Likeness = Likeness()) -> DataFrame:
@@ -334,11 +345,13 @@ def _links(
     shared = shared.filter("low <> high").select("key")
     held = saved(spread.join(shared, "key").distinct(), folder, "held")
     held_by = held.groupBy("class").agg(F.count("*").alias("weight"))
+    classes = held.select("class").distinct().count()
     sketched = [F.first(c).alias(c) for c in keyed.columns if c not in ("class", "keys")]
     sketches = saved(
         keyed.drop("keys").join(held_by, "class").groupBy("class", "weight").agg(*sketched),
         folder,
         "sketches",
+        classes,
     )
     texts = saved(_texts(docs, own, held_by), folder, "texts")
     links: list[DataFrame] = []
@@ -349,13 +362,15 @@ def _links(
             joined = components(reduce(DataFrame.union, links)).withColumnRenamed("node", "class")
             now = sketches.join(joined, "class", "left")
             group = F.coalesce("component", "class")
-        now = saved(now.select(*sketches.columns, group.alias("group")), folder, f"groups{number}")
+        now = now.select(*sketches.columns, group.alias("group"))
+        now = saved(now, folder, f"groups{number}", classes)
         if number < STAR_ROUNDS:
             found = _centre_pairs(held, now, how, number)
         else:
             found = _all_pairs(held, now, how)
-        pairs = saved(found, folder, f"pairs{number}")
-        links.append(saved(_verified(pairs, texts, how), folder, f"links{number}"))
+        pairs = saved(found, folder, f"pairs{number}", classes)
+        verified = _verified(pairs, texts, how).distinct()  # a stage of its own writes
+        links.append(saved(verified, folder, f"links{number}", classes))
     return reduce(DataFrame.union, links)
 
 

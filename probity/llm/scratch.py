@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Narrow rows per file of a written table.
+ROWS_PER_FILE = 100_000
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -37,8 +39,16 @@ def new_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """``df`` written as Parquet and read again: its lineage ends there."""
+def in_files(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of about so many narrow rows, in as few partitions as these make files of fair size."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
+
+
+def saved(df: DataFrame, folder: str, name: str, rows: int | None = None) -> DataFrame:
+    """``df`` written as Parquet and read again: its lineage ends there.
+
+    With ``rows``, about how many narrow rows it has, it makes few files.
+    """
     path = f"{folder}/{name}"
-    df.write.parquet(path)
+    (df if rows is None else in_files(df, rows)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
