@@ -25,7 +25,7 @@ from probity.llm.shingles import U, batches, mixed, shingle_hashes
 
 WORDS = 5
 BINS = 512
-BITS = 4
+BITS = 3
 #: Rows taken from an Arrow batch at once.
 ROWS = 500
 
@@ -98,7 +98,7 @@ _RESULT = pa.schema(
     [
         ("doc_id", pa.int64()),
         ("n_chars", pa.int64()),
-        ("edited_sha256", pa.string()),
+        ("edited_sha256", pa.binary()),
         ("print", pa.binary()),
         ("edited_print", pa.binary()),
         ("near_edited", pa.float64()),
@@ -109,7 +109,7 @@ _RESULT = pa.schema(
     ]
 )
 _RESULT_SCHEMA = (
-    "doc_id LONG, n_chars LONG, edited_sha256 STRING, print BINARY, edited_print BINARY, "
+    "doc_id LONG, n_chars LONG, edited_sha256 BINARY, print BINARY, edited_print BINARY, "
     "near_edited DOUBLE, near_next DOUBLE, file LONG, edge STRING, text STRING"
 )
 
@@ -129,7 +129,7 @@ def _rows(ids: list, texts: list[str], following: list[str]) -> pa.RecordBatch:
     columns = [
         ids,
         [len(t) for t in texts],
-        [hashlib.sha256(e).hexdigest() for e in edited],
+        [hashlib.sha256(e).digest() for e in edited],
         own,
         changed,
         likeness(own, changed),
@@ -204,4 +204,5 @@ def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
         .select("doc_id", "text", "following")
         .mapInArrow(_at_edges, _RESULT_SCHEMA)
     )
-    return found.filter("edge IS NULL").union(edges).drop("file", "edge", "text")
+    whole = found.filter("edge IS NULL").union(edges).drop("file", "edge", "text")
+    return whole.withColumn("edited_sha256", F.lower(F.hex("edited_sha256")))
