@@ -107,7 +107,7 @@ def held_out() -> Column:
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = toxicity.fit(docs, labels.select("doc_id", "toxic"), ~held_out())
+    model = toxicity.fit(docs, labels.select("doc_id", "toxic"), ~held_out(), whole=True)
     found = docs.select("doc_id", toxicity.only_score(F.col("text"), model).alias("score"))
     return found.select(
         "doc_id",

@@ -1,17 +1,24 @@
 """Toxicity by the nearest labelled examples.
 
 Examples are a bounded, documented sample of the labelled documents. Texts are
-TF-IDF vectors, of length one, over the terms that speak most clearly for label 1.
-An inverted index holds, for each term, the examples' weights and the largest
-weight in each block of examples; blocks are read in order of the cosine that
-they allow at most, until no block left can hold a nearer example, so the
-neighbours are exact. They vote with their cosine as weight, and isotonic
-regression on the examples (each voted on by the others) turns votes into rates.
+TF-IDF vectors of length one over all terms; a term weighs more the more its
+smoothed rate of label 1 is above that of all examples, and none weighs nothing.
+Cosines with all examples are taken, of the most frequent terms by a matrix and
+of the others by an inverted index, and those that can be among the nearest are
+taken again in full precision, so the neighbours are exact.
+
+Without ``whole``, vectors are only over the terms that speak most clearly for
+label 1, and blocks of the index are read in order of the cosine that their
+largest weights allow at most, until no block left can hold a nearer example.
+They
+vote with their cosine as weight, and isotonic regression on the examples (each
+voted on by the others) turns votes into rates.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -19,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Labelled documents that examples are taken from at most.
@@ -28,11 +35,15 @@ EXAMPLES = 8000
 TERMS, LEAST_EXAMPLES = 1024, 5
 #: Chi-squared value from which a term speaks for label 1.
 TELLING = 35.0
+#: Examples of the mean rate that a term's rate of label 1 begins with, and the least weight of a term.
+PRIOR_EXAMPLES, FLOOR = 10.0, 0.1
 NEIGHBOURS = 10
 #: Letters of a word's beginning that are a term too, so that its forms meet.
 STEM = 5
 #: Examples per block of the index.
 BLOCK = 64
+#: Over all terms: terms that are a matrix, texts multiplied with it at once, and more than its rounding.
+FREQUENT, TOGETHER, OFF = 768, 64, 1e-5
 #: Votes for the mean label that each vote begins with.
 PRIOR_VOTES = 1.0
 #: Vectors whose votes a worker keeps.
@@ -64,6 +75,24 @@ class Model:
     none_rate: float
 
 
+@dataclass
+class Whole:
+    """A model over all terms: their weights, and the examples' vectors one after another."""
+
+    terms: pa.Array
+    term_weights: np.ndarray
+    unknown: float
+    ids: list[int]
+    labels: np.ndarray
+    starts: np.ndarray
+    codes: np.ndarray
+    weights: np.ndarray
+    raw: np.ndarray
+    rate: np.ndarray
+    base: float
+    none_rate: float
+
+
 def vector(counts: dict[str, int], idf: dict[str, float]) -> dict[str, float]:
     """The TF-IDF vector of length one; empty without any of the terms."""
     weights = {t: (1 + math.log(n)) * idf[t] for t, n in counts.items()}
@@ -102,6 +131,81 @@ class Index:
         return [(e, c) for c, e in found]
 
 
+class WholeIndex:
+    """Examples by term: the most frequent terms as a matrix, of the others who has them."""
+
+    def __init__(self, starts: np.ndarray, codes: np.ndarray, weights: np.ndarray, terms: int) -> None:
+        self.starts, self.codes, self.weights = starts, codes, weights
+        self.size = len(starts) - 1
+        examples = np.repeat(np.arange(self.size, dtype=np.int32), np.diff(starts))
+        order = np.argsort(codes, kind="stable")
+        self.examples, self.own = examples[order], weights[order]
+        self.first = np.searchsorted(codes[order], np.arange(terms + 1))
+        frequent = np.argsort(-np.diff(self.first), kind="stable")[:FREQUENT]
+        self.slot = np.full(terms, -1)
+        self.slot[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), self.size), np.float32)
+        slots = self.slot[codes]
+        self.dense[slots[slots >= 0], examples[slots >= 0]] = weights[slots >= 0]
+        self._query = np.zeros(terms)
+
+    def nearest(
+        self, queries: Sequence[tuple[np.ndarray, np.ndarray]], k: int, but: int | None = None
+    ) -> list[list[tuple[int, float]]]:
+        """For each query (numbers of terms, weights), the ``k`` examples of the greatest cosine above 0.
+
+        Of equal ones the first; the queries are the examples from ``but`` on, if given, and not their own.
+        """
+        found: list[list[tuple[int, float]]] = []
+        for at in range(0, len(queries), TOGETHER):
+            part = queries[at : at + TOGETHER]
+            found += self._together(part, k, None if but is None else but + at)
+        return found
+
+    def _together(self, queries: Sequence, k: int, but: int | None) -> list[list[tuple[int, float]]]:
+        if not self.size:
+            return [[] for _ in queries]
+        frequent = np.zeros((len(queries), len(self.dense)), np.float32)
+        for own, (codes, weights) in zip(frequent, queries, strict=True):
+            slots = self.slot[codes]
+            own[slots[slots >= 0]] = weights[slots >= 0]
+        nearly = frequent @ self.dense
+        return [
+            self._near(codes, weights, k, nearly[q], None if but is None else but + q)
+            for q, (codes, weights) in enumerate(queries)
+        ]
+
+    def _near(
+        self, codes: np.ndarray, weights: np.ndarray, k: int, nearly: np.ndarray, but: int | None
+    ) -> list[tuple[int, float]]:
+        """The nearest, by cosines that lack the rarer terms."""
+        rare = self.slot[codes] < 0
+        if rare.any():
+            place, own = _ranges(self.first, codes[rare])
+            added = self.own[place] * np.repeat(weights[rare], own)
+            nearly = nearly + np.bincount(self.examples[place], added, self.size)
+        if but is not None:
+            nearly[but] = 0
+        least = np.partition(nearly, -k)[-k] - OFF if k < self.size else 0.0
+        some = np.flatnonzero((nearly > 0) & (nearly >= least))
+        if not len(some):
+            return []
+        self._query[codes] = weights
+        place, own = _ranges(self.starts, some)
+        products = self._query[self.codes[place]] * self.weights[place]
+        self._query[codes] = 0
+        cosine = np.round(np.bincount(np.repeat(np.arange(len(some)), own), products, len(some)), 12)
+        best = np.lexsort((some, -cosine))[:k]
+        return [(int(some[e]), float(cosine[e])) for e in best if cosine[e] > 0]
+
+
+def _ranges(starts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places from ``starts[c]`` up to ``starts[c + 1]`` of the chosen, and how many each has."""
+    own = starts[chosen + 1] - starts[chosen]
+    ends = np.cumsum(own)
+    return np.arange(ends[-1]) + np.repeat(starts[chosen] - ends + own, own), own
+
+
 def _vote(near: Sequence[tuple[int, float]], labels: np.ndarray, base: float) -> float:
     weight = sum(c for _, c in near)
     return (sum(c * labels[e] for e, c in near) + PRIOR_VOTES * base) / (weight + PRIOR_VOTES)
@@ -140,6 +244,9 @@ class Scorer:
             return model.base
         return float(np.interp(raw, model.raw, model.rate))
 
+    def many(self, texts: Sequence[str | None]) -> list[tuple[float, list[tuple[int, float, int]]]]:
+        return [self(t) for t in texts]
+
     def __call__(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
         """The rate of toxic texts among those with such neighbours, and the neighbours."""
         model = self.model
@@ -158,6 +265,42 @@ class Scorer:
         return self._known[key]
 
 
+def _whole_vector(counts: dict[str, int], number: dict[str, int], model: Whole) -> tuple[np.ndarray, np.ndarray]:
+    """The vector over all terms; those of no example count for its length."""
+    codes = np.array([number.get(t, -1) for t in counts], np.int64)
+    times = 1 + np.log(np.array(list(counts.values()), float))
+    known = codes >= 0
+    codes, strange = codes[known], times[~known] * model.unknown
+    weights = times[known] * model.term_weights[codes]
+    return codes, weights / (math.sqrt(weights @ weights + strange @ strange) or 1.0)
+
+
+class WholeScorer:
+    """Scores texts by a model over all terms."""
+
+    def __init__(self, model: Whole) -> None:
+        self.model = model
+        self.number = {t: k for k, t in enumerate(model.terms.to_pylist())}
+        self.index = WholeIndex(model.starts, model.codes, model.weights, len(model.terms))
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        counts = Counter(terms_of(text))
+        counts.pop("", None)
+        return _whole_vector(counts, self.number, self.model)
+
+    def many(self, texts: Sequence[str | None]) -> list[tuple[float, list[tuple[int, float, int]]]]:
+        """The rates of toxic texts among those with such neighbours, and the neighbours."""
+        model, found = self.model, []
+        for at in range(0, len(texts), TOGETHER):
+            vectors = [self.vector(t) for t in texts[at : at + TOGETHER]]
+            for near in self.index.nearest(vectors, NEIGHBOURS):
+                evidence = [(model.ids[e], c, int(model.labels[e])) for e, c in near]
+                vote = _vote(near, model.labels, model.base)
+                score = float(np.interp(vote, model.raw, model.rate)) if near else model.none_rate
+                found.append((score, evidence))
+        return found
+
+
 _TERM_SCHEMA = "doc_id LONG, toxic INT, term STRING, n LONG"
 
 
@@ -178,12 +321,12 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, whole: bool = False) -> Model | Whole:
     """A model of ``labels`` (doc_id, toxic) on the texts of ``docs``, from rows where ``learn`` holds.
 
     Takes up to EXAMPLES labelled documents, those of the least hashed doc_id, each
-    text once. What is fetched is bounded: TERMS terms and the examples' counts of
-    these. ``labels`` is the only input besides the texts; a NULL label or doc_id
+    text once. With ``whole``, over all their terms, whose counts are fetched; else
+    over the TERMS terms that speak most clearly for label 1. ``labels`` is the only input besides the texts; a NULL label or doc_id
     is none; of contradicting labels of a document the larger counts.
     """
     usable = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(learn)
@@ -199,6 +342,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     once = texts.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256)).agg(
         F.min_by(F.struct("doc_id", "toxic", "text"), "doc_id").alias("e")
     )
+    if whole:
+        return _fitted_whole(once.select("e.doc_id", "e.toxic", "e.text"))
     counted = (
         once.select("e.doc_id", "e.toxic", "e.text").mapInArrow(_term_rows, _TERM_SCHEMA).persist()
     )
@@ -249,15 +394,100 @@ def _fitted(counted: DataFrame) -> Model:
     return Model(idf, ids, marks, vectors, votes, rates, base, none_rate)
 
 
-def scores(text: Column, model: Model) -> Column:
-    """The score of a text, 0 to 1, and the examples that speak for it."""
+_LIST_SCHEMA = "doc_id LONG, toxic INT, terms ARRAY<STRING>, counts ARRAY<INT>"
+
+
+def _list_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = [Counter(terms_of(t)) for t in batch.column(2).to_pylist()]
+        for own in counts:
+            own.pop("", None)
+        lists = [
+            pa.array([list(own) for own in counts], pa.list_(pa.string())),
+            pa.array([list(own.values()) for own in counts], pa.list_(pa.int32())),
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), *lists], names=["doc_id", "toxic", "terms", "counts"]
+        )
+
+
+def _fitted_whole(examples: DataFrame) -> Whole:
+    """The model over all terms of ``examples`` (doc_id, toxic, text)."""
+    found = examples.mapInArrow(_list_rows, _LIST_SCHEMA).toArrow().sort_by("doc_id")
+    ids, marks = found["doc_id"].to_pylist(), found["toxic"].to_numpy().astype(float)
+    total, toxic = len(ids), marks.sum()
+    base = toxic / total if total else 0.0
+    if not 0 < toxic < total:
+        none = np.zeros(0)
+        starts = np.zeros(1, np.int64)
+        return Whole(
+            pa.array([], pa.string()), none, 0.0, [], none, starts, none.astype(int), none, none, none, base, base
+        )
+    sizes = np.array([len(c) for c in found["counts"]])
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    coded = pa.chunked_array([c.flatten() for c in found["terms"].chunks], pa.string()).combine_chunks()
+    coded = coded.dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+    counts = np.concatenate([c.flatten().to_numpy() for c in found["counts"].chunks])
+    df = np.bincount(codes, minlength=len(coded.dictionary))
+    with_one = np.bincount(codes, np.repeat(marks, sizes), len(coded.dictionary))
+    odds = (with_one + PRIOR_EXAMPLES * base) / (df - with_one + PRIOR_EXAMPLES * (1 - base))
+    telling = np.maximum(np.log(odds * (1 - base) / base), 0)
+    idf = np.log((1 + total) / (1 + df)) + 1
+    term_weights = (telling + FLOOR) * idf
+    weights = (1 + np.log(counts)) * term_weights[codes]
+    place = np.repeat(np.arange(total), sizes)
+    weights /= np.sqrt(np.bincount(place, weights * weights, total))[place]
+    index = WholeIndex(starts, codes, weights, len(df))
+    own = [(codes[a:b], weights[a:b]) for a, b in zip(starts, starts[1:], strict=False)]
+    voted = [(near, m) for near, m in zip(index.nearest(own, NEIGHBOURS, but=0), marks, strict=True) if near]
+    raw = [round(_vote(near, marks, base), 9) for near, _ in voted]
+    known = [m for _, m in voted]
+    votes, rates = isotonic(np.array(raw), np.array(known)) if raw else (np.zeros(1), np.array([base]))
+    without = marks[sizes == 0]
+    none_rate = (without.sum() + base) / (len(without) + 1)
+    unknown = FLOOR * (math.log(1 + total) + 1)
+    return Whole(
+        coded.dictionary, term_weights, unknown, ids, marks, starts, codes, weights, votes, rates, base, none_rate
+    )
+
+
+#: The scorer that this worker made last, by the key of its broadcast model.
+_MADE: dict[str, WholeScorer] = {}
+
+
+def _scorer(model: Model | Whole):
+    """A function that gives a worker's scorer of the model."""
     made: list[Scorer] = []
+    if isinstance(model, Model):
+
+        def scorer() -> Scorer:
+            if not made:
+                made.append(Scorer(model))
+            return made[0]
+
+        return scorer
+    sent = SparkSession.active().sparkContext.broadcast(model)
+    key = uuid.uuid4().hex
+
+    def shared() -> WholeScorer:
+        from probity.llm import toxicity  # the worker's module, kept from task to task
+
+        if key not in toxicity._MADE:
+            toxicity._MADE.clear()
+            toxicity._MADE[key] = WholeScorer(sent.value)
+        return toxicity._MADE[key]
+
+    return shared
+
+
+def scores(text: Column, model: Model | Whole) -> Column:
+    """The score of a text, 0 to 1, and the examples that speak for it."""
+    scorer = _scorer(model)
 
     @F.pandas_udf(SCORE_TYPE)
     def score(texts: pd.Series) -> pd.DataFrame:
-        if not made:
-            made.append(Scorer(model))
-        found = [made[0](t) for t in texts]
+        found = scorer().many(texts.tolist())
         names = ("doc_id", "cosine", "toxic")
         return pd.DataFrame(
             {
@@ -269,19 +499,17 @@ def scores(text: Column, model: Model) -> Column:
     return score(text)
 
 
-def only_score(text: Column, model: Model) -> Column:
+def only_score(text: Column, model: Model | Whole) -> Column:
     """The score alone."""
-    made: list[Scorer] = []
+    scorer = _scorer(model)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        if not made:
-            made.append(Scorer(model))
-        return pd.Series([made[0](t)[0] for t in texts], dtype="float64")
+        return pd.Series([s for s, _ in scorer().many(texts.tolist())], dtype="float64")
 
     return score(text)
 
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
+def score_documents(docs: DataFrame, model: Model | Whole) -> DataFrame:
     """doc_id, score and evidence of every row; a NULL or empty text has the rate of texts without terms."""
     return docs.select("doc_id", scores(F.col("text"), model).alias("s")).select("doc_id", "s.*")

@@ -105,3 +105,57 @@ def test_evidence_names_the_examples(spark):
     assert got[99]["score"] > 0.9
     assert all(e["toxic"] == 1 and math.isclose(e["cosine"], 1.0) for e in got[99]["evidence"])
     assert got[98]["evidence"] == []
+
+
+def test_whole_index_finds_the_exact_neighbours(monkeypatch):
+    monkeypatch.setattr(toxicity, "FREQUENT", 50)
+    rng = random.Random(9)
+    terms = [f"t{k}" for k in range(400)]
+    idf = {t: 1 + (k % 40) ** 2 / 50 for k, t in enumerate(terms)}
+    vectors = [
+        toxicity.vector({t: rng.randint(1, 5) for t in rng.sample(terms, rng.randint(0, 60))}, idf)
+        for _ in range(700)
+    ]
+    starts = np.cumsum([0, *map(len, vectors)])
+    codes = np.array([terms.index(t) for v in vectors for t in v])
+    weights = np.array([w for v in vectors for w in v.values()])
+    queries = [(codes[a:b], weights[a:b]) for a, b in zip(starts, starts[1:], strict=False)]
+    found = toxicity.WholeIndex(starts, codes, weights, len(terms)).nearest(queries, 10, but=0)
+    for e in range(0, 700, 20):
+        cosines = [(round(sum(w * v.get(t, 0.0) for t, w in vectors[e].items()), 12), -k) for k, v in enumerate(vectors)]
+        want = sorted([c for c in cosines if c[0] > 0 and -c[1] != e], reverse=True)[:10]
+        got = found[e]
+        assert np.allclose([c for _, c in got], [c for c, _ in want])
+        assert [k for k, _ in got] == [-k for _, k in want]
+
+
+def test_few_labels_tell_rare_toxic_words(spark):
+    rng = random.Random(2)
+    plain = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(12)) for _ in range(60)]
+    texts = [(i, t + (" vermin dregs" if i % 20 == 0 else "")) for i, t in enumerate(plain)]
+    docs = spark.createDataFrame([*texts, (99, "you dregs"), (98, plain[1])], "doc_id LONG, text STRING")
+    labels = spark.createDataFrame([(i, int(i % 20 == 0)) for i in range(60)], "doc_id LONG, toxic INT")
+    model = toxicity.fit(docs, labels, F.lit(True), whole=True)
+    got = {r["doc_id"]: r for r in toxicity.score_documents(docs, model).collect()}
+    assert got[99]["score"] > 0.3 > got[98]["score"]
+    assert {e["doc_id"] for e in got[99]["evidence"] if e["toxic"]} == {0, 20, 40}
+
+
+def test_query_catches_toxic_documents_at_the_smallest_size(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("toxic = 1").select("doc_id")
+    rows = QUERIES["op6_toxicity"](spark, sf_dir).filter("held_out").join(labels, "doc_id").collect()
+    assert rows
+    assert all(r["predicted"] for r in rows)
+
+
+def test_whole_models_stand_odd_rows_and_no_labels(spark):
+    docs = with_clashes(spark.createDataFrame(odd_rows(), DOCS))
+    labels = spark.createDataFrame([(4, 1), (4, 0), (5, None), (6, 0), (500, 1)], "doc_id LONG, toxic INT")
+    model = toxicity.fit(docs, labels, F.lit(True), whole=True)
+    assert model.ids == [4, 6]
+    scored = toxicity.score_documents(docs, model).collect()
+    assert len(scored) == len(odd_rows())
+    assert all(0 <= r["score"] <= 1 for r in scored)
+    none = toxicity.fit(docs, labels.limit(0), F.lit(True), whole=True)
+    assert {r["score"] for r in toxicity.score_documents(docs, none).collect()} == {0.0}
+    assert toxicity.score_documents(docs.limit(0), model).count() == 0
