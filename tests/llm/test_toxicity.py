@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from texts import DOCS, odd_rows, with_clashes
 
 from probity.llm import toxicity
-from probity.llm.queries import QUERIES
+from probity.llm.queries import QUERIES, held_out
 
 
 def test_index_finds_the_exact_neighbours():
@@ -159,3 +159,16 @@ def test_whole_models_stand_odd_rows_and_no_labels(spark):
     none = toxicity.fit(docs, labels.limit(0), F.lit(True), whole=True)
     assert {r["score"] for r in toxicity.score_documents(docs, none).collect()} == {0.0}
     assert toxicity.score_documents(docs.limit(0), model).count() == 0
+
+
+def test_a_word_tells_less_in_a_long_clean_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
+    clean = docs.join(labels.filter("toxic = 0"), "doc_id").filter(held_out())
+    longest = clean.orderBy(F.desc(F.length("text")), "doc_id").first()["text"]
+    model = toxicity.fit(docs, labels, ~held_out(), whole=True)
+    texts = [(1, longest), (2, longest + " trash"), (3, "you are trash")]
+    given = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(given, model).collect()}
+    assert got[1] < 0.1
+    assert got[2] < 0.3 < 0.9 < got[3]
