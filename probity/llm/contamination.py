@@ -8,6 +8,7 @@ edit distance between the item and any stretch of the text.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -18,11 +19,14 @@ from pyspark.sql import functions as F
 
 #: Edits allowed per character of an item.
 RATE = 0.08
-#: Characters of an item at least; shorter ones are found in any text by chance.
-SHORTEST = 40
+#: Characters under which an item has no edits and is found as whole words only.
+WORDS_ONLY = 13
 #: Characters of benchmark items searched for at once; more are searched for in blocks.
 BLOCK_CHARS = 4_000_000
 
+# Letters of scripts that write no spaces between words.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
 HIT_TYPE = "array<struct<item_id: bigint, distance: int, start: int, end: int>>"
 
 
@@ -68,17 +72,33 @@ def nearest(letters: dict[str, int], length: int, text: str) -> tuple[int, int]:
     return best, end
 
 
+def _one_word(a: str, b: str) -> bool:
+    return a.isalnum() and b.isalnum() and not _UNSPACED.search(a + b)
+
+
+def place_of_words(item: str, text: str, begin: int, end: int) -> int:
+    """The first place of the item in ``text[begin:end]`` where no word goes on beyond it; else -1."""
+    at = text.find(item, begin, end)
+    while at >= 0:
+        stop = at + len(item)
+        inside = at > 0 and _one_word(text[at - 1], text[at])
+        if not inside and not (stop < len(text) and _one_word(text[stop - 1], text[stop])):
+            return at
+        at = text.find(item, at + 1, end)
+    return -1
+
+
 class Finder:
     """Finds the items of one block in texts."""
 
-    def __init__(self, items: Sequence[tuple[int, str]], rate: float) -> None:
+    def __init__(self, items: Sequence[tuple[int | None, str]], rate: float) -> None:
         self.items = []
         places: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             text = normalised(text)
-            if len(text) < SHORTEST:
+            if not text:
                 continue
-            budget = int(len(text) * rate)
+            budget = int(len(text) * rate) if len(text) >= WORDS_ONLY else 0
             for at, piece in pieces_of(text, budget):
                 places.setdefault(piece, []).append((len(self.items), at))
             self.items.append((item_id, text, budget, letters_of(text), letters_of(text[::-1])))
@@ -119,7 +139,12 @@ class Finder:
             item_id, own, budget, letters, backwards = self.items[item]
             window = text[begin:end]
             at = window.find(own)
-            if at >= 0:
+            if len(own) < WORDS_ONLY:
+                start = place_of_words(own, text, begin, end)
+                if start < 0:
+                    continue
+                found = (0, start, start + len(own))
+            elif at >= 0:
                 found = (0, begin + at, begin + at + len(own))
             else:
                 distance, stop = nearest(letters, len(own), window)
@@ -157,22 +182,22 @@ def whole_distance(letters: dict[str, int], length: int, text: str) -> int:
     return score
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of about BLOCK_CHARS characters, fetched one at a time."""
     items = (
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-        .filter(F.length("text") >= SHORTEST)
-        .filter("item_id IS NOT NULL")
+        .filter(F.length("text") > 0)
         .distinct()
     )
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-chars // BLOCK_CHARS))
     for k in range(blocks):
         block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k
-        yield sorted(tuple(r) for r in items.filter(block).collect())
+        found = [tuple(r) for r in items.filter(block).collect()]
+        yield sorted(found, key=lambda i: (i[0] is not None, i[0] or 0, i[1]))
 
 
-def _hits(items: list[tuple[int, str]], rate: float):
+def _hits(items: list[tuple[int | None, str]], rate: float):
     made: list[Finder] = []
 
     @F.pandas_udf(HIT_TYPE)
@@ -191,8 +216,9 @@ def _hits(items: list[tuple[int, str]], rate: float):
 def contamination(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """doc_id, item_id, distance, start, end: every item in every document, at its best place.
 
-    ``benchmark`` has item_id and text; items shorter than SHORTEST, empty or NULL
-    are left out, as are those of a NULL item_id. Upper case and white space don't count; ``start`` and ``end``
+    ``benchmark`` has item_id and text; empty and NULL items are left out. An item of
+    under WORDS_ONLY characters is found as whole words, without edits. Hits of a NULL
+    item_id have that id. Upper case and white space don't count; ``start`` and ``end``
     are places in the text without them. A NULL or empty text has no item; each
     row of a repeated document is searched; other columns are ignored; an empty
     table on either side gives no rows.

@@ -107,3 +107,34 @@ def test_odd_rows(spark):
     assert left.count() == len(odd_rows())
     assert contamination.without_contamination(docs, items.limit(0)).count() == docs.count()
     assert contamination.contamination(docs.limit(0), items).count() == 0
+
+
+def test_short_items_and_items_without_an_id_reject_documents(spark):
+    items = spark.createDataFrame(
+        [(1, "What is the capital of Peru?"), (2, "Why?"), (3, " \n"), (None, "Name the boiling point of tin"), (4, "你好")],
+        "item_id LONG, text STRING",
+    )
+    texts = [
+        "so: what is  the capitol of Peru? Lima",
+        "they ask why? often",
+        "somewhy? not",
+        "name the boiling point of tin, please",
+        "他说你好吗",
+        "nothing here",
+        None,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    got = {(r["doc_id"], r["item_id"], r["distance"]) for r in contamination.contamination(docs, items).collect()}
+    assert got == {(0, 1, 1), (1, 2, 0), (3, None, 0), (4, 4, 0)}
+    left = contamination.without_contamination(docs, items).collect()
+    assert {r["doc_id"] for r in left} == {2, 5, 6}
+
+
+def test_every_place_of_a_short_item_is_found():
+    rng = random.Random(4)
+    item = "who wrote the odyssey in greek"
+    find = contamination.Finder([(7, item)], contamination.RATE)
+    for trial in range(200):
+        text = "zz " + edited(item, trial % 6, rng) + " qq"
+        distance = least(item, text, anywhere=True)
+        assert [h[1] for h in find(text)] == ([distance] if distance <= 2 else [])
