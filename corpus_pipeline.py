@@ -40,7 +40,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    return packing.pack(docs, public_tokenizers.path(VOCABULARY), END_ID, CAPACITY)
+    return packing.pack(docs, public_tokenizers.path(VOCABULARY), END_ID, CAPACITY, special=True)
 
 
 STAGES = [

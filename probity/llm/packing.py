@@ -46,7 +46,9 @@ _KEPT = "uid LONG, doc_id LONG, piece INT, start LONG, length LONG, ids_crc32 LO
 _PACKED = f"{_KEPT}, part LONG, bin LONG, offset LONG, fill LONG, bins LONG, bound LONG, worst BOOLEAN"
 
 
-def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, ids: bool) -> DataFrame:
+def pieces(
+    docs: DataFrame, vocabulary: str, end_id: int, capacity: int, ids: bool, special: bool = False
+) -> DataFrame:
     """The pieces of each document's ids and its end id: whole, or cut if longer than ``capacity``.
 
     All but the first piece of a cut document have ``capacity`` ids. The ids
@@ -55,7 +57,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, ids: bo
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
+        encode = encoder(vocabulary, special)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 some = batch.slice(at, ROWS)
@@ -152,6 +154,7 @@ def pack(
     end_id: int,
     capacity: int = 1024,
     partition_pieces: int = PARTITION_PIECES,
+    special: bool = False,
 ) -> DataFrame:
     """All ``docs`` (doc_id, text) as pieces of sequences of at most ``capacity`` tokens.
 
@@ -160,7 +163,7 @@ def pack(
     doc_ids stay NULL; other columns are ignored; an empty table gives no rows.
     """
     folder = new_folder(docs.sparkSession)
-    own = pieces(docs, vocabulary, end_id, capacity, ids=False)
+    own = pieces(docs, vocabulary, end_id, capacity, ids=False, special=special)
     items = saved(
         own.select(F.monotonically_increasing_id().alias("uid"), *own.columns[:-1]), folder, "pieces"
     )
@@ -196,10 +199,15 @@ def _numbered(packed: DataFrame, number: int) -> DataFrame:
 
 
 def sequences(
-    packed: DataFrame, docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 1024
+    packed: DataFrame,
+    docs: DataFrame,
+    vocabulary: str,
+    end_id: int,
+    capacity: int = 1024,
+    special: bool = False,
 ) -> DataFrame:
     """The sequences themselves: sequence_id and its ids. doc_ids must not repeat."""
-    own = pieces(docs, vocabulary, end_id, capacity, ids=True).select("doc_id", "piece", "ids")
+    own = pieces(docs, vocabulary, end_id, capacity, ids=True, special=special).select("doc_id", "piece", "ids")
     placed = packed.select("doc_id", "piece", "sequence_id", "offset").join(own, ["doc_id", "piece"])
     in_order = F.sort_array(F.collect_list(F.struct("offset", "ids")))
     return placed.groupBy("sequence_id").agg(in_order.alias("own")).select(

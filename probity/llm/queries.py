@@ -55,7 +55,7 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(docs, public_tokenizers.path(VOCABULARY), end_id=2, capacity=1024)
+    return packing.pack(docs, public_tokenizers.path(VOCABULARY), end_id=2, capacity=1024, special=True)
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,7 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{new_folder(spark)}/ids"
     docs = table(spark, sf_dir, "documents")
-    token_files.write_ids(docs, public_tokenizers.path(VOCABULARY), folder, end_id=0)
+    token_files.write_ids(docs, public_tokenizers.path(VOCABULARY), folder, end_id=0, special=True)
     return token_files.read_ids(spark, folder).select(
         "doc_id",
         "start",

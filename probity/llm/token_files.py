@@ -82,11 +82,11 @@ def unpack(words: bytes, width: int, start: int, count: int) -> np.ndarray:
     return ids.reshape(-1)[start - first * GROUP :][:count]
 
 
-def _blocks(path: str, end_id: int):
+def _blocks(path: str, end_id: int, special: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode = encoder(path, special)
         width = bits_for(max(encode.tokenizer.get_vocab_size(True), end_id + 1))
         file = TaskContext.get().partitionId()
         block, first, doc_ids, counts, parts, total = 0, 0, [], [], [], 0
@@ -116,7 +116,9 @@ def _blocks(path: str, end_id: int):
     return write
 
 
-def write_ids(docs: DataFrame, vocabulary: str, folder: str, end_id: int) -> None:
+def write_ids(
+    docs: DataFrame, vocabulary: str, folder: str, end_id: int, special: bool = False
+) -> None:
     """Write the ids of all ``docs`` (doc_id, text), in ascending doc_id order.
 
     NULL and empty texts have the end id only; NULL doc_ids come first; rows of
@@ -127,7 +129,7 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, end_id: int) -> Non
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
-        .mapInArrow(_blocks(vocabulary, end_id), BLOCK_SCHEMA)
+        .mapInArrow(_blocks(vocabulary, end_id, special), BLOCK_SCHEMA)
         .write.option("compression", "zstd")
         .parquet(folder)
     )

@@ -45,13 +45,17 @@ def _whole(word: str) -> str:
 class Encoder:
     """Encodes texts to unsigned 32-bit ids, least byte first.
 
-    The strings of special tokens count as ordinary text. The ids are those that
-    the tokenizer gives for the whole text.
+    The ids are those that the tokenizer gives for the whole text. With ``special``
+    the strings of special tokens are these tokens, as is the library's default;
+    without, they count as ordinary text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special: bool = False) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        #: Strings that cuts before white space might miss: texts with one are encoded whole.
+        self._added = [t.content for t in added if special or not t.special]
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self._model = self.tokenizer.model
@@ -102,7 +106,8 @@ class Encoder:
         """The ids of a text; NULL and the empty text have none."""
         if not text:
             return b""
-        words = _words(text) if self._byte_level else None
+        whole = not self._byte_level or any(t in text for t in self._added)
+        words = None if whole else _words(text)
         if words is None:
             return self._plain(text)
         ids = list(map(self._known.get, words))
@@ -113,6 +118,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """One encoder per worker and vocabulary."""
-    return Encoder(path)
+def encoder(path: str, special: bool = False) -> Encoder:
+    """One encoder per worker, vocabulary and way with special tokens."""
+    return Encoder(path, special)

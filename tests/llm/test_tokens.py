@@ -186,3 +186,28 @@ def test_sequences_hold_the_ids(spark, plain):
     whole = packing.sequences(packed, docs, PATH, 2, 16).collect()
     flat = sorted(itertools.chain(*[ids_of(r["ids"]) for r in whole]))
     assert flat == sorted([*plain("one two three"), 2, 2, *plain("four " * 30), 2])
+
+
+def untouched(text: str) -> list[int]:
+    return Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+
+
+MARKED = "one <|endoftext|> two"
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|end", "a", "two", " ", "\n", "é", "."]), max_size=12))
+def test_special_tokens_have_the_ids_of_an_untouched_tokenizer(parts):
+    text = "".join(parts)
+    assert ids_of(encoder(PATH, True)(text)) == untouched(text)
+
+
+def test_queries_take_special_tokens_as_the_library_does(spark, tmp_path):
+    assert untouched(MARKED) == [505, 220, 50256, 734]
+    docs = spark.createDataFrame([(1, MARKED, None, None, None), (2, "plain", None, None, None)], DOCS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in QUERIES["op4_token_files"](spark, str(tmp_path)).collect()}
+    assert got[1]["ids_crc32"] == crc([*untouched(MARKED), 0])
+    assert got[2]["start"] == 5
+    packed = {r["doc_id"]: r for r in QUERIES["op2_packing"](spark, str(tmp_path)).collect()}
+    assert packed[1]["ids_crc32"] == crc([*untouched(MARKED), 2])
