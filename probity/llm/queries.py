@@ -12,6 +12,8 @@ from probity.llm import (
     fingerprints,
     jaccard,
     packing,
+    planes,
+    repair,
     reputation,
     reshard,
     secrets,
@@ -174,6 +176,44 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The conversations with faults: by a hash of id and turn, one row in five has one."""
+    null = F.lit(" ")
+    name = F.concat(
+        F.coalesce(F.col("conv_id").cast("string"), null), F.lit(":"), F.coalesce(F.col("turn").cast("string"), null)
+    )
+    way = F.crc32(name.cast("binary")) % 20
+    role, text = F.coalesce("role", null), F.coalesce("text", null)
+    rows = conversations.select(
+        "conv_id",
+        "turn",
+        F.when(way == 4, "user").otherwise(role).alias("role"),
+        F.when(way == 1, "").when(way == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        way.alias("way"),
+    )
+    copies = F.when(F.col("way") == 0, 0).when(F.col("way") == 3, 2).otherwise(1)
+    return rows.withColumn("copy", F.explode(F.array_repeat(F.lit(0), copies))).drop("way", "copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    report = repair.repair(damaged(given)).withColumnRenamed("conv_id", "own")
+    every = given.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    met = every.join(report, F.col("conv_id").eqNullSafe(F.col("own")), "left")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return met.select(
+        "conv_id",
+        *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op13_bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return planes.cluster(vectors, new_folder(spark), k=16, rounds=3, seed=1, scale=64).report()
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -191,6 +231,8 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_url_reputation": op9_url_reputation,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op13_bit_plane_clusters": op13_bit_plane_clusters,
     "pipeline": pipeline,
 }
 

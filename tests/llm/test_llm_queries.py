@@ -19,5 +19,5 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 def test_every_operator_is_registered():
     names = [n.split("_")[0] for n in QUERIES if n != "pipeline"]
-    assert sorted(names) == sorted(f"op{k}" for k in range(1, 11))
+    assert sorted(names) == sorted(f"op{k}" for k in range(1, 14))
     assert "pipeline" in QUERIES
