@@ -17,6 +17,7 @@ from probity.llm import (
     reputation,
     reshard,
     secrets,
+    suffix_tree,
     token_files,
     toxicity,
 )
@@ -209,6 +210,23 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    docs = table(spark, sf_dir, "documents")
+    found = suffix_tree.score(docs, F.coalesce(rest != 2, F.lit(True)), new_folder(spark))
+    return found.select(
+        "doc_id",
+        (~F.col("learnt")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+        "by_one_word",
+        "by_two_words",
+    )
+
+
 def op13_bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return planes.cluster(vectors, new_folder(spark), k=16, rounds=3, seed=1, scale=64).report()
@@ -232,6 +250,7 @@ QUERIES = {
     "op9_url_reputation": op9_url_reputation,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_suffix_tree": op12_suffix_tree,
     "op13_bit_plane_clusters": op13_bit_plane_clusters,
     "pipeline": pipeline,
 }
