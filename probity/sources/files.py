@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from probity.functions import fold_nan, listed, ticked
 from probity.model import SUMMARY_SCHEMA
-from probity.session import exists
+from probity.sources import exact_csv
 
 # Texts read as missing, the default list of the pandas CSV reader.
 NA_VALUES = (
@@ -36,8 +36,6 @@ NA_VALUES = (
 )
 
 INPUT_POSITION = "input_position"
-#: Note below a CSV folder whose values have line breaks; readers of the folder pass it over.
-LINE_BREAKS = "_line_breaks"
 
 
 def conform(df: DataFrame, schema: T.StructType, lenient: bool = False) -> DataFrame:
@@ -77,21 +75,47 @@ def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    na_values: Sequence[str] = NA_VALUES,
+    na_values: Sequence[str] | None = None,
     lenient: bool = False,
-    multi_line: bool | None = None,
+    multi_line: bool = False,
     position: bool = False,
 ) -> DataFrame:
-    """CSV with a header row. Every column is read as text, ``na_values`` become
-    NULL, and only then are the types of ``schema`` applied, by column name.
+    """CSV with a header row, in the types of ``schema``, which are applied by column name.
+
+    What ``write_table`` wrote is read by its note, value for value. Of any other
+    file every column is read as text first and ``na_values`` become NULL, the
+    usual texts for missing values if none are given. Given ones hold for both.
 
     A row with more or fewer fields than the header, or a file with another
     header, fails every read, also one of a few columns or none; if lenient, rows
-    are filled up or cut. ``multi_line`` is for line breaks inside quotes; such
-    files cannot be split. If not given it is what ``write_table`` noted.
+    are filled up or cut. ``multi_line`` is for line breaks inside quotes in files
+    without a note; such files cannot be split.
     """
-    if multi_line is None:
-        multi_line = exists(spark, f"{path.rstrip('/')}/{LINE_BREAKS}")
+    note = exact_csv.note_of(spark, path)
+    if note is not None:
+        text = exact_csv.texts_of(spark, path, note)
+        names = [f.name for f in note.schema.fields if isinstance(f.dataType, T.StringType)]
+    else:
+        text = _foreign(spark, path, lenient, multi_line)
+        names = text.columns
+        na_values = NA_VALUES if na_values is None else na_values
+    if position:
+        text = with_input_position(text, "csv")
+    found = text if note is None else exact_csv.values_of(text, note)
+    if na_values is not None:
+        missing = listed(na_values)
+        folded = [
+            f"CASE WHEN {ticked(c)} NOT IN ({missing}) THEN {ticked(c)} END AS {ticked(c)}"
+            if c in names
+            else ticked(c)
+            for c in found.columns
+        ]
+        found = found.selectExpr(*folded)
+    return conform(found, schema, lenient)
+
+
+def _foreign(spark: SparkSession, path: str, lenient: bool, multi_line: bool) -> DataFrame:
+    """All columns of CSV files as text."""
     reader = (
         spark.read.option("header", True)
         .option("escape", '"')
@@ -101,16 +125,7 @@ def read_csv(
         .option("columnPruning", False)
     )
     names = reader.csv(path).columns
-    text = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(path)
-    if position:
-        text = with_input_position(text, "csv")
-    missing = listed(na_values)
-    folded = [
-        f"CASE WHEN {ticked(c)} NOT IN ({missing}) THEN {ticked(c)} END AS {ticked(c)}"
-        for c in names
-    ]
-    others = [c for c in text.columns if c not in names]
-    return conform(text.selectExpr(*folded, *others), schema, lenient)
+    return reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(path)
 
 
 def read_parquet(
@@ -127,28 +142,13 @@ def read_parquet(
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     """Overwrite a table and return its row count, taken while writing.
 
-    CSV keeps every value as it is, blanks around it included, but cannot tell
-    the empty text from NULL. If a value has a line break, the folder gets a note
-    that ``read_csv`` looks for.
+    Both formats keep every value; for CSV ``exact_csv`` says how.
     """
-    seen = Observation()
-    texts = [ticked(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    broken = " OR ".join(f"{c} RLIKE '[\r\n]'" for c in texts) if fmt == "csv" and texts else "false"
-    counted = df.observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.expr(f"count_if({broken}) AS broken")
-    )
-    writer = counted.write.mode("overwrite")
     if fmt == "csv":
-        writer = (
-            writer.option("header", True)
-            .option("escape", '"')
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-        )
-    writer.format(fmt).save(path)
-    if seen.get["broken"]:
-        note = df.sparkSession.range(1).selectExpr("'values have line breaks' AS value")
-        note.coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}/{LINE_BREAKS}")
+        return exact_csv.write(df, path)
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").format(fmt).save(path)
     return seen.get["rows"]
 
 

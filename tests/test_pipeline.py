@@ -82,6 +82,39 @@ def test_csv_and_parquet_give_the_same_run(spark, rows):
     assert [k[0] for k in seen[0][1]] == ["a"]
 
 
+def test_values_that_look_missing_are_the_same_in_both_formats(spark, rows):
+    """Texts such as NA are values, empty texts are not NULL, and times keep their microseconds."""
+    at = datetime(2024, 1, 2, 3, 4, 5, 123456)
+    raw = rows(
+        "return_id STRING, tin STRING, tax_type STRING, currency STRING, amount_due_ugx DOUBLE, "
+        "filing_date TIMESTAMP_NTZ, note STRING",
+        [
+            ("a", "1234567890", "NA", "UGX", 1.0, at, "None"),
+            ("NULL", "1234567891", None, "None", 2.0, at, ""),
+            ("nan", "1234567892", "", "UGX", 3.0, at, "\\N"),
+        ],
+    )
+    known = rows("tin STRING", [("1234567890",), ("1234567891",), ("1234567892",)])
+    seen = []
+    for fmt in ("parquet", "csv"):
+        out = scratch_dir(spark)
+        done = run_pipeline(
+            spark, raw, known, out, Catalogue(spark, f"{out}/catalogue"), at, order_by=["return_id"],
+            run_ts=RUN_TS, fmt=fmt,
+        )
+        read = read_csv if fmt == "csv" else read_parquet
+        missing = read(spark, done.profile["missing_values"], StructType()).collect()
+        seen.append(
+            (
+                read_summary(spark, done.summary).drop("lineage").first(),
+                sorted(map(str, read(spark, done.clean, raw.schema).collect())),
+                sorted(map(str, missing)),
+            )
+        )
+    assert seen[0] == seen[1]
+    assert any("microsecond=123456" in r or "123456" in r for r in seen[0][1])
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_whole_run(spark, sf_dir, fmt):
     out = scratch_dir(spark)

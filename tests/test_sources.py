@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import random
 from datetime import date, datetime
+from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
@@ -8,16 +11,16 @@ from probity.functions import quoted
 from probity.model import AUDIT_SCHEMA, REGISTER_SCHEMA, Check, RowRule, Severity
 from probity.operators import measure
 from probity.plans.filings import check_completeness, clean_returns
-from probity.session import exists, scratch_dir
+from probity.session import scratch_dir
 from probity.sources import (
     INPUT_POSITION,
     conform,
+    exact_csv,
     read_csv,
     read_parquet,
     with_input_position,
     write_table,
 )
-from probity.sources.files import LINE_BREAKS
 
 REGISTER_CSV = """tin,taxpayer_name,sector,region,registration_date,is_active
 0123456789,Company_6789,Trade, Northern,2001-02-03,True
@@ -163,11 +166,96 @@ def test_csv_keeps_blanks_and_line_breaks(spark, rows):
     path = f"{scratch_dir(spark)}/t"
     write_table(df, path, "csv")
     assert sorted(map(tuple, read_csv(spark, path, df.schema).collect())) == data
+    assert exact_csv.note_of(spark, path).line_breaks
     write_table(df.filter("i = 1"), path, "csv")
-    assert not exists(spark, f"{path}/{LINE_BREAKS}")
+    assert not exact_csv.note_of(spark, path).line_breaks
     assert read_csv(spark, path, df.schema).first().t == " a "
 
 
+_MARKS = ['"', ",", "\n", "\r", "\\", "N", "E", "X", " ", "\t", "\x00", "#", "é", "\u2028", "\ufeff", "'"]
+ODD_TEXTS = [
+    "", None, "NA", "None", "nan", "null", "\\N", "\\E", "\\X", "\\", '""', '"', " ", "\r\n", "\x00", "#", "a\\",
+    *["".join(random.Random(k).choices(_MARKS, k=1 + k % 5)) for k in range(300)],
+]
+
+
+@pytest.mark.parametrize("width", [1, 2, 3])
+@pytest.mark.parametrize("breaks", [True, False])
+def test_csv_keeps_every_text(spark, rows, width, breaks):
+    texts = [t for t in ODD_TEXTS if breaks or not set("\r\n") & set(t or "")]
+    data = [tuple(texts[(k * (j + 1) + j) % len(texts)] for j in range(width)) for k in range(len(texts))]
+    df = rows(", ".join(f"c{j} STRING" for j in range(width)), data)
+    path = f"{scratch_dir(spark)}/t"
+    assert write_table(df, path, "csv") == len(data)
+    assert exact_csv.note_of(spark, path).line_breaks is breaks
+    back = read_csv(spark, path, df.schema)
+    assert sorted(map(str, map(tuple, back.collect()))) == sorted(map(str, data))
+
+
+def test_csv_keeps_every_type(spark, rows):
+    schema = (
+        "t TINYINT, l LONG, f FLOAT, d DOUBLE, e DECIMAL(38,18), b BOOLEAN, y DATE, ts TIMESTAMP, tn TIMESTAMP_NTZ, "
+        "bi BINARY, ar ARRAY<FLOAT>, st STRUCT<a: STRING, b: TIMESTAMP, c: DECIMAL(10,2)>, m MAP<STRING, INT>"
+    )
+    at, least = datetime(2024, 1, 1, 2, 3, 4, 123456), Decimal("0.000000000000000001")
+    data = [
+        (-128, 2**63 - 1, 0.1, 0.1 + 0.2, least, True, date(1, 1, 1), at, at, b"\x00\xff",
+         [0.05424950644373894, None, 1e-30], ("x\n", at, Decimal("1.50")), {"a": 1, "": None}),
+        (None,) * 13,
+        (0, 0, -0.0, 1e-320, Decimal(0), False, date(9999, 12, 31), datetime(1900, 1, 1, 0, 0, 0, 1), datetime(1, 1, 1),
+         b"", [], (None, None, None), {}),
+    ]
+    df = rows(schema, data)
+    path = f"{scratch_dir(spark)}/t"
+    write_table(df, path, "csv")
+    back = read_csv(spark, path, df.schema)
+    assert back.schema.simpleString() == df.schema.simpleString()
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_csv_times_do_not_depend_on_the_zone_of_the_session(spark):
+    start = 1699162200000000  # an hour that New York had twice
+    path = f"{scratch_dir(spark)}/t"
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.range(8).selectExpr("id", f"timestamp_micros({start} + id * 1800000001) AS at")
+        write_table(df, path, "csv")
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        back = read_csv(spark, path, df.schema).selectExpr(f"unix_micros(at) - {start} - id * 1800000001 AS off")
+        assert {r.off for r in back.collect()} == {0}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_csv_with_line_breaks_is_read_by_many_tasks(spark):
+    df = spark.range(1000).coalesce(1).selectExpr("id", "concat('line ', id, '\n', 'next') AS t")
+    path = f"{scratch_dir(spark)}/t"
+    exact_csv.write(df, path, rows_per_file=100)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        back = read_csv(spark, path, df.schema)
+        assert back.rdd.getNumPartitions() == 10
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_own_csv_with_given_missing_values(spark, rows):
+    df = rows("t STRING, n INT", [("NA", 1), ("", 2), ("x", 3)])
+    path = f"{scratch_dir(spark)}/t"
+    write_table(df, path, "csv")
+    got = read_csv(spark, path, df.schema, na_values=["NA"]).orderBy("n").collect()
+    assert [r.t for r in got] == [None, "", "x"]
+
+
+def test_own_csv_with_a_missing_field_fails(spark, rows):
+    path = f"{scratch_dir(spark)}/t"
+    write_table(rows("a INT, b INT", [(1, 2)]), path, "csv")
+    Path(path, "part-lost.csv").write_text("a,b\n3\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        read_csv(spark, path, spark.createDataFrame([], "a INT, b INT").schema).select("a").collect()
+
+
 @pytest.mark.parametrize("setting", ["true", "false"])
 @pytest.mark.parametrize("text", ["home ${env:HOME}", "it's", "back\\slash \\n", 'say "x"', "$1", "two\nlines"])
 def test_literals_do_not_depend_on_the_session(spark, rows, tmp_path, text, setting):

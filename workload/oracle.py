@@ -539,6 +539,24 @@ WHERE copies > 1""",
         for kind in ("DOUBLE", "DECIMAL(20,2)")
     ),
     "csv_roundtrip_text": "SELECT doc_id, ' ' || lang || ' ' AS lang, text FROM documents",
+    "csv_roundtrip_types": """
+SELECT o_orderkey AS id, CASE o_orderkey % 13 WHEN 0 THEN '' WHEN 1 THEN 'NA' WHEN 2 THEN 'None' WHEN 3 THEN 'nan'
+    WHEN 4 THEN 'NULL' WHEN 5 THEN chr(92) || 'N' WHEN 6 THEN chr(92) || 'E' WHEN 7 THEN chr(92) WHEN 8 THEN ' x '
+    WHEN 9 THEN 'two' || chr(10) || 'lines' WHEN 10 THEN 'say "x", y'
+    WHEN 11 THEN 'a' || chr(13) || chr(10) || 'b' END AS told,
+  CAST(o_orderkey % 128 AS TINYINT) AS tiny, CAST(o_orderkey % 1000 AS INTEGER) AS small,
+  CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS single, o_totalprice / 3 AS price,
+  CAST(o_totalprice AS DECIMAL(18, 6)) AS amount, o_orderkey % 2 = 0 AS even, CAST(o_orderdate AS DATE) AS day,
+  CAST(o_orderdate AS TIMESTAMP) + to_microseconds(o_orderkey) AS moment, o_orderkey * 1000003 - 1 AS instant_us,
+  CASE WHEN o_orderkey % 3 <> 0 THEN hex(o_orderpriority) END AS bytes_hex,
+  o_orderstatus || '|-|' || o_orderpriority AS parts, o_custkey AS nested_key,
+  CAST(o_orderdate AS TIMESTAMP) + to_microseconds(o_orderkey) AS nested_at
+FROM orders""",
+    "csv_roundtrip_vectors": """
+SELECT vec_id, label, len(embedding) AS n, CAST(embedding[1] AS DOUBLE) AS first,
+  CAST(list_sum(list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 16777216) AS BIGINT))) AS BIGINT)
+    AS total
+FROM embeddings""",
     "sample_clean": f"WITH {FILINGS},{CLEAN} SELECT * FROM clean ORDER BY src_seq LIMIT 100",
     "dq_status_hits": _metrics(
         [

@@ -353,6 +353,56 @@ def csv_roundtrip_text(spark: SparkSession, d: str) -> DataFrame:
     return read_csv(spark, path, texts.schema)
 
 
+# Texts that a reader of CSV might take for something else, chosen by the order's number.
+_ODD_TEXTS = ("", "NA", "None", "nan", "NULL", "\\N", "\\E", "\\", " x ", "two\nlines", 'say "x", y', "a\r\nb")
+
+
+def csv_roundtrip_types(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with a column of each type, and texts that look like something else, through CSV."""
+    odd = ", ".join(map(quoted, _ODD_TEXTS))
+    source = table(spark, d, "orders").selectExpr(
+        "o_orderkey AS id",
+        f"try_element_at(array({odd}), CAST(o_orderkey % {len(_ODD_TEXTS) + 1} AS INT) + 1) AS told",
+        "CAST(o_orderkey % 128 AS TINYINT) AS tiny",
+        "CAST(o_orderkey % 1000 AS INT) AS small",
+        "CAST(o_totalprice AS FLOAT) AS single",
+        "o_totalprice / 3 AS price",
+        "CAST(o_totalprice AS DECIMAL(18, 6)) AS amount",
+        "o_orderkey % 2 = 0 AS even",
+        "CAST(o_orderdate AS DATE) AS day",
+        "timestampadd(MICROSECOND, o_orderkey, CAST(o_orderdate AS TIMESTAMP_NTZ)) AS moment",
+        "timestamp_micros(o_orderkey * 1000003 - 1) AS instant",
+        "IF(o_orderkey % 3 = 0, NULL, CAST(o_orderpriority AS BINARY)) AS bytes",
+        "array(o_orderstatus, NULL, o_orderpriority) AS parts",
+        "named_struct('key', o_custkey, 'at', timestampadd(MICROSECOND, o_orderkey, o_orderdate)) AS nested",
+    )
+    path = f"{scratch(spark)}/types"
+    write_table(source, path, "csv")
+    return read_csv(spark, path, source.schema).selectExpr(
+        "* EXCEPT (single, instant, bytes, parts, nested)",
+        "CAST(single AS DOUBLE) AS single",
+        "unix_micros(instant) AS instant_us",
+        "hex(bytes) AS bytes_hex",
+        "array_join(parts, '|', '-') AS parts",
+        "nested.key AS nested_key",
+        "CAST(nested.at AS TIMESTAMP_NTZ) AS nested_at",
+    )
+
+
+def csv_roundtrip_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors of floats through CSV: size, first component, and a sum of whole numbers."""
+    source = table(spark, d, "embeddings")
+    path = f"{scratch(spark)}/vectors"
+    write_table(source, path, "csv")
+    return read_csv(spark, path, source.schema).selectExpr(
+        "vec_id",
+        "label",
+        "CAST(size(embedding) AS LONG) AS n",
+        "CAST(embedding[0] AS DOUBLE) AS first",
+        "aggregate(embedding, 0L, (t, x) -> t + CAST(floor(CAST(x AS DOUBLE) * 16777216) AS LONG)) AS total",
+    )
+
+
 def _run(spark: SparkSession, d: str) -> Run:
     out = scratch(spark)
     return run_pipeline(
@@ -561,6 +611,8 @@ QUERIES: dict[str, Query] = {
     "nat_foreign_keys": nat_foreign_keys,
     "nat_orphan_rows_typed": nat_orphan_rows_typed,
     "csv_roundtrip_text": csv_roundtrip_text,
+    "csv_roundtrip_types": csv_roundtrip_types,
+    "csv_roundtrip_vectors": csv_roundtrip_vectors,
     "report_from_summary": report_from_summary,
     "sample_clean": sample_clean,
     "run_steps": run_steps,
