@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from probity.functions import listed, ticked
-
+from probity.session import scratch_dir
 
 NODE = ["id", "label", "type", "rows"]
 EDGE = ["from", "to", "label", "operation", "status"]
@@ -101,3 +102,54 @@ def graph_document(datasets: DataFrame, transformations: DataFrame) -> DataFrame
         "NULL AS node", f"{entry(EDGE, 'executed_at')} AS edge"
     )
     return all_nodes.union(all_edges).selectExpr(in_order("node"), in_order("edge"))
+
+
+#: Rounds of ``reach``, and so paths of two to this power.
+ROUNDS = 62
+
+
+def _shortest(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("from", "to").agg(F.min("steps").alias("steps"))
+
+
+def _through(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs by a pair of each side that meet in the middle. Paths back to their start are left out."""
+    first = left.selectExpr("`from` AS start", "`to` AS middle", "steps AS before")
+    second = right.selectExpr("`from` AS middle", "`to` AS finish", "steps AS behind")
+    return (
+        first.join(second, "middle")
+        .filter("start <> finish")
+        .selectExpr("start AS `from`", "finish AS `to`", "before + behind AS steps")
+    )
+
+
+def reach(edges: DataFrame) -> DataFrame:
+    """from, to, steps: every dataset that comes of another, and over how few steps.
+
+    A round joins the pairs found so far with each other, so paths double in length
+    and the rounds are the logarithm of the longest shortest path. What a round
+    finds is written to the shared folder, which ends its lineage. An edge
+    or path from a dataset to itself is no pair, and steps only ever fall, so
+    graphs with cycles end too. NULL ends are left out.
+    """
+    spark, folder = edges.sparkSession, scratch_dir(edges.sparkSession)
+    given = edges.select("from", "to").filter("`from` <> `to`").distinct().withColumn("steps", F.lit(1).cast("long"))
+    found, size = None, (-1, -1)
+    for number in range(ROUNDS):
+        pairs = given if found is None else _shortest(found.union(_through(found, found)))
+        path = f"{folder}/reach-{number}"
+        pairs.write.parquet(path)
+        found = spark.read.schema(pairs.schema).parquet(path)
+        count = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("steps"), F.lit(0))).first()
+        if tuple(count) == size:  # a round that changes something adds pairs or shortens some
+            break
+        size = tuple(count)
+    return found
+
+
+def related(edges: DataFrame, dataset_id: str) -> DataFrame:
+    """What a dataset comes of (direction up) and what comes of it (down): direction, id, steps."""
+    pairs, own = reach(edges), F.lit(dataset_id)
+    up = pairs.filter(F.col("to") == own).selectExpr("'up' AS direction", "`from` AS id", "steps")
+    down = pairs.filter(F.col("from") == own).selectExpr("'down' AS direction", "`to` AS id", "steps")
+    return up.union(down)

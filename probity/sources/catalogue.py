@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -19,7 +18,7 @@ from probity.functions import (
     surrogate_id,
 )
 from probity.model import DATASETS_SCHEMA, DQ_RUNS_SCHEMA, TRANSFORMATIONS_SCHEMA
-from probity.session import remove_folder
+from probity.sources.commits import BatchTable
 
 TABLES = {
     "datasets": DATASETS_SCHEMA,
@@ -123,21 +122,25 @@ def dq_run_row(result: DataFrame, dataset_id: str, run_ts: datetime) -> DataFram
 
 
 class Catalogue:
-    """The three tables under one folder. Rows are only ever appended.
+    """The catalogue's tables under one folder. Rows are only ever appended.
 
-    Every append is a folder of its own below its table, so that runs at the same
-    time do not disturb each other's commits.
+    Every append is a batch that counts from its commit on, so runs at the same time
+    don't disturb each other and one that is broken off leaves no rows; see ``commits``.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
 
+    def table(self, name: str) -> BatchTable:
+        return BatchTable(self.spark, f"{self.path}/{name}", TABLES[name])
+
     def init(self) -> Catalogue:
         """Create the tables that are not there yet, empty."""
-        for name, schema in TABLES.items():
-            empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("ignore").parquet(f"{self.path}/{name}/batch=none")
+        for name in TABLES:
+            table = self.table(name)
+            if table.version()[0] < 0:
+                table.commit(lambda batches: batches)
         return self
 
     def append(self, name: str, rows: DataFrame) -> None:
@@ -145,31 +148,28 @@ class Catalogue:
         typed = rows.selectExpr(
             *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in TABLES[name]]
         )
-        typed.coalesce(1).write.parquet(f"{self.path}/{name}/batch={uuid.uuid4().hex}")
+        self.table(name).append(typed.coalesce(1))
 
     def compact(self, name: str) -> None:
-        """Rewrite a table's many small files as few, one writer at a time.
+        """Rewrite a table's many small batches as one with few files.
 
-        The new files are there before the old ones go. Were it broken off in
-        between, rows would be there twice; readers take each id once.
+        Appends that come meanwhile stay. Readers that have begun go on with the
+        old batches, which ``vacuum`` deletes later. Of two compactions at the same
+        time one raises ``Conflict``.
         """
-        batches = self._batches(name)
-        rows = self._scan(name).dropDuplicates([TABLES[name].names[0]])
-        writer = rows.coalesce(1).write.option("maxRecordsPerFile", COMPACT_ROWS)
-        writer.parquet(f"{self.path}/{name}/batch={uuid.uuid4().hex}")
-        for batch in batches:
-            remove_folder(self.spark, batch)
-
-    def _batches(self, name: str) -> list[str]:
-        """The folders of a table's appends."""
-        files = self.spark.read.format("binaryFile").load(f"{self.path}/{name}")
-        folders = files.selectExpr("substring_index(path, '/', -2) AS tail").distinct().collect()
-        return sorted(f"{self.path}/{name}/{r['tail'].split('/')[0]}" for r in folders)
+        table = self.table(name)
+        batches = table.version()[1]
+        rows = table.read()
+        files = -(-rows.count() // COMPACT_ROWS)
+        if len(batches) > 1:
+            table.replace(batches, rows.coalesce(max(1, files)))
+
+    def vacuum(self, name: str, older_than_seconds: float = 24 * 3600) -> list[str]:
+        """Delete batches that no longer count and are older."""
+        return self.table(name).vacuum(older_than_seconds)
 
     def _scan(self, name: str) -> DataFrame:
-        schema = TABLES[name]
-        stored = self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        return stored.select(*schema.names)
+        return self.table(name).read()
 
     def datasets(self) -> DataFrame:
         return self._scan("datasets")

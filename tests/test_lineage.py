@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -10,6 +11,8 @@ from probity.plans import lineage
 from probity.plans.scoring import result_document
 from probity.session import scratch_dir
 from probity.sources import Catalogue, Dataset
+from probity.sources.catalogue import dataset_rows
+from probity.sources.commits import BatchTable, Conflict
 
 T1, T2 = datetime(2026, 3, 10, 16, 28, 47, 123456), datetime(2026, 3, 11, 9)
 
@@ -46,19 +49,135 @@ def test_flow_between_two_datasets_of_one_name(catalogue, rows):
     assert [tuple(r) for r in flow.collect()] == [("t", 1, "Copy", "copy", "success", "t", 1)]
 
 
-def test_compaction_keeps_every_row_once(catalogue, rows, spark):
+def _register(catalogue, df, *names):
+    for name in names:
+        catalogue.register_dataset(name, df, "raw_file", "p", T1)
+
+
+def _named(catalogue):
+    return sorted(r.name for r in catalogue.datasets().collect())
+
+
+def test_compaction_keeps_every_row_once(catalogue, rows):
     df = rows("a INT", [(1,)])
-    for k in range(5):
-        catalogue.register_dataset(f"d{k}", df, "raw_file", "p", T1)
+    _register(catalogue, df, "a", "b", "c", "d", "e")
     before = sorted(map(tuple, catalogue.datasets().collect()))
-    assert len(catalogue._batches("datasets")) == 6  # one of init
+    begun = catalogue.datasets()
+    assert len(catalogue.table("datasets").version()[1]) == 5
     catalogue.compact("datasets")
-    assert len(catalogue._batches("datasets")) == 1
+    assert len(catalogue.table("datasets").version()[1]) == 1
+    assert sorted(map(tuple, catalogue.datasets().collect())) == before
+    assert begun.count() == 5  # a reader from before goes on
+    catalogue.vacuum("datasets", -1)
     assert sorted(map(tuple, catalogue.datasets().collect())) == before
     catalogue.register_dataset("more", df, "raw_file", "p", T2)
     assert catalogue.datasets().count() == 6
 
 
+@pytest.mark.parametrize("stopped_at", ["write_batch", "commit", "_put"])
+def test_a_compaction_broken_off_anywhere_leaves_each_row_once(catalogue, rows, stopped_at, monkeypatch):
+    df = rows("a INT", [(1,)])
+    _register(catalogue, df, "a", "b")
+    whole = getattr(BatchTable, stopped_at)
+
+    def broken(self, *given):
+        if stopped_at == "write_batch":
+            whole(self, *given)
+        raise RuntimeError("the driver is gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(BatchTable, stopped_at, broken)
+        with pytest.raises(RuntimeError, match="gone"):
+            catalogue.compact("datasets")
+    assert _named(catalogue) == ["a", "b"]
+    assert catalogue.listing().count() == 2
+    _register(catalogue, df, "c")
+    catalogue.compact("datasets")
+    assert _named(catalogue) == ["a", "b", "c"]
+    assert any(n.startswith("batch=") for n in catalogue.vacuum("datasets", -1))
+    assert _named(catalogue) == ["a", "b", "c"]
+
+
+def test_an_append_beside_a_compaction_stays(catalogue, rows, monkeypatch):
+    df = rows("a INT", [(1,)])
+    _register(catalogue, df, "a", "b")
+    whole = BatchTable.write_batch
+
+    def slow(self, given):
+        name = whole(self, given)
+        with monkeypatch.context() as patch:
+            patch.setattr(BatchTable, "write_batch", whole)
+            _register(catalogue, df, "c")
+        return name
+
+    with monkeypatch.context() as patch:
+        patch.setattr(BatchTable, "write_batch", slow)
+        catalogue.compact("datasets")
+    assert _named(catalogue) == ["a", "b", "c"]
+    assert len(catalogue.table("datasets").version()[1]) == 2
+
+
+def test_of_two_compactions_one_gives_way(catalogue, rows, monkeypatch):
+    _register(catalogue, rows("a INT", [(1,)]), "a", "b")
+    whole = BatchTable.write_batch
+
+    def slow(self, given):
+        name = whole(self, given)
+        with monkeypatch.context() as patch:
+            patch.setattr(BatchTable, "write_batch", whole)
+            catalogue.compact("datasets")
+        return name
+
+    with monkeypatch.context() as patch, pytest.raises(Conflict):
+        patch.setattr(BatchTable, "write_batch", slow)
+        catalogue.compact("datasets")
+    assert _named(catalogue) == ["a", "b"]
+
+
+def test_appends_at_the_same_time_all_stay(catalogue, rows):
+    df = rows("a INT", [(1,)])
+    names = [f"d{k}" for k in range(6)]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda n: _register(catalogue, df, n), names))
+    assert _named(catalogue) == names
+
+
+def test_tables_from_before_there_were_commits(spark, rows):
+    catalogue = Catalogue(spark, f"{scratch_dir(spark)}/catalogue")
+    df = rows("a INT", [(1,)])
+    for name in ("a", "b"):
+        dataset_rows([Dataset(name, df, "raw_file", "p")], T1).write.parquet(
+            f"{catalogue.path}/datasets/batch={name}"
+        )
+    assert _named(catalogue) == ["a", "b"]
+    _register(catalogue.init(), df, "c")
+    assert _named(catalogue) == ["a", "b", "c"]
+
+
+def _reached(rows, edges):
+    pairs = lineage.reach(rows("`from` STRING, `to` STRING", edges)).collect()
+    return {(r["from"], r["to"]): r["steps"] for r in pairs}
+
+
+def test_reach_over_chains_branches_and_cycles(rows):
+    chain = [(f"n{k:02}", f"n{k + 1:02}") for k in range(37)]
+    got = _reached(rows, [*chain, ("n00", "n30")])
+    assert len(got) == 37 * 38 / 2
+    assert (got["n00", "n37"], got["n00", "n29"], got["n01", "n37"]) == (8, 29, 36)
+    assert _reached(rows, []) == {}
+    assert _reached(rows, [(None, "a"), ("a", None), ("a", "a"), ("a", "b"), ("a", "b")]) == {("a", "b"): 1}
+    ring = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("e", "a")]
+    want = {
+        ("a", "b"): 1, ("a", "c"): 2, ("a", "d"): 3, ("b", "c"): 1, ("b", "a"): 2, ("b", "d"): 2, ("c", "a"): 1,
+        ("c", "b"): 2, ("c", "d"): 1, ("e", "a"): 1, ("e", "b"): 2, ("e", "c"): 3, ("e", "d"): 4,
+    }
+    assert _reached(rows, ring) == want
+    near = lineage.related(rows("`from` STRING, `to` STRING", ring), "c").collect()
+    assert sorted(map(tuple, near)) == [
+        ("down", "a", 1), ("down", "b", 2), ("down", "d", 1), ("up", "a", 2), ("up", "b", 1), ("up", "e", 3),
+    ]
+
+
 def test_texts_are_kept_as_they_are(catalogue, rows, spark):
     odd = "home ${env:HOME} it's \\n \"x\""
     for setting in ("true", "false"):

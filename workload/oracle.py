@@ -452,6 +452,14 @@ SELECT 'August 01, 2001' AS report_date, '{RUN}' AS pipeline_run,
   'Tax Returns, Taxpayer Register' AS datasets_assessed, total_issues,
   'INTERNAL' AS classification FROM sev""",
     "lineage_catalogue": f"{CATALOGUE} SELECT * FROM datasets",
+    "lineage_catalogue_compacted": f"{CATALOGUE} SELECT * FROM datasets",
+    "lineage_reach": """
+WITH RECURSIVE edges AS (
+  SELECT lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS source, o_orderkey AS target
+  FROM orders), walk AS (
+  SELECT source, target, 1 AS steps FROM edges WHERE source IS NOT NULL
+  UNION ALL SELECT w.source, e.target, w.steps + 1 FROM walk w JOIN edges e ON e.source = w.target)
+SELECT source AS "from", target AS "to", CAST(min(steps) AS BIGINT) AS steps FROM walk GROUP BY ALL""",
     "lineage_nodes": f"""{CATALOGUE}
 SELECT name AS label, row_count AS rows, source_type AS type, dataset_id AS id FROM datasets""",
     "lineage_flow": f"""{CATALOGUE}

@@ -280,6 +280,30 @@ def lineage_catalogue(spark: SparkSession, d: str) -> DataFrame:
     return _catalogue(spark, d).listing()
 
 
+def lineage_catalogue_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """The same datasets, appended one by one around two compactions, one of them broken off."""
+    catalogue = Catalogue(spark, f"{scratch(spark)}/catalogue").init()
+    path = f"{scratch(spark)}/datasets"
+    _registered(spark, d).write.parquet(path)
+    rows = spark.read.parquet(path)
+    for seq in range(6):
+        catalogue.append("datasets", rows.filter(f"seq = {seq}"))
+        if seq == 2:  # written, but its commit never came
+            datasets = catalogue.table("datasets")
+            datasets.write_batch(datasets.read())
+        if seq == 4:
+            catalogue.compact("datasets")
+    return catalogue.listing()
+
+
+def lineage_reach(spark: SparkSession, d: str) -> DataFrame:
+    """Every order that one of the same customer came after, and how many orders later."""
+    scratch(spark)
+    orders = table(spark, d, "orders").selectExpr("o_custkey", "o_orderdate", "o_orderkey AS `to`")
+    before = "lag(`to`) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, `to`) AS `from`"
+    return lineage.reach(orders.selectExpr("`to`", before))
+
+
 def lineage_nodes(spark: SparkSession, d: str) -> DataFrame:
     return lineage.dataset_listing(lineage.nodes(_registered(spark, d)))
 
@@ -595,6 +619,8 @@ QUERIES: dict[str, Query] = {
     "kpi_row": kpi_row,
     "report_metadata": report_metadata,
     "lineage_catalogue": lineage_catalogue,
+    "lineage_catalogue_compacted": lineage_catalogue_compacted,
+    "lineage_reach": lineage_reach,
     "lineage_nodes": lineage_nodes,
     "lineage_flow": lineage_flow,
     "lineage_edges": lineage_graph,
