@@ -42,6 +42,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 
     Parquet input is used where it is. CSV input is parsed once and saved as
     parquet below the output folder, each row with its position in the files.
+    Steps are stored in the catalogue's folder ``steps``; a run that was broken off
+    goes on if it is started with its run id and run time again.
     """
     paths = {REGISTER: args.register, RETURNS: args.returns}
     audit_log = None
@@ -56,7 +58,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         Catalogue(spark, args.catalogue or f"{args.out}/catalogue"),
         args.as_of,
         audit_log,
-        run_ts=datetime.now(),
+        run_ts=args.run_ts or datetime.now(),
+        run_id=args.run_id,
         raw_paths=paths if args.format == "parquet" else None,
         clean_fmt=args.format,
     )
@@ -105,6 +108,8 @@ def parser() -> argparse.ArgumentParser:
         if job is run:
             sub.add_argument("--audit-log")
             sub.add_argument("--catalogue")
+            sub.add_argument("--run-id")
+            sub.add_argument("--run-ts", type=datetime.fromisoformat)
     return top
 
 

@@ -151,6 +151,21 @@ TRANSFORMATIONS_SCHEMA = T.StructType(
     ]
 )
 
+#: A try of a step of a run.
+STEPS_SCHEMA = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("step", T.StringType()),
+        T.StructField("attempt", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("started_at", T.TimestampNTZType()),
+        T.StructField("duration_ms", T.LongType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("message", T.StringType()),
+    ]
+)
+
 DQ_RUNS_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType()),

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
-from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +34,7 @@ from probity.sources import (
     write_document,
     write_table,
 )
+from probity.sources.ledger import SUCCESS
 
 CLEAN = f"{RETURNS}_clean"
 AUDIT_LOG = "audit_log"
@@ -48,13 +48,17 @@ CLEAN_TEXT = "Cleaned tax returns — passed all quality checks"
 STEP = "DQ Remediation"
 STEP_OPERATION = "filter + deduplicate"
 STEP_TEXT = "Remove rows failing null, validity, currency, date and uniqueness checks"
-R = TypeVar("R")
+# Steps of a run beside the saving of each raw table, in this order.
+BEGIN, REGISTERED, CHECK, LOG, CLEANED, CLEAN_REGISTERED, SUMMARY, PROFILE = (
+    "begin", "register", "check", "log", "clean", "register_clean", "summary", "profile",
+)
 
 
 @dataclass(frozen=True)
 class Run:
     """Where a finished run left its outputs, and the ids it registered."""
 
+    run_id: str
     raw: dict[str, str]
     clean: str
     result: str
@@ -65,13 +69,6 @@ class Run:
     duration_ms: dict[str, int]
 
 
-def timed(action: Callable[[], R]) -> tuple[R, int]:
-    """The result of an action and how long it took in milliseconds."""
-    start = time.monotonic()
-    value = action()
-    return value, int((time.monotonic() - start) * 1000)
-
-
 def _summary(
     result: DataFrame, graph: DataFrame, before: int, after: int, run_ts: datetime
 ) -> DataFrame:
@@ -105,6 +102,7 @@ def run_pipeline(
     run_ts: datetime,
     fmt: str = "parquet",
     clean_fmt: str | None = None,
+    run_id: str | None = None,
 ) -> Run:
     """Run every step and return where its outputs are.
 
@@ -118,9 +116,19 @@ def run_pipeline(
     that of the given frame if it has one, else that in the saved files. The
     audit log is saved but not registered. The profile is the missing values
     before and after, quick counts, and the first rows of either table.
+
+    Every step is stored in the catalogue as it ends, with its status, duration
+    and rows. Given the ``run_id`` of a run that was broken off, and the same
+    ``run_ts``, steps that ended well are not done again: the run goes on at the
+    first that didn't. A new run gets a new id if none is given.
     """
     out = out_dir.rstrip("/")
     catalogue.init()
+    steps = catalogue.ledger(run_id or uuid.uuid4().hex)
+    again = bool(steps.rows)
+    begun = {"run_ts": run_ts.isoformat(), "out": out, "formats": [fmt, clean_fmt or fmt]}
+    if steps.run(BEGIN, lambda: begun) != begun:
+        raise ValueError(f"run {steps.run_id} began with another run_ts, out_dir or format")
 
     raw = {REGISTER: register, RETURNS: returns}
     if audit_log is not None:
@@ -131,9 +139,10 @@ def run_pipeline(
     def save(name: str) -> int:
         return raw[name].count() if name in given else write_table(raw[name], paths[name], fmt)
 
-    rows, durations = {}, {}
-    for name in raw:
-        rows[name], durations[name] = timed(lambda name=name: save(name))
+    def counted(step: str, action: Callable[[], int]) -> int:
+        return steps.run(step, action, lambda n: n)
+
+    rows = {name: counted(name, lambda name=name: save(name)) for name in raw}
 
     def saved(name: str, position: bool = False) -> DataFrame:
         read = read_csv if fmt == "csv" else read_parquet
@@ -143,62 +152,77 @@ def run_pipeline(
         Dataset(name, raw[name].drop(INPUT_POSITION), "raw_file", paths[name], text, rows[name])
         for name, text in RAW_TEXTS.items()
     ]
-    ids = dict(zip(RAW_TEXTS, catalogue.register_datasets(entries, run_ts), strict=True))
+    found = steps.run(REGISTERED, lambda: catalogue.register_datasets(entries, run_ts, once=again))
+    ids = dict(zip(RAW_TEXTS, found, strict=True))
 
     result_path = f"{out}/dq_results"
-    metrics = database_metrics(saved(RETURNS), saved(REGISTER), as_of, columns)
-    _, durations["check"] = timed(lambda: write_document(result_document(metrics), result_path))
+
+    def check() -> None:
+        metrics = database_metrics(saved(RETURNS), saved(REGISTER), as_of, columns)
+        write_document(result_document(metrics), result_path)
+
+    steps.run(CHECK, check)
     result = read_document(spark, result_path, RESULT_SCHEMA)
-    catalogue.log_dq_run(ids[RETURNS], result, run_ts)
+    steps.run(LOG, lambda: catalogue.log_dq_run(ids[RETURNS], result, run_ts, once=again))
 
     placed = bool(order_by) or INPUT_POSITION in returns.columns
-    clean = clean_returns(
-        saved(RETURNS, position=not placed), as_of, list(order_by) or None, columns
-    )
     clean_path = f"{out}/processed/{CLEAN}"
-    rows[CLEAN], durations["clean"] = timed(lambda: write_table(clean, clean_path, clean_fmt or fmt))
-    ids[CLEAN] = catalogue.register_dataset(
-        CLEAN, clean, "transformed", clean_path, run_ts, CLEAN_TEXT, rows[CLEAN]
-    )
-    step = catalogue.register_transformation(
-        STEP,
-        [ids[RETURNS]],
-        ids[CLEAN],
-        STEP_OPERATION,
-        STEP_TEXT,
-        run_ts,
-        durations["clean"],
-    )
 
-    graph = graph_document(
-        of_ids(catalogue.datasets(), list(ids.values())),
-        of_ids(catalogue.transformations(), [step]),
-    )
+    def cleaned() -> DataFrame:
+        return clean_returns(
+            saved(RETURNS, position=not placed), as_of, list(order_by) or None, columns
+        )
+
+    rows[CLEAN] = counted(CLEANED, lambda: write_table(cleaned(), clean_path, clean_fmt or fmt))
+    clean = cleaned()
+
+    def register_clean() -> list[str]:
+        made = catalogue.register_dataset(
+            CLEAN, clean, "transformed", clean_path, run_ts, CLEAN_TEXT, rows[CLEAN], once=again
+        )
+        took = steps.duration_ms(CLEANED)
+        step = catalogue.register_transformation(
+            STEP, [ids[RETURNS]], made, STEP_OPERATION, STEP_TEXT, run_ts, took, once=again
+        )
+        return [made, step]
+
+    ids[CLEAN], step = steps.run(CLEAN_REGISTERED, register_clean)
     summary_path = f"{out}/pipeline_summary"
-    write_document(_summary(result, graph, rows[RETURNS], rows[CLEAN], run_ts), summary_path)
+
+    def summarise() -> None:
+        graph = graph_document(
+            of_ids(catalogue.datasets(), list(ids.values())),
+            of_ids(catalogue.transformations(), [step]),
+        )
+        write_document(_summary(result, graph, rows[RETURNS], rows[CLEAN], run_ts), summary_path)
+
+    steps.run(SUMMARY, summarise)
 
     read = read_csv if (clean_fmt or fmt) == "csv" else read_parquet
     profile = {
         name: f"{out}/profile/{name}"
         for name in ("missing_values", "quick_stats", "raw_sample", "clean_sample")
     }
-    first = list(order_by) or ([INPUT_POSITION] if not placed else [columns.return_id])
-    before = saved(RETURNS, position=not placed)
-    after = read(spark, clean_path, clean.schema)
-    bare = before.drop(INPUT_POSITION)
-    tables = {
-        "missing_values": missing_before_after(bare, after),
-        "quick_stats": quick_stats(
-            {"raw": bare, "clean": after}, columns.tin, columns.amount_due, columns.currency, HOME_CURRENCY
-        ),
-        "raw_sample": sample_rows(before, first).drop(INPUT_POSITION),
-        "clean_sample": sample_rows(after, list(order_by) or [columns.return_id]),
-    }
 
     def save_profile() -> None:
+        first = list(order_by) or ([INPUT_POSITION] if not placed else [columns.return_id])
+        before = saved(RETURNS, position=not placed)
+        after = read(spark, clean_path, clean.schema)
+        bare = before.drop(INPUT_POSITION)
+        both = {"raw": bare, "clean": after}
+        tables = {
+            "missing_values": missing_before_after(bare, after),
+            "quick_stats": quick_stats(
+                both, columns.tin, columns.amount_due, columns.currency, HOME_CURRENCY
+            ),
+            "raw_sample": sample_rows(before, first).drop(INPUT_POSITION),
+            "clean_sample": sample_rows(after, list(order_by) or [columns.return_id]),
+        }
         for name, table in tables.items():
             write_table(table.coalesce(1), profile[name], clean_fmt or fmt)
 
-    _, durations["profile"] = timed(save_profile)
-    return Run(paths, clean_path, result_path, summary_path, profile, ids, rows, durations)
-
+    steps.run(PROFILE, save_profile)
+    durations = {r["step"]: r["duration_ms"] for r in steps.rows if r["status"] == SUCCESS}
+    return Run(
+        steps.run_id, paths, clean_path, result_path, summary_path, profile, ids, rows, durations
+    )

@@ -19,12 +19,15 @@ from probity.functions import (
 )
 from probity.model import DATASETS_SCHEMA, DQ_RUNS_SCHEMA, TRANSFORMATIONS_SCHEMA
 from probity.sources.commits import BatchTable
+from probity.sources.ledger import StepLedger, stored_steps
 
 TABLES = {
     "datasets": DATASETS_SCHEMA,
     "transformations": TRANSFORMATIONS_SCHEMA,
     "dq_runs": DQ_RUNS_SCHEMA,
 }
+#: Folder of the runs' steps.
+STEPS = "steps"
 #: Rows written per file when a table is compacted.
 COMPACT_ROWS = 1_000_000
 
@@ -143,8 +146,15 @@ class Catalogue:
                 table.commit(lambda batches: batches)
         return self
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        """Append rows to a table as one file, in the table's types."""
+    def append(self, name: str, rows: DataFrame, once: bool = False) -> None:
+        """Append rows to a table as one file, in the table's types.
+
+        With ``once``, rows whose id is there already are left out: for a step that
+        is done again and may have got as far as this.
+        """
+        if once:
+            key = TABLES[name].names[0]
+            rows = rows.join(self._scan(name).select(key).distinct(), key, "left_anti")
         typed = rows.selectExpr(
             *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in TABLES[name]]
         )
@@ -180,6 +190,14 @@ class Catalogue:
     def dq_runs(self) -> DataFrame:
         return self._scan("dq_runs")
 
+    def ledger(self, run_id: str) -> StepLedger:
+        """The stored steps of a run, which may be new."""
+        return StepLedger(self.spark, f"{self.path}/{STEPS}", run_id)
+
+    def steps(self) -> DataFrame:
+        """Every try of a step of every run: when, how long, how it ended."""
+        return stored_steps(self.spark, f"{self.path}/{STEPS}")
+
     def register_dataset(
         self,
         name: str,
@@ -189,18 +207,21 @@ class Catalogue:
         run_ts: datetime,
         description: str = "",
         row_count: int | None = None,
+        once: bool = False,
     ) -> str:
         """Add a dataset and return its id. ``row_count`` saves counting a table
         whose rows were already counted while it was written."""
         entry = Dataset(name, df, source_type, file_path, description, row_count)
-        return self.register_datasets([entry], run_ts)[0]
+        return self.register_datasets([entry], run_ts, once)[0]
 
-    def register_datasets(self, entries: Sequence[Dataset], run_ts: datetime) -> list[str]:
+    def register_datasets(
+        self, entries: Sequence[Dataset], run_ts: datetime, once: bool = False
+    ) -> list[str]:
         """Add datasets in one append and return their ids in the given order.
 
         Those without a row count are counted in one job.
         """
-        self.append("datasets", dataset_rows(entries, run_ts))
+        self.append("datasets", dataset_rows(entries, run_ts), once)
         return [entry.id_at(run_ts) for entry in entries]
 
     def register_transformation(
@@ -214,6 +235,7 @@ class Catalogue:
         duration_ms: int = 0,
         status: str = "success",
         seq: int = 0,
+        once: bool = False,
     ) -> str:
         self.append(
             "transformations",
@@ -229,11 +251,14 @@ class Catalogue:
                 status,
                 seq,
             ),
+            once,
         )
         return surrogate_id(step_name, run_ts, output_id)
 
-    def log_dq_run(self, dataset_id: str, result: DataFrame, run_ts: datetime) -> str:
-        self.append("dq_runs", dq_run_row(result, dataset_id, run_ts))
+    def log_dq_run(
+        self, dataset_id: str, result: DataFrame, run_ts: datetime, once: bool = False
+    ) -> str:
+        self.append("dq_runs", dq_run_row(result, dataset_id, run_ts), once)
         return surrogate_id(dataset_id, run_ts)
 
     def listing(self) -> DataFrame:

@@ -180,3 +180,84 @@ def test_saved_inputs_are_not_written_again(spark, sf_dir):
     assert done.raw == paths
     assert done.rows == {"taxpayer_register": 150, "tax_returns": 1500, "tax_returns_clean": 1131}
     assert spark.read.parquet(done.clean).columns == filings(spark, sf_dir).columns
+
+
+def test_a_broken_off_run_goes_on_at_the_first_unfinished_step(spark, rows, monkeypatch):
+    from probity.plans import pipeline
+
+    raw = rows(
+        "return_id STRING, tin STRING, currency STRING, amount_due_ugx DOUBLE, filing_date DATE",
+        [(k, f"123456789{k}", "UGX", 1.0, date(2024, 1, 2)) for k in "0123"],
+    )
+    known = rows("tin STRING", [(f"123456789{k}",) for k in "0123"])
+    out = scratch_dir(spark)
+    catalogue = Catalogue(spark, f"{out}/catalogue")
+
+    def run(**more):
+        return run_pipeline(
+            spark, raw, known, out, catalogue, date(2024, 6, 1), order_by=["return_id"],
+            **{"run_ts": RUN_TS, "run_id": "r1", **more},
+        )
+
+    def tries():
+        stored = catalogue.steps().filter("run_id = 'r1'").orderBy("seq").collect()
+        return [(s.step, s.attempt, s.status) for s in stored]
+
+    calls = []
+    whole = pipeline.write_table
+
+    def failing(df, path, fmt="parquet"):
+        calls.append(path.rsplit("/", 1)[1])
+        if path.endswith("tax_returns_clean") and len(calls) == 3:
+            raise OSError("disk full")
+        return whole(df, path, fmt)
+
+    monkeypatch.setattr(pipeline, "write_table", failing)
+    with pytest.raises(OSError, match="disk full"):
+        run()
+    first = ["begin", "taxpayer_register", "tax_returns", "register", "check", "log"]
+    assert tries() == [*[(s, 1, "success") for s in first], ("clean", 1, "failed")]
+    failed = catalogue.steps().filter("status = 'failed'").first()
+    assert failed.duration_ms >= 0 and failed.message == "OSError: disk full" and failed.rows is None
+
+    # The same again, but the step after cleaning is lost once its rows are in the catalogue.
+    with monkeypatch.context() as patch:
+        lost = Catalogue.register_transformation
+
+        def broken(self, *given, **named):
+            lost(self, *given, **named)
+            raise RuntimeError("the driver is gone")
+
+        patch.setattr(Catalogue, "register_transformation", broken)
+        with pytest.raises(RuntimeError, match="gone"):
+            run()
+    done = run()
+    assert calls[:4] == ["taxpayer_register", "tax_returns", "tax_returns_clean", "tax_returns_clean"]
+    assert calls[4:] == ["missing_values", "quick_stats", "raw_sample", "clean_sample"]
+    assert tries()[6:] == [
+        ("clean", 1, "failed"), ("clean", 2, "success"), ("register_clean", 1, "failed"),
+        ("register_clean", 2, "success"), ("summary", 1, "success"), ("profile", 1, "success"),
+    ]
+    assert done.rows == {"taxpayer_register": 4, "tax_returns": 4, "tax_returns_clean": 4}
+    # Each row is in the catalogue once, and the stored time of the step is the one of its good try.
+    assert (catalogue.datasets().count(), catalogue.dq_runs().count()) == (3, 1)
+    (step,) = catalogue.transformations().collect()
+    stored = {(s.step, s.status): s.duration_ms for s in catalogue.steps().collect()}
+    assert step.duration_ms == stored["clean", "success"] == done.duration_ms["clean"]
+    # A finished run does nothing more; another run id is another run, and other inputs are refused.
+    before = len(calls)
+    assert run() == done and len(calls) == before
+    with pytest.raises(ValueError, match="began with another"):
+        run(run_ts=datetime(2030, 1, 1))
+    assert run(run_id=None, run_ts=datetime(2024, 6, 3)).run_id not in ("r1", None)
+    assert catalogue.datasets().count() == 6
+
+
+@pytest.mark.parametrize("name", ["", "a/b", "*"])
+def test_a_run_id_is_the_name_of_a_file(spark, name):
+    with pytest.raises(ValueError, match="run id"):
+        Catalogue(spark, scratch_dir(spark)).ledger(name)
+
+
+def test_steps_of_no_run(spark):
+    assert Catalogue(spark, scratch_dir(spark)).steps().count() == 0

@@ -378,6 +378,20 @@ FOREIGN = [
     _unique("documents", "documents", ["doc_id"]),
 ]
 
+def _steps(steps: list[tuple]) -> str:
+    """The stored steps of a run: name, table whose rows it wrote, try, status."""
+
+    def row(seq: int, step: str, table: str | None, attempt: int = 1, status: str = "success") -> str:
+        rows = f"(SELECT count(*) FROM {table})" if table else "CAST(NULL AS BIGINT)"
+        return (
+            f"SELECT CAST({seq} AS BIGINT) AS seq, '{step}' AS step, CAST({attempt} AS BIGINT) AS attempt, "
+            f"'{status}' AS status, {rows} AS rows, true AS timed, true AS in_turn"
+        )
+
+    found = " UNION ALL ".join(row(seq, *step) for seq, step in enumerate(steps))
+    return f"WITH {FILINGS},{REGISTER},{CLEAN} {found}"
+
+
 ORACLE: dict[str, str] = {
     "dq_completeness": _metrics(NULLS, FILINGS),
     "dq_validity": _metrics(VALIDITY, FILINGS),
@@ -611,7 +625,13 @@ SELECT dimension, text AS description, CAST(100 AS DOUBLE) AS score, 'PASS' AS s
 SELECT 'flow' AS part, 'tax_returns' AS source_name, (SELECT count(*) FROM filings) AS source_rows,
   'tax_returns_clean' AS target_name, (SELECT count(*) FROM clean) AS target_rows
 UNION ALL SELECT 'explorer', NULL, count(*), NULL, count(*) FROM issues""",
-    "run_steps": f"""WITH {FILINGS},{REGISTER},{CLEAN}
-SELECT * FROM (VALUES ('tax_returns', true), ('taxpayer_register', true), ('check', true),
-  ('clean', true), ('profile', true)) t(step, timed)""",
+    "run_steps": _steps([
+        ("begin", None), ("taxpayer_register", "register"), ("tax_returns", "filings"), ("register", None), ("check", None),
+        ("log", None), ("clean", "clean"), ("register_clean", None), ("summary", None), ("profile", None),
+    ]),
+    "run_steps_resumed": _steps([
+        ("begin", None), ("taxpayer_register", "register"), ("tax_returns", "filings"), ("register", None), ("check", None),
+        ("log", None), ("clean", None, 1, "failed"), ("clean", "clean", 2), ("register_clean", None), ("summary", None),
+        ("profile", None),
+    ]),
 }

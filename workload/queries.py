@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -427,8 +428,8 @@ def csv_roundtrip_vectors(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _run(spark: SparkSession, d: str) -> Run:
-    out = scratch(spark)
+def _run(spark: SparkSession, d: str, out: str | None = None, run_id: str | None = None, order_by=SRC_SEQ) -> Run:
+    out = out or scratch(spark)
     return run_pipeline(
         spark,
         filings(spark, d),
@@ -436,9 +437,10 @@ def _run(spark: SparkSession, d: str) -> Run:
         out,
         Catalogue(spark, f"{out}/catalogue"),
         AS_OF,
-        order_by=SRC_SEQ,
+        order_by=order_by,
         columns=COLUMNS,
         run_ts=RUN_TS,
+        run_id=run_id,
     )
 
 
@@ -468,11 +470,36 @@ def sample_clean(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(_run(spark, d).profile["clean_sample"])
 
 
+def _stored_steps(spark: SparkSession, out: str) -> DataFrame:
+    steps = Catalogue(spark, f"{out}/catalogue").steps()
+    return steps.selectExpr(
+        "seq",
+        "step",
+        "attempt",
+        "status",
+        "rows",
+        "duration_ms >= 0 AND started_at IS NOT NULL AS timed",
+        "coalesce(started_at >= lag(timestampadd(MILLISECOND, duration_ms - 1, started_at)) OVER (ORDER BY seq), true) "
+        "AS in_turn",
+    )
+
+
 def run_steps(spark: SparkSession, d: str) -> DataFrame:
-    """The steps of a whole run, and whether each was timed."""
-    taken = _run(spark, d).duration_ms
-    rows = [(step, ms >= 0) for step, ms in taken.items()]
-    return spark.createDataFrame(rows, "step STRING, timed BOOLEAN")
+    """The stored steps of a whole run, with the rows each wrote."""
+    out = scratch(spark)
+    _run(spark, d, out)
+    return _stored_steps(spark, out)
+
+
+def run_steps_resumed(spark: SparkSession, d: str) -> DataFrame:
+    """The stored steps of a run whose cleaning failed, and that then went on from there."""
+    out = scratch(spark)
+    try:
+        _run(spark, d, out, "resumed", ["no_such_column"])
+    except AnalysisException:
+        pass
+    _run(spark, d, out, "resumed")
+    return _stored_steps(spark, out)
 
 
 # Branches that the fixture does not reach
@@ -642,6 +669,7 @@ QUERIES: dict[str, Query] = {
     "report_from_summary": report_from_summary,
     "sample_clean": sample_clean,
     "run_steps": run_steps,
+    "run_steps_resumed": run_steps_resumed,
     "dq_status_hits": dq_status_hits,
     "dq_completeness_high": dq_completeness_high,
     "dq_missing_column": dq_missing_column,
