@@ -15,15 +15,16 @@ The work is laid out by what it needs to meet:
 
 1. Tasks turn texts into chunks: distinct words as 64-bit hashes, tokens as places
    among them. Chunks are written once.
-2. The chunks' words meet by word, and each chunk gets its words' counts back.
+2. The chunks' words meet in ranges of hashes, and each chunk gets its words' numbers
+   and counts back.
 3. Each chunk deals its tokens, with two words before each, into buckets by the
    word before. All contexts that end with a word, the subtree of that word, are then
    in one bucket, which tests and scores them there. A word that precedes more
    than ``HEAVY`` tokens is dealt over several buckets by the word before it; what
    follows such a word is counted apart and handed to its buckets.
-4. The buckets' sums meet by chunk.
+4. The buckets' sums, whole multiples of 2 ** -24, meet by chunk.
 
-A chunk, a bucket and a word's share of a bucket have sizes that don't grow with the
+A chunk, a range and a word's share of a bucket have sizes that don't grow with the
 corpus; words, contexts and counts are in no task or broadcast as a whole.
 """
 
@@ -36,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from probity.llm.scratch import saved
@@ -45,19 +46,39 @@ from probity.llm.shingles import batches, mixed, shingle_hashes
 U = np.uint64
 #: Tokens after which a chunk ends; a longer text is a chunk of its own size.
 CHUNK = 2_000_000
+#: Words of chunks that meet in one range.
+RANGE = 2_000_000
 #: Tokens of a bucket on average, and tokens from which a word's subtree is dealt over several.
-BUCKET, HEAVY = 1_500_000, 400_000
+BUCKET, HEAVY = 1_500_000, 4_000_000
+#: Tokens of a bucket whose contexts of two words are tested at once, about.
+TOGETHER = 500_000
 #: What the divergence test asks for, in nats.
 LEAST_GAIN = 2.0
+#: Parts of one that sums are counted in.
+UNIT = 1 << 24
 
-# Symbols that no word's hash is: the end of a text, and what precedes its first words.
-END, START = U(1), U(2)
+#: The end of a text as a word's hash, and the start as a word's number; no word has these.
+END, START = U(1), 0
 _STEP = U(0xD1342543DE82EF95)
 
 
 def chained(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """One hash of two."""
-    return mixed(mixed(x) * _STEP + y)
+    return mixed(mixed(x.astype(U)) * _STEP + y.astype(U))
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different value, in their order, and for each place the number of its value."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.ones(len(values), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    del ordered
+    counted = np.cumsum(new, dtype=np.int32)
+    counted -= 1
+    number = np.empty(len(values), np.int32)
+    number[order] = counted
+    return order[new], number
 
 
 def _squeezed(values: np.ndarray) -> bytes:
@@ -72,13 +93,51 @@ def _restored(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(octets.reshape(size, -1).T).view(kind).reshape(-1)
 
 
+def _steps(values: np.ndarray) -> bytes:
+    """Whole numbers by their differences, the sign in the lowest bit."""
+    steps = np.diff(values.astype("<i8"), prepend=0)
+    return _squeezed((steps << 1) ^ (steps >> 63))
+
+
+def _from_steps(data: bytes) -> np.ndarray:
+    steps = _restored(data, "<i8")
+    return np.cumsum((steps >> 1) ^ -(steps & 1))
+
+
+def _sorted_hashes(words: np.ndarray) -> bytes:
+    return _squeezed(np.diff(words, prepend=U(0)))
+
+
+def _from_sorted_hashes(data: bytes) -> np.ndarray:
+    return np.cumsum(_restored(data, "<u8"), dtype=U)
+
+
+def _table(rows: list, schema: pa.Schema) -> pa.Table:
+    """A table of rows, which may be none."""
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _arrow(schema: str) -> pa.Schema:
+    """The Arrow schema of a table whose columns are whole numbers, lists of them, or bytes."""
+    kinds = {
+        "INT": pa.int32(), "LONG": pa.int64(), "BINARY": pa.binary(), "ARRAY<LONG>": pa.list_(pa.int64()),
+        "DOUBLE": pa.float64(), "BOOLEAN": pa.bool_(),
+    }
+    return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in schema.split(", "))])
+
+
 # --- chunks
 
 CHUNK_SCHEMA = (
-    "chunk LONG, tokens LONG, learnt LONG, doc_ids ARRAY<LONG>, learn BINARY, sizes BINARY, "
-    "words BINARY, all_counts BINARY, counts BINARY, places BINARY"
+    "chunk LONG, tokens LONG, learnt LONG, kinds LONG, doc_ids ARRAY<LONG>, learn BINARY, sizes BINARY, "
+    "words BINARY, total BINARY, known BINARY, places BINARY"
 )
-_CHUNK_NAMES = [part.split()[0] for part in CHUNK_SCHEMA.split(", ")]
+
+
+def _rarest_last(total: np.ndarray) -> np.ndarray:
+    """The words of a chunk in the order their places are written in."""
+    return np.argsort(-total, kind="stable")
 
 
 def _chunk_row(number: int, docs: list[tuple], hashes: list[np.ndarray]) -> pa.RecordBatch:
@@ -87,13 +146,13 @@ def _chunk_row(number: int, docs: list[tuple], hashes: list[np.ndarray]) -> pa.R
     tokens = np.concatenate(hashes)
     words, places, total = np.unique(tokens, return_inverse=True, return_counts=True)
     own = np.bincount(places, np.repeat(learn, sizes), len(words)).astype("<i8")
-    row = [
-        number, len(tokens), int(own.sum()), [i for i, _, _ in docs], learn.astype(np.uint8).tobytes(),
-        _squeezed(sizes), words.tobytes(), _squeezed(total.astype("<i8")), _squeezed(own),
-        _squeezed(places.astype("<u4")),
-    ]
-    kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] + [pa.binary()] * 6
-    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], _CHUNK_NAMES)
+    rank = np.empty(len(words), "<u4")
+    rank[_rarest_last(total)] = np.arange(len(words))
+    row = (
+        number, len(tokens), int(own.sum()), len(words), [i for i, _, _ in docs], learn.astype(np.uint8).tobytes(),
+        _squeezed(sizes), _sorted_hashes(words), _squeezed(total.astype("<i8")), _squeezed(own), _squeezed(rank[places]),
+    )
+    return _table([row], _arrow(CHUNK_SCHEMA)).to_batches()[0]
 
 
 def _with_ends(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -121,131 +180,136 @@ def _chunks(limit: int) -> Callable:
     return run
 
 
-# --- counts of words
+# --- words
 
-_WORD_ROWS = pa.schema(
-    [("word", pa.int64()), ("chunk", pa.int64()), ("place", pa.int32()), ("n", pa.int64()), ("learnt", pa.int64())]
-)
+ASK_SCHEMA = "part INT, chunk LONG, words BINARY, total BINARY, known BINARY"
+ANSWER_SCHEMA = "chunk LONG, part INT, numbers BINARY, total BINARY, known BINARY, kinds LONG, most LONG"
 
 
-def _words(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in given:
-        for chunk, words, total, own in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            words = np.frombuffer(words, "<i8")
-            columns = [
-                pa.array(words),
-                pa.array(np.full(len(words), chunk)),
-                pa.array(np.arange(len(words), dtype=np.int32)),
-                pa.array(_restored(total, "<i8")),
-                pa.array(_restored(own, "<i8")),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=_WORD_ROWS)
-
-
-def _known(chunks: DataFrame) -> DataFrame:
-    """chunk, its words' counts in all and in training texts, and the training words first met there."""
-    rows = chunks.select("chunk", "words", "all_counts", "counts").mapInArrow(
-        _words, "word LONG, chunk LONG, place INT, n LONG, learnt LONG"
-    )
-    same = Window.partitionBy("word")
-    counted = rows.select(
-        "chunk",
-        "place",
-        F.sum("n").over(same).alias("n"),
-        F.sum("learnt").over(same).alias("learnt"),
-        (F.min("chunk").over(same) == F.col("chunk")).alias("first"),
-    )
-    listed = F.array_sort(F.collect_list(F.struct("place", "n", "learnt")))
-    return counted.groupBy("chunk").agg(
-        listed["n"].alias("total"),
-        listed["learnt"].alias("known"),
-        F.count_if(F.col("first") & (F.col("learnt") > 0)).alias("fresh"),
-    )
+def _asked(parts: int) -> Callable:
+    """A chunk's words with their counts, cut into ranges of hashes."""
+
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in given:
+            for chunk, words, total, known in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                words, total, known = _from_sorted_hashes(words), _restored(total, "<i8"), _restored(known, "<i8")
+                part = ((words >> U(32)) * U(parts)) >> U(32)
+                ends = np.searchsorted(part, np.arange(parts + 1, dtype=U))
+                rows = [
+                    (k, chunk, _sorted_hashes(words[a:b]), _squeezed(total[a:b]), _squeezed(known[a:b]))
+                    for k, (a, b) in enumerate(zip(ends, ends[1:], strict=False))
+                    if b > a
+                ]
+                yield from _table(rows, _arrow(ASK_SCHEMA)).to_batches()
+
+    return run
+
+
+def _answered(parts: int) -> Callable:
+    """The numbers and whole counts of the words of a range, for each chunk that has some."""
+
+    def run(asked: pa.Table) -> pa.Table:
+        rows = asked.to_pylist()
+        words = [_from_sorted_hashes(r["words"]) for r in rows]
+        some, number = distinct(np.concatenate(words))
+        total, known = (
+            np.bincount(number, np.concatenate([_restored(r[c], "<i8") for r in rows]), len(some)).astype("<i8")
+            for c in ("total", "known")
+        )
+        ends, found, kinds = np.cumsum([len(w) for w in words]), [], int((known > 0).sum())
+        for row, begin, end in zip(rows, np.concatenate([[0], ends[:-1]]), ends, strict=True):
+            own = number[begin:end]
+            numbers = own * parts + row["part"] + 1
+            counts = [_squeezed(total[own]), _squeezed(known[own])]
+            found.append((row["chunk"], row["part"], _steps(numbers), *counts, kinds, int(total[own].max())))
+            kinds = 0
+        return _table(found, _arrow(ANSWER_SCHEMA))
+
+    return run
 
 
 # --- buckets
 
 PIECE_SCHEMA = (
     "bucket INT, chunk LONG, words BINARY, known BINARY, before BINARY, second BINARY, token BINARY, "
-    "doc BINARY, n BINARY, doc_ids ARRAY<LONG>, learn BINARY, sizes BINARY, n_known BINARY, base BINARY"
+    "doc BINARY, doc_ids ARRAY<LONG>, learn BINARY, sizes BINARY, n_known BINARY, base BINARY"
 )
-_PIECE = pa.schema(
-    [("bucket", pa.int32()), ("chunk", pa.int64()), *[(n, pa.binary()) for n in
-      ("words", "known", "before", "second", "token", "doc", "n")], ("doc_ids", pa.list_(pa.int64())),
-     *[(n, pa.binary()) for n in ("learn", "sizes", "n_known", "base")]]
-)
 PAIR_SCHEMA = "before LONG, token LONG, bucket INT, n LONG, known LONG"
 
 
 class _Dealt:
-    """The tokens of a chunk with what precedes them, and the bucket of each."""
-
-    def __init__(self, row: dict, buckets: int, heavy: int) -> None:
-        self.sizes = _restored(row["sizes"], "<u4").astype(np.int64)
-        self.learn = np.frombuffer(row["learn"], np.uint8).astype(bool)
-        words = np.frombuffer(row["words"], "<u8")
-        # the start is one more word, which no text has as a token
-        self.words = np.concatenate([words, [START]]).astype(U)
-        self.known = np.concatenate([row["known"], [0]]).astype("<i8")
-        ended = row["total"][np.searchsorted(words, END)]  # as often as texts end they start
-        total = np.concatenate([row["total"], [ended]]).astype(np.int64)
-        self.token = _restored(row["places"], "<u4").astype(np.int64)
-        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+    """The tokens of a chunk with what precedes them, and the bucket of each.
+
+    Words are places in ``words``, which begins with the start, a word that no text has as
+    a token; the others come in the order of their training counts, the greatest first.
+    """
+
+    def __init__(self, chunk: pa.Table, answers: pa.Table, buckets: int, heavy: int) -> None:
+        (self.row,) = chunk.to_pylist()
+        parts = sorted(answers.to_pylist(), key=lambda r: r["part"])
+        numbers, known, total = (
+            np.concatenate([read(r[c]) for r in parts])
+            for c, read in (("numbers", _from_steps), ("known", _counts), ("total", _counts))
+        )
+        order = np.lexsort((numbers, -known))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(1, len(order) + 1)
+        self.words = np.concatenate([[START], numbers[order]])
+        self.known = np.concatenate([[0], known[order]])
+        own = _counts(self.row["total"])
+        self.sizes = _restored(self.row["sizes"], "<u4").astype(np.int64)
+        self.learn = np.frombuffer(self.row["learn"], np.uint8).astype(bool)
+        self.token = place[_rarest_last(own)][_restored(self.row["places"], "<u4")]
         starts = np.cumsum(self.sizes) - self.sizes
-        self.before = np.concatenate([[0], self.token[:-1]])
-        self.before[starts] = len(words)
-        self.second = np.concatenate([[0], self.before[:-1]])
-        self.second[starts] = len(words)
+        end = self.token[self.sizes[0] - 1]
+        total = np.concatenate([[0], total[order]])
+        total[0] = total[end]  # as often as texts end they start
+        self.doc = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        self.before = np.concatenate([self.token[:1], self.token[:-1]])
+        self.before[starts] = 0
+        self.second = np.concatenate([self.before[:1], self.before[:-1]])
+        self.second[starts] = 0
         self.shares = np.where(total > heavy, -(-total // heavy), 1)
-        share = mixed(self.words[self.second]) % self.shares[self.before].astype(U)
-        self.bucket = (chained(self.words[self.before], share) % U(buckets)).astype(np.int64)
+        first = chained(self.words, np.zeros(1))
+        self.bucket = (first % U(buckets)).astype(np.int32)[self.before]
+        some = np.flatnonzero((self.shares > 1)[self.before])
+        if len(some):
+            before = self.before[some]
+            share = first[self.second[some]] % self.shares[before].astype(U)
+            self.bucket[some] = chained(first[before], share) % U(buckets)
 
 
-def _joined_rows(batch: pa.RecordBatch) -> Iterator[dict]:
-    for k in range(batch.num_rows):
-        one = batch.slice(k, 1)
-        row = {n: one.column(i)[0].as_py() for i, n in enumerate(one.schema.names) if n not in ("total", "known")}
-        for name in ("total", "known"):
-            row[name] = one.column(one.schema.get_field_index(name)).flatten().to_numpy()
-        yield row
+def _counts(data: bytes) -> np.ndarray:
+    return _restored(data, "<i8")
 
 
 def _pieces(buckets: int, learnt: int, kinds: int, heavy: int) -> Callable:
-    """The share of each bucket in each chunk; one of them has the chunk's documents too."""
-
-    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in given:
-            for row in _joined_rows(batch):
-                dealt = _Dealt(row, buckets, heavy)
-                base = np.log10((dealt.known + 1) / (learnt + kinds + 1))
-                docs = len(dealt.sizes)
-                own = [
-                    row["doc_ids"], row["learn"], row["sizes"],
-                    _squeezed(np.bincount(dealt.doc, dealt.known[dealt.token] > 0, docs).astype("<u4")),
-                    np.bincount(dealt.doc, base[dealt.token], docs).tobytes(),
-                ]
-                same = chained(chained(dealt.before.astype(U), dealt.second.astype(U)), dealt.token.astype(U))
-                _, first, times = np.unique(
-                    chained(same, dealt.doc.astype(U)), return_index=True, return_counts=True
-                )
-                order = np.lexsort((first, dealt.before[first], dealt.bucket[first]))
-                first, times = first[order], times[order]
-                bounds = np.flatnonzero(np.diff(dealt.bucket[first], prepend=-1, append=-2))
-                for begin, end in zip(bounds, bounds[1:], strict=False):
-                    some = first[begin:end]
-                    three = np.concatenate([dealt.before[some], dealt.second[some], dealt.token[some]])
-                    words, places = np.unique(three, return_inverse=True)
-                    parts = np.split(places.astype("<u4"), 3)
-                    doc = dealt.doc[some] * 2 + dealt.learn[dealt.doc[some]]
-                    piece = [
-                        int(dealt.bucket[some[0]]), row["chunk"], dealt.words[words].tobytes(),
-                        _squeezed(dealt.known[words]), *map(_squeezed, parts), _squeezed(doc.astype("<u4")),
-                        _squeezed(times[begin:end].astype("<u4")), *own,
-                    ]
-                    own = [None] * 5
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([v], f.type) for v, f in zip(piece, _PIECE, strict=True)], schema=_PIECE
-                    )
+    """The share of each bucket in a chunk; one of them has the chunk's documents too."""
+
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        dealt = _Dealt(chunk, answers, buckets, heavy)
+        base = np.log10((dealt.known + 1) / (learnt + kinds + 1))
+        docs = len(dealt.sizes)
+        own = [
+            dealt.row["doc_ids"], dealt.row["learn"], dealt.row["sizes"],
+            _squeezed(np.bincount(dealt.doc, dealt.known[dealt.token] > 0, docs).astype("<u4")),
+            np.bincount(dealt.doc, base[dealt.token], docs).tobytes(),
+        ]
+        order = np.lexsort((dealt.before, dealt.bucket))
+        ends = np.flatnonzero(np.diff(dealt.bucket[order], prepend=-1, append=-2))
+        rows = []
+        for begin, end in zip(ends, ends[1:], strict=False):
+            some = order[begin:end]
+            three = np.concatenate([dealt.before[some], dealt.second[some], dealt.token[some]])
+            first, places = distinct(three)
+            words, parts = three[first], np.split(places.astype("<u4"), 3)
+            doc = dealt.doc[some] * 2 + dealt.learn[dealt.doc[some]]
+            rows.append(
+                [int(dealt.bucket[some[0]]), dealt.row["chunk"], _steps(dealt.words[words]),
+                 _steps(dealt.known[words]), *map(_squeezed, parts), _squeezed(doc.astype("<u4")), *own]
+            )
+            own = [None] * 5
+        return _table(rows, _arrow(PIECE_SCHEMA))
 
     return run
 
@@ -253,23 +317,14 @@ def _pieces(buckets: int, learnt: int, kinds: int, heavy: int) -> Callable:
 def _heavy_pairs(buckets: int, heavy: int) -> Callable:
     """What follows the words that are dealt over several buckets, and in which buckets."""
 
-    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in given:
-            for row in _joined_rows(batch):
-                dealt = _Dealt(row, buckets, heavy)
-                some = np.flatnonzero(dealt.shares[dealt.before] > 1)
-                before, token, bucket = dealt.before[some], dealt.token[some], dealt.bucket[some]
-                same = chained(chained(before.astype(U), token.astype(U)), bucket.astype(U))
-                _, first, place = np.unique(same, return_index=True, return_inverse=True)
-                n = np.bincount(place, dealt.learn[dealt.doc[some]], len(first)).astype(np.int64)
-                columns = [
-                    pa.array(dealt.words[before[first]].view("<i8")),
-                    pa.array(dealt.words[token[first]].view("<i8")),
-                    pa.array(bucket[first].astype(np.int32)),
-                    pa.array(n),
-                    pa.array(dealt.known[token[first]]),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["before", "token", "bucket", "n", "known"])
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        dealt = _Dealt(chunk, answers, buckets, heavy)
+        some = np.flatnonzero(dealt.shares[dealt.before] > 1)
+        before, token, bucket = dealt.before[some], dealt.token[some], dealt.bucket[some]
+        first, place = distinct(chained(chained(before, token), bucket))
+        n = np.bincount(place, dealt.learn[dealt.doc[some]], len(first)).astype(np.int64)
+        columns = [dealt.words[before[first]], dealt.words[token[first]], bucket[first], n, dealt.known[token[first]]]
+        return pa.table([pa.array(c) for c in columns], schema=_arrow(PAIR_SCHEMA))
 
     return run
 
@@ -315,69 +370,81 @@ def grown(n: np.ndarray, context: np.ndarray, parent: np.ndarray, least: float)
     return np.where(state, (n + kinds * parent) / np.where(state, total + kinds, 1), parent), state
 
 
-def _tree(before, second, token, known, n, learnt, kinds, least, side):  # noqa: ANN001, ANN202
-    """For each row the probability of its token, and the length of the state that gives it."""
-    pair, triple = chained(before, token), chained(chained(second, before), token)
-    pairs, first, of_pair = np.unique(pair, return_index=True, return_inverse=True)
-    own = np.bincount(of_pair, n, len(pairs))
-    context = np.unique(before[first], return_inverse=True)[1]
-    p, state = grown(own, context, (known[first] + 1) / (learnt + kinds + 1), least)
-    if side is not None and len(side[0]):
-        at = np.searchsorted(pairs, chained(side[0], side[1]))
-        p[at], state[at] = side[2], side[3]
-    triples, first, of_triple = np.unique(triple, return_index=True, return_inverse=True)
-    own = np.bincount(of_triple, n, len(triples))
-    context = np.unique(chained(second[first], before[first]), return_inverse=True)[1]
-    deep, long = grown(own, context, p[of_pair[first]], least)
-    return deep[of_triple], np.where(long[of_triple], 2, state[of_pair].astype(np.int64))
+def tree(
+    before: np.ndarray, second: np.ndarray, token: np.ndarray, known: np.ndarray, learn: np.ndarray,
+    learnt: int, kinds: int, least: float, heavy: tuple | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each token the probability it has, and the length of the state that gives it.
+
+    Words are places in ``known``, their training counts. ``heavy`` has the level of one
+    word for words whose tokens aren't all here: before, token, probability and
+    whether the word is a state.
+    """
+    width = np.int64(len(known))
+    pair = before * width + token
+    first, of_pair = distinct(pair)
+    pair = pair[first]
+    own = np.bincount(of_pair, learn, len(first))
+    parent = ((known + 1) / (learnt + kinds + 1))[token[first]]
+    p, state = grown(own, distinct(before[first])[1], parent, least)
+    if heavy is not None:
+        at = np.searchsorted(pair, heavy[0] * width + heavy[1])
+        p[at], state[at] = heavy[2], heavy[3]
+    found, length = np.empty(len(token)), np.empty(len(token), np.int8)
+    slices = -(-len(token) // TOGETHER)
+    slice_of = (second + before) % slices if slices > 1 else np.zeros(len(token), np.int32)
+    for number in range(slices):  # all that follows a context is in one slice
+        some = np.flatnonzero(slice_of == number)
+        context = distinct(second[some] * width + before[some])[1]
+        first, of_triple = distinct(context * width + token[some])
+        own = np.bincount(of_triple, learn[some], len(first))
+        above = of_pair[some[first]]
+        deep, long = grown(own, distinct(context[first])[1], p[above], least)
+        found[some], length[some] = deep[of_triple], np.where(long, 2, state[above])[of_triple]
+    return found, length
 
 
 PART_SCHEMA = (
     "chunk LONG, docs BINARY, score BINARY, one BINARY, two BINARY, "
     "doc_ids ARRAY<LONG>, learn BINARY, sizes BINARY, n_known BINARY, base BINARY"
 )
-_PART = pa.schema(
-    [("chunk", pa.int64()), *[(n, pa.binary()) for n in ("docs", "score", "one", "two")],
-     ("doc_ids", pa.list_(pa.int64())), *[(n, pa.binary()) for n in ("learn", "sizes", "n_known", "base")]]
-)
 
 
 def _scored(learnt: int, kinds: int, least: float) -> Callable:
     def run(pieces: pa.Table, heavy: pa.Table) -> pa.Table:
         rows = pieces.to_pylist()
-        columns: dict[str, list] = {k: [] for k in ("before", "second", "token", "known", "doc", "n")}
-        for row in rows:
-            words, known = np.frombuffer(row["words"], "<u8"), _restored(row["known"], "<i8")
-            token = _restored(row["token"], "<u4")
-            columns["before"].append(words[_restored(row["before"], "<u4")])
-            columns["second"].append(words[_restored(row["second"], "<u4")])
-            columns["token"].append(words[token])
-            columns["known"].append(known[token])
-            columns["doc"].append(_restored(row["doc"], "<u4"))
-            columns["n"].append(_restored(row["n"], "<u4"))
-        ends = np.cumsum([len(d) for d in columns["doc"]])
+        if not rows:
+            return _table([], _arrow(PART_SCHEMA))
+        listed = [_from_steps(r["words"]) for r in rows]
+        first, places = distinct(np.concatenate(listed))
+        words = np.concatenate(listed)[first]
+        known = np.concatenate([_from_steps(r["known"]) for r in rows])[first]
+        places = np.split(places.astype(np.int32), np.cumsum([len(w) for w in listed])[:-1])
+        before, second, token = (
+            np.concatenate([own[_restored(r[c], "<u4")] for r, own in zip(rows, places, strict=True)])
+            for c in ("before", "second", "token")
+        )
+        docs = [_restored(r["doc"], "<u4") for r in rows]
+        ends, doc = np.cumsum([len(d) for d in docs]), np.concatenate(docs)
         side = None
         if heavy.num_rows:
             side = [heavy[c].to_numpy() for c in ("before", "token", "p", "state")]
-            side[:2] = [s.view(U) for s in side[:2]]
-        if not rows:
-            return pa.Table.from_batches([], schema=_PART)
-        whole = {k: np.concatenate(v) for k, v in columns.items()}
-        train = whole["n"] * (whole["doc"] & 1)
-        p, length = _tree(
-            whole["before"], whole["second"], whole["token"], whole["known"], train, learnt, kinds, least, side
-        )
-        score = np.log10(p) * whole["n"]
-        parts = []
+            side[:2] = [np.searchsorted(words, w) for w in side[:2]]
+        del listed, docs, places
+        p, length = tree(before, second, token, known, (doc & 1).astype(bool), learnt, kinds, least, side)
+        del before, second, token, known
+        score, parts = np.log10(p), []
         for row, begin, end in zip(rows, np.concatenate([[0], ends[:-1]]), ends, strict=True):
-            docs, place = np.unique(whole["doc"][begin:end] >> 1, return_inverse=True)
-            n = whole["n"][begin:end]
-            used = [np.bincount(place, n * (length[begin:end] == k), len(docs)).astype("<u4") for k in (1, 2)]
+            own = doc[begin:end] >> 1
+            total = np.bincount(own, score[begin:end])
+            seen = np.flatnonzero(np.bincount(own))
+            used = [np.bincount(own, length[begin:end] == k)[seen].astype("<u4") for k in (1, 2)]
+            whole = np.round(total[seen] * -UNIT).astype("<i8")
             parts.append(
-                [row["chunk"], _squeezed(docs.astype("<u4")), np.bincount(place, score[begin:end], len(docs)).tobytes(),
-                 *map(_squeezed, used), *[row[c] for c in ("doc_ids", "learn", "sizes", "n_known", "base")]]
+                [row["chunk"], _steps(seen), _squeezed(whole), *map(_squeezed, used),
+                 *[row[c] for c in ("doc_ids", "learn", "sizes", "n_known", "base")]]
             )
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*parts, strict=True), _PART, strict=True)], schema=_PART)
+        return _table(parts, _arrow(PART_SCHEMA))
 
     return run
 
@@ -386,7 +453,6 @@ SCORE_SCHEMA = (
     "doc_id LONG, learnt BOOLEAN, n_tokens LONG, n_known LONG, train_tokens LONG, base_score DOUBLE, score DOUBLE, "
     "by_one_word LONG, by_two_words LONG"
 )
-_SCORE_NAMES = [part.split()[0] for part in SCORE_SCHEMA.split(", ")]
 
 
 def _summed(learnt: int) -> Callable:
@@ -394,23 +460,24 @@ def _summed(learnt: int) -> Callable:
         rows = parts.to_pylist()
         own = next(r for r in rows if r["doc_ids"] is not None)
         sizes = _restored(own["sizes"], "<u4").astype(np.int64)
-        score, used = np.zeros(len(sizes)), np.zeros((2, len(sizes)), np.int64)
+        score, used = np.zeros(len(sizes), np.int64), np.zeros((2, len(sizes)), np.int64)
         for row in rows:
-            docs = _restored(row["docs"], "<u4")
-            score[docs] += np.frombuffer(row["score"], "<f8")
+            docs = _from_steps(row["docs"])
+            score[docs] += _restored(row["score"], "<i8")
             for k, name in enumerate(("one", "two")):
                 used[k, docs] += _restored(row[name], "<u4")
         columns = [
-            pa.array(own["doc_ids"], pa.int64()),
-            pa.array(np.frombuffer(own["learn"], np.uint8).astype(bool)),
-            pa.array(sizes),
-            pa.array(_restored(own["n_known"], "<u4").astype(np.int64)),
-            pa.array(np.full(len(sizes), learnt)),
-            pa.array(np.frombuffer(own["base"], "<f8")),
-            pa.array(score),
-            *map(pa.array, used),
+            own["doc_ids"],
+            np.frombuffer(own["learn"], np.uint8).astype(bool),
+            sizes,
+            _restored(own["n_known"], "<u4").astype(np.int64),
+            np.full(len(sizes), learnt),
+            np.frombuffer(own["base"], "<f8"),
+            score / -UNIT,
+            *used,
         ]
-        return pa.table(columns, _SCORE_NAMES)
+        schema = _arrow(SCORE_SCHEMA)
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     return run
 
@@ -423,6 +490,7 @@ def score(
     bucket: int = BUCKET,
     heavy: int = HEAVY,
     least: float = LEAST_GAIN,
+    part: int = RANGE,
 ) -> DataFrame:
     """Every row's log10 probability under a tree learnt from the rows where ``learn`` holds.
 
@@ -435,26 +503,31 @@ def score(
     Repeated rows are texts of their own, a NULL doc_id stays, NULL in ``learn`` is
     no, and an empty table gives no rows. Two words of one 64-bit hash count as one.
 
-    ``folder`` takes the written chunks and counts. A context followed by more than a
-    bucket's share of all tokens, as of a pair of words that half the corpus
-    consists of, is one group of distinct rows per text in one bucket.
+    ``folder`` takes the written chunks, counts and pairs. Tokens after a pair of
+    words meet in one bucket, however many they are.
     """
     given = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(learn, F.lit(False)).alias("learn"), "text"
     )
     chunks = saved(given.mapInArrow(_chunks(chunk), CHUNK_SCHEMA), folder, "chunks")
-    known = saved(_known(chunks), folder, "known")
-    learnt, tokens = chunks.agg(F.sum("learnt"), F.sum("tokens")).first()
-    kinds = known.agg(F.sum("fresh")).first()[0]
-    learnt, tokens, kinds = learnt or 0, tokens or 0, kinds or 0
+    learnt, tokens, words = [n or 0 for n in chunks.agg(F.sum("learnt"), F.sum("tokens"), F.sum("kinds")).first()]
+    parts = max(1, math.ceil(words / part))
+    asked = chunks.select("chunk", "words", "total", "known").mapInArrow(_asked(parts), ASK_SCHEMA)
+    answers = saved(asked.groupBy("part").applyInArrow(_answered(parts), ANSWER_SCHEMA), folder, "words")
+    kinds, most = [n or 0 for n in answers.agg(F.sum("kinds"), F.max("most")).first()]
+
     buckets = max(1, math.ceil(tokens / bucket))
-    met = chunks.drop("all_counts", "counts", "tokens", "learnt").join(known.drop("fresh"), "chunk")
-    pieces = met.mapInArrow(_pieces(buckets, learnt, kinds, heavy), PIECE_SCHEMA)
-    pairs = met.select("chunk", "sizes", "learn", "words", "places", "total", "known").mapInArrow(
-        _heavy_pairs(buckets, heavy), PAIR_SCHEMA
+    dealt = (
+        chunks.select("chunk", "doc_ids", "learn", "sizes", "total", "places")
+        .groupBy("chunk")
+        .cogroup(answers.select("chunk", "part", "numbers", "total", "known").groupBy("chunk"))
     )
+    pieces = dealt.applyInArrow(_pieces(buckets, learnt, kinds, heavy), PIECE_SCHEMA)
+    pairs = docs.sparkSession.createDataFrame([], PAIR_SCHEMA)
+    if most > heavy:
+        pairs = dealt.applyInArrow(_heavy_pairs(buckets, heavy), PAIR_SCHEMA)
     side = _heavy_states(pairs, folder, learnt, kinds, least)
-    parts = (
+    scored = (
         pieces.groupBy("bucket").cogroup(side.groupBy("bucket")).applyInArrow(_scored(learnt, kinds, least), PART_SCHEMA)
     )
-    return parts.groupBy("chunk").applyInArrow(_summed(learnt), SCORE_SCHEMA)
+    return scored.groupBy("chunk").applyInArrow(_summed(learnt), SCORE_SCHEMA)

@@ -92,12 +92,12 @@ def compare(found, given, learnt):
     assert [g[7:] for g in got] == [w[7:] for w in want]
     for g, w in zip(got, want, strict=True):
         assert g[5] == pytest.approx(w[5], rel=1e-9, abs=1e-9)
-        assert g[6] == pytest.approx(w[6], rel=1e-9, abs=1e-9)
+        assert g[6] == pytest.approx(w[6], abs=1e-5)
     return tree
 
 
 @pytest.mark.parametrize(
-    "sizes", [{}, {"chunk": 60, "bucket": 100, "heavy": 10_000}, {"chunk": 90, "bucket": 150, "heavy": 40}]
+    "sizes", [{}, {"chunk": 60, "bucket": 100, "heavy": 10_000, "part": 30}, {"chunk": 90, "bucket": 150, "heavy": 40, "part": 50}]
 )
 def test_scores_are_those_of_the_dictionaries(spark, rows, tmp_path, sizes):
     given = list(enumerate(some_texts()))
@@ -118,6 +118,16 @@ def test_tree_of_one_bucket_is_a_sum_over_contexts():
     assert p[3] == pytest.approx((2 + 0.01) / 3)
 
 
+def test_slices_of_a_bucket_change_nothing(monkeypatch):
+    rng = np.random.default_rng(4)
+    before, second, token = rng.integers(0, 9, (3, 4000)).astype(np.int32)
+    known, learn = rng.integers(1, 50, 9), rng.random(4000) < 0.8
+    whole = suffix_tree.tree(before, second, token, known, learn, 4000, 9, 2.0)
+    monkeypatch.setattr(suffix_tree, "TOGETHER", 300)
+    sliced = suffix_tree.tree(before, second, token, known, learn, 4000, 9, 2.0)
+    assert (whole[0] == sliced[0]).all() and (whole[1] == sliced[1]).all()
+
+
 def test_odd_rows(spark, rows, tmp_path):
     docs = with_clashes(rows(DOCS, odd_rows()))
     given = [(r[0], r[1]) for r in odd_rows()]
@@ -146,6 +156,6 @@ def test_query_on_held_out_rows(spark, sf_dir):
         n, known, total, base, own, *_ = tree.score(text)
         r = found[i]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], n, known, total)
-        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] == pytest.approx(own, rel=1e-9)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] == pytest.approx(own, abs=1e-5)
     outside = [r for r in found.values() if r["held_out"]]
     assert sum(r["score"] for r in outside) > sum(r["base_score"] for r in outside)
