@@ -1,9 +1,11 @@
 """Turn a list of checks into one table of metrics.
 
 All row rules of a dataset share one aggregate and so one scan, whatever their
-number. A unique key and a foreign key need another grouping each, and read
-only their key columns. Every grouping is combined on the map side, so a key
-that holds a third of the rows reaches the shuffle as one row per map task.
+number. A unique key or a foreign key alone is a grouping that reads its key columns
+only. Where a table would be scanned more than once, all checks become one grouping
+instead, for which each table is scanned once; see ``tally``. Every grouping is
+combined on the map side, so a key that holds a third of the rows reaches the
+shuffle as one row per map task.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 from probity.functions import fold_nan, pass_rate, quoted, ticked
 from probity.functions.missing import folded
 from probity.model import Check, ForeignKey, UniqueKey
+from probity.operators import tally
 
 LEVEL = """CASE WHEN affected_rows > 0 THEN
   CASE WHEN above_pct IS NULL OR affected_rows * 100 > total_rows * above_pct
@@ -80,7 +83,10 @@ def key_counts(df: DataFrame, keys: Sequence[str], digest: bool = False) -> Data
 
 
 def _unique_key(df: DataFrame, seq: int, check: Check) -> DataFrame:
-    per_key = key_counts(df, check.rule.keys, check.rule.digest)
+    columns = key_columns(df, check.rule.keys, check.rule.digest)
+    names = [f"k{i}" for i in range(len(columns))]  # a key column may be called n itself
+    narrow = df.selectExpr(*[f"{column} AS {name}" for column, name in zip(columns, names, strict=True)])
+    per_key = narrow.groupBy(*names).agg(F.expr("count(1) AS n"))
     return _from_keys(per_key, [(seq, check, "n > 1", "n")])
 
 
@@ -155,12 +161,29 @@ def _is_target(tables: Mapping[str, DataFrame], foreign: ForeignKey, check: Chec
     return isinstance(key_type, (T.StringType, T.IntegralType))
 
 
+def _scans_again(checks: Sequence[Check]) -> bool:
+    """Whether a dataset would be scanned for more than one grouping."""
+    rules = {check.dataset for check in checks if not isinstance(check.rule, (UniqueKey, ForeignKey))}
+    scans = list(rules)
+    for check in checks:
+        if isinstance(check.rule, (UniqueKey, ForeignKey)):
+            scans.append(check.dataset)
+        if isinstance(check.rule, ForeignKey):
+            scans.append(check.rule.parent)
+    return len(set(scans)) < len(scans)
+
+
 def measure(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per check that applies, those without a finding included.
 
     ``check_seq`` is the position in ``checks``. A row rule whose columns are
     not all there is left out; a missing key column raises.
     """
+    if _scans_again(checks) and tally.all_plain(checks, tables):
+        applies = tally.applying(checks, tables)
+        if not any(applies):
+            raise ValueError("no check applies to the given tables")
+        return graded(tally.counts(tally.tally_of(checks, tables), checks, applies, _bound))
     row_rules: dict[str, list[tuple[int, Check]]] = {}
     unique_keys: list[tuple[int, Check]] = []
     foreign_keys: list[tuple[int, Check]] = []

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -224,3 +226,61 @@ def test_metrics_do_not_depend_on_partitions(spark, sf_dir):
     many = database_metrics(f.repartition(13), r.repartition(5), fixture_as_of, COLUMNS).collect()
     assert sorted(one) == sorted(many)
     assert [r.check_seq for r in sorted(one)] == list(range(1, 22))
+
+
+KEYS = [
+    ("STRING", ["a", "b", "a", None, None, "", "1:a,-"]),
+    ("BIGINT", [1, 2, 1, None, -1, 0, 0]),
+    ("DOUBLE", [0.0, -0.0, NAN, None, 1e300, 0.1, float("inf")]),
+    ("FLOAT", [0.0, -0.0, NAN, None, 1.5, 0.1, 0.1]),
+    ("DECIMAL(20, 4)", [Decimal("1.5"), Decimal("1.50"), None, None, Decimal(0), Decimal("-0.0001"), Decimal(1)]),
+    ("DATE", [days(0), days(0), None, days(1), days(2), None, days(3)]),
+    ("TIMESTAMP", [datetime(2024, 1, 1, 1, 1, 1, 1)] * 2 + [datetime(2024, 1, 1, 1, 1, 1, 2), None, None, *[datetime(1, 1, 1)] * 2]),
+    ("BINARY", [b"", b"\x00", b"\x00", None, None, b"a", b"A"]),
+    ("BOOLEAN", [True, False, True, None, None, True, False]),
+]
+
+
+@pytest.mark.parametrize(("kind", "values"), KEYS, ids=[k for k, _ in KEYS])
+def test_one_scan_counts_what_each_grouping_counts(rows, monkeypatch, kind, values):
+    """The tally of all checks against a grouping for each, on keys of every type."""
+    data = [(v, values[k // 2], k) for k, v in enumerate(values)]
+    child = rows(f"a {kind}, b {kind}, n INT", data)
+    parent = rows(f"k {kind}, n INT", [(v, 1) for v in values[:3]])
+    checks = [
+        Check("child", RowRule("Validity", "n", "odd", "n % 2 = 1", ("n",), Severity("HIGH"))),
+        Check("child", RowRule("Validity", "x", "not there", "x = 1", ("x",), Severity("HIGH"))),
+        Check("child", RowRule("Completeness", "a", "missing", F.col("a").isNull(), ("a",), Severity("LOW"))),
+        Check("child", UniqueKey(("a",))),
+        Check("child", UniqueKey(("a", "b"))),
+        Check("child", UniqueKey(("a",), digest=True)),
+        Check("child", ForeignKey("a", "parent", "k", "orphan")),
+        Check("parent", UniqueKey(("k",))),
+        Check("empty", UniqueKey(("k",))),
+    ]
+    tables = {"child": child, "parent": parent, "empty": parent.limit(0)}
+    together = sorted(map(tuple, measure(checks, tables).collect()))
+    monkeypatch.setattr(sys.modules["probity.operators.measure"], "_scans_again", lambda checks: False)
+    assert together == sorted(map(tuple, measure(checks, tables).collect()))
+    assert [r[0] for r in together] == [1, 3, 4, 5, 6, 7, 8, 9]
+
+
+def test_keys_of_different_types_meet_in_one_scan(rows, monkeypatch):
+    child = rows("a INT, b STRING, c DATE", [(1, "1", days(0)), (2, "x", days(1)), (None, None, None), (1, "2.0", days(0))])
+    parent = rows("d DOUBLE, i BIGINT, t TIMESTAMP_NTZ", [(1.0, 1, datetime(2024, 6, 30)), (NAN, 3, None)])
+    checks = [
+        Check("child", ForeignKey("a", "parent", "d", "number")),
+        Check("child", ForeignKey("b", "parent", "i", "text")),
+        Check("child", ForeignKey("c", "parent", "t", "day")),
+    ]
+    tables = {"child": child, "parent": parent}
+    together = sorted(map(tuple, measure(checks, tables).collect()))
+    assert [(r[0], r[5], r[6]) for r in together] == [(1, 1, 4), (2, 2, 4), (3, 1, 4)]
+    monkeypatch.setattr(sys.modules["probity.operators.measure"], "_scans_again", lambda checks: False)
+    assert together == sorted(map(tuple, measure(checks, tables).collect()))
+
+
+def test_keys_without_a_text_are_grouped_apart(rows):
+    df = rows("a ARRAY<INT>, n INT", [([1], 1), ([1], 2), (None, 3)])
+    checks = [Check("t", UniqueKey(("a",))), Check("t", UniqueKey(("n",)))]
+    assert sorted((r.check_seq, r.affected_rows, r.total_rows) for r in measure(checks, {"t": df}).collect()) == [(1, 2, 3), (2, 0, 3)]

@@ -625,6 +625,26 @@ SELECT dimension, text AS description, CAST(100 AS DOUBLE) AS score, 'PASS' AS s
 SELECT 'flow' AS part, 'tax_returns' AS source_name, (SELECT count(*) FROM filings) AS source_rows,
   'tax_returns_clean' AS target_name, (SELECT count(*) FROM clean) AS target_rows
 UNION ALL SELECT 'explorer', NULL, count(*), NULL, count(*) FROM issues""",
+    "dq_incremental": """
+WITH n AS (SELECT count(*) AS orders, count(*) FILTER (o_orderstatus NOT IN ('F', 'P')) AS open,
+    count(*) FILTER (o_totalprice < 0) AS negative,
+    count(*) FILTER (NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)) AS lost FROM orders),
+twice AS (SELECT coalesce(sum(k) FILTER (k > 1), 0) AS k FROM (SELECT count(*) AS k FROM orders GROUP BY o_orderkey)),
+day AS (SELECT coalesce(sum(k) FILTER (k > 1), 0) AS k
+  FROM (SELECT count(*) AS k FROM orders GROUP BY o_custkey, o_orderdate)),
+people AS (SELECT count(*) AS total, coalesce((SELECT sum(k) FROM (SELECT count(*) AS k FROM customer GROUP BY c_custkey)
+  WHERE k > 1), 0) AS k FROM customer),
+found(check_seq, field, affected_rows, total_rows, level, above, otherwise) AS (
+  SELECT 1, 'o_orderstatus', open, orders, 'MEDIUM', NULL, NULL FROM n
+  UNION ALL SELECT 2, 'o_totalprice', negative, orders, 'HIGH', NULL, NULL FROM n
+  UNION ALL SELECT 3, 'o_orderkey', k, orders, 'HIGH', 2, 'MEDIUM' FROM n, twice
+  UNION ALL SELECT 4, 'o_custkey + o_orderdate', k, orders, 'HIGH', 2, 'MEDIUM' FROM n, day
+  UNION ALL SELECT 5, 'o_custkey', lost, orders, 'HIGH', NULL, NULL FROM n
+  UNION ALL SELECT 6, 'c_custkey', k, total, 'HIGH', 2, 'MEDIUM' FROM people)
+SELECT CAST(check_seq AS BIGINT) AS check_seq, field, CAST(affected_rows AS BIGINT) AS affected_rows, total_rows,
+  CASE WHEN affected_rows > 0 THEN CASE WHEN above IS NULL OR affected_rows * 100 > total_rows * above THEN level
+    ELSE otherwise END END AS severity, '1+1+2+3' AS files_read
+FROM found""",
     "run_steps": _steps([
         ("begin", None), ("taxpayer_register", "register"), ("tax_returns", "filings"), ("register", None), ("check", None),
         ("log", None), ("clean", "clean"), ("register_clean", None), ("summary", None), ("profile", None),

@@ -31,6 +31,7 @@ from probity.plans.filings import (
     timeliness_rules,
     validity_rules,
 )
+from probity.plans.incremental import CheckState
 from probity.plans.pipeline import Run, run_pipeline
 from probity.plans.scoring import dimension_scores, overall, result_document
 from probity.sources import Catalogue, Dataset, read_csv, read_summary, write_table
@@ -502,6 +503,31 @@ def run_steps_resumed(spark: SparkSession, d: str) -> DataFrame:
     return _stored_steps(spark, out)
 
 
+def dq_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """Checks on orders that come in three deliveries, each file read once, and how many files each took."""
+    out, orders, customer = scratch(spark), table(spark, d, "orders"), table(spark, d, "customer")
+    checks = [
+        Check("orders", rules.allowed("o_orderstatus", ["F", "P"], "Order is still open", rules.MEDIUM)),
+        Check("orders", rules.non_negative("o_totalprice", "Price below zero")),
+        Check("orders", UniqueKey(("o_orderkey",))),
+        Check("orders", UniqueKey(("o_custkey", "o_orderdate"))),
+        Check("orders", ForeignKey("o_custkey", "customer", "c_custkey", "order of no customer")),
+        Check("customer", UniqueKey(("c_custkey",))),
+    ]
+    state = CheckState(spark, f"{out}/state", checks, {"orders": orders.schema, "customer": customer.schema})
+    took = [len(state.deliver("customer", f"{d}/customer.parquet"))]
+    for k in range(3):
+        part = orders.filter(f"pmod(o_orderkey, 3) = {k}").repartition(k + 1)
+        part.write.mode("append").parquet(f"{out}/orders")
+        took.append(len(state.deliver("orders", f"{out}/orders")))
+        if k == 1:
+            state.compact()
+    read = ", ".join(f"{n}L" for n in took)
+    return state.metrics().selectExpr(
+        "check_seq", "field", "affected_rows", "total_rows", "severity", f"array_join(array({read}), '+') AS files_read"
+    )
+
+
 # Branches that the fixture does not reach
 
 
@@ -668,6 +694,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip_vectors": csv_roundtrip_vectors,
     "report_from_summary": report_from_summary,
     "sample_clean": sample_clean,
+    "dq_incremental": dq_incremental,
     "run_steps": run_steps,
     "run_steps_resumed": run_steps_resumed,
     "dq_status_hits": dq_status_hits,
