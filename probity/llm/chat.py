@@ -102,33 +102,49 @@ def _segments(turn: Column, template: Template) -> Column:
     return found
 
 
+def _machine(turns: Column, template: Template) -> Column:
+    """The machine's run over the turns: its last state, the turns read, and the first that it didn't allow.
+
+    A turn that is not allowed is noted, and the machine goes on from its role.
+    """
+    allowed = F.array(*[F.lit(f"{a}\n{b}") for a, follow in template.follows.items() for b in follow])
+
+    def run(state: Column, read: Column, wrong: Column) -> Column:
+        return F.struct(state.alias("state"), read.alias("read"), wrong.alias("first_wrong"))
+
+    def step(now: Column, turn: Column) -> Column:
+        known = F.array_contains(allowed, F.concat(now["state"], F.lit("\n"), turn["role"]))
+        wrong = F.coalesce(now["first_wrong"], F.when(~known, now["read"]))
+        return run(turn["role"], now["read"] + 1, wrong)
+
+    start = run(F.lit(""), F.lit(0).cast("long"), F.lit(None).cast("long"))
+    return F.aggregate(turns, start, step)
+
+
 def format_conversations(conversations: DataFrame, template: Template = TEMPLATE) -> DataFrame:
-    """One row per conv_id: n_turns, segments (text, loss), formatted, valid.
+    """One row per conv_id: n_turns, segments (text, loss), first_wrong, valid, formatted.
 
     Input columns: conv_id, turn, role, text; others are ignored. Turns go by
     turn, role and text, NULL first; repeated rows are turns of their own. A NULL
     text or role is empty. Roles the template does not know get general marks.
-    ``valid`` says whether the roles follow each other as the template allows;
-    other conversations are written all the same. An empty table gives no rows.
+    ``first_wrong`` is the place, from 0, of the first turn that the template does not
+    allow after the one before it, NULL if there is none, and ``valid`` says whether
+    there is none. Other conversations are written all the same. An empty table
+    gives no rows.
     """
     row = F.struct(
         F.col("turn"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    moves = {(a, b): b for a, follow in template.follows.items() for b in follow}
-    allowed = F.array(*[F.lit(f"{a}\n{b}") for a, b in moves])
-
-    def step(state: Column, turn: Column) -> Column:
-        known = F.array_contains(allowed, F.concat(state, F.lit("\n"), turn["role"]))
-        return F.when(known, turn["role"])  # NULL: not allowed, and so are all after it
-
     turns = conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(row)).alias("turns"))
-    written = turns.select(
+    run = turns.select("conv_id", "turns", _machine(F.col("turns"), template).alias("run"))
+    written = run.select(
         "conv_id",
-        F.size("turns").cast("long").alias("n_turns"),
+        F.col("run.read").alias("n_turns"),
         F.flatten(F.transform("turns", lambda t: _segments(t, template))).alias("segments"),
-        F.aggregate("turns", F.lit(""), step).isNotNull().alias("valid"),
+        F.col("run.first_wrong").alias("first_wrong"),
+        F.col("run.first_wrong").isNull().alias("valid"),
     )
     joined = F.array_join(F.transform("segments", lambda s: s["text"]), "")
     return written.withColumn("formatted", joined)

@@ -17,13 +17,16 @@ WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
 ), written AS (
-  SELECT *, length({_escaped("text")}) + CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13
+  SELECT *, row_number() OVER same - 1 AS place,
+    coalesce(lag(role) OVER same, '') || '>' || role NOT IN
+      ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user') AS wrong, length({_escaped("text")}) + CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13
     WHEN 'assistant' THEN 7 ELSE 26 + length({_escaped("role")}) END AS chars FROM turns
+  WINDOW same AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 )
-SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+SELECT conv_id, min(place) FILTER (wrong) AS first_wrong, NOT bool_or(wrong) AS valid, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
     AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars
 FROM written GROUP BY conv_id

@@ -74,8 +74,13 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
     )
-    return written.select("conv_id", "formatted", turns.alias("turns"), loss.alias("loss")).select(
+    read = written.select(
+        "conv_id", "formatted", "first_wrong", "valid", turns.alias("turns"), loss.alias("loss")
+    )
+    return read.select(
         "conv_id",
+        "first_wrong",
+        "valid",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(whole, 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"),
@@ -110,13 +115,15 @@ def held_out() -> Column:
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = toxicity.fit(docs, labels.select("doc_id", "toxic"), ~held_out(), whole=True)
-    found = docs.select("doc_id", toxicity.only_score(F.col("text"), model).alias("score"))
-    return found.select(
+    model = toxicity.fit(docs, labels.select("doc_id", "toxic"), ~held_out(), new_folder(spark))
+    return toxicity.score_documents(docs, model).select(
         "doc_id",
         held_out().alias("held_out"),
         "score",
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+        F.col("evidence.doc_id").alias("evidence"),
+        F.col("evidence.cosine").alias("evidence_cosine"),
+        F.col("evidence.toxic").alias("evidence_toxic"),
     )
 
 

@@ -1,18 +1,20 @@
 """Toxicity by the nearest labelled examples.
 
 Examples are a bounded, documented sample of the labelled documents. Texts are
-TF-IDF vectors of length one over all terms; a term weighs more the more its
-smoothed rate of label 1 is above that of all examples, and none weighs nothing.
-Cosines with all examples are taken, of the most frequent terms by a matrix and
-of the others by an inverted index, and those that can be among the nearest are
-taken again in full precision, so the neighbours are exact.
-
-Without ``whole``, vectors are only over the terms that speak most clearly for
-label 1, and blocks of the index are read in order of the cosine that their
-largest weights allow at most, until no block left can hold a nearer example.
-They
-vote with their cosine as weight, and isotonic regression on the examples (each
-voted on by the others) turns votes into rates.
+TF-IDF vectors of length one over all their terms, where a term's IDF is raised by how
+far its smoothed rate of label 1 is above that of all examples. The nearest examples
+by cosine vote with their cosine as weight, and isotonic regression on the examples
+(each voted on by the others) turns votes into rates.
+
+The neighbours are exact. Examples lie in blocks of alike ones. Cosines over a
+text's rarer terms come from an inverted index; the most frequent terms are a matrix
+with the largest weight of each term in each block, which bounds what a block can
+add. Blocks that can't hold a nearer example are skipped, and the examples that can be
+among the nearest are taken again in full precision.
+
+Terms are counted by the tasks that read the examples, and one task lays out the
+index, whose size ``EXAMPLES`` and ``BYTES`` bound. The driver passes on its
+compressed bytes and fits the calibration to a vote and a label of each example.
 """
 
 from __future__ import annotations
@@ -20,34 +22,35 @@ from __future__ import annotations
 import math
 import uuid
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import xxhash
+import zstandard
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled documents that examples are taken from at most.
-EXAMPLES = 8000
-#: Terms kept at most, and in how many examples one must be.
-TERMS, LEAST_EXAMPLES = 1024, 5
-#: Chi-squared value from which a term speaks for label 1.
-TELLING = 35.0
+from probity.llm.scratch import saved
+
+#: Labelled documents that examples are taken from at most, and bytes of their texts.
+EXAMPLES, BYTES = 8000, 64_000_000
 #: Examples of the mean rate that a term's rate of label 1 begins with, and the least weight of a term.
 PRIOR_EXAMPLES, FLOOR = 10.0, 0.1
 NEIGHBOURS = 10
 #: Letters of a word's beginning that are a term too, so that its forms meet.
 STEM = 5
-#: Examples per block of the index.
-BLOCK = 64
-#: Over all terms: terms that are a matrix, texts multiplied with it at once, and more than its rounding.
+#: Examples per block of the index, and blocks of a text that are looked at before others are skipped.
+BLOCK, FIRST_BLOCKS = 64, 2
+#: Terms that are a matrix, texts multiplied with it at once, and more than its rounding.
 FREQUENT, TOGETHER, OFF = 768, 64, 1e-5
 #: Votes for the mean label that each vote begins with.
 PRIOR_VOTES = 1.0
-#: Vectors whose votes a worker keeps.
-KEPT = 50_000
+#: Bytes of one row of the stored index.
+PART_BYTES = 8_000_000
 
 _EDGES = ".,;:!?\"'()[]{}<>|*#%&/\\-_=+~`…“”‘’«»¿¡"
 SCORE_TYPE = "struct<score: double, evidence: array<struct<doc_id: bigint, cosine: double, toxic: int>>>"
@@ -61,135 +64,198 @@ def terms_of(text: str | None) -> list[str]:
     return words + [w[:STEM] + "*" for w in words if len(w) > STEM]
 
 
-@dataclass
-class Model:
-    """The terms with their IDF, the examples as vectors, and the calibration of votes."""
+def counted(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hashes of a text's terms, ascending, and how often it has each."""
+    counts = Counter(terms_of(text))
+    counts.pop("", None)
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(t) for t in counts), np.uint64, len(counts))
+    order = np.argsort(hashes)
+    return hashes[order], np.fromiter(counts.values(), np.int64, len(counts))[order]
 
-    idf: dict[str, float]
-    ids: list[int]
-    labels: np.ndarray
-    vectors: list[dict[str, float]]
-    raw: np.ndarray
-    rate: np.ndarray
-    base: float
-    none_rate: float
+
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers as bytes, all lowest ones first, compressed."""
+    octets = np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(-1, 8)
+    return zstandard.compress(np.ascontiguousarray(octets.T).tobytes(), 3)
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    octets = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(octets.T).view("<i8").reshape(-1)
+
+
+def _rising(values: np.ndarray) -> np.ndarray:
+    """Differences of values that rise, as signed numbers."""
+    return np.diff(values, prepend=values.dtype.type(0)).view(np.int64)
 
 
 @dataclass
-class Whole:
-    """A model over all terms: their weights, and the examples' vectors one after another."""
+class Examples:
+    """Examples by ascending doc_id: labels, and their terms' codes and counts one after another."""
 
-    terms: pa.Array
-    term_weights: np.ndarray
-    unknown: float
-    ids: list[int]
+    ids: np.ndarray
     labels: np.ndarray
     starts: np.ndarray
     codes: np.ndarray
-    weights: np.ndarray
-    raw: np.ndarray
-    rate: np.ndarray
-    base: float
-    none_rate: float
-
+    counts: np.ndarray
+    terms: np.ndarray  # hash of each code, ascending
+    df: np.ndarray
+    ones: np.ndarray  # examples of label 1 with the term
+
+    @staticmethod
+    def of(rows: Sequence[tuple[int, int, np.ndarray, np.ndarray]]) -> Examples:
+        """From rows of doc_id, label, hashes, counts."""
+        rows = sorted(rows, key=lambda r: r[0])
+        sizes = np.array([len(r[2]) for r in rows], np.int64)
+        labels = np.array([r[1] for r in rows], np.int64)
+        hashes = np.concatenate([np.zeros(0, np.uint64), *[r[2] for r in rows]])
+        terms, codes = np.unique(hashes, return_inverse=True)
+        return Examples(
+            np.array([r[0] for r in rows], np.int64),
+            labels,
+            np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64),
+            codes.astype(np.int32),
+            np.concatenate([np.zeros(0, np.int64), *[r[3] for r in rows]]),
+            terms,
+            np.bincount(codes, minlength=len(terms)),
+            np.bincount(codes, np.repeat(labels, sizes), len(terms)).astype(np.int64),
+        )
 
-def vector(counts: dict[str, int], idf: dict[str, float]) -> dict[str, float]:
-    """The TF-IDF vector of length one; empty without any of the terms."""
-    weights = {t: (1 + math.log(n)) * idf[t] for t, n in counts.items()}
-    length = math.sqrt(sum(w * w for w in weights.values()))
-    return {t: w / length for t, w in weights.items()} if length else {}
+    def stored(self) -> dict[str, bytes]:
+        # codes rise within an example, so their differences are small numbers but at its start
+        return {
+            "ids": _planes(_rising(self.ids)),
+            "labels": _planes(self.labels),
+            "starts": _planes(_rising(self.starts)),
+            "codes": _planes(_rising(self.codes.astype(np.int64))),
+            "counts": _planes(self.counts),
+            "terms": _planes(_rising(self.terms)),
+            "df": _planes(self.df),
+            "ones": _planes(self.ones),
+        }
+
+    @staticmethod
+    def loaded(data: dict[str, bytes]) -> Examples:
+        rising = {k: np.cumsum(_numbers(data[k])) for k in ("ids", "starts", "codes")}
+        terms = np.cumsum(_numbers(data["terms"]).view(np.uint64), dtype=np.uint64)
+        return Examples(
+            rising["ids"], _numbers(data["labels"]), rising["starts"], rising["codes"].astype(np.int32),
+            _numbers(data["counts"]).astype(np.int32), terms, _numbers(data["df"]), _numbers(data["ones"]),
+        )
+
+    @property
+    def base(self) -> float:
+        return float(self.labels.mean()) if len(self.labels) else 0.0
+
+    @property
+    def told_apart(self) -> bool:
+        """Whether there are examples of both labels."""
+        return 0 < self.base < 1
+
+    def term_weights(self) -> tuple[np.ndarray, float]:
+        """The weight of each term, and that of a term no example has."""
+        total, base = len(self.ids), self.base
+        odds = (self.ones + PRIOR_EXAMPLES * base) / (self.df - self.ones + PRIOR_EXAMPLES * (1 - base))
+        telling = np.maximum(np.log(odds * (1 - base) / base), 0)
+        idf = np.log((1 + total) / (1 + self.df)) + 1
+        return (telling + FLOOR) * idf, FLOOR * (math.log(1 + total) + 1)
 
 
 class Index:
-    """Examples by term, in blocks with the largest weight of each."""
-
-    def __init__(self, vectors: Sequence[dict[str, float]], terms: Sequence[str]) -> None:
-        self.number = {t: k for k, t in enumerate(terms)}
-        self.size = len(vectors)
-        blocks = -(-self.size // BLOCK)
-        self.weights = np.zeros((max(blocks, 1), len(terms), BLOCK))
-        for e, own in enumerate(vectors):
-            for t, w in own.items():
-                self.weights[e // BLOCK, self.number[t], e % BLOCK] = w
-        self.most = self.weights.max(axis=2)
-
-    def nearest(self, query: dict[str, float], k: int, but: int = -1) -> list[tuple[int, float]]:
-        """The ``k`` examples of the greatest cosine above 0, the first of equal ones; without ``but``."""
-        if not query or not self.size:
-            return []
-        terms = np.array([self.number[t] for t in query])
-        weights = np.array(list(query.values()))
-        bound = self.most[:, terms] @ weights + 1e-12
-        found: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 1e-12 or len(found) == k and bound[block] < found[-1][0]:
-                break
-            cosine = np.round(weights @ self.weights[block, terms], 12)
-            near = np.flatnonzero(cosine > 0)
-            more = [(c, block * BLOCK + e) for c, e in zip(cosine[near].tolist(), near.tolist(), strict=True)]
-            found = sorted([*found, *[m for m in more if m[1] != but]], key=lambda f: (-f[0], f[1]))[:k]
-        return [(e, c) for c, e in found]
-
-
-class WholeIndex:
-    """Examples by term: the most frequent terms as a matrix, of the others who has them."""
-
-    def __init__(self, starts: np.ndarray, codes: np.ndarray, weights: np.ndarray, terms: int) -> None:
+    """Examples by term, in blocks of alike ones with the largest weight of each frequent term.
+
+    ``looked_at`` and ``skipped`` count the blocks of the searches so far.
+    """
+
+    def __init__(self, starts: np.ndarray, codes: np.ndarray, weights: np.ndarray, terms: int, likeness: np.ndarray) -> None:
         self.starts, self.codes, self.weights = starts, codes, weights
         self.size = len(starts) - 1
-        examples = np.repeat(np.arange(self.size, dtype=np.int32), np.diff(starts))
-        order = np.argsort(codes, kind="stable")
-        self.examples, self.own = examples[order], weights[order]
-        self.first = np.searchsorted(codes[order], np.arange(terms + 1))
-        frequent = np.argsort(-np.diff(self.first), kind="stable")[:FREQUENT]
-        self.slot = np.full(terms, -1)
+        self.blocks = -(-self.size // BLOCK)
+        self.order = np.argsort(likeness, kind="stable").astype(np.int32)  # examples by their place
+        place = np.empty(self.size, np.int32)
+        place[self.order] = np.arange(self.size, dtype=np.int32)
+        of = np.repeat(place, np.diff(starts))
+        df = np.bincount(codes, minlength=terms)
+        frequent = np.argsort(-df, kind="stable")[:FREQUENT]
+        self.slot = np.full(terms, -1, np.int32)
         self.slot[frequent] = np.arange(len(frequent))
-        self.dense = np.zeros((len(frequent), self.size), np.float32)
         slots = self.slot[codes]
-        self.dense[slots[slots >= 0], examples[slots >= 0]] = weights[slots >= 0]
+        self.dense = np.zeros((len(frequent), self.blocks * BLOCK), np.float32)
+        self.dense[slots[slots >= 0], of[slots >= 0]] = weights[slots >= 0]
+        self.most = self.dense.reshape(len(frequent), self.blocks, BLOCK).max(axis=2)
+        rare = np.flatnonzero(slots < 0)
+        rare = rare[np.argsort(codes[rare], kind="stable")]
+        self.posted, self.own = of[rare], weights[rare].astype(np.float32)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(codes[rare], minlength=terms))])
         self._query = np.zeros(terms)
+        self.looked_at = self.skipped = 0
 
     def nearest(
-        self, queries: Sequence[tuple[np.ndarray, np.ndarray]], k: int, but: int | None = None
+        self, queries: Sequence[tuple[np.ndarray, np.ndarray]], k: int, but: Sequence[int] | None = None
     ) -> list[list[tuple[int, float]]]:
-        """For each query (numbers of terms, weights), the ``k`` examples of the greatest cosine above 0.
+        """For each query (codes, weights), the ``k`` examples of the greatest cosine above 0.
 
-        Of equal ones the first; the queries are the examples from ``but`` on, if given, and not their own.
+        Of equal ones the first. ``but`` names an example for each query that doesn't count.
         """
         found: list[list[tuple[int, float]]] = []
         for at in range(0, len(queries), TOGETHER):
-            part = queries[at : at + TOGETHER]
-            found += self._together(part, k, None if but is None else but + at)
+            found += self._together(queries[at : at + TOGETHER], k, None if but is None else but[at : at + TOGETHER])
         return found
 
-    def _together(self, queries: Sequence, k: int, but: int | None) -> list[list[tuple[int, float]]]:
+    def _together(self, queries: Sequence, k: int, but: Sequence[int] | None) -> list[list[tuple[int, float]]]:
         if not self.size:
             return [[] for _ in queries]
         frequent = np.zeros((len(queries), len(self.dense)), np.float32)
-        for own, (codes, weights) in zip(frequent, queries, strict=True):
+        nearly = np.zeros((len(queries), self.blocks * BLOCK), np.float32)
+        for q, (codes, weights) in enumerate(queries):
             slots = self.slot[codes]
-            own[slots[slots >= 0]] = weights[slots >= 0]
-        nearly = frequent @ self.dense
-        return [
-            self._near(codes, weights, k, nearly[q], None if but is None else but + q)
-            for q, (codes, weights) in enumerate(queries)
-        ]
-
-    def _near(
-        self, codes: np.ndarray, weights: np.ndarray, k: int, nearly: np.ndarray, but: int | None
-    ) -> list[tuple[int, float]]:
-        """The nearest, by cosines that lack the rarer terms."""
-        rare = self.slot[codes] < 0
-        if rare.any():
-            place, own = _ranges(self.first, codes[rare])
-            added = self.own[place] * np.repeat(weights[rare], own)
-            nearly = nearly + np.bincount(self.examples[place], added, self.size)
+            frequent[q, slots[slots >= 0]] = weights[slots >= 0]
+            rare = slots < 0
+            places, own = _ranges(self.first, codes[rare])
+            if len(places):
+                added = self.own[places] * np.repeat(weights[rare], own)
+                nearly[q] = np.bincount(self.posted[places], added, nearly.shape[1])
         if but is not None:
-            nearly[but] = 0
-        least = np.partition(nearly, -k)[-k] - OFF if k < self.size else 0.0
-        some = np.flatnonzero((nearly > 0) & (nearly >= least))
+            place = np.empty(self.size, np.int64)
+            place[self.order] = np.arange(self.size)
+            out = (np.arange(len(queries)), place[np.asarray(but)])
+        bound = frequent @ self.most + nearly.reshape(len(queries), self.blocks, BLOCK).max(axis=2) + OFF
+        done = np.zeros(bound.shape, bool)
+
+        def look(wanted: np.ndarray) -> None:
+            """Add the frequent terms' share for the wanted blocks of each query."""
+            for block in np.flatnonzero(wanted.any(axis=0)):
+                some, columns = np.flatnonzero(wanted[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+                nearly[some, columns] += frequent[some] @ self.dense[:, columns]
+            done[wanted] = True
+
+        def least() -> np.ndarray:
+            """What the last of the nearest has at least, for each query."""
+            if but is not None:
+                nearly[out] = 0
+            if k >= self.size:
+                return np.zeros(len(queries))
+            return np.partition(nearly, -k, axis=1)[:, -k] - OFF
+
+        best = np.argpartition(-bound, min(FIRST_BLOCKS, self.blocks) - 1, axis=1)[:, :FIRST_BLOCKS]
+        wanted = np.zeros(bound.shape, bool)
+        np.put_along_axis(wanted, best, True, axis=1)
+        look(wanted)
+        look(~done & (bound >= least()[:, None]))
+        self.looked_at += int(done.sum())
+        self.skipped += int((~done).sum())
+        limit = least()
+        # a block that was skipped has less than its bound, which is below the limit
+        nearly[np.repeat(~done, BLOCK, axis=1)] = 0
+        return [self._exactly(*queries[q], k, nearly[q], limit[q]) for q in range(len(queries))]
+
+    def _exactly(
+        self, codes: np.ndarray, weights: np.ndarray, k: int, nearly: np.ndarray, limit: float
+    ) -> list[tuple[int, float]]:
+        some = np.flatnonzero((nearly > 0) & (nearly >= limit))
         if not len(some):
             return []
+        some = np.sort(self.order[some])
         self._query[codes] = weights
         place, own = _ranges(self.starts, some)
         products = self._query[self.codes[place]] * self.weights[place]
@@ -203,7 +269,8 @@ def _ranges(starts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndar
     """All places from ``starts[c]`` up to ``starts[c + 1]`` of the chosen, and how many each has."""
     own = starts[chosen + 1] - starts[chosen]
     ends = np.cumsum(own)
-    return np.arange(ends[-1]) + np.repeat(starts[chosen] - ends + own, own), own
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(starts[chosen] - ends + own, own), own
 
 
 def _vote(near: Sequence[tuple[int, float]], labels: np.ndarray, base: float) -> float:
@@ -230,264 +297,208 @@ def isotonic(raw: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.array([p[0] for p in pools]), np.maximum.accumulate(rates)
 
 
-class Scorer:
-    """Scores texts by a model."""
-
-    def __init__(self, model: Model) -> None:
-        self.model = model
-        self.index = Index(model.vectors, list(model.idf))
-        self._known: dict[tuple, tuple[float, list]] = {}
-
-    def calibrated(self, raw: float) -> float:
-        model = self.model
-        if not len(model.raw):
-            return model.base
-        return float(np.interp(raw, model.raw, model.rate))
-
-    def many(self, texts: Sequence[str | None]) -> list[tuple[float, list[tuple[int, float, int]]]]:
-        return [self(t) for t in texts]
-
-    def __call__(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
-        """The rate of toxic texts among those with such neighbours, and the neighbours."""
-        model = self.model
-        idf = model.idf
-        counts = Counter([t for t in terms_of(text) if t in idf])
-        if not counts:
-            return model.none_rate, []
-        key = tuple(sorted(counts.items()))
-        if key not in self._known:
-            if len(self._known) >= KEPT:
-                self._known = {}
-            near = self.index.nearest(vector(counts, idf), NEIGHBOURS)
-            score = self.calibrated(_vote(near, model.labels, model.base)) if near else model.none_rate
-            evidence = [(model.ids[e], c, int(model.labels[e])) for e, c in near]
-            self._known[key] = (score, evidence)
-        return self._known[key]
-
-
-def _whole_vector(counts: dict[str, int], number: dict[str, int], model: Whole) -> tuple[np.ndarray, np.ndarray]:
-    """The vector over all terms; those of no example count for its length."""
-    codes = np.array([number.get(t, -1) for t in counts], np.int64)
-    times = 1 + np.log(np.array(list(counts.values()), float))
-    known = codes >= 0
-    codes, strange = codes[known], times[~known] * model.unknown
-    weights = times[known] * model.term_weights[codes]
-    return codes, weights / (math.sqrt(weights @ weights + strange @ strange) or 1.0)
-
-
-class WholeScorer:
-    """Scores texts by a model over all terms."""
-
-    def __init__(self, model: Whole) -> None:
-        self.model = model
-        self.number = {t: k for k, t in enumerate(model.terms.to_pylist())}
-        self.index = WholeIndex(model.starts, model.codes, model.weights, len(model.terms))
-
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        counts = Counter(terms_of(text))
-        counts.pop("", None)
-        return _whole_vector(counts, self.number, self.model)
-
-    def many(self, texts: Sequence[str | None]) -> list[tuple[float, list[tuple[int, float, int]]]]:
-        """The rates of toxic texts among those with such neighbours, and the neighbours."""
-        model, found = self.model, []
-        for at in range(0, len(texts), TOGETHER):
-            vectors = [self.vector(t) for t in texts[at : at + TOGETHER]]
-            for near in self.index.nearest(vectors, NEIGHBOURS):
-                evidence = [(model.ids[e], c, int(model.labels[e])) for e, c in near]
-                vote = _vote(near, model.labels, model.base)
-                score = float(np.interp(vote, model.raw, model.rate)) if near else model.none_rate
-                found.append((score, evidence))
-        return found
+class Searcher:
+    """Vectors of texts and their nearest examples."""
+
+    def __init__(self, examples: Examples) -> None:
+        self.examples = examples
+        self.term_weights, self.unknown = examples.term_weights()
+        sizes = np.diff(examples.starts)
+        weights = (1 + np.log(examples.counts)) * self.term_weights[examples.codes]
+        place = np.repeat(np.arange(len(sizes)), sizes)
+        weights /= np.sqrt(np.bincount(place, weights * weights, len(sizes)))[place]
+        self.index = Index(examples.starts, examples.codes, weights, len(examples.terms), self._likeness(place))
+
+    def _likeness(self, place: np.ndarray) -> np.ndarray:
+        """A number that brings examples of one language together: the term each has most often."""
+        e = self.examples
+        order = np.lexsort((-e.df[e.codes], -e.counts, place))
+        likeness = np.full(len(e.ids), -1, np.int64)
+        firsts = order[e.starts[:-1][np.diff(e.starts) > 0]]
+        likeness[place[firsts]] = e.codes[firsts]
+        return likeness
+
+    def vector(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes and weights of length one; terms of no example count for the length."""
+        terms = self.examples.terms
+        codes = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
+        known = terms[codes] == hashes
+        times = 1 + np.log(counts)
+        strange = times[~known] * self.unknown
+        codes = codes[known]
+        weights = times[known] * self.term_weights[codes]
+        return codes, weights / (math.sqrt(weights @ weights + strange @ strange) or 1.0)
+
+    def vote(self, near: Sequence[tuple[int, float]]) -> float:
+        return _vote(near, self.examples.labels, self.examples.base)
+
 
+#: What this worker has loaded last, by the key of its broadcast.
+_MADE: dict[str, Searcher] = {}
 
-_TERM_SCHEMA = "doc_id LONG, toxic INT, term STRING, n LONG"
 
+def _searcher(key: str, sent: Broadcast) -> Searcher:
+    from probity.llm import toxicity  # the worker's module, kept from task to task
 
-def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if key not in toxicity._MADE:
+        toxicity._MADE.clear()
+        toxicity._MADE[key] = Searcher(Examples.loaded(sent.value))
+    return toxicity._MADE[key]
+
+
+@dataclass
+class Model:
+    """The examples' index, as workers get it, and the calibration of votes."""
+
+    sent: Broadcast | None
+    key: str
+    ids: list[int]
+    raw: np.ndarray
+    rate: np.ndarray
+    base: float
+    none_rate: float
+
+    def scorer(self) -> Callable[[Sequence[str | None]], list[tuple[float, list[tuple[int, float, int]]]]]:
+        """What scores texts in a worker."""
+        key, sent, raw, rate, base, none_rate = (
+            self.key, self.sent, self.raw, self.rate, self.base, self.none_rate
+        )
+
+        def many(texts: Sequence[str | None]) -> list[tuple[float, list[tuple[int, float, int]]]]:
+            if sent is None:
+                return [(base, [])] * len(texts)
+            own, found = _searcher(key, sent), []
+            e = own.examples
+            for at in range(0, len(texts), TOGETHER):
+                vectors = [own.vector(*counted(t)) for t in texts[at : at + TOGETHER]]
+                for near in own.index.nearest(vectors, NEIGHBOURS):
+                    score = float(np.interp(own.vote(near), raw, rate)) if near else none_rate
+                    found.append((score, [(int(e.ids[x]), c, int(e.labels[x])) for x, c in near]))
+            return found
+
+        return many
+
+
+_COUNTED_SCHEMA = "doc_id LONG, toxic INT, size LONG, hashes BINARY, counts BINARY"
+_COUNTED = ["doc_id", "toxic", "size", "hashes", "counts"]
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for doc_id, toxic, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            counts = Counter(terms_of(text))
-            counts.pop("", None)
-            terms = ["", *counts]  # the empty term stands for the example itself
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([doc_id] * len(terms), pa.int64()),
-                    pa.array([toxic] * len(terms), pa.int32()),
-                    pa.array(terms),
-                    pa.array([1, *counts.values()], pa.int64()),
-                ],
-                names=["doc_id", "toxic", "term", "n"],
-            )
-
-
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, whole: bool = False) -> Model | Whole:
+        texts = batch.column(2).to_pylist()
+        found = [counted(t) for t in texts]
+        sizes = pa.array([len((t or "").encode()) for t in texts], pa.int64())
+        hashes = pa.array([h.tobytes() for h, _ in found], pa.binary())
+        counts = pa.array([c.astype("<i8").tobytes() for _, c in found], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sizes, hashes, counts], _COUNTED)
+
+
+def _row(doc_id: int, toxic: int, hashes: bytes, counts: bytes) -> tuple[int, int, np.ndarray, np.ndarray]:
+    return doc_id, toxic, np.frombuffer(hashes, np.uint64), np.frombuffer(counts, "<i8")
+
+
+def _laid_out(most: int) -> Callable:
+    """The index of the examples that come first, as long as their texts have so many bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, total = [], 0
+        for batch in batches:
+            for doc_id, toxic, size, hashes, counts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                total += size
+                if total <= most or not rows:
+                    rows.append(_row(doc_id, toxic, hashes, counts))
+        if not rows:
+            return
+        for name, data in Examples.of(rows).stored().items():
+            for part, at in enumerate(range(0, len(data), PART_BYTES)):
+                one = [pa.array([name]), pa.array([part], pa.int32()), pa.array([data[at : at + PART_BYTES]], pa.binary())]
+                yield pa.RecordBatch.from_arrays(one, ["name", "part", "data"])
+
+    return run
+
+
+def _votes(key: str, sent: Broadcast) -> Callable:
+    """The vote of all other examples on each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _searcher(key, sent)
+        ids = own.examples.ids
+        for batch in batches:
+            rows = [_row(*r) for r in zip(*[c.to_pylist() for c in batch.columns], strict=True)]
+            place = np.minimum(np.searchsorted(ids, [r[0] for r in rows]), len(ids) - 1)
+            kept = [k for k, r in enumerate(rows) if ids[place[k]] == r[0]]
+            vectors = [own.vector(*rows[k][2:]) for k in kept]
+            near = own.index.nearest(vectors, NEIGHBOURS, [int(place[k]) for k in kept])
+            columns = [
+                pa.array([rows[k][0] for k in kept], pa.int64()),
+                pa.array([rows[k][1] for k in kept], pa.int32()),
+                pa.array([len(rows[k][2]) > 0 for k in kept], pa.bool_()),
+                pa.array([round(own.vote(n), 9) if n else None for n in near], pa.float64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "has_terms", "vote"])
+
+    return run
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, folder: str, examples: int = EXAMPLES, most: int = BYTES) -> Model:
     """A model of ``labels`` (doc_id, toxic) on the texts of ``docs``, from rows where ``learn`` holds.
 
-    Takes up to EXAMPLES labelled documents, those of the least hashed doc_id, each
-    text once. With ``whole``, over all their terms, whose counts are fetched; else
-    over the TERMS terms that speak most clearly for label 1. ``labels`` is the only input besides the texts; a NULL label or doc_id
-    is none; of contradicting labels of a document the larger counts.
+    Takes up to ``examples`` labelled documents, those of the least hashed doc_id, each
+    text once, and of these as many as have ``most`` bytes together, the first one
+    always. ``labels`` is the only input besides the texts; a NULL label or doc_id
+    is none; of contradicting labels of a document the larger counts. Without examples
+    of both labels every score is the mean label, 0 without any. ``folder`` takes the
+    counted terms and the index.
     """
     usable = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(learn)
     chosen = (
         usable.groupBy("doc_id")
         .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(EXAMPLES)
+        .limit(examples)
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        F.broadcast(chosen), "doc_id"  # EXAMPLES rows at most
+        F.broadcast(chosen), "doc_id"  # as many rows as examples at most
     )
     once = texts.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256)).agg(
         F.min_by(F.struct("doc_id", "toxic", "text"), "doc_id").alias("e")
     )
-    if whole:
-        return _fitted_whole(once.select("e.doc_id", "e.toxic", "e.text"))
-    counted = (
-        once.select("e.doc_id", "e.toxic", "e.text").mapInArrow(_term_rows, _TERM_SCHEMA).persist()
-    )
-    try:
-        return _fitted(counted)
-    finally:
-        counted.unpersist()
-
-
-def _fitted(counted: DataFrame) -> Model:
-    examples = sorted(tuple(r) for r in counted.filter("term = ''").select("doc_id", "toxic").collect())
-    total, toxic = len(examples), sum(t for _, t in examples)
-    base = toxic / total if total else 0.0
-    ids = [i for i, _ in examples]
-    marks = np.array([t for _, t in examples], float)
-    if not 0 < toxic < total:
-        return Model({}, ids, marks, [], np.zeros(0), np.zeros(0), base, base)
-    with_term = F.count("*").cast("double")
-    a = F.sum("toxic").cast("double")
-    seen = counted.filter("term <> ''").groupBy("term").agg(with_term.alias("df"), a.alias("a"))
-    off = F.col("a") * total - F.col("df") * toxic
-    chi = total * off * off / (F.col("df") * (total - F.col("df")) * toxic * (total - toxic))
-    best = (
-        seen.filter(f"df >= {LEAST_EXAMPLES} AND df < {total}")
-        .withColumn("chi", chi)
-        .filter(F.col("chi") >= TELLING)
-        .filter(off > 0)
-        .orderBy(F.desc("chi"), "term")
-        .limit(TERMS)
-        .collect()
+    terms = saved(once.select("e.*").mapInArrow(_count, _COUNTED_SCHEMA), folder, "examples")
+    first = terms.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
+    index = saved(first.mapInArrow(_laid_out(most), "name STRING, part INT, data BINARY"), folder, "index")
+    data: dict[str, bytes] = {}
+    for row in sorted(index.collect(), key=lambda r: (r["name"], r["part"])):  # bounded by the texts' bytes
+        data[row["name"]] = data.get(row["name"], b"") + bytes(row["data"])
+    nothing, key = np.zeros(0), uuid.uuid4().hex
+    if not data:
+        return Model(None, key, [], nothing, nothing, 0.0, 0.0)
+    ids, marks = np.cumsum(_numbers(data["ids"])).tolist(), _numbers(data["labels"])
+    base = float(marks.mean())
+    if not 0 < base < 1:
+        return Model(None, key, ids, nothing, nothing, base, base)
+    sent = docs.sparkSession.sparkContext.broadcast(data)
+    del data
+    voted = terms.select("doc_id", "toxic", "hashes", "counts").mapInArrow(
+        _votes(key, sent), "doc_id LONG, toxic INT, has_terms BOOLEAN, vote DOUBLE"
     )
-    idf = {r["term"]: math.log((1 + total) / (1 + r["df"])) + 1 for r in best}
-    place = {i: k for k, i in enumerate(ids)}
-    counts: list[dict[str, int]] = [{} for _ in ids]
-    for r in counted.filter(F.col("term").isin(*idf)).collect() if idf else []:
-        counts[place[r["doc_id"]]][r["term"]] = r["n"]
-    vectors = [vector(dict(sorted(c.items())), idf) for c in counts]
-    index = Index(vectors, list(idf))
-    raw, known = [], []
-    for e, own in enumerate(vectors):
-        near = index.nearest(own, NEIGHBOURS, but=e)
-        if near:
-            raw.append(round(_vote(near, marks, base), 9))
-            known.append(marks[e])
-    votes, rates = isotonic(np.array(raw), np.array(known)) if raw else (np.zeros(0), np.zeros(0))
-    without = [m for m, own in zip(marks, vectors, strict=True) if not own]
-    none_rate = (sum(without) + base) / (len(without) + 1)
-    return Model(idf, ids, marks, vectors, votes, rates, base, none_rate)
-
-
-_LIST_SCHEMA = "doc_id LONG, toxic INT, terms ARRAY<STRING>, counts ARRAY<INT>"
-
-
-def _list_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts = [Counter(terms_of(t)) for t in batch.column(2).to_pylist()]
-        for own in counts:
-            own.pop("", None)
-        lists = [
-            pa.array([list(own) for own in counts], pa.list_(pa.string())),
-            pa.array([list(own.values()) for own in counts], pa.list_(pa.int32())),
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), *lists], names=["doc_id", "toxic", "terms", "counts"]
-        )
-
-
-def _fitted_whole(examples: DataFrame) -> Whole:
-    """The model over all terms of ``examples`` (doc_id, toxic, text)."""
-    found = examples.mapInArrow(_list_rows, _LIST_SCHEMA).toArrow().sort_by("doc_id")
-    ids, marks = found["doc_id"].to_pylist(), found["toxic"].to_numpy().astype(float)
-    total, toxic = len(ids), marks.sum()
-    base = toxic / total if total else 0.0
-    if not 0 < toxic < total:
-        none = np.zeros(0)
-        starts = np.zeros(1, np.int64)
-        return Whole(
-            pa.array([], pa.string()), none, 0.0, [], none, starts, none.astype(int), none, none, none, base, base
-        )
-    sizes = np.array([len(c) for c in found["counts"]])
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    coded = pa.chunked_array([c.flatten() for c in found["terms"].chunks], pa.string()).combine_chunks()
-    coded = coded.dictionary_encode()
-    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
-    counts = np.concatenate([c.flatten().to_numpy() for c in found["counts"].chunks])
-    df = np.bincount(codes, minlength=len(coded.dictionary))
-    with_one = np.bincount(codes, np.repeat(marks, sizes), len(coded.dictionary))
-    odds = (with_one + PRIOR_EXAMPLES * base) / (df - with_one + PRIOR_EXAMPLES * (1 - base))
-    telling = np.maximum(np.log(odds * (1 - base) / base), 0)
-    idf = np.log((1 + total) / (1 + df)) + 1
-    term_weights = (telling + FLOOR) * idf
-    weights = (1 + np.log(counts)) * term_weights[codes]
-    place = np.repeat(np.arange(total), sizes)
-    weights /= np.sqrt(np.bincount(place, weights * weights, total))[place]
-    index = WholeIndex(starts, codes, weights, len(df))
-    own = [(codes[a:b], weights[a:b]) for a, b in zip(starts, starts[1:], strict=False)]
-    voted = [(near, m) for near, m in zip(index.nearest(own, NEIGHBOURS, but=0), marks, strict=True) if near]
-    raw = [round(_vote(near, marks, base), 9) for near, _ in voted]
-    known = [m for _, m in voted]
-    votes, rates = isotonic(np.array(raw), np.array(known)) if raw else (np.zeros(1), np.array([base]))
-    without = marks[sizes == 0]
-    none_rate = (without.sum() + base) / (len(without) + 1)
-    unknown = FLOOR * (math.log(1 + total) + 1)
-    return Whole(
-        coded.dictionary, term_weights, unknown, ids, marks, starts, codes, weights, votes, rates, base, none_rate
+    rows = sorted(tuple(r) for r in voted.collect())  # a row for each example
+    found = [(vote, toxic) for _, toxic, _, vote in rows if vote is not None]
+    raw, rate = (
+        isotonic(np.array([v for v, _ in found]), np.array([t for _, t in found], float))
+        if found
+        else (np.zeros(1), np.array([base]))
     )
+    without = [toxic for _, toxic, has_terms, _ in rows if not has_terms]
+    return Model(sent, key, ids, raw, rate, base, (sum(without) + base) / (len(without) + 1))
 
 
-#: The scorer that this worker made last, by the key of its broadcast model.
-_MADE: dict[str, WholeScorer] = {}
-
-
-def _scorer(model: Model | Whole):
-    """A function that gives a worker's scorer of the model."""
-    made: list[Scorer] = []
-    if isinstance(model, Model):
-
-        def scorer() -> Scorer:
-            if not made:
-                made.append(Scorer(model))
-            return made[0]
-
-        return scorer
-    sent = SparkSession.active().sparkContext.broadcast(model)
-    key = uuid.uuid4().hex
-
-    def shared() -> WholeScorer:
-        from probity.llm import toxicity  # the worker's module, kept from task to task
-
-        if key not in toxicity._MADE:
-            toxicity._MADE.clear()
-            toxicity._MADE[key] = WholeScorer(sent.value)
-        return toxicity._MADE[key]
-
-    return shared
-
-
-def scores(text: Column, model: Model | Whole) -> Column:
+def scores(text: Column, model: Model) -> Column:
     """The score of a text, 0 to 1, and the examples that speak for it."""
-    scorer = _scorer(model)
+    many = model.scorer()
 
     @F.pandas_udf(SCORE_TYPE)
     def score(texts: pd.Series) -> pd.DataFrame:
-        found = scorer().many(texts.tolist())
+        found = many(texts.tolist())
         names = ("doc_id", "cosine", "toxic")
         return pd.DataFrame(
             {
@@ -499,17 +510,17 @@ def scores(text: Column, model: Model | Whole) -> Column:
     return score(text)
 
 
-def only_score(text: Column, model: Model | Whole) -> Column:
+def only_score(text: Column, model: Model) -> Column:
     """The score alone."""
-    scorer = _scorer(model)
+    many = model.scorer()
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([s for s, _ in scorer().many(texts.tolist())], dtype="float64")
+        return pd.Series([s for s, _ in many(texts.tolist())], dtype="float64")
 
     return score(text)
 
 
-def score_documents(docs: DataFrame, model: Model | Whole) -> DataFrame:
+def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score and evidence of every row; a NULL or empty text has the rate of texts without terms."""
     return docs.select("doc_id", scores(F.col("text"), model).alias("s")).select("doc_id", "s.*")

@@ -92,3 +92,31 @@ def test_long_text_and_empty_table(spark):
 def test_marks_that_cannot_be_escaped_are_refused(marks):
     with pytest.raises(ValueError, match="mark"):
         Template(turns={"user": Turn(*marks)}, follows={"": ("user",)})
+
+
+def test_query_with_broken_orders_equals_its_sql(spark, tmp_path):
+    """The machine's findings on wrong, unknown and missing roles, in the query as in its SQL."""
+    import duckdb
+    from compare import oracle_bag, spark_bag
+
+    from probity.llm.oracle import OP3
+    from probity.llm.queries import op3_chat
+
+    kinds = [
+        ["system", "user", "assistant"], ["user", "user", "assistant"], ["assistant"], ["system", "system", "user"],
+        ["user", "assistant", "tool", "user"], [None, "user"], ["user", "assistant", "assistant", "user", "system"], ["user"],
+    ]
+    given = [(c, k, role, f"text {k} </s> [INST]") for c, roles in enumerate(kinds) for k, role in enumerate(roles)]
+    given += [(50, None, "user", "no turn"), (50, 1, "assistant", None), (50, 1, "assistant", "")]
+    path = tmp_path / "conversations.parquet"
+    spark.createDataFrame(given, "conv_id LONG, turn LONG, role STRING, text STRING").coalesce(1).write.parquet(str(path))
+    query = op3_chat(spark, str(tmp_path))
+    assert "aggregate(" in query._jdf.queryExecution().optimizedPlan().toString()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    assert spark_bag(query) == oracle_bag(con, OP3)
+    found = {r["conv_id"]: (r["valid"], r["first_wrong"]) for r in query.collect()}
+    assert [found[c] for c in range(8)] == [
+        (True, None), (False, 1), (False, 0), (False, 1), (False, 2), (False, 0), (False, 2), (True, None),
+    ]
+    assert found[50] == (False, 2) and found[-7] == (True, None)

@@ -4,34 +4,117 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from texts import DOCS, odd_rows, with_clashes
 
 from probity.llm import toxicity
 from probity.llm.queries import QUERIES, held_out
+from probity.llm.scratch import new_folder
 
+LARGE = "/root/testdata/sf0.1"
+needs_large = pytest.mark.skipif(not Path(LARGE).exists(), reason="test tables are not there")
 
-def test_index_finds_the_exact_neighbours():
-    rng = random.Random(5)
-    terms = [f"t{k}" for k in range(30)]
-    idf = {t: 1 + k / 10 for k, t in enumerate(terms)}
-    vectors = [
-        toxicity.vector({t: rng.randint(1, 5) for t in rng.sample(terms, rng.randint(0, 6))}, idf)
-        for _ in range(500)
-    ]
-    index = toxicity.Index(vectors, terms)
-    for but in (-1, 3, 77):
-        query = vectors[77] if but == 77 else vectors[rng.randrange(500)]
-        cosines = [
-            (round(sum(w * v.get(t, 0.0) for t, w in query.items()), 12), -e) for e, v in enumerate(vectors)
-        ]
-        want = sorted([c for c in cosines if c[0] > 0 and -c[1] != but], reverse=True)[:25]
-        got = index.nearest(query, 25, but)
-        assert np.allclose([c for _, c in got], [c for c, _ in want])
-        assert [e for e, _ in got] == [-e for _, e in want]
-    assert index.nearest({}, 25) == []
+
+def fitted(spark, docs, labels, learn, **how):
+    return toxicity.fit(docs, labels, learn, new_folder(spark), **how)
+
+
+class Plain:
+    """The same model as dictionaries, over all cosines."""
+
+    def __init__(self, examples):
+        """``examples``: doc_id, label, text, each text once."""
+        self.examples = sorted(examples)
+        self.terms = [self._terms(t) for _, _, t in self.examples]
+        total, self.labels = len(examples), [y for _, y, _ in self.examples]
+        self.base = sum(self.labels) / total
+        df, ones = Counter(), Counter()
+        for own, y in zip(self.terms, self.labels, strict=True):
+            df.update(own.keys())
+            ones.update(own.keys() if y else ())
+        a, b = toxicity.PRIOR_EXAMPLES * self.base, toxicity.PRIOR_EXAMPLES * (1 - self.base)
+        self.weight = {}
+        for t, n in df.items():
+            telling = math.log((ones[t] + a) / (n - ones[t] + b) * (1 - self.base) / self.base)
+            self.weight[t] = (max(telling, 0) + toxicity.FLOOR) * (math.log((1 + total) / (1 + n)) + 1)
+        self.unknown = toxicity.FLOOR * (math.log(1 + total) + 1)
+        self.vectors = [self.vector(t) for t in self.terms]
+
+    @staticmethod
+    def _terms(text):
+        found = Counter(toxicity.terms_of(text))
+        found.pop("", None)
+        return found
+
+    def vector(self, terms):
+        own = {t: (1 + math.log(n)) * self.weight.get(t, self.unknown) for t, n in terms.items()}
+        length = math.sqrt(sum(w * w for w in own.values()))
+        return {t: w / length for t, w in own.items()}
+
+    def nearest(self, text, but=None):
+        query = self.vector(self._terms(text))
+        found = []
+        for e, v in enumerate(self.vectors):
+            cosine = round(sum(w * v.get(t, 0.0) for t, w in query.items()), 12)
+            if cosine > 0 and e != but:
+                found.append((-cosine, e))
+        return [(e, -c) for c, e in sorted(found)[: toxicity.NEIGHBOURS]]
+
+    def vote(self, near):
+        return (sum(c * self.labels[e] for e, c in near) + self.base) / (sum(c for _, c in near) + 1)
+
+
+def random_vectors(rng, number, terms):
+    """Sparse vectors of length one whose terms come in groups, as those of languages do."""
+    found = []
+    for _ in range(number):
+        group = rng.randrange(4) * terms // 4
+        own = sorted({group + int(terms / 4 * rng.random() ** 3) for _ in range(rng.randint(0, 60))})
+        weights = np.array([rng.random() ** 3 + 0.01 for _ in own])
+        found.append((np.array(own, np.int64), weights / (np.sqrt(weights @ weights) or 1), group))
+    return found
+
+
+@pytest.mark.parametrize("frequent", [20, 150, 400])
+def test_index_finds_the_exact_neighbours_and_skips_blocks(monkeypatch, frequent):
+    monkeypatch.setattr(toxicity, "FREQUENT", frequent)
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    rng = random.Random(9)
+    vectors = random_vectors(rng, 900, 400)
+    starts = np.cumsum([0, *[len(c) for c, _, _ in vectors]])
+    codes = np.concatenate([c for c, _, _ in vectors]).astype(np.int32)
+    weights = np.concatenate([w for _, w, _ in vectors])
+    index = toxicity.Index(starts, codes, weights, 400, np.array([g for _, _, g in vectors]))
+    whole = np.zeros((900, 400))
+    for row, (c, w, _) in zip(whole, vectors, strict=True):
+        row[c] = w
+    cosines = np.round(whole @ whole.T, 12)
+    chosen = list(range(0, 900, 7))
+    for but in (None, chosen):
+        found = index.nearest([vectors[e][:2] for e in chosen], 10, but)
+        for e, near in zip(chosen, found, strict=True):
+            own = cosines[e].copy()
+            if but:
+                own[e] = 0
+            order = [k for k in np.lexsort((np.arange(900), -own))[:10] if own[k] > 0]
+            assert np.allclose([c for _, c in near], own[order])
+            assert [k for k, _ in near] == order
+    assert index.skipped > 0.4 * (index.skipped + index.looked_at)
+    assert index.nearest([(np.zeros(0, int), np.zeros(0))], 10) == [[]]
+
+
+def test_stored_examples_are_loaded_again():
+    rows = [(7, 1, *toxicity.counted("a b b longer longest")), (3, 0, *toxicity.counted("")), (5, 0, *toxicity.counted("b c"))]
+    one = toxicity.Examples.of(rows)
+    other = toxicity.Examples.loaded(one.stored())
+    for name in ("ids", "labels", "starts", "codes", "counts", "terms", "df", "ones"):
+        assert np.array_equal(getattr(one, name), getattr(other, name))
+    assert one.ids.tolist() == [3, 5, 7]
 
 
 def test_isotonic_rates_rise_and_keep_the_mean():
@@ -48,8 +131,35 @@ def test_terms_of_a_text():
     assert toxicity.terms_of(None) == []
 
 
+def test_every_score_of_the_query_is_that_of_all_cosines(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", held_out().alias("held_out"))
+    labels = dict(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").collect())
+    rows = sorted(tuple(r) for r in docs.collect())
+    once = {}
+    for i, text, out in rows:
+        if labels.get(i) is not None and not out:
+            once.setdefault(text or "", (i, labels[i], text))
+    plain = Plain(list(once.values()))
+    voted = [(plain.nearest(t, e), y) for e, (_, y, t) in enumerate(plain.examples)]
+    raw, rate = toxicity.isotonic(
+        np.array([round(plain.vote(n), 9) for n, _ in voted if n]), np.array([y for n, y in voted if n], float)
+    )
+    found = {r["doc_id"]: r for r in QUERIES["op6_toxicity"](spark, sf_dir).collect()}
+    assert len(found) == len(rows)
+    for i, text, out in rows:
+        near, r = plain.nearest(text), found[i]
+        assert r["held_out"] is out
+        assert np.allclose(r["evidence_cosine"], [c for _, c in near], atol=1e-11)
+        assert r["evidence"] == [plain.examples[e][0] for e, _ in near]
+        assert r["evidence_toxic"] == [plain.labels[e] for e, _ in near]
+        if near:
+            assert r["score"] == pytest.approx(float(np.interp(plain.vote(near), raw, rate)), abs=1e-6)
+        assert r["predicted"] == int(r["score"] >= 0.3)
+
+
+@needs_large
 def test_held_out_documents_are_told_apart(spark):
-    sf_dir = "/root/testdata/sf0.1"
+    sf_dir = LARGE
     got = QUERIES["op6_toxicity"](spark, sf_dir).filter("held_out")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     rows = got.join(labels, "doc_id").collect()
@@ -68,14 +178,15 @@ def test_nothing_but_the_texts_and_the_learned_labels_counts(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     learn = F.col("doc_id") % 3 != 0
-    one = toxicity.fit(docs, labels, learn)
-    other = toxicity.fit(
+    one = fitted(spark, docs, labels, learn)
+    other = fitted(
+        spark,
         docs.withColumn("lang", F.lit("x")),
         labels.withColumn("toxic", F.when(learn, F.col("toxic")).otherwise(1 - F.col("toxic"))),
         learn,
     )
-    assert one.idf == other.idf
-    assert one.vectors == other.vectors
+    assert one.ids == other.ids
+    assert one.sent.value == other.sent.value
     assert one.rate.tolist() == other.rate.tolist()
 
 
@@ -85,57 +196,46 @@ def test_odd_rows_and_no_labels(spark):
         [(4, 1, "t"), (4, 0, "t"), (5, None, "t"), (None, 1, "t"), (6, 0, "t"), (500, 1, "t")],
         "doc_id LONG, toxic INT, text STRING",
     )
-    model = toxicity.fit(docs, labels, F.lit(True))
+    model = fitted(spark, docs, labels, F.lit(True))
     assert model.ids == [4, 6]
     scored = toxicity.score_documents(docs, model).collect()
     assert len(scored) == len(odd_rows())
     assert all(0 <= r["score"] <= 1 for r in scored)
-    none = toxicity.fit(docs, labels.limit(0), F.lit(True))
+    none = fitted(spark, docs, labels.limit(0), F.lit(True))
     assert {r["score"] for r in toxicity.score_documents(docs, none).collect()} == {0.0}
     assert toxicity.score_documents(docs.limit(0), model).count() == 0
+    ones = fitted(spark, docs, labels.filter("toxic = 1"), F.lit(True))
+    assert {r["score"] for r in toxicity.score_documents(docs, ones).collect()} == {1.0}
+
+
+def test_examples_are_bounded_in_number_and_bytes(spark):
+    docs = spark.createDataFrame([(i, f"text {i} " + "x" * 100) for i in range(50)], "doc_id LONG, text STRING")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id LONG, toxic INT")
+    few = fitted(spark, docs, labels, F.lit(True), examples=12)
+    assert len(few.ids) == 12
+    assert set(fitted(spark, docs, labels, F.lit(True), examples=12, most=500).ids) < set(few.ids)
+    assert len(fitted(spark, docs, labels, F.lit(True), most=1).ids) == 1
 
 
 def test_evidence_names_the_examples(spark):
     texts = [(i, f"{'scum' if i % 2 else 'kind'} word{i} and more") for i in range(40)]
     docs = spark.createDataFrame([*texts, (99, "such scum!"), (98, "plain")], "doc_id LONG, text STRING")
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id LONG, toxic INT")
-    model = toxicity.fit(docs, labels, F.lit(True))
-    assert set(model.idf) == {"scum"}
+    model = fitted(spark, docs, labels, F.lit(True))
     got = {r["doc_id"]: r for r in toxicity.score_documents(docs, model).collect()}
     assert got[99]["score"] > 0.9
-    assert all(e["toxic"] == 1 and math.isclose(e["cosine"], 1.0) for e in got[99]["evidence"])
+    assert len(got[99]["evidence"]) == toxicity.NEIGHBOURS
+    assert all(e["toxic"] == 1 and e["cosine"] > 0.5 for e in got[99]["evidence"])
     assert got[98]["evidence"] == []
 
 
-def test_whole_index_finds_the_exact_neighbours(monkeypatch):
-    monkeypatch.setattr(toxicity, "FREQUENT", 50)
-    rng = random.Random(9)
-    terms = [f"t{k}" for k in range(400)]
-    idf = {t: 1 + (k % 40) ** 2 / 50 for k, t in enumerate(terms)}
-    vectors = [
-        toxicity.vector({t: rng.randint(1, 5) for t in rng.sample(terms, rng.randint(0, 60))}, idf)
-        for _ in range(700)
-    ]
-    starts = np.cumsum([0, *map(len, vectors)])
-    codes = np.array([terms.index(t) for v in vectors for t in v])
-    weights = np.array([w for v in vectors for w in v.values()])
-    queries = [(codes[a:b], weights[a:b]) for a, b in zip(starts, starts[1:], strict=False)]
-    found = toxicity.WholeIndex(starts, codes, weights, len(terms)).nearest(queries, 10, but=0)
-    for e in range(0, 700, 20):
-        cosines = [(round(sum(w * v.get(t, 0.0) for t, w in vectors[e].items()), 12), -k) for k, v in enumerate(vectors)]
-        want = sorted([c for c in cosines if c[0] > 0 and -c[1] != e], reverse=True)[:10]
-        got = found[e]
-        assert np.allclose([c for _, c in got], [c for c, _ in want])
-        assert [k for k, _ in got] == [-k for _, k in want]
-
-
 def test_few_labels_tell_rare_toxic_words(spark):
     rng = random.Random(2)
     plain = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(12)) for _ in range(60)]
     texts = [(i, t + (" vermin dregs" if i % 20 == 0 else "")) for i, t in enumerate(plain)]
     docs = spark.createDataFrame([*texts, (99, "you dregs"), (98, plain[1])], "doc_id LONG, text STRING")
     labels = spark.createDataFrame([(i, int(i % 20 == 0)) for i in range(60)], "doc_id LONG, toxic INT")
-    model = toxicity.fit(docs, labels, F.lit(True), whole=True)
+    model = fitted(spark, docs, labels, F.lit(True))
     got = {r["doc_id"]: r for r in toxicity.score_documents(docs, model).collect()}
     assert got[99]["score"] > 0.3 > got[98]["score"]
     assert {e["doc_id"] for e in got[99]["evidence"] if e["toxic"]} == {0, 20, 40}
@@ -148,25 +248,13 @@ def test_query_catches_toxic_documents_at_the_smallest_size(spark, sf_dir):
     assert all(r["predicted"] for r in rows)
 
 
-def test_whole_models_stand_odd_rows_and_no_labels(spark):
-    docs = with_clashes(spark.createDataFrame(odd_rows(), DOCS))
-    labels = spark.createDataFrame([(4, 1), (4, 0), (5, None), (6, 0), (500, 1)], "doc_id LONG, toxic INT")
-    model = toxicity.fit(docs, labels, F.lit(True), whole=True)
-    assert model.ids == [4, 6]
-    scored = toxicity.score_documents(docs, model).collect()
-    assert len(scored) == len(odd_rows())
-    assert all(0 <= r["score"] <= 1 for r in scored)
-    none = toxicity.fit(docs, labels.limit(0), F.lit(True), whole=True)
-    assert {r["score"] for r in toxicity.score_documents(docs, none).collect()} == {0.0}
-    assert toxicity.score_documents(docs.limit(0), model).count() == 0
-
-
+@needs_large
 def test_a_word_tells_less_in_a_long_clean_text(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
+    docs = spark.read.parquet(f"{LARGE}/documents.parquet")
+    labels = spark.read.parquet(f"{LARGE}/labels.parquet").select("doc_id", "toxic")
     clean = docs.join(labels.filter("toxic = 0"), "doc_id").filter(held_out())
     longest = clean.orderBy(F.desc(F.length("text")), "doc_id").first()["text"]
-    model = toxicity.fit(docs, labels, ~held_out(), whole=True)
+    model = fitted(spark, docs, labels, ~held_out())
     texts = [(1, longest), (2, longest + " trash"), (3, "you are trash")]
     given = spark.createDataFrame(texts, "doc_id LONG, text STRING")
     got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(given, model).collect()}
