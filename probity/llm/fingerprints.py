@@ -25,7 +25,7 @@ from probity.llm.shingles import U, batches, mixed, shingle_hashes
 
 WORDS = 5
 BINS = 512
-BITS = 3
+BITS = 4
 #: Rows taken from an Arrow batch at once.
 ROWS = 500
 
