@@ -19,7 +19,7 @@ MASK = "[SECRET]"
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    model = toxicity.fit(docs, labels, F.lit(True), whole=True)
+    model = toxicity.fit(docs, labels, F.lit(True), new_folder(spark))
     return docs.filter(toxicity.only_score(F.col("text"), model) < TOXIC_FROM)
 
 
