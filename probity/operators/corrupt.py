@@ -65,18 +65,25 @@ def copied_key(column: str, where: str, other: str) -> Defect:
     return Defect(column, where, other)
 
 
-def inject(df: DataFrame, defects: Sequence[Defect]) -> DataFrame:
-    for defect in defects:
+def inject(df: DataFrame, defects: Sequence[Defect], mask: str | None = None) -> DataFrame:
+    """The table with its defects.
+
+    ``mask`` names a further column whose bit k says whether defect k hit the row,
+    even where a later one has overwritten it; it holds 63 defects.
+    """
+    if mask:
+        if len(defects) > 63:
+            raise ValueError("a mask holds 63 defects")
+        df = df.withColumn(mask, F.expr("0L"))
+    for place, defect in enumerate(defects):
+        if mask:
+            bit = f"{ticked(mask)} | CASE WHEN {defect.where} THEN {1 << place}L ELSE 0L END"
+            df = df.withColumn(mask, F.expr(bit))
         hit = f"CASE WHEN {defect.where} THEN {defect.value} ELSE {ticked(defect.column)} END"
         df = df.withColumn(defect.column, F.expr(hit))
     return df
 
 
-def sample_at_most(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Exactly ``n`` rows, or all if there are fewer, in the order of a hash of the key."""
-    return df.orderBy(F.expr(f"md5(CAST({ticked(key)} AS STRING))"), ticked(key)).limit(n)
-
-
 # Fixed values.
 AUDIT_EVENTS = ("CREATED", "UPDATED", "REVIEWED", "FLAGGED", "APPROVED")
 AUDIT_USERS = range(10, 25)

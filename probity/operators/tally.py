@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from probity.functions import fold_nan
+from probity.functions import fold_nan, quoted
 from probity.functions.missing import folded
 from probity.model import Check, ForeignKey, UniqueKey
 
@@ -81,11 +81,12 @@ def entries(
     tables: Mapping[str, DataFrame],
     datasets: Sequence[str],
     more: Sequence[Column] = (),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """The entries of the rows of ``df``, which are rows of the dataset ``name``.
 
     ``tables`` has the types that foreign keys are compared by; ``more`` are further
-    entries of each row, which may be NULL.
+    entries of each row, which may be NULL. Columns of ``keep`` stay beside the entries.
     """
     from probity.operators.measure import comparable
 
@@ -111,7 +112,7 @@ def entries(
         elif set(rule.needs) <= set(df.columns):
             violated = rule.violated if isinstance(rule.violated, Column) else F.expr(rule.violated)
             found.append(F.when(violated, _entry(slot)))
-    return fold_nan(df).select(F.inline(F.filter(F.array(*found), lambda e: e.isNotNull())))
+    return fold_nan(df).select(*keep, F.inline(F.filter(F.array(*found), lambda e: e.isNotNull())))
 
 
 def tally(counted: DataFrame) -> DataFrame:
@@ -163,19 +164,27 @@ def counts(
         F.map_from_entries(F.collect_list(F.struct("slot", F.struct("rows", "repeated", "orphaned")))).alias("found")
     )
 
-    def of(slot: int, column: str) -> str:
-        return f"coalesce(try_element_at(found, {slot}).{column}, 0L)"
-
     rows = []
     for slot, check in enumerate(checks, 1):
-        if not applies[slot - 1]:
-            continue
-        if isinstance(check.rule, ForeignKey):
-            affected = of(slot, "orphaned")
-        else:
-            affected = of(slot, "repeated" if isinstance(check.rule, UniqueKey) else "rows")
-        rows.append(bound(slot, check, affected, of(total_slot(names, check.dataset), "rows")))
-    return whole.selectExpr(f"inline(array({', '.join(rows)}))")
+        if applies[slot - 1]:
+            kind = {ForeignKey: "orphaned", UniqueKey: "repeated"}.get(type(check.rule), "rows")
+            total = total_slot(names, check.dataset)
+            rows.append(f"struct({bound(slot, check, '0L', '0L')} AS c, {quoted(kind)} AS kind, {total} AS total)")
+    listed = whole.selectExpr("found", f"inline(array({', '.join(rows)}))")
+    own = "try_element_at(found, CAST(c.check_seq AS INT))"
+    affected = f"CASE kind WHEN 'rows' THEN {own}.rows WHEN 'repeated' THEN {own}.repeated ELSE {own}.orphaned END"
+    return listed.selectExpr(
+        "c.check_seq",
+        "c.dataset",
+        "c.dimension",
+        "c.field",
+        "c.description",
+        f"coalesce({affected}, 0L) AS affected_rows",
+        "coalesce(try_element_at(found, total).rows, 0L) AS total_rows",
+        "c.above_pct",
+        "c.level",
+        "c.otherwise",
+    )
 
 
 def all_plain(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> bool:

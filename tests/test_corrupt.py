@@ -1,8 +1,14 @@
 from __future__ import annotations
 
+import hashlib
 from datetime import date
 
-from probity.operators import corrupt
+import pytest
+
+from probity import Check, ForeignKey, RowRule, Severity, UniqueKey
+from probity.operators import corrupt, sample
+from probity.operators.detect import detection
+from probity.operators.sample import FEW, sample_at_most
 from probity.plans.filings import REGISTER, RETURNS, database_metrics
 
 
@@ -72,10 +78,10 @@ def test_selection_does_not_depend_on_partitions(spark):
 
 def test_sample_and_events(spark):
     df = spark.range(1000).selectExpr("format_string('RET-%05d', id) AS return_id")
-    sample = corrupt.sample_at_most(df, "return_id", 50)
+    sample = sample_at_most(df, "return_id", 50)
     assert sample.count() == 50
-    assert {r[0] for r in sample.collect()} == {r[0] for r in corrupt.sample_at_most(df.repartition(7), "return_id", 50).collect()}
-    assert corrupt.sample_at_most(df, "return_id", 5000).count() == 1000
+    assert {r[0] for r in sample.collect()} == {r[0] for r in sample_at_most(df.repartition(7), "return_id", 50).collect()}
+    assert sample_at_most(df, "return_id", 5000).count() == 1000
 
     events = corrupt.audit_events(df, "return_id").collect()
     per_return = {}
@@ -96,3 +102,68 @@ def test_sample_and_events(spark):
 
 def test_share_is_not_cut(spark):
     assert corrupt.share("id", 0.29, 1).endswith("< 2900")
+
+
+def _in_order(data, key=0):
+    """Rows by the digest of their key, NULL first."""
+    return sorted(data, key=lambda r: hashlib.md5(str(r[key]).encode()).hexdigest() if r[key] is not None else "")
+
+
+@pytest.mark.parametrize("few", [FEW, 20])
+def test_samples_of_every_size_are_exact(rows, monkeypatch, few):
+    monkeypatch.setattr(sample, "FEW", few)
+    data = [(k, k % 7) for k in range(3000)] + [(None, 1)]
+    df = rows("id LONG, v INT", data)
+    want = _in_order(data)
+    for n in (0, 1, 2, 19, 333, 1000, 2999, 3000, 3001, 5000):
+        assert set(map(tuple, sample_at_most(df, "id", n).collect())) == set(want[:n])
+    text = sample_at_most(df, "id", 1000)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in text and "Exchange" not in text and "Sort" not in text
+
+
+def test_samples_cut_through_rows_of_one_key_and_through_equal_rows(rows, monkeypatch):
+    monkeypatch.setattr(sample, "FEW", 5)
+    data = [("hot", k) for k in range(200)] + [("hot", None)] * 50 + [(f"k{k}", 0) for k in range(100)]
+    df = rows("id STRING, v INT", data)
+    before = sum(hashlib.md5(f"k{k}".encode()).digest() < hashlib.md5(b"hot").digest() for k in range(100))
+    for n in (before, before + 1, before + 120, before + 249, before + 250, 349):
+        got = sample_at_most(df, "id", n).collect()
+        assert len(got) == n
+        assert sum(r.id == "hot" for r in got) == min(n - before, 250)
+        assert len({r.v for r in got if r.id == "hot" and r.v is not None}) == sum(r.id == "hot" and r.v is not None for r in got)
+    same = rows("id INT", [(1,)] * 500)
+    assert sample_at_most(same, "id", 123).count() == 123
+    assert sample_at_most(same.limit(0), "id", 5).count() == 0
+
+
+def test_mask_has_every_defect_that_hit_a_row(spark):
+    df = spark.range(12).selectExpr("id", "id AS v")
+    defects = [corrupt.null_out("v", "id % 2 = 0"), corrupt.Defect("v", "id % 3 = 0", "-1L"), corrupt.Defect("v", "v < 0", "9L")]
+    got = {r.id: (r.v, r.m) for r in corrupt.inject(df, defects, mask="m").collect()}
+    assert got[0] == (9, 0b111) and got[1] == (1, 0) and got[2] == (None, 0b001) and got[3] == (9, 0b110)
+    assert corrupt.inject(df, defects).columns == ["id", "v"]
+    with pytest.raises(ValueError, match="63"):
+        corrupt.inject(df, defects * 22, mask="m")
+
+
+def test_detection_says_which_check_catches_which_defect(rows):
+    # id, key, v, mask: bit 0 a doubled id, bit 1 a negative value, bit 2 an unknown key
+    data = [(1, "a", 1, 0), (1, "a", 2, 1), (2, "b", -1, 2), (3, "x", -2, 6), (4, None, 3, 4), (5, "b", 3, None), (1, "z", -4, 7)]
+    child = rows("id INT, key STRING, v INT, mask LONG", data)
+    parent = rows("k STRING", [("a",), ("b",), ("b",)])
+    checks = [
+        Check("c", UniqueKey(("id",))),
+        Check("c", RowRule("Validity", "v", "negative", "v < 0", ("v",), Severity("HIGH"))),
+        Check("c", ForeignKey("key", "p", "k", "orphan")),
+        Check("c", RowRule("Validity", "w", "not there", "w < 0", ("w",), Severity("HIGH"))),
+        Check("p", UniqueKey(("k",))),
+    ]
+    got = detection({"c": child, "p": parent}, checks, "c", "mask", ["double", "negative", "unknown", "never"])
+    assert got._jdf.queryExecution().executedPlan().toString().count("Scan") == 2
+    assert {(r.defect, r.check_seq): (r.injected, r.caught, r.missed) for r in got.collect()} == {
+        ("double", 1): (2, 2, 0), ("double", 2): (2, 1, 1), ("double", 3): (2, 1, 1),
+        ("negative", 1): (3, 1, 2), ("negative", 2): (3, 3, 0), ("negative", 3): (3, 2, 1),
+        ("unknown", 1): (3, 1, 2), ("unknown", 2): (3, 2, 1), ("unknown", 3): (3, 2, 1),
+        ("never", 1): (0, 0, 0), ("never", 2): (0, 0, 0), ("never", 3): (0, 0, 0),
+    }
+    assert detection({"c": child.limit(0), "p": parent}, checks, "c", "mask", ["a"]).collect()[0].injected == 0

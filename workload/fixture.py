@@ -62,23 +62,27 @@ def sound_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_KEY = "src_seq"
+DEFECTS = [
+    corrupt.copied_key("return_id", corrupt.every(_KEY, 33, 5), f"{_KEY} - 1"),
+    corrupt.Defect("tin", corrupt.every(_KEY, 40, 9), NO_CUSTOMER),
+    corrupt.orphan("tin", corrupt.every(_KEY, 25, 3)),
+    corrupt.null_out("tin", corrupt.every(_KEY, 20, 7)),
+    corrupt.Defect("period_end", corrupt.every(_KEY, 50, 21), "period_start"),
+    corrupt.fixed("filing_date", corrupt.every(_KEY, 33, 8), FUTURE),
+    corrupt.negate("amount_due", corrupt.every(_KEY, 33, 14)),
+    corrupt.null_out("amount_due", corrupt.every(_KEY, 25, 11)),
+    corrupt.fixed("currency", corrupt.every(_KEY, 25, 17), "USD"),
+]
+DEFECT_NAMES = (
+    "copied key", "no customer", "orphan", "missing key", "empty period", "future", "negative", "missing amount",
+    "currency",
+)
+
+
 def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The filings with their defects; where two meet, the last in the list wins."""
-    key = "src_seq"
-    return corrupt.inject(
-        sound_filings(spark, sf_dir),
-        [
-            corrupt.copied_key("return_id", corrupt.every(key, 33, 5), f"{key} - 1"),
-            corrupt.Defect("tin", corrupt.every(key, 40, 9), NO_CUSTOMER),
-            corrupt.orphan("tin", corrupt.every(key, 25, 3)),
-            corrupt.null_out("tin", corrupt.every(key, 20, 7)),
-            corrupt.Defect("period_end", corrupt.every(key, 50, 21), "period_start"),
-            corrupt.fixed("filing_date", corrupt.every(key, 33, 8), FUTURE),
-            corrupt.negate("amount_due", corrupt.every(key, 33, 14)),
-            corrupt.null_out("amount_due", corrupt.every(key, 25, 11)),
-            corrupt.fixed("currency", corrupt.every(key, 25, 17), "USD"),
-        ],
-    )
+    return corrupt.inject(sound_filings(spark, sf_dir), DEFECTS)
 
 
 def register(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -392,7 +392,38 @@ def _steps(steps: list[tuple]) -> str:
     return f"WITH {FILINGS},{REGISTER},{CLEAN} {found}"
 
 
+_HITS = {
+    "copied key": "src_seq % 33 = 5", "no customer": "src_seq % 40 = 9", "orphan": "src_seq % 25 = 3",
+    "missing key": "src_seq % 20 = 7", "empty period": "src_seq % 50 = 21", "future": "src_seq % 33 = 8",
+    "negative": "src_seq % 33 = 14", "missing amount": "src_seq % 25 = 11", "currency": "src_seq % 25 = 17",
+    "none": "src_seq % 60 = 13",
+}
+
+
+def _detection() -> str:
+    """Rows of each defect that each check on filings finds."""
+    checks = [c for c in EVERY_CHECK if c[0] == RETURNS_SET]
+    flags = []
+    for seq, (_, dimension, _, _, bad, _, _) in enumerate(checks, 1):
+        if dimension == "Uniqueness":
+            bad = "count(*) OVER (PARTITION BY return_id) > 1"
+        flags.append(f"coalesce({bad}, false) AS c{seq}")
+    rows = " UNION ALL ".join(
+        f"SELECT '{name}' AS defect, CAST({seq} AS BIGINT) AS check_seq, {_text(check[1])} AS dimension, "
+        f"{_text(check[2])} AS field, count(*) FILTER ({hit}) AS injected, count(*) FILTER ({hit} AND c{seq}) AS caught, "
+        f"count(*) FILTER ({hit} AND NOT c{seq}) AS missed FROM flagged"
+        for name, hit in _HITS.items()
+        for seq, check in enumerate(checks, 1)
+    )
+    return f"WITH {FILINGS},{REGISTER}, flagged AS (SELECT src_seq, {', '.join(flags)} FROM filings f) {rows}"
+
+
 ORACLE: dict[str, str] = {
+    "inject_detection": _detection(),
+    "audit_sample_third": """
+WITH placed AS (SELECT l_orderkey, row_number() OVER (ORDER BY md5(CAST(l_orderkey AS VARCHAR)),
+    md5('{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || '}')) AS place FROM lineitem)
+SELECT l_orderkey, count(*) AS lines FROM placed WHERE place <= (SELECT count(*) // 3 FROM lineitem) GROUP BY l_orderkey""",
     "dq_completeness": _metrics(NULLS, FILINGS),
     "dq_validity": _metrics(VALIDITY, FILINGS),
     "dq_key_pattern": _metrics(

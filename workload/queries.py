@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from probity.functions import last_chars, quoted, surrogate_id
 from probity.model import ISSUE_COLUMNS, Check, ForeignKey, UniqueKey
 from probity.operators import corrupt, rules
+from probity.operators.detect import detection
 from probity.operators.measure import issues, measure
 from probity.operators.membership import duplicate_rows, orphan_rows
 from probity.operators.profile import missing_before_after, quick_stats, sample_rows
 from probity.operators.remedy import keep_first
+from probity.operators.sample import sample_at_most
 from probity.plans import lineage, report
 from probity.plans.filings import (
     HOME_CURRENCY,
@@ -25,6 +27,7 @@ from probity.plans.filings import (
     clean_returns,
     completeness_rules,
     consistency_rules,
+    database_checks,
     database_metrics,
     registered_tin,
     summarise_cleaning,
@@ -39,6 +42,8 @@ from probity.sources.catalogue import dataset_rows, dq_run_row, transformation_r
 from workload.fixture import (
     AS_OF,
     COLUMNS,
+    DEFECT_NAMES,
+    DEFECTS,
     FUTURE,
     RUN_TS,
     filings,
@@ -352,7 +357,24 @@ def inject_defects(spark: SparkSession, d: str) -> DataFrame:
 
 
 def audit_sample(spark: SparkSession, d: str) -> DataFrame:
-    return corrupt.sample_at_most(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 500)
+    return sample_at_most(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 500)
+
+
+def audit_sample_third(spark: SparkSession, d: str) -> DataFrame:
+    """A third of the lines, chosen by their order, whose lines are told apart by the whole row."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return sample_at_most(lines, "l_orderkey", lines.count() // 3).groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("lines")
+    )
+
+
+def inject_detection(spark: SparkSession, d: str) -> DataFrame:
+    """Which of the filings' defects which checks on filings catch."""
+    defects = [*DEFECTS, corrupt.Defect("filing_status", corrupt.every("src_seq", 60, 13), "filing_status")]
+    raw = corrupt.inject(sound_filings(spark, d), defects, mask="defects")
+    tables = {RETURNS: raw, REGISTER: register(spark, d)}
+    checks = [c for c in database_checks(AS_OF, COLUMNS) if c.dataset == RETURNS]
+    return detection(tables, checks, RETURNS, "defects", [*DEFECT_NAMES, "none"])
 
 
 def audit_expand(spark: SparkSession, d: str) -> DataFrame:
@@ -680,6 +702,8 @@ QUERIES: dict[str, Query] = {
     "dq_run_log": dq_run_log,
     "inject_defects": inject_defects,
     "audit_sample": audit_sample,
+    "audit_sample_third": audit_sample_third,
+    "inject_detection": inject_detection,
     "audit_expand": audit_expand,
     "csv_roundtrip": csv_roundtrip,
     "summary_roundtrip": summary_roundtrip,
