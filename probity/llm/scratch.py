@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,14 @@ def new_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer if ``df`` has a column of it, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def in_files(df: DataFrame, rows: int) -> DataFrame:
     """``df``, of about so many narrow rows, in as few partitions as these make files of fair size."""
     return df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
@@ -52,3 +61,20 @@ def saved(df: DataFrame, folder: str, name: str, rows: int | None = None) -> Dat
     path = f"{folder}/{name}"
     (df if rows is None else in_files(df, rows)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: What this Python worker keeps from task to task: one thing at most.
+_KEPT: dict[object, object] = {}
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept by the worker until something else is."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def let_go() -> None:
+    """Free what the worker keeps from an operator before this one."""
+    _KEPT.clear()

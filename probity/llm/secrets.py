@@ -11,13 +11,18 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from probity.llm.scratch import free_name
+
+#: Finds whose places are added up at once, and characters of a chunk of text.
+BLOCK, CHUNK = 256, 4096
+
 
 @dataclass(frozen=True)
 class SecretRule:
@@ -55,11 +60,32 @@ def blob_of(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is taken once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _in_blocks(items: Column) -> Column:
+    """An array as arrays of BLOCK items, one of them at least."""
+    places = F.sequence(F.lit(0), F.greatest(F.size(items) - 1, F.lit(0)), F.lit(BLOCK))
+    return F.transform(places, lambda at: F.slice(items, at + 1, BLOCK))
+
+
+def _before(totals: Column, first: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """What comes before each of the totals, and behind the last."""
+    return F.aggregate(
+        totals,
+        F.array(first),
+        lambda done, total: F.concat(done, F.array(add(F.element_at(done, -1), total))),
+    )
+
+
 def spans_of(text: Column, rule: SecretRule) -> Column:
-    """The spans of a rule in a text, in code points, end exclusive.
+    """The kept matches of a rule in a text, as an array of (start, end), the end exclusive.
 
     Each find begins where the last one ended and takes the gap before the match
-    with it, so lengths alone give the places.
+    with it, so lengths alone give the places. They are added up in blocks of finds, as an
+    array that grows item by item is copied as often.
     """
     whole = F.lit(rf"(?s)\G(.*?)({rule.pattern})")
     gaps = F.regexp_extract_all(text, whole, F.lit(1))
@@ -78,7 +104,6 @@ def spans_of(text: Column, rule: SecretRule) -> Column:
         ),
     )
     nothing = F.array().cast("array<struct<start: int, end: int>>")
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("spans"))
 
     def step(state: Column, pair: Column) -> Column:
         begin = state["at"] + pair["gap"]
@@ -87,7 +112,18 @@ def spans_of(text: Column, rule: SecretRule) -> Column:
         spans = F.when(pair["kept"], F.concat(state["spans"], span)).otherwise(state["spans"])
         return F.struct(end.alias("at"), spans.alias("spans"))
 
-    scanned = F.aggregate(pairs, start, step, lambda state: state["spans"])
+    def of_block(block: Column, at: Column) -> Column:
+        start = F.struct(at.alias("at"), nothing.alias("spans"))
+        return F.aggregate(block, start, step, lambda state: state["spans"])
+
+    def of_blocks(blocks: Column) -> Column:
+        sizes = F.transform(
+            blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, pair: n + pair["gap"] + pair["length"])
+        )
+        begins = F.slice(_before(sizes, F.lit(0), lambda n, size: n + size), 1, F.size(blocks))
+        return F.flatten(F.zip_with(blocks, begins, of_block))
+
+    scanned = _let(pairs, lambda given: _let(_in_blocks(given), of_blocks))
     return F.when(F.rlike(text, F.lit(rule.likely)), scanned).otherwise(nothing)
 
 
@@ -191,21 +227,52 @@ def listed(found: Column) -> Column:
     return F.array_join(one, ",")
 
 
+def _part(chunks: Column, begin: Column, end: Column) -> Column:
+    """Characters ``begin`` to ``end``, exclusive, of a text cut into chunks of CHUNK."""
+    first, last = F.floor(begin / CHUNK).cast("int"), F.floor(end / CHUNK).cast("int")
+    head = F.coalesce(F.get(chunks, first), F.lit(""))
+    tail = F.coalesce(F.get(chunks, last), F.lit(""))
+    between = F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    return F.when(first == last, F.substring(head, begin % CHUNK + 1, end - begin)).otherwise(
+        F.concat(F.substring(head, begin % CHUNK + 1, F.lit(CHUNK)), between, F.substring(tail, F.lit(1), end % CHUNK))
+    )
+
+
 def replaced(text: Column, found: Column, mask: str) -> Column:
-    """The text with ``mask`` for each stretch of spans that touch or overlap."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """The text with ``mask`` for each stretch of spans that touch or overlap.
+
+    Spans come by their start. Stretches are found in blocks of spans, and characters
+    are counted in chunks of the text, so the time is that of the text and its spans.
+    """
+    nothing = F.array().cast("array<struct<from: int, to: int>>")
 
     def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        out = F.when(
-            (span["start"] > state["at"]) | (state["out"] == ""), F.concat(state["out"], gap, F.lit(mask))
-        ).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
+        opened = F.array(F.struct(F.greatest(state["upto"], F.lit(0)).alias("from"), span["start"].alias("to")))
+        new = F.concat(state["gaps"], opened)
+        return F.struct(
+            F.greatest(state["upto"], span["end"]).alias("upto"),
+            F.when(span["start"] > state["upto"], new).otherwise(state["gaps"]).alias("gaps"),
+        )
 
-    def finish(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
+    def of_block(block: Column, upto: Column) -> Column:
+        start = F.struct(upto.alias("upto"), nothing.alias("gaps"))
+        return F.aggregate(block, start, step, lambda state: state["gaps"])
+
+    def of_blocks(blocks: Column) -> Column:
+        """The gaps before the stretches, and a last one to the end of the text."""
+        furthest = F.transform(blocks, lambda b: F.coalesce(F.array_max(F.transform(b, lambda x: x["end"])), F.lit(-1)))
+        bounds = _before(furthest, F.lit(-1), F.greatest)
+        gaps = F.flatten(F.zip_with(blocks, F.slice(bounds, 1, F.size(blocks)), of_block))
+        behind = F.greatest(F.element_at(bounds, -1), F.lit(0))
+        return F.concat(gaps, F.array(F.struct(behind.alias("from"), F.length(text).alias("to"))))
+
+    def written(gaps: Column) -> Column:
+        chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+        return _let(
+            chunks, lambda c: F.array_join(F.transform(gaps, lambda g: _part(c, g["from"], g["to"])), mask)
+        )
 
-    return F.aggregate(found, start, step, finish)
+    return _let(found, lambda given: _let(_in_blocks(given), lambda blocks: _let(of_blocks(blocks), written)))
 
 
 def masked(
@@ -219,14 +286,13 @@ def masked(
     """
     ledger = Ledger(docs.sparkSession, folder)
     ledger.scan(docs, rules, key)
-    findings = ledger.findings(rules).selectExpr("blob AS __blob", "found AS __found")
-    own = docs.withColumn("__blob", blob_of(F.col("text"))).join(findings, "__blob", "left")
-    clean = F.when(
-        F.col("__found").isNotNull(), replaced(F.col("text"), F.col("__found"), mask)
-    ).otherwise(F.col("text"))
+    blob, found = free_name(docs, "blob"), free_name(docs, "found")
+    findings = ledger.findings(rules).selectExpr(f"blob AS {blob}", f"found AS {found}")
+    own = docs.withColumn(blob, blob_of(F.col("text"))).join(findings, blob, "left")
+    hit = F.col(found).isNotNull()
+    clean = F.when(hit, replaced(F.col("text"), F.col(found), mask)).otherwise(F.col("text"))
     out = own.withColumn("text", clean)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        counted = F.when(F.col("__found").isNotNull(), length).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", counted)
+        out = out.withColumn("n_chars", F.when(hit, length).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,3 +104,41 @@ def test_listing_of_spans(spark):
     row = spark.range(1).select(secrets.listed(F.expr(found)).alias("s")).first()
     assert row["s"] == "assign:3:9"
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def masked_by_hand(text, mask):
+    out, at = "", 0
+    for start, _, _, end in want(text):
+        if start > at or not out:
+            out += text[at:start] + mask
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_texts_with_very_many_spans_take_seconds(spark):
+    rng = random.Random(12)
+    hex_digits = ["".join(rng.choices("0123456789abcdef", k=16)) for _ in range(500)]
+    many = " ".join(rng.choice(hex_digits) for _ in range(62_000))
+    mixed = "".join(
+        rng.choice(["👩‍👩‍👧 ü ", "AKIA" + "Z9" * 8, "token=" + "ab" * 9, hex_digits[0], "x" * 5000, "\n", "secret: '"])
+        for _ in range(3000)
+    )
+    edges = ["é" * 4096 + hex_digits[1], hex_digits[1] + "é" * 8192, "é" * 4090 + hex_digits[1] * 600, "👩" * 4096 * 2]
+    texts = [many, mixed, *edges]
+    docs = docs_of(spark, texts)
+    begun = time.monotonic()
+    found = {r["doc_id"]: r["found"] for r in secrets.scan_versions(docs, new_folder(spark), "doc_id").collect()}
+    left = {r["doc_id"]: r["text"] for r in secrets.masked(docs, new_folder(spark), "doc_id", "[X]").collect()}
+    assert time.monotonic() - begun < 60
+    for k, text in enumerate(texts):
+        assert [tuple(s) for s in found[k]] == want(text)
+        assert left[k] == masked_by_hand(text, "[X]")
+
+
+def test_columns_of_any_name_come_back(spark):
+    docs = spark.createDataFrame(
+        [(1, "token = abcdefabcdef1234", "mine", "own", "__b", "__f")],
+        "doc_id LONG, text STRING, blob STRING, Found STRING, __blob STRING, __found STRING",
+    )
+    got = secrets.masked(docs, new_folder(spark), "doc_id", "[X]").first()
+    assert tuple(got) == (1, "[X]", "mine", "own", "__b", "__f")
