@@ -96,9 +96,10 @@ def _semi_join(rows: DataFrame, own: Sequence[str], key_set: KeySet, hot_rows: i
     return rows.selectExpr("*", number).join(by_slice, sliced, "left_semi")
 
 
-def _rows_in(
-    df: DataFrame, columns: Sequence[str], key_set: KeySet, hot_rows: int
+def rows_in(
+    df: DataFrame, columns: Sequence[str], key_set: KeySet, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
+    """The rows of ``df`` whose ``columns`` are a key of the set."""
     own = [f"__own{i}" for i in range(len(columns))]
     rows = df.selectExpr("*", *[f"{c} AS {name}" for c, name in zip(columns, own, strict=True)])
     return _semi_join(rows, own, key_set, hot_rows).select(*[ticked(c) for c in df.columns])
@@ -115,7 +116,7 @@ def duplicate_rows(
     Use ``digest`` for keys of long text, so that key sets stay narrow.
     """
     repeated = settle(key_counts(df, keys, digest), keys, "n > 1")
-    return _rows_in(df, key_columns(df, keys, digest), repeated, hot_rows)
+    return rows_in(df, key_columns(df, keys, digest), repeated, hot_rows)
 
 
 def orphan_rows(
@@ -129,4 +130,4 @@ def orphan_rows(
     present = key_presence(child, parent, key, parent_key).withColumnRenamed("key", key)
     lost = settle(present, [key], is_orphan(key))
     own = comparable(child, key, parent.schema[parent_key].dataType)
-    return _rows_in(child, [own], lost, hot_rows)
+    return rows_in(child, [own], lost, hot_rows)

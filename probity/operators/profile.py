@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from probity.functions import fold_nan, quoted, ticked
 
+NESTED = (T.ArrayType, T.MapType, T.StructType)
+
 
 def null_counts(df: DataFrame) -> DataFrame:
     """One row per column with its number of NULLs, from one aggregate."""
@@ -23,20 +28,62 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counted.selectExpr(f"inline(array({pairs}))")
 
 
+def footer_scan(spark: SparkSession, path: str, schema: T.StructType, names: Sequence[str]) -> DataFrame:
+    """Rows of Parquet files and values of some columns, as Spark reads them out of the footers.
+
+    A session of its own has the settings that push the counts into the reader.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    counts = [F.count(ticked(name)).alias(f"c{i}") for i, name in enumerate(names)]
+    return own.read.schema(schema).parquet(path).agg(F.count(F.lit(1)).alias("n"), *counts)
+
+
+def null_counts_of_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``null_counts`` of Parquet files, counted when this is called.
+
+    ``schema`` must have the columns of the files in the files' order. Footers have the
+    NULLs of every column chunk, so no values are read, but of float and double columns,
+    whose NaN count as NULL, and of nested columns and those behind one, whose chunks
+    Spark looks for at another place. Files without such statistics are scanned.
+    """
+    nested = [i for i, f in enumerate(schema.fields) if isinstance(f.dataType, NESTED)]
+    before = schema.fields[: min(nested, default=len(schema.fields))]
+    plain = [f.name for f in before if not isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    found: dict[str, int] = {}
+    if plain:
+        try:
+            n, *counts = [c or 0 for c in footer_scan(spark, path, schema, plain).first()]  # NULL without row groups
+            found = {name: n - c for name, c in zip(plain, counts, strict=True)}
+        except (Py4JJavaError, PySparkException):  # no statistics in some footer
+            found = {}
+    others = T.StructType([f for f in schema.fields if f.name not in found])
+    if others.fields:
+        scanned = null_counts(spark.read.schema(others).parquet(path)).collect()
+        found |= {r["column_name"]: r["nulls"] for r in scanned}
+    rows = [(f.name, found[f.name]) for f in schema.fields]
+    return spark.createDataFrame(rows, "column_name STRING, nulls LONG")
+
+
 def missing_before_after(raw: DataFrame, clean: DataFrame) -> DataFrame:
     """NULLs per column before and after, aligned by column name.
 
     A column only one side has keeps NULL for the other side.
     """
+    return aligned(null_counts(raw), null_counts(clean))
+
+
+def aligned(raw_counts: DataFrame, clean_counts: DataFrame) -> DataFrame:
+    """Two counts of NULLs per column side by side, and their difference."""
     nothing = "CAST(NULL AS BIGINT)"
-    before = null_counts(raw).selectExpr(
+    before = raw_counts.selectExpr(
         "column_name", "nulls AS raw_nulls", f"{nothing} AS clean_nulls"
     )
-    after = null_counts(clean).selectExpr(
+    after = clean_counts.selectExpr(
         "column_name", f"{nothing} AS raw_nulls", "nulls AS clean_nulls"
     )
-    aligned = before.union(after).groupBy("column_name")
-    return aligned.agg(
+    return before.union(after).groupBy("column_name").agg(
         F.expr("max(raw_nulls) AS raw_nulls"), F.expr("max(clean_nulls) AS clean_nulls")
     ).selectExpr("*", "raw_nulls - clean_nulls AS resolved")
 

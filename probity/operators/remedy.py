@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from probity.functions import retention_pct, ticked
+from probity.operators import membership
+from probity.operators.measure import key_columns, key_counts
+from probity.session import scratch_dir
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -23,14 +26,52 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> D
     return df.selectExpr("*", place).filter("__place = 1").drop("__place")
 
 
+def keep_first_late(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], row_id: Sequence[str]
+) -> DataFrame:
+    """The rows of ``keep_first``, found out of narrow rows: whole rows aren't shuffled.
+
+    ``row_id`` tells all rows apart and is never NULL, such as file and row index.
+    Keys with several rows are counted and written first; without any the table is
+    returned as it is. Of the rows of those keys, all but the least by order are
+    written by their ids, and the table is read without them. Spark makes that a
+    broadcast where the ids are few enough for its own threshold; only beyond it do
+    whole rows meet the ids in a shuffle. The counting runs when this is called.
+    """
+    narrow = df.select(*[ticked(c) for c in dict.fromkeys([*keys, *order_by, *row_id])])
+    repeated = membership.settle(key_counts(narrow, keys), keys, "n > 1")
+    if not repeated.size:
+        repeated.drop()
+        return df
+    rows = membership.rows_in(narrow, key_columns(narrow, keys), repeated)
+    order, ids = (", ".join(ticked(c) for c in names) for names in ([*order_by, *row_id], row_id))
+    first = rows.groupBy(*[ticked(k) for k in keys]).agg(
+        F.expr(f"min(struct(struct({order}) AS place, struct({ids}) AS id)) AS first")
+    )
+    kept = first.select(F.col("first.id").alias("__kept"))
+    own = rows.selectExpr(f"struct({ids}) AS id")
+    lost = own.join(kept, F.expr("id = __kept"), "left_anti")
+    path = f"{scratch_dir(df.sparkSession)}/lost"
+    lost.write.parquet(path)
+    gone = df.sparkSession.read.schema(lost.schema).parquet(path).withColumnRenamed("id", "__lost")
+    named = df.select("*", F.expr(f"struct({ids}) AS __id"))
+    return named.join(gone, F.expr("__id = __lost"), "left_anti").drop("__id")
+
+
 def remediate(
-    df: DataFrame, conditions: Sequence[str], keys: Sequence[str], order_by: Sequence[str]
+    df: DataFrame,
+    conditions: Sequence[str],
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    row_id: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows meeting every condition, deduplicated afterwards.
 
-    The order matters: a clean copy survives a dirty one that comes before it.
+    The order matters: a clean copy survives a dirty one that comes before it. With
+    ``row_id`` the first rows are found as in ``keep_first_late``.
     """
-    return keep_first(reduce(DataFrame.filter, conditions, df), keys, order_by)
+    good = reduce(DataFrame.filter, conditions, df)
+    return keep_first_late(good, keys, order_by, row_id) if row_id else keep_first(good, keys, order_by)
 
 
 def cleaning_summary(

@@ -226,16 +226,20 @@ def clean_returns(
     as_of: date | datetime,
     order_by: Sequence[str] | None = None,
     c: Columns = DEFAULT,
+    row_id: Sequence[str] | None = None,
 ) -> DataFrame:
     """Returns fit for use: good key, amount, currency and date, first row per id.
 
     ``order_by`` says which row is first. Without it the input position is used
-    that the readers add with ``position=True``, and dropped afterwards.
+    that the readers add with ``position=True``, and dropped afterwards. With
+    ``row_id``, columns that tell all rows apart, no whole row is sorted; see
+    ``remedy.keep_first_late``.
     """
     if order_by is None and INPUT_POSITION not in df.columns:
         raise ValueError("name the columns that say which row of an id comes first")
     conditions = cleaning_conditions(df, as_of, c)
-    clean = fold_nan(remediate(df, conditions, [c.return_id], order_by or [INPUT_POSITION]))
+    first = order_by or [INPUT_POSITION]
+    clean = fold_nan(remediate(df, conditions, [c.return_id], first, row_id))
     return clean if order_by else clean.drop(INPUT_POSITION)
 
 

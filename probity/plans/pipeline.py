@@ -11,7 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from probity.functions import quoted
 from probity.model import RESULT_SCHEMA
-from probity.operators.profile import missing_before_after, quick_stats, sample_rows
+from probity.operators.profile import (
+    aligned,
+    null_counts,
+    null_counts_of_files,
+    quick_stats,
+    sample_rows,
+)
 from probity.operators.remedy import cleaning_columns
 from probity.plans.filings import (
     DEFAULT,
@@ -210,8 +216,16 @@ def run_pipeline(
         after = read(spark, clean_path, clean.schema)
         bare = before.drop(INPUT_POSITION)
         both = {"raw": bare, "clean": after}
+
+        def nulls_of(df: DataFrame, path: str, saved_as: str) -> DataFrame:
+            if saved_as == "parquet" and spark.read.parquet(path).schema.simpleString() == df.schema.simpleString():
+                return null_counts_of_files(spark, path, df.schema)
+            return null_counts(df)
+
         tables = {
-            "missing_values": missing_before_after(bare, after),
+            "missing_values": aligned(
+                nulls_of(bare, paths[RETURNS], fmt), nulls_of(after, clean_path, clean_fmt or fmt)
+            ),
             "quick_stats": quick_stats(
                 both, columns.tin, columns.amount_due, columns.currency, HOME_CURRENCY
             ),

@@ -6,12 +6,14 @@ import re
 from datetime import date
 
 import pytest
+from pyspark.sql import types as T
 from workload.queries import QUERIES
 
 from probity.model import RETURNS_SCHEMA
 from probity.plans.filings import clean_returns, completeness_rules, validity_rules
 from probity.model import Check
 from probity.operators.measure import measure
+from probity.operators.profile import footer_scan
 from probity.session import scratch_dir
 
 
@@ -88,3 +90,20 @@ def test_a_day_limit_on_timestamps_reaches_the_scan(spark):
     typed.write.parquet(path)
     text = plan(clean_returns(spark.read.parquet(path), date(2024, 1, 1), ["assessor_id"]))
     assert "LessThan(filing_date,2024-01-02T00:00" in text
+
+
+@pytest.mark.parametrize("name", ["first_per_key_late", "clean_filings_late"])
+def test_late_first_rows_shuffle_no_wide_column(spark, sf_dir, name):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert "Exchange hashpartitioning" not in text and "Window" not in text
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text
+
+
+def test_counts_come_from_footers(spark):
+    schema = T.StructType.fromDDL("a INT, b STRING, c DATE, d TIMESTAMP_NTZ, e DECIMAL(10, 2)")
+    path = f"{scratch_dir(spark)}/t"
+    spark.createDataFrame([(1, None, None, None, None), (None, "x", None, None, None)], schema).write.parquet(path)
+    scan = footer_scan(spark, path, schema, schema.names)
+    assert "PushedAggregation: [COUNT(*)" in plan(scan)
+    assert "COUNT(b)" in plan(scan)
+    assert tuple(scan.first()) == (2, 1, 1, 0, 0, 0)

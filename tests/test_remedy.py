@@ -4,9 +4,19 @@ from datetime import date, datetime
 
 import pytest
 
-from probity.operators.profile import missing_before_after, quick_stats, sample_rows
-from probity.operators.remedy import keep_first
+from probity.model import RETURNS_SCHEMA
+from probity.operators import membership
+from probity.operators.profile import (
+    missing_before_after,
+    null_counts,
+    null_counts_of_files,
+    quick_stats,
+    sample_rows,
+)
+from probity.operators.remedy import keep_first, keep_first_late
 from probity.plans.filings import clean_returns, summarise_cleaning
+from probity.session import scratch_dir
+from probity.sources import INPUT_POSITION, read_parquet
 
 SCHEMA = (
     "src_seq INT, return_id STRING, tin STRING, amount_due_ugx DOUBLE, amount_paid_ugx DOUBLE, "
@@ -88,3 +98,48 @@ def test_quick_stats_count_a_null_currency(rows):
 def test_sample_is_the_first_rows(spark):
     df = spark.range(1000).repartition(7)
     assert [r.id for r in sample_rows(df, "id").collect()] == list(range(100))
+
+
+@pytest.mark.parametrize("hot_rows", [100_000, 3])
+def test_late_first_rows_are_the_first_rows(rows, spark, monkeypatch, hot_rows):
+    """Ties, NULL keys, a hot key, and a table without any repeated key."""
+    monkeypatch.setattr(membership, "HOT_ROWS", hot_rows)
+    data = [(k, None if k % 11 == 0 else k % 7, k % 3, f"wide {k}") for k in range(200)] + [(300 + k, 99, 0, "hot") for k in range(100)]
+    df = rows("id INT, key INT, at INT, wide STRING", data).repartition(6)
+    late = keep_first_late(df, ["key"], ["at"], ["id"])
+    assert sorted(map(tuple, late.collect()), key=str) == sorted(
+        map(tuple, keep_first(df, ["key"], ["at", "id"]).collect()), key=str
+    )
+    assert late.columns == df.columns
+    two = keep_first_late(df, ["key", "at"], ["id"], ["id"])
+    assert two.count() == df.select("key", "at").distinct().count()
+    alone = df.filter("id < 5 AND key IS NOT NULL")
+    assert keep_first_late(alone, ["id"], ["at"], ["id"]) is alone
+    assert keep_first_late(df.limit(0), ["key"], ["at"], ["id"]).count() == 0
+
+
+def test_late_cleaning_goes_by_input_position(spark, rows):
+    path = f"{scratch_dir(spark)}/t"
+    rows(SCHEMA, DATA).drop("src_seq").coalesce(1).write.parquet(path)
+    raw = read_parquet(spark, path, RETURNS_SCHEMA, position=True)
+    late = clean_returns(raw, DAY, row_id=[INPUT_POSITION])
+    assert sorted(map(str, late.collect())) == sorted(map(str, clean_returns(raw, DAY).collect()))
+    assert late.columns == raw.drop(INPUT_POSITION).columns
+
+
+def test_nulls_by_footers_are_those_of_a_scan(rows, spark):
+    schema = "a INT, f DOUBLE, b STRING, `odd name` DATE, g FLOAT, h BOOLEAN, s STRUCT<x: INT, y: INT>, t BINARY, n ARRAY<INT>"
+    data = [
+        (1, NAN, None, None, None, True, None, b"", None),
+        (None, 1.0, "", DAY, NAN, None, (None, 1), None, [None]),
+        (2, None, None, None, 1.0, None, (1, None), b"x", []),
+    ]
+    df = rows(schema, data).repartition(2)
+    path = f"{scratch_dir(spark)}/t"
+    df.write.parquet(path)
+    want = {r.column_name: r.nulls for r in null_counts(df).collect()}
+    got = {r.column_name: r.nulls for r in null_counts_of_files(spark, path, df.schema).collect()}
+    assert got == want == {"a": 1, "b": 2, "f": 2, "g": 2, "h": 2, "n": 1, "s": 1, "t": 1, "odd name": 2}
+    df.limit(0).write.mode("overwrite").parquet(path)
+    assert {r.nulls for r in null_counts_of_files(spark, path, df.schema).collect()} == {0}
+    assert {r.nulls for r in null_counts_of_files(spark, path, df.select("f").schema).collect()} == {0}

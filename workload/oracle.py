@@ -419,6 +419,13 @@ def _detection() -> str:
 
 
 ORACLE: dict[str, str] = {
+    "first_per_key_late": f"""WITH {FILINGS} SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY return_id ORDER BY src_seq) AS rn FROM filings) WHERE rn = 1""",
+    "clean_filings_late": f"WITH {FILINGS},{CLEAN} SELECT * FROM clean",
+    "missing_footers": f"""WITH {FILINGS},{CLEAN},
+a AS ({_null_counts('filings')}), b AS ({_null_counts('clean')})
+SELECT column_name, a.nulls AS raw_nulls, b.nulls AS clean_nulls, a.nulls - b.nulls AS resolved
+FROM a FULL JOIN b USING (column_name)""",
     "inject_detection": _detection(),
     "audit_sample_third": """
 WITH placed AS (SELECT l_orderkey, row_number() OVER (ORDER BY md5(CAST(l_orderkey AS VARCHAR)),

@@ -16,8 +16,14 @@ from probity.operators import corrupt, rules
 from probity.operators.detect import detection
 from probity.operators.measure import issues, measure
 from probity.operators.membership import duplicate_rows, orphan_rows
-from probity.operators.profile import missing_before_after, quick_stats, sample_rows
-from probity.operators.remedy import keep_first
+from probity.operators.profile import (
+    aligned,
+    missing_before_after,
+    null_counts_of_files,
+    quick_stats,
+    sample_rows,
+)
+from probity.operators.remedy import keep_first, keep_first_late
 from probity.operators.sample import sample_at_most
 from probity.plans import lineage, report
 from probity.plans.filings import (
@@ -368,6 +374,28 @@ def audit_sample_third(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def first_per_key_late(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of first_per_key, found out of narrow rows."""
+    scratch(spark)
+    return keep_first_late(filings(spark, d), ["return_id"], SRC_SEQ, SRC_SEQ)
+
+
+def clean_filings_late(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of clean_filings, found out of narrow rows."""
+    scratch(spark)
+    return clean_returns(filings(spark, d), AS_OF, SRC_SEQ, COLUMNS, row_id=SRC_SEQ)
+
+
+def missing_footers(spark: SparkSession, d: str) -> DataFrame:
+    """NULLs before and after of saved filings, by the footers of their files."""
+    out, raw, clean = scratch(spark), filings(spark, d), _clean(spark, d)
+    counts = []
+    for name, df in (("raw", raw), ("clean", clean)):
+        write_table(df, f"{out}/{name}")
+        counts.append(null_counts_of_files(spark, f"{out}/{name}", df.schema))
+    return aligned(*counts)
+
+
 def inject_detection(spark: SparkSession, d: str) -> DataFrame:
     """Which of the filings' defects which checks on filings catch."""
     defects = [*DEFECTS, corrupt.Defect("filing_status", corrupt.every("src_seq", 60, 13), "filing_status")]
@@ -704,6 +732,9 @@ QUERIES: dict[str, Query] = {
     "audit_sample": audit_sample,
     "audit_sample_third": audit_sample_third,
     "inject_detection": inject_detection,
+    "first_per_key_late": first_per_key_late,
+    "clean_filings_late": clean_filings_late,
+    "missing_footers": missing_footers,
     "audit_expand": audit_expand,
     "csv_roundtrip": csv_roundtrip,
     "summary_roundtrip": summary_roundtrip,
