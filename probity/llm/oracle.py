@@ -112,8 +112,8 @@ above AS (
   FROM levels h JOIN above a ON h.suffix = a.suffix AND h.domain = a.domain, s2
 ), of_host AS (
   SELECT host, n, strength, (bad + rate * strength) / (n + strength) AS rate FROM by_domain, s3
-), blocked AS (
-  SELECT host FROM of_host WHERE rate - 1.645 * sqrt(rate * (1 - rate) / (n + strength + 1)) > 0.3
+), bounds AS (
+  SELECT host, rate, rate - 1.645 * sqrt(rate * (1 - rate) / (n + strength + 1)) AS lower FROM of_host
 ), ruled AS (
   SELECT page_id, host, path, CASE
     WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/')
@@ -127,8 +127,9 @@ above AS (
 )
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-    WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END AS verdict
-FROM ruled
+    WHEN lower > 0.3 THEN 'block' ELSE 'allow' END AS verdict,
+  round(rate, 9) AS bad_rate, round(lower, 9) AS lower
+FROM ruled LEFT JOIN bounds USING (host)
 """
 
 OP10 = """

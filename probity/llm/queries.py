@@ -173,7 +173,9 @@ def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = labels.select(
         F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad")
     )
-    return reputation.judge(table(spark, sf_dir, "pages"), outcomes, URL_RULES)
+    judged = reputation.judge(table(spark, sf_dir, "pages"), outcomes, URL_RULES)
+    rounded = {name: F.round(name, 9) for name in ("bad_rate", "lower")}
+    return judged.withColumns(rounded)
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

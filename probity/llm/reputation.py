@@ -13,12 +13,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probity.llm.scratch import new_folder, saved
 
-#: Suffixes of two labels under which names are registered, beside those of one.
+#: Suffixes of two labels under which names are registered, beside those of one, where no table of
+#: suffixes is given. Hosts under any other such suffix then share one registered domain.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "com.br", "co.nz", "co.in")
 
 
@@ -74,8 +75,48 @@ def first_rule(host: Column, path: Column, rules: Sequence[UrlRule]) -> tuple[Co
     return name, verdict
 
 
-def _levels(hosts: DataFrame) -> DataFrame:
+def read_suffixes(spark: SparkSession, path: str) -> DataFrame:
+    """The rules of a file of public suffixes, as the column ``rule``.
+
+    One rule a line, up to the first white space; ``//`` begins a comment.
+    """
+    lines = spark.read.text(path).select(F.lower(F.regexp_extract("value", r"^\s*(\S+)", 1)).alias("rule"))
+    return lines.filter((F.col("rule") != "") & ~F.col("rule").startswith("//")).distinct()
+
+
+def suffix_lengths(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """host and ``labels``, how many its public suffix has by the rules of ``suffixes`` (rule).
+
+    A rule is a suffix; ``*.`` before it stands for one label more, ``!`` for an
+    exception, which has one label less. An exception counts before others, then the
+    longest rule, and without any the last label is the suffix. Ends of hosts and
+    rules meet by equality.
+    """
+    rules = suffixes.select(
+        F.regexp_replace("rule", r"^(!|\*\.)", "").alias("tail"),
+        F.when(F.col("rule").startswith("!"), -1).when(F.col("rule").startswith("*."), 1).otherwise(0).alias("more"),
+    ).distinct()
+    parts = F.split("host", r"\.")
+    tails = hosts.select("host", F.size(parts).alias("size"), F.explode(F.sequence(F.lit(1), F.size(parts))).alias("k"))
+    tails = tails.withColumn("tail", F.expr("substring_index(host, '.', -k)"))
+    fits = tails.join(rules, "tail").withColumn("labels", F.col("k") + F.col("more")).filter("labels <= size")
+    found = fits.groupBy("host").agg(
+        F.max(F.when(F.col("more") == -1, F.col("labels"))).alias("exception"), F.max("labels").alias("longest")
+    )
+    return hosts.select("host").join(found, "host", "left").select(
+        "host", F.coalesce("exception", "longest", F.lit(1)).alias("labels")
+    )
+
+
+def _levels(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """Adds the suffix and the registered domain of each host."""
+    if suffixes is not None:
+        lengths = suffix_lengths(hosts, suffixes)
+        return hosts.join(lengths, "host").select(
+            *hosts.columns,
+            F.expr("substring_index(host, '.', -labels)").alias("suffix"),
+            F.expr("substring_index(host, '.', -labels - 1)").alias("domain"),
+        )
     last_two = F.substring_index("host", ".", -2)
     two = last_two.isin(*TWO_LABEL_SUFFIXES)
     suffix = F.when(two, last_two).otherwise(F.substring_index("host", ".", -1))
@@ -113,15 +154,18 @@ def _shrunk(bad: Column, n: Column, mean: Column, strength: float) -> Column:
     return (bad + mean * strength) / (n + strength)
 
 
-def host_posteriors(hosts: DataFrame, prior: Prior = Prior()) -> DataFrame:
+def host_posteriors(
+    hosts: DataFrame, prior: Prior = Prior(), suffixes: DataFrame | None = None
+) -> DataFrame:
     """Per row of ``hosts`` (host, n, bad): also bad_rate and its bound ``lower``.
 
     ``n`` are a host's labelled pages, ``bad`` those that were bad; hosts with
     none are judged by their domain, a domain with none by its suffix. What a level
     takes from the one above is without its own pages, so that none counts twice.
-    Three one-row aggregates are fetched, one for each level's prior.
+    Three one-row aggregates are fetched, one for each level's prior. ``suffixes`` are
+    the rules of public suffixes, see ``suffix_lengths``.
     """
-    hosts = _levels(hosts)
+    hosts = _levels(hosts, suffixes)
     domains = _counts(hosts, "suffix", "domain")
     suffixes = _counts(hosts, "suffix")
     mean, of_mean = _strength(suffixes, prior)
@@ -154,8 +198,11 @@ def judge(
     outcomes: DataFrame,
     rules: Sequence[UrlRule],
     prior: Prior = Prior(),
+    suffixes: DataFrame | None = None,
 ) -> DataFrame:
-    """page_id, host, path, rule, verdict (allow or block) for every row of ``pages``.
+    """page_id, host, path, rule, verdict (allow or block), bad_rate and lower for every row of ``pages``.
+
+    ``bad_rate`` is the posterior mean of the host, ``lower`` the bound by which it is judged.
 
     ``pages`` has page_id and url, ``outcomes`` page_id and ``bad`` (0 or 1; NULL
     is no outcome). Other columns are ignored. Each row of a repeated page_id is
@@ -175,15 +222,14 @@ def judge(
         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     )
     folder = new_folder(pages.sparkSession)
-    blocked = host_posteriors(saved(counted, folder, "hosts"), prior).filter(F.col("lower") > prior.limit)
-    by_host = blocked.select("host", F.lit("block").alias("by_host"))
-    return (
-        urls.join(by_host, "host", "left")
-        .select(
-            "page_id",
-            "host",
-            "path",
-            rule.alias("rule"),
-            F.coalesce(ruled, "by_host", F.lit("allow")).alias("verdict"),
-        )
-    )
+    known = host_posteriors(saved(counted, folder, "hosts"), prior, suffixes).select("host", "bad_rate", "lower")
+    by_host = F.when(F.col("lower") > prior.limit, "block").otherwise("allow")
+    return urls.join(known, "host", "left").select(
+        "page_id",
+        "host",
+        "path",
+        rule.alias("rule"),
+        F.coalesce(ruled, by_host).alias("verdict"),
+        "bad_rate",
+        "lower",
+    )

@@ -118,3 +118,51 @@ def test_posteriors_are_those_of_the_formulas(spark):
 def test_no_rows_and_no_outcomes(spark):
     assert judged(spark, [], [(1, 1)]) == {}
     assert judged(spark, [(1, "http://a.b/"), (2, "x")], []) == {1: "allow", 2: "allow"}
+
+
+def test_public_suffixes_by_a_table(spark, tmp_path):
+    (tmp_path / "rules.dat").write_text(
+        "// comment\ncom\n\nCO.uk  // more\nuk\n*.ck\n!www.ck\ngithub.io\n  io\nkawasaki.jp\n*.kawasaki.jp\njp\n"
+    )
+    rules = reputation.read_suffixes(spark, str(tmp_path / "rules.dat"))
+    want = {
+        "a.b.com": 1, "com": 1, "x.co.uk": 2, "co.uk": 2, "x.uk": 1, "a.b.ck": 2, "ck": 1, "b.ck": 2, "www.ck": 1,
+        "a.www.ck": 1, "me.github.io": 2, "x.io": 1, "a.b.kawasaki.jp": 3, "kawasaki.jp": 2, "local": 1, "": 1, "a.zz": 1,
+        "a..com": 1, ".": 1,
+    }
+    hosts = spark.createDataFrame([(h,) for h in want], "host STRING")
+    assert {r["host"]: r["labels"] for r in reputation.suffix_lengths(hosts, rules).collect()} == want
+    one = spark.createDataFrame([("a.x.github.io", 50, 50), ("b.y.github.io", 60, 0)], "host STRING, n LONG, bad LONG")
+    apart = {r["host"]: r["bad_rate"] for r in reputation.host_posteriors(one, suffixes=rules).collect()}
+    assert apart["a.x.github.io"] > 0.8 > 0.2 > apart["b.y.github.io"]
+
+
+def test_query_equals_its_sql_where_the_method_decides(spark, tmp_path):
+    """Pages whose verdicts depend on posteriors of all three levels."""
+    import duckdb
+    from compare import oracle_bag, spark_bag
+
+    from probity.llm.oracle import OP9
+    from probity.llm.queries import op9_url_reputation
+
+    hosts = [f"h{k}.bad{k % 3}.org" for k in range(12)] + [f"h{k}.good{k % 4}.org" for k in range(12)] + ["new.bad1.org", "x.co.uk"]
+    pages, labels = [], []
+    for i in range(1500):
+        host = hosts[i * 7 % len(hosts)]
+        pages.append((i, f"https://{host}/p{i}", "<p>"))
+        if i % 3 and not host.startswith("new"):
+            labels.append((i, int((".good" in host) ^ (i % 29 == 0)), 0))
+    pages += [(9000, "http://www.example.com/en/a", ""), (9001, None, ""), (9002, "http://a.net/es/", "")]
+    for name, rows, schema in (
+        ("pages", pages, "page_id LONG, url STRING, html STRING"),
+        ("labels", labels, "doc_id LONG, quality INT, toxic INT"),
+    ):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    query = op9_url_reputation(spark, str(tmp_path))
+    assert spark_bag(query) == oracle_bag(con, OP9)
+    verdicts = {(r["host"], r["verdict"]) for r in query.collect() if r["rule"] is None}
+    assert ("new.bad1.org", "block") in verdicts and ("h0.good0.org", "allow") in verdicts
+    assert {v for h, v in verdicts if ".bad" in h} == {"block"}
