@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from probity.llm.scratch import let_go
+
 #: Edits allowed per character of an item.
 RATE = 0.08
 #: Characters under which an item has no edits and is found as whole words only.
@@ -203,6 +205,7 @@ def _hits(items: list[tuple[int | None, str]], rate: float):
     @F.pandas_udf(HIT_TYPE)
     def hits(texts: pd.Series) -> pd.Series:
         if not made:
+            let_go()
             made.append(Finder(items, rate))
         return texts.map(
             lambda t: [

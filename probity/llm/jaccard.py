@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from probity.llm.components import components
-from probity.llm.scratch import in_files, new_folder, saved
+from probity.llm.scratch import free_name, in_files, let_go, new_folder, saved
 from probity.llm.shingles import BATCH_BYTES, U, batches, mixed, shingle_hashes
 
 SKETCH_LONGS = 16
@@ -120,6 +120,7 @@ def _classes(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _read_sets(words: int):
     def read(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         seen, total = np.zeros(COUNTERS, np.int64), 0
         for batch in stream:
             for at in range(0, batch.num_rows, ROWS):
@@ -217,6 +218,7 @@ def parity_sketches(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _read_keys(how: Likeness, weights: np.ndarray):
     def read(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         done: set[int] = set()  # a class comes once from each task
         for batch in stream:
             for at in range(0, batch.num_rows, ROWS):
@@ -327,11 +329,12 @@ def one_of_each(docs: DataFrame, how: Likeness = Likeness()) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
     kept = found.groupBy("component", F.when(F.col("component").isNull(), F.col("text_hash")))
     kept = kept.agg(first).select("first.doc_id", "first.text_hash").alias("k")
-    rows = docs.withColumn("__hash", F.xxhash64("text")).alias("d")
+    own = free_name(docs, "text_hash")
+    rows = docs.withColumn(own, F.xxhash64("text")).alias("d")
     worded = F.col("d.text").rlike("[^\\x20\\x09-\\x0D]")
-    same = F.expr("CAST(d.doc_id AS LONG) <=> k.doc_id AND d.__hash = k.text_hash")
+    same = F.expr(f"CAST(d.doc_id AS LONG) <=> k.doc_id AND d.{own} = k.text_hash")
     stay = rows.filter(worded).join(kept, same, "left_semi")
-    once = stay.dropDuplicates(["doc_id", "__hash"])
+    once = stay.dropDuplicates(["doc_id", own])
     blank = rows.filter(~F.coalesce(worded, F.lit(False)))
     return once.union(blank).select(*docs.columns)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -72,9 +74,19 @@ def kept(key: object, make: Callable[[], object]) -> object:
     if key not in _KEPT:
         _KEPT.clear()
         _KEPT[key] = make()
+        _give_back()
     return _KEPT[key]
 
 
 def let_go() -> None:
     """Free what the worker keeps from an operator before this one."""
     _KEPT.clear()
+    _give_back()
+
+
+def _give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

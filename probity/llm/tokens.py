@@ -5,12 +5,15 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Sequence
-from functools import lru_cache
 
 from tokenizers import Tokenizer, pre_tokenizers
 
+from probity.llm.scratch import kept
+
 #: Words that a worker keeps; after as many more unknown ones it begins anew.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
+#: Places for words that were met once, by their hash.
+SEEN_ONCE = 1 << 22
 #: Longer words are encoded each time.
 LONGEST_CACHED = 40
 
@@ -50,7 +53,7 @@ class Encoder:
     without, they count as ordinary text.
     """
 
-    def __init__(self, path: str, special: bool = False) -> None:
+    def __init__(self, path: str, special: bool = True) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
         added = self.tokenizer.get_added_tokens_decoder().values()
@@ -71,6 +74,7 @@ class Encoder:
         self._marks = {m: self._plain(m) for m in ".,;:!?\n"} | {"": b"", _FIRST: b""}
         self._known: dict[str, bytes] = {}
         self._missed = 0
+        self._seen = bytearray(SEEN_ONCE)
 
     def _plain(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -89,17 +93,21 @@ class Encoder:
         return self._marks[begin] + ids + self._marks[end] if begin or end else ids
 
     def _new(self, words: Sequence[str]) -> dict[str, bytes]:
-        """The ids of words that aren't known, which are then known if there is room."""
+        """The ids of words that aren't known; those met before are from now on, if there is room."""
         if self._missed > CACHED_WORDS:  # the texts have changed: learn their words
             self._known, self._missed = {}, 0
-        known, found = self._known, {}
+        known, seen, found = self._known, self._seen, {}
         for w in words:
-            if w not in found:
-                found[w] = self._encode(w)
-                if len(known) >= CACHED_WORDS:
-                    self._missed += 1
-                elif len(w) <= LONGEST_CACHED:
-                    known[w] = found[w]
+            if w in found:
+                continue
+            found[w] = self._encode(w)
+            place = hash(w) % SEEN_ONCE
+            if not seen[place]:  # most words of a language are met once only
+                seen[place] = 1
+            elif len(known) >= CACHED_WORDS:
+                self._missed += 1
+            elif len(w) <= LONGEST_CACHED:
+                known[w] = found[w]
         return found
 
     def __call__(self, text: str | None) -> bytes:
@@ -117,7 +125,6 @@ class Encoder:
         return b"".join(ids)
 
 
-@lru_cache(maxsize=4)
-def encoder(path: str, special: bool = False) -> Encoder:
-    """One encoder per worker, vocabulary and way with special tokens."""
-    return Encoder(path, special)
+def encoder(path: str, special: bool = True) -> Encoder:
+    """The worker's encoder of this vocabulary and way with special tokens."""
+    return kept((path, special), lambda: Encoder(path, special))

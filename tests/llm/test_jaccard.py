@@ -134,3 +134,11 @@ def test_one_of_each_component_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
     kept = jaccard.one_of_each(docs, jaccard.Likeness(5, 99, 100)).collect()
     assert sorted(r["doc_id"] for r in kept) == [0, 1, 2]
+
+
+def test_one_of_each_gives_back_columns_of_any_name(spark):
+    docs = spark.createDataFrame(
+        [(1, "one two three four five six", "a", "b"), (2, "one two three four five six", "c", "d")],
+        "doc_id LONG, text STRING, __hash STRING, text_hash STRING",
+    )
+    assert [tuple(r) for r in jaccard.one_of_each(docs).collect()] == [(1, "one two three four five six", "a", "b")]
