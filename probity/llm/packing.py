@@ -47,7 +47,7 @@ _PACKED = f"{_KEPT}, part LONG, bin LONG, offset LONG, fill LONG, bins LONG, bou
 
 
 def pieces(
-    docs: DataFrame, vocabulary: str, end_id: int, capacity: int, ids: bool, special: bool = False
+    docs: DataFrame, vocabulary: str, end_id: int, capacity: int, ids: bool, special: bool = True
 ) -> DataFrame:
     """The pieces of each document's ids and its end id: whole, or cut if longer than ``capacity``.
 
@@ -154,7 +154,7 @@ def pack(
     end_id: int,
     capacity: int = 1024,
     partition_pieces: int = PARTITION_PIECES,
-    special: bool = False,
+    special: bool = True,
 ) -> DataFrame:
     """All ``docs`` (doc_id, text) as pieces of sequences of at most ``capacity`` tokens.
 
@@ -204,7 +204,7 @@ def sequences(
     vocabulary: str,
     end_id: int,
     capacity: int = 1024,
-    special: bool = False,
+    special: bool = True,
 ) -> DataFrame:
     """The sequences themselves: sequence_id and its ids. doc_ids must not repeat."""
     own = pieces(docs, vocabulary, end_id, capacity, ids=True, special=special).select("doc_id", "piece", "ids")

@@ -117,7 +117,7 @@ def _blocks(path: str, end_id: int, special: bool):
 
 
 def write_ids(
-    docs: DataFrame, vocabulary: str, folder: str, end_id: int, special: bool = False
+    docs: DataFrame, vocabulary: str, folder: str, end_id: int, special: bool = True
 ) -> None:
     """Write the ids of all ``docs`` (doc_id, text), in ascending doc_id order.
 

@@ -101,7 +101,6 @@ def test_run_packs_what_the_filters_leave(spark, docs, sf_dir):
     scanned = secrets.scan_versions(now, f"{corpus_pipeline.new_folder(spark)}/l", "doc_id")
     assert scanned.filter("size(found) > 0").count() == 0
     tokenizer = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.VOCABULARY))
-    tokenizer.encode_special_tokens = True
     got: dict[int, list] = {}
     for r in corpus_pipeline.run(spark, sf_dir).collect():
         got.setdefault(r["doc_id"], []).append(r)

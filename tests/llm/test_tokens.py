@@ -24,10 +24,16 @@ PATH = public_tokenizers.path(VOCABULARY)
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_special_tokens_as_ordinary_text():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    for text in ("one <|endoftext|> two", "<|endoftext|>", *[t for t in ODD if t]):
+        assert ids_of(encoder(PATH, special=False)(text)) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def ids_of(raw: bytes) -> list[int]:
     return np.frombuffer(raw, "<u4").tolist()
 
@@ -44,7 +50,6 @@ def test_odd_texts_have_the_ids_of_the_tokenizer(plain):
 @given(st.text(st.sampled_from("ab'sZé.,!  \n\n\t 1×ſ½²한"), max_size=40))
 def test_any_text_has_the_ids_of_the_tokenizer(text):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     want = tokenizer.encode(text, add_special_tokens=False).ids if text else []
     assert ids_of(encoder(PATH)(text)) == want
 
