@@ -40,6 +40,8 @@ COUNTERS = 1 << 18
 WEIGHT = 16
 #: Comparisons with a centre before all classes of different components are compared.
 STAR_ROUNDS = 2
+#: Classes of a piece from which their comparisons are dealt over several tasks.
+HOT_CLASSES = 2000
 #: Rows taken from an Arrow batch at once.
 ROWS = 1000
 
@@ -370,7 +372,7 @@ def _links(
         if number < STAR_ROUNDS:
             found = _centre_pairs(held, now, how, number)
         else:
-            found = _all_pairs(held, now, how)
+            found = _all_pairs(held, now, how, folder)
         pairs = saved(found, folder, f"pairs{number}", classes)
         verified = _verified(pairs, texts, how).distinct()  # a stage of its own writes
         links.append(saved(verified, folder, f"links{number}", classes))
@@ -408,12 +410,28 @@ def _centre_pairs(held: DataFrame, now: DataFrame, how: Likeness, number: int) -
     )
 
 
-def _all_pairs(held: DataFrame, now: DataFrame, how: Likeness) -> DataFrame:
-    """Classes that share a key, may link and are still in different components."""
-    rows = _open(held, now).select("key", "class").join(now.drop("weight"), "class")
-    left, right = rows.alias("l"), rows.alias("r")
-    same = F.expr("l.key = r.key AND l.class < r.class AND l.group <> r.group") & _near("l", "r", how)
-    return left.join(right, same).select(F.col("l.class").alias("a"), F.col("r.class").alias("b")).distinct()
+def _all_pairs(held: DataFrame, now: DataFrame, how: Likeness, folder: str) -> DataFrame:
+    """Classes that share a key, may link and are still in different components.
+
+    The classes of a key with more than HOT_CLASSES are dealt to blocks, and each pair
+    of blocks is a group of its own, so no task compares more than two blocks.
+    """
+    opened = saved(_open(held, now).select("key", "class"), folder, "open")
+    blocks = opened.groupBy("key").agg(F.ceil(F.count("*") / HOT_CLASSES).cast("int").alias("blocks"))
+    hot = blocks.filter("blocks > 1")
+    rows = opened.join(now.drop("weight"), "class").join(hot, "key", "left")
+    rows = rows.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("blocks", "other")
+    left, right = dealt.filter("own = lo").alias("l"), dealt.filter("own = hi").alias("r")
+    same = F.expr(
+        "l.key = r.key AND l.lo = r.lo AND l.hi = r.hi AND (l.lo < l.hi OR l.class < r.class) AND l.group <> r.group"
+    )
+    pairs = left.join(right, same & _near("l", "r", how))
+    return pairs.select(
+        F.least("l.class", "r.class").alias("a"), F.greatest("l.class", "r.class").alias("b")
+    ).distinct()
 
 
 def _texts(docs: DataFrame, own: DataFrame, held_by: DataFrame) -> DataFrame:

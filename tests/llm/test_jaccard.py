@@ -142,3 +142,21 @@ def test_one_of_each_gives_back_columns_of_any_name(spark):
         "doc_id LONG, text STRING, __hash STRING, text_hash STRING",
     )
     assert [tuple(r) for r in jaccard.one_of_each(docs).collect()] == [(1, "one two three four five six", "a", "b")]
+
+
+def test_hot_pieces_in_blocks_give_the_same_components(spark, monkeypatch):
+    """A template that a third of the rows share, without links; compared in blocks, and by blocks alone."""
+    how = jaccard.Likeness(words=3, num=60, den=100)
+    rng = random.Random(21)
+    template = " ".join(f"t{k}" for k in range(40))
+    texts = [f"{template} {' '.join(f'own{rng.randrange(9**6)}' for _ in range(rng.choice([20, 40])))}" for _ in range(40)]
+    for words in (20, 60):
+        texts += family(rng, words, 20, 0.1)
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(4)
+    want = by_all_pairs(rows, how)
+    monkeypatch.setattr(jaccard, "HOT_CLASSES", 5)
+    for rounds in (jaccard.STAR_ROUNDS, 0):
+        monkeypatch.setattr(jaccard, "STAR_ROUNDS", rounds)
+        got = {r["doc_id"]: (r["n"], r["component"]) for r in jaccard.jaccard_components(docs, how).collect()}
+        assert got == want
