@@ -34,7 +34,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from probity.llm.scratch import saved
+from probity.llm.scratch import kept, saved
 
 #: Labelled documents that examples are taken from at most, and bytes of their texts.
 EXAMPLES, BYTES = 8000, 64_000_000
@@ -44,9 +44,9 @@ NEIGHBOURS = 10
 #: Letters of a word's beginning that are a term too, so that its forms meet.
 STEM = 5
 #: Examples per block of the index, and blocks of a text that are looked at before others are skipped.
-BLOCK, FIRST_BLOCKS = 64, 2
+BLOCK, FIRST_BLOCKS = 64, 4
 #: Terms that are a matrix, texts multiplied with it at once, and more than its rounding.
-FREQUENT, TOGETHER, OFF = 768, 64, 1e-5
+FREQUENT, TOGETHER, OFF = 768, 512, 1e-5
 #: Votes for the mean label that each vote begins with.
 PRIOR_VOTES = 1.0
 #: Bytes of one row of the stored index.
@@ -97,7 +97,7 @@ class Examples:
     labels: np.ndarray
     starts: np.ndarray
     codes: np.ndarray
-    counts: np.ndarray
+    counts: np.ndarray | None
     terms: np.ndarray  # hash of each code, ascending
     df: np.ndarray
     ones: np.ndarray  # examples of label 1 with the term
@@ -308,6 +308,7 @@ class Searcher:
         place = np.repeat(np.arange(len(sizes)), sizes)
         weights /= np.sqrt(np.bincount(place, weights * weights, len(sizes)))[place]
         self.index = Index(examples.starts, examples.codes, weights, len(examples.terms), self._likeness(place))
+        examples.counts = None  # no longer needed
 
     def _likeness(self, place: np.ndarray) -> np.ndarray:
         """A number that brings examples of one language together: the term each has most often."""
@@ -333,17 +334,8 @@ class Searcher:
         return _vote(near, self.examples.labels, self.examples.base)
 
 
-#: What this worker has loaded last, by the key of its broadcast.
-_MADE: dict[str, Searcher] = {}
-
-
 def _searcher(key: str, sent: Broadcast) -> Searcher:
-    from probity.llm import toxicity  # the worker's module, kept from task to task
-
-    if key not in toxicity._MADE:
-        toxicity._MADE.clear()
-        toxicity._MADE[key] = Searcher(Examples.loaded(sent.value))
-    return toxicity._MADE[key]
+    return kept(key, lambda: Searcher(Examples.loaded(sent.value)))
 
 
 @dataclass
@@ -369,12 +361,13 @@ class Model:
                 return [(base, [])] * len(texts)
             own, found = _searcher(key, sent), []
             e = own.examples
-            for at in range(0, len(texts), TOGETHER):
-                vectors = [own.vector(*counted(t)) for t in texts[at : at + TOGETHER]]
+            place, once = pd.factorize(np.array(["" if t is None else t for t in texts], object))
+            for at in range(0, len(once), TOGETHER):
+                vectors = [own.vector(*counted(t)) for t in once[at : at + TOGETHER]]
                 for near in own.index.nearest(vectors, NEIGHBOURS):
                     score = float(np.interp(own.vote(near), raw, rate)) if near else none_rate
                     found.append((score, [(int(e.ids[x]), c, int(e.labels[x])) for x, c in near]))
-            return found
+            return [found[k] for k in place]
 
         return many
 
