@@ -272,10 +272,11 @@ def test_keys_of_different_types_meet_in_one_scan(rows, monkeypatch):
         Check("child", ForeignKey("a", "parent", "d", "number")),
         Check("child", ForeignKey("b", "parent", "i", "text")),
         Check("child", ForeignKey("c", "parent", "t", "day")),
+        Check("child", RowRule("Completeness", "a", "missing", "a IS NULL", ("a",), Severity("LOW"))),
     ]
     tables = {"child": child, "parent": parent}
     together = sorted(map(tuple, measure(checks, tables).collect()))
-    assert [(r[0], r[5], r[6]) for r in together] == [(1, 1, 4), (2, 2, 4), (3, 1, 4)]
+    assert [(r[0], r[5], r[6]) for r in together] == [(1, 1, 4), (2, 2, 4), (3, 1, 4), (4, 1, 4)]
     monkeypatch.setattr(sys.modules["probity.operators.measure"], "_scans_again", lambda checks: False)
     assert together == sorted(map(tuple, measure(checks, tables).collect()))
 
