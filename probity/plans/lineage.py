@@ -126,24 +126,25 @@ def _through(left: DataFrame, right: DataFrame) -> DataFrame:
 def reach(edges: DataFrame) -> DataFrame:
     """from, to, steps: every dataset that comes of another, and over how few steps.
 
-    A round joins the pairs found so far with each other, so paths double in length
-    and the rounds are the logarithm of the longest shortest path. What a round
-    finds is written to the shared folder, which ends its lineage. An edge
-    or path from a dataset to itself is no pair, and steps only ever fall, so
-    graphs with cycles end too. NULL ends are left out.
+    The rounds are the logarithm of the longest shortest path: a round goes from paths of
+    up to n steps to those of up to 2n. Each of these has a first part of exactly n steps, so
+    only pairs of n steps are joined with all found, which meets a longer pair once for each
+    place it can have after n steps. What a round adds is written to the shared folder, once,
+    which ends its lineage. An edge or path from a dataset to itself is no pair, and pairs that
+    were found before aren't added, so graphs with cycles end too. NULL ends are left out.
     """
     spark, folder = edges.sparkSession, scratch_dir(edges.sparkSession)
-    given = edges.select("from", "to").filter("`from` <> `to`").distinct().withColumn("steps", F.lit(1).cast("long"))
-    found, size = None, (-1, -1)
+    added = edges.select("from", "to").filter("`from` <> `to`").distinct().withColumn("steps", F.lit(1).cast("long"))
+    found = None
     for number in range(ROUNDS):
-        pairs = given if found is None else _shortest(found.union(_through(found, found)))
-        path = f"{folder}/reach-{number}"
-        pairs.write.parquet(path)
-        found = spark.read.schema(pairs.schema).parquet(path)
-        count = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("steps"), F.lit(0))).first()
-        if tuple(count) == size:  # a round that changes something adds pairs or shortens some
+        path, far = f"{folder}/reach-{number}", 1 << number
+        added.write.parquet(path)
+        added = spark.read.schema(added.schema).parquet(path)
+        found = added if found is None else found.union(added)
+        farthest = added.filter(F.col("steps") == far)
+        if farthest.isEmpty():  # a longer pair would begin with one of these
             break
-        size = tuple(count)
+        added = _shortest(found.union(_through(farthest, found))).filter(F.col("steps") > far)
     return found
 
 

@@ -178,6 +178,29 @@ def test_reach_over_chains_branches_and_cycles(rows):
     ]
 
 
+def test_reach_writes_each_pair_once(rows, spark, monkeypatch):
+    folder = scratch_dir(spark)
+    monkeypatch.setattr(lineage, "scratch_dir", lambda _: folder)
+    ring = [(f"r{k}", f"r{(k + 1) % 9}") for k in range(9)]
+    diamond = [("s", "x"), ("s", "y"), ("x", "t"), ("y", "t"), ("t", "r0")]
+    chain = [(f"n{k:02}", f"n{k + 1:02}") for k in range(20)]
+    edges = [*ring, *diamond, *chain]
+    after = {}
+    for a, b in edges:
+        after.setdefault(a, []).append(b)
+    want = {}
+    for start in after:
+        steps, now = {start: 0}, [start]
+        for a in now:  # grows as it goes
+            new = [b for b in after.get(a, []) if b not in steps]
+            steps |= {b: steps[a] + 1 for b in new}
+            now += new
+        want |= {(start, c): n for c, n in steps.items() if n}
+    assert _reached(rows, edges) == want
+    written = spark.read.option("basePath", folder).parquet(f"{folder}/reach-*")
+    assert written.count() == written.select("from", "to").distinct().count() == len(want)
+
+
 def test_texts_are_kept_as_they_are(catalogue, rows, spark):
     odd = "home ${env:HOME} it's \\n \"x\""
     for setting in ("true", "false"):
