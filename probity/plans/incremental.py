@@ -4,6 +4,10 @@ What the checks need of a file is its tally: narrow counts by check and key that
 up over files. A delivery reads the files that are new, adds one batch of their tally
 to the stored ones, and with it the files' names, so a file counts if and only if its
 batch does. Metrics are made of the stored tallies alone.
+
+A row group of a file is read by one task, however many rows it has, and what a task adds
+up it holds in memory. So the rows of large deliveries are first dealt out by their place in
+the files, and stored tallies by their key.
 """
 
 from __future__ import annotations
@@ -22,7 +26,9 @@ from probity.operators import tally
 from probity.operators.measure import _bound, graded
 from probity.sources.commits import BatchTable
 
-FILE = "__file"
+FILE, PLACE = "__file", "__place"
+#: Rows, of files or of tallies, that a task is to add up.
+ROWS = 500_000
 
 
 def _plain(path: str) -> str:
@@ -39,6 +45,17 @@ def _signature(checks: Sequence[Check], schemas: Mapping[str, T.StructType]) ->
     return hashlib.sha256(told.encode()).hexdigest()[:16]
 
 
+def _parts(rows: DataFrame) -> int:
+    """How many tasks are to add up rows of files. Counting these reads the footers only."""
+    return -(-rows.count() // ROWS)
+
+
+def _added_up(tallies: DataFrame) -> DataFrame:
+    """Stored tallies added up. A batch has each key once, so no task gets many of one key."""
+    parts = _parts(tallies)
+    return tally.tally(tallies if parts < 2 else tallies.repartition(parts, "slot", "key"))
+
+
 class CheckState:
     """Stored tallies of the files of some datasets, below ``path``.
 
@@ -83,10 +100,14 @@ class CheckState:
         return sorted(f for f in there if _plain(f) not in known)
 
     def scan(self, name: str, files: Sequence[str]) -> DataFrame:
-        """The rows of files, with the name of each row's file."""
+        """The rows of files, with the name of each row's file; many are dealt to tasks of about ROWS each."""
         read = self.spark.read.schema(self.schemas[name]).parquet(*map(unquote, files))
         file = F.regexp_replace(F.col("_metadata.file_path"), "^([a-z0-9]+):/+", "$1:/")
-        return read.select("*", file.alias(FILE))
+        place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        parts = _parts(read)
+        if parts < 2:
+            return read.select("*", file.alias(FILE))
+        return read.select("*", file.alias(FILE), place.alias(PLACE)).repartition(parts, PLACE).drop(PLACE)
 
     def deliver(self, name: str, folder: str) -> list[str]:
         """Count the files below ``folder`` that are new, and return their names.
@@ -120,7 +141,7 @@ class CheckState:
 
     def metrics(self) -> DataFrame:
         """One row per check that applies, over all files read so far."""
-        added_up = tally.tally(self.state.read())
+        added_up = _added_up(self.state.read())
         applies = tally.applying(self.checks, self._empty)
         return graded(tally.counts(added_up, self.checks, applies, _bound))
 
@@ -128,4 +149,4 @@ class CheckState:
         """Add all batches up into one."""
         batches = self.state.version()[1]
         if len(batches) > 1:
-            self.state.replace(batches, tally.tally(self.state.read()))
+            self.state.replace(batches, _added_up(self.state.read()))

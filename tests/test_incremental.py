@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from probity import Check, ForeignKey, RowRule, Severity, UniqueKey, measure
 from probity.operators import rules
+from probity.plans import incremental
 from probity.plans.incremental import CheckState
 from probity.session import scratch_dir
 from probity.sources.commits import BatchTable
@@ -77,6 +78,26 @@ def test_only_new_files_are_scanned(made, monkeypatch):
     assert len({f for s in scanned for f in s}) == 3
 
 
+def test_rows_of_a_large_file_are_dealt_to_tasks(made, rows, monkeypatch):
+    folder, frames, parent, state = made
+    monkeypatch.setattr(incremental, "ROWS", 20)
+    many = rows(SCHEMA, [(k % 70, k % 4 or None, float(k % 3 - 1)) for k in range(100)])
+    for df in (many, frames[0]):
+        _write(df, f"{folder}/o")
+        new = state.new_files("o", f"{folder}/o")
+        assert len(new) == 1  # of one row group, which one task reads
+        task = F.spark_partition_id().alias("task")
+        sizes = [r["count"] for r in state.scan("o", new).groupBy(task).count().collect()]
+        assert sum(sizes) == df.count() and max(sizes) < 50
+        state.deliver("o", f"{folder}/o")
+    _write(parent, f"{folder}/parent")
+    state.deliver("parent", f"{folder}/parent")
+    want = sorted(map(tuple, measure(CHECKS, {"o": many.union(frames[0]), "parent": parent}).collect()))
+    assert sorted(map(tuple, state.metrics().collect())) == want
+    state.compact()
+    assert sorted(map(tuple, state.metrics().collect())) == want
+
+
 def test_a_delivery_that_is_broken_off_is_read_again(made, monkeypatch):
     folder, frames, _, state = made
     _write(frames[0], f"{folder}/o")
