@@ -72,7 +72,7 @@ _KEPT: dict[object, object] = {}
 def kept(key: object, make: Callable[[], object]) -> object:
     """What ``make`` gives, kept by the worker until something else is."""
     if key not in _KEPT:
-        _KEPT.clear()
+        let_go()  # before, so that both are never held at once
         _KEPT[key] = make()
         _give_back()
     return _KEPT[key]

@@ -34,7 +34,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from probity.llm.scratch import kept, saved
+from probity.llm.scratch import kept, let_go, saved
 
 #: Labelled documents that examples are taken from at most, and bytes of their texts.
 EXAMPLES, BYTES = 8000, 64_000_000
@@ -49,6 +49,8 @@ BLOCK, FIRST_BLOCKS = 64, 4
 FREQUENT, TOGETHER, OFF = 768, 512, 1e-5
 #: Votes for the mean label that each vote begins with.
 PRIOR_VOTES = 1.0
+#: Examples that the index is made of at once, so that a worker needs little more than the index.
+AT_ONCE = 500
 #: Bytes of one row of the stored index.
 PART_BYTES = 8_000_000
 
@@ -136,11 +138,11 @@ class Examples:
 
     @staticmethod
     def loaded(data: dict[str, bytes]) -> Examples:
-        rising = {k: np.cumsum(_numbers(data[k])) for k in ("ids", "starts", "codes")}
         terms = np.cumsum(_numbers(data["terms"]).view(np.uint64), dtype=np.uint64)
         return Examples(
-            rising["ids"], _numbers(data["labels"]), rising["starts"], rising["codes"].astype(np.int32),
-            _numbers(data["counts"]).astype(np.int32), terms, _numbers(data["df"]), _numbers(data["ones"]),
+            np.cumsum(_numbers(data["ids"])), _numbers(data["labels"]), np.cumsum(_numbers(data["starts"])),
+            np.cumsum(_numbers(data["codes"]), dtype=np.int32), _numbers(data["counts"]).astype(np.int32),
+            terms, _numbers(data["df"]), _numbers(data["ones"]),
         )
 
     @property
@@ -174,19 +176,30 @@ class Index:
         self.order = np.argsort(likeness, kind="stable").astype(np.int32)  # examples by their place
         place = np.empty(self.size, np.int32)
         place[self.order] = np.arange(self.size, dtype=np.int32)
-        of = np.repeat(place, np.diff(starts))
-        df = np.bincount(codes, minlength=terms)
+        df = np.zeros(terms, np.int64)
+        for _, _, own in _some(starts):
+            df += np.bincount(codes[own], minlength=terms)
         frequent = np.argsort(-df, kind="stable")[:FREQUENT]
         self.slot = np.full(terms, -1, np.int32)
         self.slot[frequent] = np.arange(len(frequent))
-        slots = self.slot[codes]
         self.dense = np.zeros((len(frequent), self.blocks * BLOCK), np.float32)
-        self.dense[slots[slots >= 0], of[slots >= 0]] = weights[slots >= 0]
+        self.first = np.concatenate([[0], np.cumsum(np.where(self.slot < 0, df, 0))])
+        self.posted = np.empty(self.first[-1], np.int32)
+        self.own = np.empty(self.first[-1], np.float32)
+        free = self.first[:-1].copy()  # where the next example with a rare term goes
+        for begin, end, own in _some(starts):
+            of = np.repeat(place[begin:end], np.diff(starts[begin : end + 1]))
+            some, weight = codes[own], weights[own]
+            slots = self.slot[some]
+            often = slots >= 0
+            self.dense[slots[often], of[often]] = weight[often]
+            rare = np.flatnonzero(~often)
+            rare = rare[np.argsort(some[rare], kind="stable")]
+            terms_, heads, many = np.unique(some[rare], return_index=True, return_counts=True)
+            to = np.arange(len(rare)) + np.repeat(free[terms_] - heads, many)
+            self.posted[to], self.own[to] = of[rare], weight[rare]
+            free[terms_] += many
         self.most = self.dense.reshape(len(frequent), self.blocks, BLOCK).max(axis=2)
-        rare = np.flatnonzero(slots < 0)
-        rare = rare[np.argsort(codes[rare], kind="stable")]
-        self.posted, self.own = of[rare], weights[rare].astype(np.float32)
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(codes[rare], minlength=terms))])
         self._query = np.zeros(terms)
         self.looked_at = self.skipped = 0
 
@@ -229,13 +242,15 @@ class Index:
                 nearly[some, columns] += frequent[some] @ self.dense[:, columns]
             done[wanted] = True
 
+        parts = range(BLOCK, len(queries), BLOCK)  # a copy of all would be as large as they are
+
         def least() -> np.ndarray:
             """What the last of the nearest has at least, for each query."""
             if but is not None:
                 nearly[out] = 0
             if k >= self.size:
                 return np.zeros(len(queries))
-            return np.partition(nearly, -k, axis=1)[:, -k] - OFF
+            return np.concatenate([np.partition(some, -k, axis=1)[:, -k] for some in np.split(nearly, parts)]) - OFF
 
         best = np.argpartition(-bound, min(FIRST_BLOCKS, self.blocks) - 1, axis=1)[:, :FIRST_BLOCKS]
         wanted = np.zeros(bound.shape, bool)
@@ -265,6 +280,13 @@ class Index:
         return [(int(some[e]), float(cosine[e])) for e in best if cosine[e] > 0]
 
 
+def _some(starts: np.ndarray) -> Iterator[tuple[int, int, slice]]:
+    """First and end of AT_ONCE examples after the others, and where their terms are."""
+    for begin in range(0, len(starts) - 1, AT_ONCE):
+        end = min(begin + AT_ONCE, len(starts) - 1)
+        yield begin, end, slice(starts[begin], starts[end])
+
+
 def _ranges(starts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All places from ``starts[c]`` up to ``starts[c + 1]`` of the chosen, and how many each has."""
     own = starts[chosen + 1] - starts[chosen]
@@ -303,21 +325,20 @@ class Searcher:
     def __init__(self, examples: Examples) -> None:
         self.examples = examples
         self.term_weights, self.unknown = examples.term_weights()
-        sizes = np.diff(examples.starts)
-        weights = (1 + np.log(examples.counts)) * self.term_weights[examples.codes]
-        place = np.repeat(np.arange(len(sizes)), sizes)
-        weights /= np.sqrt(np.bincount(place, weights * weights, len(sizes)))[place]
-        self.index = Index(examples.starts, examples.codes, weights, len(examples.terms), self._likeness(place))
+        weights = np.empty(len(examples.codes))
+        likeness = np.full(len(examples.ids), -1, np.int64)
+        for begin, end, own in _some(examples.starts):
+            starts = examples.starts[begin : end + 1] - own.start
+            codes, counts = examples.codes[own], examples.counts[own]
+            place = np.repeat(np.arange(end - begin), np.diff(starts))
+            some = (1 + np.log(counts)) * self.term_weights[codes]
+            weights[own] = some / np.sqrt(np.bincount(place, some * some, end - begin))[place]
+            # brings examples of one language together: the term each has most often
+            order = np.lexsort((-examples.df[codes], -counts, place))
+            firsts = order[starts[:-1][np.diff(starts) > 0]]
+            likeness[begin + place[firsts]] = codes[firsts]
         examples.counts = None  # no longer needed
-
-    def _likeness(self, place: np.ndarray) -> np.ndarray:
-        """A number that brings examples of one language together: the term each has most often."""
-        e = self.examples
-        order = np.lexsort((-e.df[e.codes], -e.counts, place))
-        likeness = np.full(len(e.ids), -1, np.int64)
-        firsts = order[e.starts[:-1][np.diff(e.starts) > 0]]
-        likeness[place[firsts]] = e.codes[firsts]
-        return likeness
+        self.index = Index(examples.starts, examples.codes, weights, len(examples.terms), likeness)
 
     def vector(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes and weights of length one; terms of no example count for the length."""
@@ -377,6 +398,7 @@ _COUNTED = ["doc_id", "toxic", "size", "hashes", "counts"]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for batch in batches:
         texts = batch.column(2).to_pylist()
         found = [counted(t) for t in texts]
@@ -402,7 +424,10 @@ def _laid_out(most: int) -> Callable:
                     rows.append(_row(doc_id, toxic, hashes, counts))
         if not rows:
             return
-        for name, data in Examples.of(rows).stored().items():
+        stored = Examples.of(rows).stored()
+        rows.clear()
+        let_go()
+        for name, data in stored.items():
             for part, at in enumerate(range(0, len(data), PART_BYTES)):
                 one = [pa.array([name]), pa.array([part], pa.int32()), pa.array([data[at : at + PART_BYTES]], pa.binary())]
                 yield pa.RecordBatch.from_arrays(one, ["name", "part", "data"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 from pathlib import Path
 
@@ -260,3 +261,20 @@ def test_a_word_tells_less_in_a_long_clean_text(spark):
     got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(given, model).collect()}
     assert got[1] < 0.1
     assert got[2] < 0.3 < 0.9 < got[3]
+
+
+def test_a_worker_needs_little_more_than_the_index():
+    draw = np.random.default_rng(5)
+    rows = []
+    for k in range(3000):
+        hashes = np.unique(draw.zipf(1.3, 300) % 40_000).astype(np.uint64)
+        rows.append((k, k % 2, hashes, draw.integers(1, 5, len(hashes))))
+    stored = toxicity.Examples.of(rows).stored()
+    tracemalloc.start()
+    searcher = toxicity.Searcher(toxicity.Examples.loaded(stored))
+    held, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 1.45 * held
+    for k in (0, 1777):
+        query = searcher.vector(*rows[k][2:])
+        assert searcher.index.nearest([query], 1)[0] == [(k, 1.0)]
