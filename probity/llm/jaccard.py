@@ -345,10 +345,7 @@ def _links(
     docs: DataFrame, own: DataFrame, keyed: DataFrame, how: Likeness, folder: str
 ) -> DataFrame:
     """Verified links (a, b) between classes, enough to connect all that are linked."""
-    spread = keyed.select("class", F.explode("keys").alias("key"))
-    shared = spread.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    shared = shared.filter("low <> high").select("key")
-    held = saved(spread.join(shared, "key").distinct(), folder, "held")
+    held = saved(_held(keyed), folder, "held")
     held_by = held.groupBy("class").agg(F.count("*").alias("weight"))
     classes = held.select("class").distinct().count()
     sketched = [F.first(c).alias(c) for c in keyed.columns if c not in ("class", "keys")]
@@ -379,6 +376,17 @@ def _links(
     return reduce(DataFrame.union, links)
 
 
+def _held(keyed: DataFrame) -> DataFrame:
+    """class and key, for keys of several classes.
+
+    All keys are dealt out once, both to find the shared ones and to take their classes. A
+    class has a key once from each task, and many others, so no key has many of all rows.
+    """
+    spread = keyed.select("class", F.explode("keys").alias("key")).repartition("key")
+    shared = spread.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    return spread.join(shared.filter("low <> high").select("key"), "key").distinct()
+
+
 def _open(held: DataFrame, now: DataFrame) -> DataFrame:
     """Classes by key, for keys that have classes of different components."""
     grouped = held.join(now.select("class", "weight", "group"), "class")

@@ -13,6 +13,7 @@ from texts import DOCS, odd_rows, with_clashes
 
 from probity.llm import jaccard
 from probity.llm.components import components
+from probity.llm.scratch import new_folder, saved
 
 
 def set_of(text: str | None, size: int) -> frozenset:
@@ -160,3 +161,17 @@ def test_hot_pieces_in_blocks_give_the_same_components(spark, monkeypatch):
         monkeypatch.setattr(jaccard, "STAR_ROUNDS", rounds)
         got = {r["doc_id"]: (r["n"], r["component"]) for r in jaccard.jaccard_components(docs, how).collect()}
         assert got == want
+
+
+def test_keys_are_dealt_out_once(spark):
+    keyed = spark.range(400).selectExpr("id AS class", "array(id, id % 7 + 1000, id % 50 + 2000) AS keys")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        held = jaccard._held(saved(keyed.union(keyed), new_folder(spark), "keys"))
+        got = {(r["class"], r["key"]) for r in held.collect()}
+        plan = held._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {(k, key) for k in range(400) for key in (k % 7 + 1000, k % 50 + 2000)}
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(key" in line]
+    assert len([line for line in exchanges if "Reused" not in line]) == 1
